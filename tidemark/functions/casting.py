@@ -11,9 +11,9 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:nan|inf|infinity)$"
 DATETIME_FORMATS = ["M/d/yyyy h:mm:ss a", "yyyy-MM-dd'T'HH:mm:ss"]
 # Characters Python's str.strip() removes.
 BLANKS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     + "".join(chr(c) for c in range(0x2000, 0x200B))
-    + "    　"
+    + "\u2028\u2029\u202f\u205f\u3000"
 )
 
 

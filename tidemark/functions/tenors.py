@@ -82,3 +82,18 @@ def month_code(contract: Column) -> Column:
 def like_pattern(wildcard: str) -> str:
     """``/GCL<*>`` as a LIKE pattern with every other special character escaped."""
     return "%".join(re.sub(r"([\\%_])", r"\\\1", part) for part in wildcard.split("<*>"))
+
+
+def last_business_day(day: Column) -> Column:
+    """Last Monday-to-Friday day of the month of ``day``."""
+    end = F.last_day(day)
+    return F.date_sub(end, F.greatest(F.weekday(end) - 4, F.lit(0)))
+
+
+def prompt_contract(day: Column) -> Column:
+    """First day of the contract month trading on ``day``: the earliest month not yet expired.
+
+    A contract expires on the last business day before its month starts.
+    """
+    ahead = F.when(day <= last_business_day(day), 1).otherwise(2)
+    return F.add_months(F.trunc(day, "month"), ahead)
