@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:nan|inf|infinity)$"
-DATETIME_FORMATS = ["M/d/yyyy h:mm:ss a", "yyyy-MM-dd'T'HH:mm:ss"]
+# Text shape -> format. The shape keeps the formatter from failing, which is slow, on other text.
+# ISO forms, with a blank or a T before the time, need no format.
+DATETIME_FORMATS = {
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AaPp][Mm]$": "M/d/yyyy h:m:s a",
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$": "M/d/yyyy H:m:s",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$": "M/d/yyyy H:m",
+    r"^\d{8}$": "yyyyMMdd",
+}
+DAY_FIRST = {r"^\d{2}-\d{2}-\d{4}$": "dd-MM-yyyy"}
 # Characters Python's str.strip() removes.
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -45,12 +54,16 @@ def to_numeric(c: Column) -> Column:
     return nan_to_null(F.when(text.rlike(NUMBER), text.try_cast("double")))
 
 
-def parse_datetime(c: Column, extra_formats: Sequence[str] = ()) -> Column:
-    """First format that reads the text, row by row; then Spark's own ISO-like forms."""
-    formats = [*DATETIME_FORMATS, *extra_formats]
-    return F.coalesce(
-        *[F.try_to_timestamp(c, F.lit(f)) for f in formats], F.try_to_timestamp(c)
-    )
+def parse_datetime(c: Column, more: Mapping[str, str] | None = None) -> Column:
+    """Timestamp by the first format whose shape fits the text, row by row; else NULL."""
+    plain = c.try_cast("timestamp")
+    formatted = None
+    for shape, pattern in {**DATETIME_FORMATS, **(more or {})}.items():
+        value = F.try_to_timestamp(c, F.lit(pattern))
+        formatted = F.when(c.rlike(shape), value) if formatted is None else formatted.when(
+            c.rlike(shape), value)
+    # One cheap test sends the ISO forms past all shapes.
+    return F.when(c.rlike(r"^\d{4}-\d"), plain).otherwise(formatted.otherwise(plain))
 
 
 def null_if_in(c: Column, sentinels: Sequence[str]) -> Column:

@@ -28,23 +28,26 @@ def _any_set(names: list[str]) -> Column:
     return present
 
 
-def _key(df: DataFrame, core: dict[str, Column], rest: dict[str, Column]) -> Column:
+def _key(core: dict[str, Column], rest: dict[str, Column]) -> Column:
     key = F.when(_any_set(list(core)), _digest(core)) if core else F.lit(None).cast("string")
-    spare = {**core, **rest}
-    return F.coalesce(key, F.when(_any_set(list(spare)), _digest(spare))) if rest else key
+    # The spare key is only reached when every core column is NULL.
+    return F.coalesce(key, F.when(_any_set(list(rest)), _digest(rest))) if rest else key
 
 
 def instrument_hash(df: DataFrame) -> Column:
     """Key over the five identifying columns, else over every source column, else NULL."""
-    own = {"instrument_hash", *schemas.INSTRUMENT_AUDIT}
     core = {c: normalise(F.col(c)) for c in schemas.INSTRUMENT_KEY if c in df.columns}
     rest = {c: normalise(F.col(c)) for c in df.columns
-            if c in schemas.INSTRUMENT_COLUMNS and c not in core and c not in own}
-    return _key(df, core, rest)
+            if c in schemas.INSTRUMENT_COLUMNS and c not in core}
+    return _key(core, rest)
 
 
-def price_hash(df: DataFrame) -> Column:
-    """Key over symbol, trade time to the second and price symbol, else over every source column."""
+def price_hash(df: DataFrame, spare: bool = True) -> Column:
+    """Key over symbol, trade time to the second and price symbol, else over every source column.
+
+    A row that needs the spare key lacks its symbol and time and cannot be stored, so the ingest job
+    leaves it out.
+    """
     core = {
         c: second_text(F.col(c)) if c in schemas.PRICE_TIMES else normalise(F.col(c))
         for c in schemas.PRICE_KEY if c in df.columns
@@ -53,4 +56,4 @@ def price_hash(df: DataFrame) -> Column:
         c: second_text(F.col(c)) if c in schemas.PRICE_TIMES else F.col(c).cast("string")
         for c in df.columns if c in schemas.PRICE_COLUMNS and c not in core
     }
-    return _key(df, core, rest)
+    return _key(core, rest if spare else {})

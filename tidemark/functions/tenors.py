@@ -31,7 +31,9 @@ def tenor_start(tenor: Column, as_of: Column) -> Column:
     """First day of the period a tenor names, seen from ``as_of``.
 
     ``Mnn``/``Qnn``/``Ynn`` count whole months, quarters and years after the current one;
-    ``2025M06``, ``2025Q03`` and month codes such as ``F24`` are absolute. Unknown text is NULL.
+    ``2025M06``, ``2025Q03`` and month codes such as ``F24`` are absolute. The codes of June and August
+    look like relative months and quarters (``M24``, ``Q24``) and are read as those. Unknown text is
+    NULL.
     """
     code = F.regexp_extract(tenor, f"^([{MONTH_CODES}])[0-9]{{2}}$", 1)
     absolute_quarter = _group(tenor, r"^\d{4}Q0?([1-4])$", 1)

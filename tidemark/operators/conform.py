@@ -14,10 +14,10 @@ from tidemark.functions import casting
 
 
 def clean_instruments(df: DataFrame) -> DataFrame:
-    """Every column as text; the four null words become NULL, empty text stays."""
+    """Instrument columns as text; the four null words become NULL, empty text stays."""
     return df.select(
         *[casting.null_if_in(F.col(c).cast("string"), schemas.INSTRUMENT_SENTINELS).alias(c)
-          for c in df.columns]
+          if c in schemas.INSTRUMENT_COLUMNS else F.col(c) for c in df.columns]
     )
 
 

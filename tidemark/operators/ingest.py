@@ -35,11 +35,10 @@ def _too_long(limits: dict[str, int | None], columns: Sequence[str]) -> Column:
 
 
 def price_reject_reason(df: DataFrame) -> Column:
-    """Why a keyed price row cannot be stored, or NULL."""
+    """Why a price row cannot be stored, or NULL. With symbol and time set, the key always is."""
     return (
         F.when(F.col("symbol").isNull(), "symbol missing")
         .when(F.col("tradedatetimeutc").isNull(), "trade time missing")
-        .when(F.col("price_hash").isNull(), "key missing")
         .when(_too_long(schemas.PRICE_TEXT_LENGTHS, df.columns), "text too long")
     )
 
@@ -65,14 +64,15 @@ def unseen(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return new.join(keys, key, "left_anti")
 
 
-def unseen_prices(new: DataFrame, stored: DataFrame, key: str = "price_hash",
-                  month: str = "trade_month") -> DataFrame:
+def unseen_prices(new: DataFrame, stored: DataFrame, batch: DataFrame | None = None,
+                  key: str = "price_hash", month: str = "trade_month") -> DataFrame:
     """As ``unseen``, reading only those month partitions of the stored table the batch touches.
 
     A key fixes its month, so the other months cannot hold it. The distinct months of a batch are
     few by nature; joining them lets dynamic partition pruning skip the rest of the stored files.
+    They are read from ``batch``, the rows before de-duplication, to not repeat that step.
     """
-    months = new.select(month).distinct()
+    months = (new if batch is None else batch).select(month).distinct()
     keys = stored.join(months, month, "left_semi").where(F.col(key).isNotNull())
     return new.join(keys.select(month, key), [month, key], "left_anti")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.casting import parse_datetime
+from tidemark.functions.casting import DAY_FIRST, parse_datetime
 from tidemark.operators.bars import period_start
 from tidemark.operators.ingest import first_by_key
 from tidemark.session import shared_dir
@@ -75,7 +75,6 @@ def upsert_partitions(spark: SparkSession, path: str, incoming: DataFrame, keys:
 
 VALUE_FIELDS = ["OPEN", "HIGH", "LOW", "CLOSE", "MID", "LAST", "BID", "ASK", "VOLUME"]
 SERIES_COLUMNS = ["SYMBOL", "DATE", "CURVEDATE", "INDEX", "FREQUENCY", "VERSION", "FOLDER_PATH"]
-DAY_FIRST = ["dd-MM-yyyy"]
 
 
 def update_prices_long(wide: DataFrame) -> DataFrame:

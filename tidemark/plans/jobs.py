@@ -47,7 +47,7 @@ class TableRules:
     make_key: Callable[[DataFrame], Column]
     reject_reason: Callable[[DataFrame], Column]
     audit: Callable[[DataFrame, dt.datetime], DataFrame]
-    unseen: Callable[[DataFrame, DataFrame], DataFrame]
+    unseen: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 
 
 def _with_month(schema: T.StructType) -> T.StructType:
@@ -59,7 +59,7 @@ PRICES = TableRules(
     schema=_with_month(schemas.PRICE_TABLE),
     partition_by=["trade_month"],
     clean=conform.clean_prices,
-    make_key=keys.price_hash,
+    make_key=lambda df: keys.price_hash(df, spare=False),
     reject_reason=ingest.price_reject_reason,
     audit=conform.with_price_audit,
     unseen=ingest.unseen_prices,
@@ -72,7 +72,7 @@ INSTRUMENTS = TableRules(
     make_key=keys.instrument_hash,
     reject_reason=ingest.instrument_reject_reason,
     audit=conform.with_instrument_audit,
-    unseen=lambda new, stored: ingest.unseen(new, stored, "instrument_hash"),
+    unseen=lambda new, stored, batch: ingest.unseen(new, stored, "instrument_hash"),
 )
 
 
@@ -89,7 +89,7 @@ def storable(rows: DataFrame, stored: DataFrame, rules: TableRules, order: list[
     if "trade_month" in rules.partition_by:
         rows = rows.withColumn("trade_month", F.to_date(F.date_trunc("month", "tradedatetimeutc")))
     once = ingest.first_by_key(rows, [rules.key], order)
-    new = rules.unseen(once, stored)
+    new = rules.unseen(once, stored, rows)
     return conform.conform(rules.audit(new, run_ts), rules.schema)
 
 
@@ -117,10 +117,8 @@ def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, target
     good = staged.where(~F.col("rejected")).drop("reason", "rejected")
     stored = tables.read_or_empty(spark, target, rules.schema)
     added = Observation()
-    new = storable(good, stored, rules, order or ["arrival"], run_ts).observe(
-        added, F.count("*").alias("inserted")
-    )
-    sinks.append_parquet(new, target, rules.partition_by)
+    new = storable(good, stored, rules, order or ["arrival"], run_ts)
+    sinks.append_parquet(new, target, rules.partition_by, added)
     if counts["failed"]:
         bad = staged.where(F.col("rejected")).withColumn("run_id", F.lit(run_id))
         bad.select("run_id", "reason", F.to_json(F.struct(*landed.columns)).alias("content")) \

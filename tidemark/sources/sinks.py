@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def append_parquet(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Append; REBALANCE lets AQE split hot partitions and merge small ones before the write."""
+def append_parquet(df: DataFrame, path: str, partition_by: list[str],
+                   written: Observation | None = None) -> None:
+    """Append; REBALANCE lets AQE split hot partitions and merge small ones before the write.
+
+    ``written`` receives the row count as ``inserted``. It is observed above the rebalance, where it
+    also works when nothing is left to write.
+    """
     spread = df.hint("rebalance", *partition_by) if partition_by else df
+    if written is not None:
+        spread = spread.observe(written, F.count("*").alias("inserted"))
     spread.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
