@@ -154,8 +154,8 @@ def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("csv_sink_quoted", """
-    SELECT '"' || c_name || ' said ""' || c_mktsegment || '"""' || ',' || c_custkey
-           || ',' || '"' || c_mktsegment || '"' AS line
+    SELECT concat(chr(34), c_name, ' said ', chr(34), chr(34), c_mktsegment, chr(34), chr(34),
+                  chr(34), ',', c_custkey, ',', chr(34), c_mktsegment, chr(34)) AS line
     FROM customer""")
 def csv_sink_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as written: text quoted, numbers bare, header on top of each part file."""
