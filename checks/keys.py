@@ -92,13 +92,13 @@ def price_hash_spare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("parse_numbers", """
     SELECT l_orderkey, l_partkey, l_linenumber,
-           CASE l_linenumber WHEN 1 THEN l_quantity::BIGINT WHEN 2 THEN -(l_quantity::BIGINT)
-                WHEN 6 THEN 1000 ELSE NULL END AS as_int,
+           CASE l_linenumber WHEN 1 THEN l_quantity WHEN 2 THEN -l_quantity
+                WHEN 6 THEN 1000::DOUBLE END AS as_int,
            CASE l_linenumber WHEN 1 THEN l_quantity + 0.5::DOUBLE
                 WHEN 2 THEN -(l_quantity + 0.5::DOUBLE) WHEN 6 THEN 1000::DOUBLE END AS as_float,
            CASE l_linenumber WHEN 1 THEN l_quantity + 0.5::DOUBLE
                 WHEN 2 THEN -(l_quantity + 0.5::DOUBLE) END AS as_numeric
-    FROM lineitem""")
+    FROM lineitem""", digits=None)
 def parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, line = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber")
     text = (
@@ -109,7 +109,7 @@ def parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return views.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber",
-        casting.parse_int(text).alias("as_int"),
+        casting.parse_int(text).cast("double").alias("as_int"),
         casting.nan_to_null(casting.parse_float(text)).alias("as_float"),
         casting.to_numeric(text).alias("as_numeric"),
     )
@@ -184,7 +184,7 @@ def time_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT symbol, tradedatetimeutc,
            CASE currency WHEN 'USC' THEN 'USD' WHEN 'GBC' THEN 'GBP' ELSE currency END AS major,
            CASE WHEN currency IN ('USC', 'GBC') THEN close / 100 ELSE close END AS value
-    FROM daily"""))
+    FROM daily"""), digits=None)
 def minor_currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.daily(spark, sf_dir).select(
         "symbol", "tradedatetimeutc", money.major_currency(F.col("currency")).alias("major"),
@@ -277,7 +277,7 @@ def json_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("year_fraction", """
     SELECT o_orderkey, date_diff('day', o_orderdate, TIMESTAMP '2002-01-01') / 360.0::DOUBLE
-           AS years FROM orders""")
+           AS years FROM orders""", digits=None)
 def year_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.lit(dt.date(2002, 1, 1))
     return views.table(spark, sf_dir, "orders").select(

@@ -28,7 +28,10 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000,
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("error").option("header", True).csv(path)
+    """Plain CSV with a header; blanks at the edges of a text are kept."""
+    df.write.mode("error").options(
+        header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(path)
 
 
 def write_csv_quoted(df: DataFrame, path: str) -> None:
