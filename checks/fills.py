@@ -185,7 +185,7 @@ FACTOR_SQL = "(VALUES " + ", ".join(
 
 
 def factors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FACTORS, "unit string, to_unit string, factor double")
+    return spark.sql(f"SELECT * FROM {FACTOR_SQL.replace('::DOUBLE', 'D')}")
 
 
 def unit_of(k):

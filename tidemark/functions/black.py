@@ -7,6 +7,7 @@ Abramowitz and Stegun (absolute error below 7.5e-8).
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,26 +72,70 @@ def greeks(callput: Column, spot: Column, strike: Column, years: Column, vol: Co
     }
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` with ``value`` evaluated once per row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def implied_volatility(price: Column, callput: Column, spot: Column, strike: Column,
                        years: Column, rate: Column, carry: Column, low: float = 1e-4,
-                       high: float = 5.0, steps: int = 60) -> Column:
-    """Volatility whose model value is ``price``, by bisection inside one expression.
+                       high: float = 5.0, steps: int = 30) -> Column:
+    """Volatility whose model value is ``price``: Newton steps kept inside a shrinking bracket.
 
-    NULL when the price lies outside the values the search interval can reach.
+    A step that leaves the bracket is replaced by its middle, so the search always ends. It starts
+    where the value bends as a function of volatility, from where Newton steps do not overshoot.
+    NULL when the price lies outside the values the bracket can reach.
     """
-    def model(vol: Column) -> Column:
-        return option_value(callput, spot, strike, years, vol, rate, carry)
-
-    def halve(acc: Column, _: Column) -> Column:
-        mid = (acc["lo"] + acc["hi"]) / 2
-        below = model(mid) < price
-        return F.struct(
-            F.when(below, mid).otherwise(acc["lo"]).alias("lo"),
-            F.when(below, acc["hi"]).otherwise(mid).alias("hi"),
-        )
-
-    start = F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve,
-                        lambda acc: (acc["lo"] + acc["hi"]) / 2)
-    reachable = (price >= model(F.lit(low))) & (price <= model(F.lit(high)))
-    return F.when(reachable, found)
+    row = F.struct(
+        price.alias("price"), _sign(callput).alias("phi"), F.sqrt(years).alias("sq"),
+        years.alias("t"), (F.log(spot / strike) + carry * years).alias("drift"),
+        (spot * F.exp((carry - rate) * years)).alias("sg"),
+        (strike * F.exp(-rate * years)).alias("kd"),
+    )
+
+    def solve(o: Column) -> Column:
+        def at(vol: Column, use: Callable[[Column], Column]) -> Column:
+            """``use`` with d1, the miss of the model value and vega at one volatility."""
+            root = vol * o["sq"]
+            d1 = (o["drift"] + vol * vol / 2 * o["t"]) / root
+
+            def with_d1(d: Column) -> Column:
+                def with_cdf(n: Column) -> Column:
+                    value = o["phi"] * (o["sg"] * n["n1"] - o["kd"] * n["n2"])
+                    return _let(F.struct(
+                        (value - o["price"]).alias("miss"),
+                        (o["sg"] * normal_pdf(d["d1"]) * o["sq"]).alias("vega"),
+                    ), use)
+
+                return _let(F.struct(
+                    _let(o["phi"] * d["d1"], normal_cdf).alias("n1"),
+                    _let(o["phi"] * d["d2"], normal_cdf).alias("n2"),
+                ), with_cdf)
+
+            return _let(F.struct(d1.alias("d1"), (d1 - root).alias("d2")), with_d1)
+
+        def step(acc: Column, _: Column) -> Column:
+            def move(m: Column) -> Column:
+                below = m["miss"] < 0
+                bracket = F.struct(
+                    F.when(below, acc["x"]).otherwise(acc["lo"]).alias("lo"),
+                    F.when(below, acc["hi"]).otherwise(acc["x"]).alias("hi"),
+                    (acc["x"] - m["miss"] / F.nullif(m["vega"], F.lit(0.0))).alias("x"),
+                )
+                return _let(bracket, lambda b: F.struct(
+                    b["lo"].alias("lo"), b["hi"].alias("hi"),
+                    F.when(b["x"].between(b["lo"], b["hi"]), b["x"])
+                    .otherwise((b["lo"] + b["hi"]) / 2).alias("x"),
+                ))
+
+            return at(acc["x"], move)
+
+        bend = F.sqrt(2 * F.abs(o["drift"]) / o["t"])
+        start = F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi"),
+                         F.least(F.greatest(bend, F.lit(0.1)), F.lit(high)).alias("x"))
+        found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["x"])
+        reachable = at(F.lit(low), lambda m: m["miss"] <= 0) & at(F.lit(high),
+                                                                  lambda m: m["miss"] >= 0)
+        return F.when(reachable, found)
+
+    return _let(row, solve)

@@ -22,8 +22,8 @@ from tidemark.schemas import CURVE_VALUES, SECURITY_TYPES
 def require_roots(requested: Sequence[str], available: DataFrame, column: str,
                   ignoreerrors: bool) -> DataFrame:
     """Requested roots that exist, as a frame. A missing one fails the query unless ignored."""
-    spark = available.sparkSession
-    wanted = spark.createDataFrame([(r,) for r in dict.fromkeys(requested)], f"{column} string")
+    names = F.array(*[F.lit(r) for r in dict.fromkeys(requested)])
+    wanted = available.sparkSession.range(1).select(F.explode(names).alias(column))
     known = available.where(F.col(column).isin(*requested)).select(column).distinct()
     if ignoreerrors:
         return wanted.join(known, column, "left_semi")

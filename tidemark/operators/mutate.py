@@ -77,7 +77,7 @@ VALUE_FIELDS = ["OPEN", "HIGH", "LOW", "CLOSE", "MID", "LAST", "BID", "ASK", "VO
 SERIES_COLUMNS = ["SYMBOL", "DATE", "CURVEDATE", "INDEX", "FREQUENCY", "VERSION", "FOLDER_PATH"]
 
 
-def update_prices_long(wide: DataFrame) -> DataFrame:
+def update_prices_long(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Price fields of a wide update as (symbol, field, ondate, index, value) rows."""
     fields = [c for c in wide.columns if c in VALUE_FIELDS]
     ondate = F.to_date(parse_datetime(F.col("CURVEDATE"), DAY_FIRST)) \
@@ -85,12 +85,12 @@ def update_prices_long(wide: DataFrame) -> DataFrame:
     base = wide.select(
         F.col("SYMBOL").alias("symbol"), ondate.alias("ondate"),
         parse_datetime(F.col("DATE"), DAY_FIRST).alias("index"),
-        *[F.col(c).cast("double").alias(c) for c in fields],
+        *keep, *[F.col(c).cast("double").alias(c) for c in fields],
     )
     return (
-        base.unpivot(["symbol", "ondate", "index"], fields, "field", "value")
+        base.unpivot(["symbol", "ondate", "index", *keep], fields, "field", "value")
         .where(F.col("value").isNotNull())
-        .select("symbol", "field", "ondate", "index", "value")
+        .select("symbol", "field", "ondate", "index", "value", *keep)
     )
 
 
@@ -119,13 +119,17 @@ def update_folders(wide: DataFrame) -> DataFrame:
 SERIES_KEY = ["symbol", "field", "ondate", "index"]
 
 
-def series_rows(body: DataFrame, frequency: str | None = None) -> DataFrame:
-    """Typed long-series rows; an empty ONDATE is undated, ``frequency`` truncates the index."""
+def series_rows(body: DataFrame, frequency: str | None = None,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Typed long-series rows; an empty ONDATE is undated, ``frequency`` truncates the index.
+
+    ``keep`` names further columns to carry, such as the order in which rows arrived.
+    """
     index = parse_datetime(F.col("INDEX")).alias("index")
     rows = body.select(
         F.col("SYMBOL").alias("symbol"), F.col("FIELD").alias("field"),
         F.to_date(parse_datetime(F.nullif(F.col("ONDATE"), F.lit("")))).alias("ondate"),
-        index, F.col("VALUE").cast("double").alias("value"),
+        index, F.col("VALUE").cast("double").alias("value"), *keep,
     )
     units = {"1D": "days", "1W": "weeks", "1M": "months", "1Q": "quarters", "1Y": "years"}
     if frequency is None:

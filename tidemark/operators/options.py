@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +46,7 @@ def chosen_price(choices: Sequence[str]) -> Column:
 
 def analytics(
     chain: DataFrame,
-    valuation: Column,
+    valuation: Column | dt.date,
     volatility: Column | str = "vol",
     rate: float = 0.0,
     dividend: float = 0.0,
@@ -69,9 +70,10 @@ def analytics(
         carry = F.lit(0.0)
     else:
         carry = F.lit(float(rate) - float(dividend if foreign_rate is None else foreign_rate))
+    today = F.lit(valuation) if isinstance(valuation, dt.date) else valuation
     priced = chain.withColumns(
-        {"_s": chosen_price(underlier_price), "_t": year_fraction(valuation, F.col("expiry"),
-                                                                  float(day_count))}
+        {"_s": chosen_price(underlier_price),
+         "_t": year_fraction(today, F.col("expiry"), float(day_count))}
     )
     s, k, t, side = F.col("_s"), F.col("strike"), F.col("_t"), F.col("callput")
     out = black.greeks(side, s, k, t, vol, r, carry, F.lit(float(day_count)), futures)
