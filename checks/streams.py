@@ -1 +1,139 @@
-"""placeholder"""
+"""The ingest and aggregations as streams over the given tables, run until no input is left."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.base import check, day, over
+from checks.history import BAR_SQL
+from checks.ingest import GOOD, RUN_TS
+from checks.raw import CLEAN_SQL, RAW_COLUMNS, raw_prices
+from tidemark.plans import jobs
+from tidemark.session import shared_dir, use_utc
+from tidemark.sources import sinks, views
+from tidemark.streaming import aggregates, ingest
+
+
+def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a file stream, its times made zoned as watermarks need."""
+    use_utc(spark)
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(
+        sf_dir)
+    zoned = [f.name for f in schema.fields if f.dataType.typeName() == "timestamp_ntz"]
+    return stream.withColumns({c: F.col(c).cast("timestamp") for c in zoned})
+
+
+def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table_stream(spark, sf_dir, "events").select(
+        F.col("event_type").alias("symbol"), "ts", F.col("value").alias("last"),
+        F.lit(1).alias("volume"), F.col("event_id").alias("seq"), "user_id")
+
+
+def _run_ingest(spark: SparkSession, root: str, landing: str, name: str) -> None:
+    stream = ingest.landed_stream(spark, landing, RAW_COLUMNS, files_per_trigger=2)
+    ingest.ingest_stream(
+        stream.drop("source_file"), jobs.PRICES, name, f"{root}/prices", f"{root}/bad",
+        f"{root}/audit", f"{root}/checkpoint-{name}", RUN_TS,
+    ).awaitTermination()
+
+
+@check("stream_price_ingest", f"""
+    WITH clean AS ({CLEAN_SQL}), {GOOD}
+    SELECT upper(trim(symbol, ' ' || chr(9))) AS symbol, count(DISTINCT price_hash) AS stored
+    FROM good GROUP BY 1""")
+def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All line items landed as CSV files, two files per micro-batch; stored rows per symbol."""
+    root = shared_dir(spark, "stream-ingest")
+    sinks.write_csv(raw_prices(spark, sf_dir).repartition(4, "ord"), f"{root}/landing")
+    _run_ingest(spark, root, f"{root}/landing", "prices")
+    return spark.read.parquet(f"{root}/prices").groupBy(
+        F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol")).agg(
+        F.count("*").alias("stored"))
+
+
+@check("stream_replay", f"""
+    WITH clean AS ({CLEAN_SQL}), {GOOD},
+    n AS (SELECT (SELECT count(*) FROM clean) AS total, (SELECT count(*) FROM good) AS good,
+                 (SELECT count(DISTINCT price_hash) FROM good) AS keys)
+    SELECT 'first' AS run, keys AS inserted, good - keys AS skipped, total - good AS failed FROM n
+    UNION ALL SELECT 'replay', 0, good, total - good FROM n""")
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same landing streamed again from an empty checkpoint: nothing is inserted twice."""
+    root = shared_dir(spark, "stream-replay")
+    sinks.write_csv(raw_prices(spark, sf_dir), f"{root}/landing")
+    for name in ("first", "replay"):
+        _run_ingest(spark, root, f"{root}/landing", name)
+    audit = spark.read.parquet(f"{root}/audit")
+    return audit.groupBy(F.substring_index("run_id", "-", 1).alias("run")).agg(
+        *[F.sum(c).alias(c) for c in ("inserted", "skipped", "failed")])
+
+
+@check("stream_distinct_keys", over("trades", then="""
+    SELECT symbol, count(DISTINCT tradedatetimeutc) AS keys FROM trades GROUP BY 1"""))
+def stream_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "stream-distinct")
+    trades = _table_stream(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P"), "l_partkey").alias("symbol"),
+        F.col("l_shipdate").alias("tradedatetimeutc"), F.col("l_extendedprice").alias("close"))
+    once = ingest.distinct_stream(trades, jobs.PRICES)
+    aggregates.append_to(once, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("symbol").agg(F.count("*").alias("keys"))
+
+
+@check("stream_bars_closed", over("ticks", then=f"""
+    SELECT symbol, time_bucket(INTERVAL 60 MINUTE, ts) AS bar, {BAR_SQL} FROM ticks GROUP BY 1, 2
+    HAVING bar + INTERVAL 60 MINUTE <= (SELECT max(ts) FROM ticks) - INTERVAL 1 HOUR"""))
+def stream_bars_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode: the bars whose end the watermark has passed."""
+    root = shared_dir(spark, "stream-bars")
+    bars = aggregates.stream_bars(_tick_stream(spark, sf_dir), 60, "1 hour", tie=["seq"])
+    aggregates.append_to(bars, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@check("stream_bars_complete", over("ticks", then=f"""
+    SELECT symbol, time_bucket(INTERVAL 240 MINUTE, ts) AS bar, {BAR_SQL} FROM ticks
+    GROUP BY 1, 2"""))
+def stream_bars_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete mode equals the batch result."""
+    root = shared_dir(spark, "stream-bars-all")
+    bars = aggregates.stream_bars(_tick_stream(spark, sf_dir), 240, "1 hour", tie=["seq"])
+    aggregates.keep_complete(bars, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@check("stream_latest_quotes", over("ticks", then="""
+    SELECT symbol, ts, last, user_id FROM ticks
+    QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, seq DESC) = 1"""))
+def stream_latest_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "stream-quotes")
+    ticks = _tick_stream(spark, sf_dir)
+    aggregates.stream_quotes(
+        ticks, ["last", "user_id"], f"{root}/out", f"{root}/checkpoint", "ts", ["seq"]
+    ).awaitTermination()
+    schema = ticks.select("symbol", "ts", "last", "user_id", "seq").schema
+    return aggregates.current_quotes(
+        spark, f"{root}/out", schema, ["last", "user_id"], "ts", ["seq"])
+
+
+@check("stream_corrections", over("corrections", then=f"""
+    SELECT symbol, tradedatetimeutc, lastupdatetime, close, ord,
+           {day("date_trunc('month', tradedatetimeutc)")} AS trade_month FROM corrections
+    QUALIFY row_number() OVER (PARTITION BY symbol, tradedatetimeutc
+                               ORDER BY lastupdatetime DESC, ord DESC) = 1"""))
+def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisions landed in random files, one file per micro-batch: the latest one is kept."""
+    root = shared_dir(spark, "stream-corrections")
+    landed = views.corrections(spark, sf_dir).select(
+        "symbol", "tradedatetimeutc", "lastupdatetime", "close", "ord",
+        F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
+    landed.repartition(2, "ord").write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(
+        f"{root}/landing")
+    ingest.corrections_stream(
+        stream, f"{root}/prices", ["symbol", "tradedatetimeutc"], ["lastupdatetime", "ord"],
+        "trade_month", f"{root}/checkpoint",
+    ).awaitTermination()
+    return spark.read.schema(landed.schema).parquet(f"{root}/prices")
