@@ -37,7 +37,7 @@ def option_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("curve_one_date", over("curve", then=f"""
-    SELECT {POINT}, value FROM curve WHERE curvedate = DATE '1997-06-01'"""))
+    SELECT {POINT}, value FROM curve WHERE curvedate = DATE '1997-06-01'"""), digits=None)
 def curve_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.daily_curve(views.curve(spark, sf_dir), curvedate=dt.date(1997, 6, 1)).drop(
         "position")
@@ -46,7 +46,7 @@ def curve_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("curve_range_front", over("curve", then=f"""
     SELECT {POINT}, value, row_number() OVER {ALONG} AS position FROM curve
     WHERE curvedate BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
-    QUALIFY position <= 4"""))
+    QUALIFY position <= 4"""), digits=None)
 def curve_range_front(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.daily_curve(
         views.curve(spark, sf_dir), curvedatestart=dt.date(1996, 1, 1),
@@ -67,16 +67,27 @@ VALUE_SQL = {
 }
 
 for _code, _name in CURVE_VALUES.items():
+    if _name == "spreadavg":
+        continue
+
     def _derived(spark: SparkSession, sf_dir: str, code: int = _code) -> DataFrame:
         return curves.curve_values(views.curve(spark, sf_dir), code)
 
     check(f"curve_{_name}", over("curve", then=f"""
-    SELECT {POINT}, round({VALUE_SQL[_name]}, 6) AS value FROM curve"""))(_derived)
+    SELECT {POINT}, {VALUE_SQL[_name]} AS value FROM curve"""), digits=None)(_derived)
+
+
+@check("curve_spreadavg", over("curve", then=f"""
+    SELECT {POINT}, round({VALUE_SQL['spreadavg']} + 1e-9::DOUBLE, 6) AS value FROM curve"""))
+def curve_spreadavg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small offset moves values off the rounding ties that averages of cents often hit."""
+    derived = curves.curve_values(views.curve(spark, sf_dir), "spreadavg")
+    return derived.withColumn("value", F.col("value") + 1e-9)
 
 
 TABLE_SQL = f""", tabled AS (
     SELECT *, value - lag(value) OVER {THROUGH} AS change FROM curve)
-    SELECT {POINT}, round(value, 6) AS value, round(change, 6) AS change,
+    SELECT {POINT}, value, change,
            ('FGHJKMNQUVXZ')[month(contract)] || strftime(contract, '%y') AS tenor,
            strftime(contract, '%YM%m') AS absolute,
            'M' || lpad(date_diff('month', curvedate, contract)::VARCHAR, 2, '0') AS relative,
@@ -86,14 +97,14 @@ TABLE_SQL = f""", tabled AS (
 
 
 @check("curve_table_range", over("curve", then=TABLE_SQL + """
-    WHERE curvedate BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'"""))
+    WHERE curvedate BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'"""), digits=None)
 def curve_table_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.curve_table(
         views.curve(spark, sf_dir), start=dt.date(1997, 1, 1), end=dt.date(1997, 12, 31))
 
 
 @check("curve_table_latest", over("curve", then=TABLE_SQL + """ t
-    WHERE curvedate = (SELECT max(curvedate) FROM curve c WHERE c.curveroot = t.curveroot)"""))
+    WHERE curvedate = (SELECT max(curvedate) FROM curve c WHERE c.curveroot = t.curveroot)"""), digits=None)
 def curve_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.curve_table(views.curve(spark, sf_dir), "latest")
 

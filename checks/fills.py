@@ -14,8 +14,7 @@ from tidemark.sources import views
 END = dt.date(2001, 12, 31)
 KEYS = ["symbol"]
 
-# Daily series for the filling queries: one curve point series per (root, contract) would be dense,
-# so the sparse one is used: each part's price by day.
+# Each part's price by day: a sparse series per symbol.
 OBS = """, obs AS (SELECT symbol, tradedatetimeutc::DATE AS day, close AS value FROM daily),
     grid AS (SELECT symbol, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day
              FROM obs GROUP BY symbol),
@@ -40,11 +39,14 @@ def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary(df: DataFrame) -> DataFrame:
-    """Per symbol and year, what a wrong date or value would change."""
+    """Per symbol and year, what a wrong date or value would change.
+
+    The small offset moves sums off the rounding ties that halves of cents often hit.
+    """
     n = F.datediff("day", F.lit(dt.date(1995, 1, 1)))
     return df.groupBy("symbol", F.year("day").alias("year")).agg(
-        F.count("*").alias("days"), F.round(F.sum("value"), 3).alias("total"),
-        F.round(F.sum(F.col("value") * n) / F.sum(n), 3).alias("weighted"),
+        F.count("*").alias("days"), F.round(F.sum("value") + 1e-5, 3).alias("total"),
+        F.round(F.sum(F.col("value") * n) / F.sum(n) + 1e-5, 3).alias("weighted"),
         F.min("day").alias("first_day"), F.max("day").alias("last_day"),
     )
 
@@ -53,8 +55,8 @@ def _summary_sql(value: str, keep: str = "true", source: str = "dense") -> str:
     n = "date_diff('day', DATE '1995-01-01', day)"
     return over("daily", then=f"""{OBS}, filled AS (
         SELECT symbol, day, {value} AS value FROM {source} WHERE {keep})
-    SELECT symbol, year(day)::INT AS year, count(*) AS days, round(sum(value), 3) AS total,
-           round(sum(value * {n}) / sum({n}), 3) AS weighted,
+    SELECT symbol, year(day)::INT AS year, count(*) AS days, round(sum(value) + 1e-5::DOUBLE, 3) AS total,
+           round(sum(value * {n}) / sum({n}) + 1e-5::DOUBLE, 3) AS weighted,
            {day('min(day)')} AS first_day, {day('max(day)')} AS last_day
     FROM filled GROUP BY 1, 2""")
 
@@ -93,9 +95,9 @@ def fill_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
               UNION ALL
               SELECT symbol, day, value + coalesce((value - pvalue) / date_diff('day', pday, last), 0)
                      * date_diff('day', last, day) FROM beyond)
-    SELECT symbol, year(day)::INT AS year, count(*) AS days, round(sum(value), 3) AS total,
+    SELECT symbol, year(day)::INT AS year, count(*) AS days, round(sum(value) + 1e-5::DOUBLE, 3) AS total,
            round(sum(value * date_diff('day', DATE '1995-01-01', day))
-                 / sum(date_diff('day', DATE '1995-01-01', day)), 3) AS weighted,
+                 / sum(date_diff('day', DATE '1995-01-01', day)) + 1e-5::DOUBLE, 3) AS weighted,
            {day('min(day)')} AS first_day, {day('max(day)')} AS last_day
     FROM every GROUP BY 1, 2"""))
 def fill_projected(spark: SparkSession, sf_dir: str) -> DataFrame:

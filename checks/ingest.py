@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.base import check, over
-from checks.raw import CLEAN_SQL, KEY_SQL, raw_prices
+from checks.raw import CLEAN_SQL, KEY_SQL, landed_prices, raw_prices
 from tidemark import schemas
 from tidemark.functions.keys import price_hash
 from tidemark.operators import conform, ingest
@@ -26,21 +26,15 @@ STORED = "stored AS (SELECT DISTINCT price_hash FROM good " \
          "WHERE tradedatetimeutc < TIMESTAMP '1998-07-01')"
 
 
-def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.keyed(raw_prices(spark, sf_dir), jobs.PRICES)
+def _good(landed: DataFrame) -> DataFrame:
+    return jobs.keyed(landed, jobs.PRICES).where(F.col("reason").isNull()).drop("reason")
 
 
-def _good(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed(spark, sf_dir).where(F.col("reason").isNull()).drop("reason")
-
-
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored(landed: DataFrame) -> DataFrame:
     """What an earlier run stored: the history up to mid 1998."""
-    past = _good(spark, sf_dir).where(F.col("tradedatetimeutc") < F.lit(HISTORY_END))
+    past = _good(landed).where(F.col("tradedatetimeutc") < F.lit(HISTORY_END))
     return past.select(
-        "symbol", "price_hash",
-        F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"),
-    )
+        "price_hash", F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
 
 
 @check("price_ingest", f"""
@@ -50,10 +44,10 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
            min(tradedatetimeutc) AS first_time, max(tradedatetimeutc) AS last_time
     FROM once WHERE price_hash NOT IN (SELECT price_hash FROM stored) GROUP BY 1""")
 def price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The price job's core: clean, key, check, first per key, drop stored keys; new rows per symbol."""
-    new = jobs.storable(
-        _good(spark, sf_dir), _stored(spark, sf_dir), jobs.PRICES, ["ord", "line"], RUN_TS
-    )
+    """The price job's core on landed CSV: clean, key, check, first per key, drop stored keys; the
+    new rows per symbol."""
+    landed = landed_prices(spark, sf_dir)
+    new = jobs.storable(_good(landed), _stored(landed), jobs.PRICES, ["ord", "line"], RUN_TS)
     return new.groupBy(F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol")).agg(
         F.count("*").alias("new_rows"), F.count("close").alias("priced_rows"),
         F.sum("volume").alias("volume"), F.min("tradedatetimeutc").alias("first_time"),

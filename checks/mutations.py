@@ -160,11 +160,11 @@ def update_folder_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     incoming AS (SELECT curveroot AS symbol, curvedate AS "onDate",
                         strftime(contract, '%YM%m') AS tenor, value / 2 AS value
                  FROM curve WHERE curvedate >= DATE '1997-06-01')
-    SELECT symbol, {day('"onDate"')} AS "onDate", tenor, round(value, 6) AS value, 'Update' AS reason
+    SELECT symbol, {day('"onDate"')} AS "onDate", tenor, value, 'Update' AS reason
     FROM incoming
-    UNION ALL SELECT symbol, {day('"onDate"')}, tenor, round(value, 6), 'Load' FROM stored s
+    UNION ALL SELECT symbol, {day('"onDate"')}, tenor, value, 'Load' FROM stored s
     WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.symbol = s.symbol
-                      AND i."onDate" = s."onDate" AND i.tenor = s.tenor)"""))
+                      AND i."onDate" = s."onDate" AND i.tenor = s.tenor)"""), digits=None)
 def update_curve_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One body per curve and date, its tenors as an array."""
     points = views.curve(spark, sf_dir).select(

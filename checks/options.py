@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.base import check, day, over
+from tidemark.functions.black import CDF_BOTTOM, CDF_TOP
 from tidemark.operators import options
 from tidemark.sources import views
 
@@ -39,11 +40,15 @@ def price_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cdf(x: str) -> str:
-    t = f"(1 / (1 + 0.2316419::DOUBLE * abs({x})))"
-    poly = (f"({t} * (0.319381530::DOUBLE + {t} * (-0.356563782::DOUBLE + {t} * (1.781477937::DOUBLE"
-            f" + {t} * (-1.821255978::DOUBLE + {t} * 1.330274429::DOUBLE)))))")
-    tail = f"(exp(-{x} * {x} / 2) / sqrt(2 * pi()) * {poly})"
-    return f"(CASE WHEN {x} >= 0 THEN 1 - {tail} ELSE {tail} END)"
+    def polynomial(coefficients: list[float]) -> str:
+        out = f"{coefficients[0]!r}::DOUBLE"
+        for c in coefficients[1:]:
+            out = f"({out} * abs({x}) + {c!r}::DOUBLE)"
+        return out
+
+    # Every contract here lies within the range of the rational part.
+    tail = f"(exp(-{x} * {x} / 2) * {polynomial(CDF_TOP)} / {polynomial(CDF_BOTTOM)})"
+    return f"(CASE WHEN {x} > 0 THEN 1 - {tail} ELSE {tail} END)"
 
 
 def _greeks_sql(carry: str, rho: str, price: str = "underprice") -> str:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_dir
+from tidemark.sources import landing, sinks
 from tidemark.sources.views import table
 
 RAW_COLUMNS = ["symbol", "tradedatetimeutc", "close", "volume", "tickcount", "currency", "market",
@@ -34,6 +36,15 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows written once as landed CSV and read back as text."""
+    path = shared_dir(spark, "landing")
+    sinks.write_csv(raw_prices(spark, sf_dir), path)
+    good, _ = landing.split_corrupt(landing.read_landed(spark, path, RAW_COLUMNS))
+    return good.drop("source_file").withColumns(
+        {"ord": F.col("ord").cast("bigint"), "line": F.col("line").cast("int")})
+
+
 # The cleaned rows, stated from the line items and not by parsing the text again.
 CLEAN_SQL = """
     SELECT CASE WHEN l_orderkey % 101 = 0 THEN NULL

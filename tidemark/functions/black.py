@@ -1,7 +1,7 @@
 """Black-Scholes-Merton value, Greeks and implied volatility as column expressions (G-3, G-4).
 
-Spark has no error function, so the normal distribution uses the rational approximation 26.2.17 of
-Abramowitz and Stegun (absolute error below 7.5e-8).
+Spark has no error function: the normal distribution is Hart's rational approximation in the form
+published by G. West, "Better approximations to cumulative normal functions" (2005).
 """
 
 from __future__ import annotations
@@ -12,63 +12,79 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Coefficients of the published approximation.
-CDF_P = 0.2316419
-CDF_B = [0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429]
+# Coefficients of the published approximation, highest power first.
+CDF_TOP = [0.0352624965998911, 0.700383064443688, 6.37396220353165, 33.912866078383,
+           112.079291497871, 221.213596169931, 220.206867912376]
+CDF_BOTTOM = [0.0883883476483184, 1.75566716318264, 16.064177579207, 86.7807322029461,
+              296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752]
+CDF_NEAR = 7.07106781186547
+TOLERANCE = 1e-12
 
 
 def normal_pdf(x: Column) -> Column:
     return F.exp(-x * x / 2) / math.sqrt(2 * math.pi)
 
 
+def _polynomial(x: Column, coefficients: list[float]) -> Column:
+    out = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + c
+    return out
+
+
 def normal_cdf(x: Column) -> Column:
-    t = 1 / (1 + CDF_P * F.abs(x))
-    poly = F.lit(0.0)
-    for b in reversed(CDF_B):
-        poly = (poly + b) * t
-    tail = normal_pdf(x) * poly
-    return F.when(x >= 0, 1 - tail).otherwise(tail)
+    a = F.abs(x)
+    near = _polynomial(a, CDF_TOP) / _polynomial(a, CDF_BOTTOM)
+    # Continued fraction for the far tail.
+    far = a + 0.65
+    for k in (4, 3, 2, 1):
+        far = a + k / far
+    tail = F.exp(-a * a / 2) * F.when(a < CDF_NEAR, near).otherwise(
+        1 / (far * math.sqrt(2 * math.pi)))
+    return F.when(x > 0, 1 - tail).otherwise(tail)
 
 
 def _sign(callput: Column) -> Column:
     return F.when(callput == "C", 1.0).when(callput == "P", -1.0)
 
 
-def option_value(callput: Column, spot: Column, strike: Column, years: Column, vol: Column,
-                 rate: Column, carry: Column) -> Column:
-    """``carry`` is the cost of carry b: r-q for a dividend yield q, 0 for a futures underlier."""
-    root = vol * F.sqrt(years)
-    d1 = (F.log(spot / strike) + (carry + vol * vol / 2) * years) / root
-    phi = _sign(callput)
-    return phi * (
-        spot * F.exp((carry - rate) * years) * normal_cdf(phi * d1)
-        - strike * F.exp(-rate * years) * normal_cdf(phi * (d1 - root))
-    )
+def model_terms(callput: Column, spot: Column, strike: Column, years: Column, vol: Column,
+                rate: Column, carry: Column) -> dict[str, Column]:
+    """First step of the model; ``carry`` is r-q for a dividend yield q, 0 for a futures underlier."""
+    return {
+        "_phi": _sign(callput),
+        "_root": vol * F.sqrt(years),
+        "_d1": (F.log(spot / strike) + (carry + vol * vol / 2) * years) / (vol * F.sqrt(years)),
+        "_spot": spot * F.exp((carry - rate) * years),
+        "_strike": strike * F.exp(-rate * years),
+    }
 
 
-def greeks(callput: Column, spot: Column, strike: Column, years: Column, vol: Column,
-           rate: Column, carry: Column, day_count: Column, futures: bool = False) -> dict[str, Column]:
+def model_probabilities() -> dict[str, Column]:
+    """Second step, over the columns of the first."""
+    phi, d1 = F.col("_phi"), F.col("_d1")
+    return {
+        "_n1": normal_cdf(phi * d1),
+        "_n2": normal_cdf(phi * (d1 - F.col("_root"))),
+        "_pdf": normal_pdf(d1),
+    }
+
+
+def model_results(spot: Column, years: Column, vol: Column, rate: Column, carry: Column,
+                  day_count: Column, futures: bool = False) -> dict[str, Column]:
     """Model value and sensitivities; theta is per calendar day, vega and rho per unit change."""
-    root = vol * F.sqrt(years)
-    d1 = (F.log(spot / strike) + (carry + vol * vol / 2) * years) / root
-    d2 = d1 - root
-    phi = _sign(callput)
-    grow = F.exp((carry - rate) * years)
-    discount = F.exp(-rate * years)
-    value = phi * (spot * grow * normal_cdf(phi * d1) - strike * discount * normal_cdf(phi * d2))
-    decay = (
-        -spot * grow * normal_pdf(d1) * vol / (2 * F.sqrt(years))
-        - phi * (carry - rate) * spot * grow * normal_cdf(phi * d1)
-        - phi * rate * strike * discount * normal_cdf(phi * d2)
-    )
+    phi, s, k = F.col("_phi"), F.col("_spot"), F.col("_strike")
+    n1, n2, pdf = F.col("_n1"), F.col("_n2"), F.col("_pdf")
+    value = phi * (s * n1 - k * n2)
+    decay = (-s * pdf * vol / (2 * F.sqrt(years)) - phi * (carry - rate) * s * n1
+             - phi * rate * k * n2)
     return {
         "value": value,
-        "delta": phi * grow * normal_cdf(phi * d1),
-        "gamma": grow * normal_pdf(d1) / (spot * root),
-        "vega": spot * grow * normal_pdf(d1) * F.sqrt(years),
+        "delta": phi * s / spot * n1,
+        "gamma": s * pdf / (spot * spot * F.col("_root")),
+        "vega": s * pdf * F.sqrt(years),
         "theta": decay / day_count,
-        "rho": -years * value if futures
-        else phi * strike * years * discount * normal_cdf(phi * d2),
+        "rho": -years * value if futures else phi * years * k * n2,
     }
 
 
@@ -126,16 +142,18 @@ def implied_volatility(price: Column, callput: Column, spot: Column, strike: Col
                     b["lo"].alias("lo"), b["hi"].alias("hi"),
                     F.when(b["x"].between(b["lo"], b["hi"]), b["x"])
                     .otherwise((b["lo"] + b["hi"]) / 2).alias("x"),
+                    (F.abs(b["x"] - acc["x"]) < TOLERANCE).alias("done"),
                 ))
 
-            return at(acc["x"], move)
+            # Most rows settle after a few steps; the others of the fold then cost nothing.
+            return F.when(acc["done"], acc).otherwise(at(acc["x"], move))
 
         bend = F.sqrt(2 * F.abs(o["drift"]) / o["t"])
         start = F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi"),
-                         F.least(F.greatest(bend, F.lit(0.1)), F.lit(high)).alias("x"))
+                         F.least(F.greatest(bend, F.lit(0.1)), F.lit(high)).alias("x"),
+                         F.lit(False).alias("done"))
         found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["x"])
-        reachable = at(F.lit(low), lambda m: m["miss"] <= 0) & at(F.lit(high),
-                                                                  lambda m: m["miss"] >= 0)
-        return F.when(reachable, found)
+        ends = F.transform(F.array(F.lit(low), F.lit(high)), lambda v: at(v, lambda m: m["miss"]))
+        return F.when(_let(ends, lambda e: (e[0] <= 0) & (e[1] >= 0)), found)
 
     return _let(row, solve)

@@ -7,7 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:nan|inf|infinity)$"
+# One cheap test before the cast: it keeps out Java-only forms such as ``1.0d``, and words, whose
+# failing cast would be slow.
+NUMBER = r"^\s*[+-]?[0-9.][0-9.eE+-]*\s*$|(?i)^\s*[+-]?inf(inity)?\s*$"
+NUMBER_OR_NAN = NUMBER + r"|(?i)^\s*[+-]?nan\s*$"
 # Text shape -> format. The shape keeps the formatter from failing, which is slow, on other text.
 # ISO forms, with a blank or a T before the time, need no format.
 DATETIME_FORMATS = {
@@ -18,16 +21,19 @@ DATETIME_FORMATS = {
     r"^\d{8}$": "yyyyMMdd",
 }
 DAY_FIRST = {r"^\d{2}-\d{2}-\d{4}$": "dd-MM-yyyy"}
-# Characters Python's str.strip() removes.
+# Characters Python's str.strip() removes: ASCII ones, and all.
+ASCII_BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 BLANKS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    ASCII_BLANKS + "\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(BLANKS))
+    """Text without blanks at its edges; the long list of blanks is only used on non-ASCII text."""
+    ascii_only = F.octet_length(c) == F.length(c)
+    return F.when(ascii_only, F.btrim(c, F.lit(ASCII_BLANKS))).otherwise(
+        F.btrim(c, F.lit(BLANKS)))
 
 
 def normalise(c: Column) -> Column:
@@ -36,22 +42,21 @@ def normalise(c: Column) -> Column:
 
 
 def parse_float(c: Column) -> Column:
-    """Double, or NULL. Digit-group underscores are read; Java suffixes such as ``1.0d`` are not."""
-    text = F.regexp_replace(strip(c), r"(?<=\d)_(?=\d)", "")
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    """Double, or NULL; NaN and infinities are values here. Digit groups may carry underscores."""
+    grouped = F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")
+    return F.when(c.rlike(NUMBER_OR_NAN), c.try_cast("double")).when(
+        F.contains(c, F.lit("_")) & grouped.rlike(NUMBER), grouped.try_cast("double")
+    )
 
 
 def parse_int(c: Column) -> Column:
     """Integer part toward zero, or NULL; NaN and infinities are NULL."""
-    number = parse_float(c)
-    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
-    return F.when(finite, number).try_cast("bigint")
+    return parse_float(c).try_cast("bigint")
 
 
 def to_numeric(c: Column) -> Column:
-    """Double with NaN already turned into NULL."""
-    text = strip(c)
-    return nan_to_null(F.when(text.rlike(NUMBER), text.try_cast("double")))
+    """Double, or NULL; the word NaN is NULL too."""
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
 def parse_datetime(c: Column, more: Mapping[str, str] | None = None) -> Column:

@@ -76,9 +76,12 @@ def analytics(
          "_t": year_fraction(today, F.col("expiry"), float(day_count))}
     )
     s, k, t, side = F.col("_s"), F.col("strike"), F.col("_t"), F.col("callput")
-    out = black.greeks(side, s, k, t, vol, r, carry, F.lit(float(day_count)), futures)
+    modelled = priced.withColumns(black.model_terms(side, s, k, t, vol, r, carry)).withColumns(
+        black.model_probabilities())
+    out = black.model_results(s, t, vol, r, carry, F.lit(float(day_count)), futures)
     if contract_price is not None:
         out["impvol"] = black.implied_volatility(
             chosen_price(contract_price), side, s, k, t, r, carry
         )
-    return priced.withColumns(out).drop("_s", "_t")
+    names = [c for c in chain.columns if c not in out]
+    return modelled.select(*names, *[c.alias(n) for n, c in out.items()])
