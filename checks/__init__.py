@@ -10,6 +10,7 @@ from checks import (  # noqa: F401
     mutations,
     options,
     reference,
+    requests,
     sources,
     streams,
 )

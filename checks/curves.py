@@ -133,17 +133,6 @@ def search_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.search_curves(config, holiday="PROMO", quotecal="Brand#1").select("p_partkey")
 
 
-@check("known_roots_only", over("curve", then="""
-    SELECT curveroot, count(*) AS points FROM curve WHERE curveroot IN ('PROMO', 'SMALL')
-    GROUP BY 1"""))
-def known_roots_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A missing root is skipped when errors are ignored."""
-    points = views.curve(spark, sf_dir)
-    roots = curves.require_roots(["PROMO", "SMALL", "NOSUCH"], points, "curveroot", True)
-    return points.join(roots, "curveroot", "left_semi").groupBy("curveroot").agg(
-        F.count("*").alias("points"))
-
-
 @check("missing_roots", over("curve", then="""
     SELECT DISTINCT p_brand AS curveroot FROM part
     UNION SELECT 'NOSUCH' EXCEPT SELECT curveroot FROM curve"""))

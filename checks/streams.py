@@ -10,19 +10,16 @@ from checks.history import BAR_SQL
 from checks.ingest import GOOD, RUN_TS
 from checks.raw import CLEAN_SQL, RAW_COLUMNS, raw_prices
 from tidemark.plans import jobs
-from tidemark.session import shared_dir, use_utc
+from tidemark.session import shared_dir
 from tidemark.sources import sinks, views
 from tidemark.streaming import aggregates, ingest
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a file stream, its times made zoned as watermarks need."""
-    use_utc(spark)
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(
+    """A given table as a file stream."""
+    schema = views.table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(
         sf_dir)
-    zoned = [f.name for f in schema.fields if f.dataType.typeName() == "timestamp_ntz"]
-    return stream.withColumns({c: F.col(c).cast("timestamp") for c in zoned})
 
 
 def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

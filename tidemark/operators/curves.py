@@ -19,19 +19,16 @@ from tidemark.operators.filters import as_of
 from tidemark.schemas import CURVE_VALUES, SECURITY_TYPES
 
 
-def require_roots(requested: Sequence[str], available: DataFrame, column: str,
-                  ignoreerrors: bool) -> DataFrame:
-    """Requested roots that exist, as a frame. A missing one fails the query unless ignored."""
-    names = F.array(*[F.lit(r) for r in dict.fromkeys(requested)])
-    wanted = available.sparkSession.range(1).select(F.explode(names).alias(column))
-    known = available.where(F.col(column).isin(*requested)).select(column).distinct()
-    if ignoreerrors:
-        return wanted.join(known, column, "left_semi")
-    joined = wanted.join(known.withColumn("_found", F.lit(True)), column, "left")
-    return joined.select(
-        F.when(F.col("_found"), F.col(column))
-        .otherwise(F.raise_error(F.concat(F.lit("unknown root: "), F.col(column)))).alias(column)
-    )
+def check_roots(requested: Sequence[str], available: DataFrame, column: str) -> None:
+    """Fail when a requested root does not exist.
+
+    This runs a query at once: an error left inside a lazy plan may be optimised away with an empty
+    side. It brings back at most as many names as were requested.
+    """
+    known = available.where(F.col(column).isin(*requested)).select(column).distinct().collect()
+    missing = sorted(set(requested) - {row[0] for row in known})
+    if missing:
+        raise ValueError(f"unknown roots: {', '.join(missing)}")
 
 
 def missing_roots(requested: DataFrame, available: DataFrame, column: str) -> DataFrame:

@@ -9,10 +9,7 @@ from tidemark.session import use_utc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    use_utc(spark)
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    zoned = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in zoned}) if zoned else df
+    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _symbol(partkey: str):
