@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks.base import check, day, over
 from checks.keys import ZONE_SQL, zone_of
 from tidemark.operators import bars, filters, history
+from tidemark.operators.segments import balanced_segments
 from tidemark.sources import views
 
 TIME = "tradedatetimeutc"
@@ -200,6 +201,16 @@ def records_back(spark: SparkSession, sf_dir: str) -> DataFrame:
         "symbol", TIME, "close")
 
 
+@check("records_back_deep", over("ticks", then="""
+    SELECT symbol, ts, seq, last FROM ticks
+    QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, seq DESC) <= 1500"""))
+def records_back_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows per symbol than a rank limit before the shuffle allows: ranked in salted parts."""
+    return filters.records_back(
+        views.ticks(spark, sf_dir), ["symbol"], "ts", 1500, ["seq"]
+    ).select("symbol", "ts", "seq", "last")
+
+
 @check("value_on_date", over("daily", then="""
     SELECT symbol, tradedatetimeutc, close FROM daily WHERE tradedatetimeutc < DATE '1998-02-02'
     QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY tradedatetimeutc DESC) = 1"""))
@@ -297,6 +308,16 @@ def tick_session_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("seq", "prevlast", "lasttradedirection", "historicvolume")
 
 
+@check("balanced_session_fields", over("ticks", then="""
+    SELECT seq, lag(last) OVER w AS prevlast, (sum(volume) OVER w)::BIGINT AS historicvolume
+    FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY ts, seq)"""))
+def balanced_session_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over segments cut by row count, whatever share of the ticks a symbol has."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ticks = balanced_segments(views.ticks(spark, sf_dir), ["symbol"], ["ts", "seq"], partitions)
+    return history.session_fields(ticks, "ts", ["seq"]).select("seq", "prevlast", "historicvolume")
+
+
 @check("most_recent_value", over("ticks", then="""
     SELECT seq, last_value(CASE WHEN user_id % 4 = 0 THEN last END IGNORE NULLS) OVER w
                AS mostrecentvalue,

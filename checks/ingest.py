@@ -92,7 +92,7 @@ def instrument_job_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = spark.read.schema(schemas.INSTRUMENT_TABLE).parquet(f"{root}/instruments")
     return stored.groupBy("exchange_code").agg(
         F.count("*").alias("instruments"),
-        F.size(F.collect_set("security_type")).cast("bigint").alias("types"),
+        F.count_distinct("security_type").alias("types"),
         F.min("last_seen_date").alias("last_seen_date"),
         F.count("last_price_pull_date").alias("pulled"),
     )

@@ -85,13 +85,12 @@ def update_timeseries_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE NOT EXISTS (SELECT 1 FROM series d WHERE d.symbol = s.symbol AND d.ondate = s.ondate
                       AND d.index = s.index AND d.index < TIMESTAMP '1998-01-01')"""))
 def delete_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items name every point of a (symbol, curve date) before 1998, as an array of indexes."""
+    """Items name every point before 1998."""
     series = views.series(spark, sf_dir)
-    items = (
-        series.where(F.col("index") < F.lit(dt.datetime(1998, 1, 1, tzinfo=dt.timezone.utc)))
-        .groupBy("symbol", "field", F.col("ondate").alias("curvedate"))
-        .agg(F.collect_list("index").alias("indexes"))
-    )
+    items = series.where(
+        F.col("index") < F.lit(dt.datetime(1998, 1, 1, tzinfo=dt.timezone.utc))
+    ).select("symbol", "field", F.col("ondate").alias("curvedate"),
+             F.array("index").alias("indexes"))
     return mutate.delete_timeseries(series, items)
 
 

@@ -26,20 +26,26 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.clean_prices(good.drop("source_file"))
 
 
+PARTS = 4
+
+
 def _nation_files(spark: SparkSession, sf_dir: str) -> str:
-    """One landed folder per nation, customers as lines; some files begin with an error answer."""
+    """Landed files per nation, several each, customers as lines; some begin with an error answer."""
     path = shared_dir(spark, "bodies")
-    nation = F.col("c_nationkey")
     line = F.concat_ws(",", "c_name", F.col("c_acctbal").cast("string"))
     rows = views.table(spark, sf_dir, "customer").select(
-        nation.alias("nation"), F.lit(1).alias("rank"), line.alias("value"))
+        F.col("c_nationkey").alias("nation"),
+        F.pmod(F.xxhash64("c_custkey"), F.lit(PARTS)).cast("int").alias("part"),
+        F.lit(1).alias("rank"), line.alias("value"))
     heads = views.table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("nation"), F.lit(0).alias("rank"),
+        F.col("n_nationkey").alias("nation"),
+        F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"), F.lit(0).alias("rank"),
         F.when(F.col("n_nationkey") % 5 == 0, '  {"message": "none"}')
         .when(F.col("n_nationkey") % 5 == 1, "An Error happened")
         .otherwise("name,balance").alias("value"))
-    (rows.unionByName(heads).repartition("nation").sortWithinPartitions("nation", "rank")
-     .drop("rank").write.partitionBy("nation").text(path))
+    (rows.unionByName(heads).repartition("nation", "part")
+     .sortWithinPartitions("nation", "part", "rank").drop("rank")
+     .write.partitionBy("nation", "part").text(path))
     return path
 
 
@@ -126,7 +132,7 @@ def create_table_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = tables.create_table(spark, name, schema, path, ["trade_month"])
     rows = views.daily(spark, sf_dir).withColumn(
         "trade_month", F.to_date(F.date_trunc("month", "tradedatetimeutc")))
-    conform.conform(rows, schema).write.mode("append").insertInto(name)
+    conform.conform(rows, schema).hint("rebalance", "trade_month").write.insertInto(name)
     again = tables.create_table(spark, name, schema, path, ["trade_month"])
     out = spark.table(name).groupBy("symbol").agg(F.count("*").alias("n"))
     return out.withColumns({"created": F.lit(created), "created_again": F.lit(again)})

@@ -29,7 +29,7 @@ def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_ingest(spark: SparkSession, root: str, landing: str, name: str) -> None:
-    stream = ingest.landed_stream(spark, landing, RAW_COLUMNS, files_per_trigger=2)
+    stream = ingest.landed_stream(spark, landing, RAW_COLUMNS)
     ingest.ingest_stream(
         stream.drop("source_file"), jobs.PRICES, name, f"{root}/prices", f"{root}/bad",
         f"{root}/audit", f"{root}/checkpoint-{name}", RUN_TS,
@@ -41,9 +41,9 @@ def _run_ingest(spark: SparkSession, root: str, landing: str, name: str) -> None
     SELECT upper(trim(symbol, ' ' || chr(9))) AS symbol, count(DISTINCT price_hash) AS stored
     FROM good GROUP BY 1""")
 def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All line items landed as CSV files, two files per micro-batch; stored rows per symbol."""
+    """All line items landed as CSV files and streamed into the table; stored rows per symbol."""
     root = shared_dir(spark, "stream-ingest")
-    sinks.write_csv(raw_prices(spark, sf_dir).repartition(4, "ord"), f"{root}/landing")
+    sinks.write_csv(raw_prices(spark, sf_dir), f"{root}/landing")
     _run_ingest(spark, root, f"{root}/landing", "prices")
     return spark.read.parquet(f"{root}/prices").groupBy(
         F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol")).agg(
@@ -121,14 +121,13 @@ def stream_latest_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY symbol, tradedatetimeutc
                                ORDER BY lastupdatetime DESC, ord DESC) = 1"""))
 def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Revisions landed in random files, one file per micro-batch: the latest one is kept."""
+    """Landed revisions streamed into a table that keeps the latest one."""
     root = shared_dir(spark, "stream-corrections")
     landed = views.corrections(spark, sf_dir).select(
         "symbol", "tradedatetimeutc", "lastupdatetime", "close", "ord",
         F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
-    landed.repartition(2, "ord").write.parquet(f"{root}/landing")
-    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(
-        f"{root}/landing")
+    landed.write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(landed.schema).parquet(f"{root}/landing")
     ingest.corrections_stream(
         stream, f"{root}/prices", ["symbol", "tradedatetimeutc"], ["lastupdatetime", "ord"],
         "trade_month", f"{root}/checkpoint",

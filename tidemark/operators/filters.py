@@ -13,6 +13,7 @@ from tidemark.functions.tenors import like_pattern
 from tidemark.operators.ingest import first_by_key
 
 UPDATE_TYPES = ["U", "UI"]
+GROUP_LIMIT = 1000  # Spark's default for applying a rank limit before the shuffle
 
 
 def for_symbols(df: DataFrame, symbols: str | Sequence[str] | DataFrame,
@@ -131,13 +132,23 @@ def as_of(df: DataFrame, keys: Sequence[str], time: str, ondate: dt.date,
 
 
 def records_back(df: DataFrame, keys: Sequence[str], time: str, n: int,
-                 tie: Sequence[str] = ()) -> DataFrame:
-    """The n newest rows per key. The rank limit is applied before the shuffle as well, as long as
-    n is below ``spark.sql.optimizer.windowGroupLimitThreshold``."""
-    rank = F.row_number().over(
-        W.partitionBy(*keys).orderBy(F.desc(time), *[F.desc(c) for c in tie])
-    )
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+                 tie: Sequence[str] = (), salts: int = 64) -> DataFrame:
+    """The n newest rows per key.
+
+    Spark applies a rank limit of up to 1000 before the shuffle as well, so a hot key sends n rows
+    per map task. For larger n a first round keeps the n newest of each of a key's ``salts`` parts,
+    spread over as many tasks; the final round then ranks at most ``n * salts`` rows of a key.
+    """
+    newest = [F.desc(time), *[F.desc(c) for c in tie]]
+
+    def limited(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(*groups).orderBy(*newest))
+        return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+    if n > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(time, *tie), F.lit(salts))
+        df = limited(df.withColumn("_part", part), [*keys, "_part"]).drop("_part")
+    return limited(df, keys)
 
 
 def max_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -18,7 +18,8 @@ def session_fields(prices: DataFrame, time: str = "tradedatetimeutc", tie: Seque
                    grain: str = "month") -> DataFrame:
     """Add previous-session values, changes, last known value, direction and running volume.
 
-    Columns the frame lacks are skipped.
+    Columns the frame lacks are skipped. ``grain`` sizes the segments a symbol's history is cut
+    into; give rows from ``balanced_segments`` where one such unit of one symbol is too large.
     """
     have = set(prices.columns)
     lagged = {out: c for out, c in SESSION_FIELDS.items() if c in have}

@@ -1,10 +1,13 @@
 """Row-to-row calculations over long histories without one task per symbol.
 
 A plain ``lag`` or running sum partitioned by symbol puts a symbol's whole history into one task.
-Here each symbol is cut into time segments. Windows run inside a segment; what a segment must know
-of the past (its last row, its sum) is one aggregated row per segment, carried forward by a window
-over those few rows and joined back. A hot symbol thus spreads over as many tasks as it has
-segments, and both the window and the join share the (symbol, segment) partitioning.
+Here each symbol is cut into segments that follow each other in time. Windows run inside a segment;
+what a segment must know of the past (its last row, its sum) is one aggregated row per segment,
+carried forward by a window over those few rows and joined back. A hot symbol thus spreads over as
+many tasks as it has segments, and the window and the join share the (symbol, segment) partitioning.
+
+Segments are calendar units by default (``grain``), which costs nothing to find. Where one unit of
+one symbol may still be too much for a task, ``balanced_segments`` cuts by row count instead.
 """
 
 from __future__ import annotations
@@ -14,10 +17,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import shared_dir
 
 SEGMENT = "_segment"
 
 
+def balanced_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                      partitions: int) -> DataFrame:
+    """Rows with a ``_segment`` number: contiguous runs of the total order, of about equal size.
+
+    Range partitioning samples the order to find its cuts; the cuts only decide where a run ends,
+    so no result depends on them. The numbered rows are written to the shared folder, which makes
+    every later reading of them agree and cuts their lineage.
+    """
+    path = shared_dir(df.sparkSession, "segments")
+    (
+        df.repartitionByRange(partitions, *keys, *order)
+        .withColumn(SEGMENT, F.spark_partition_id())
+        .write.parquet(path)
+    )
+    schema = T.StructType([*df.schema.fields, T.StructField(SEGMENT, T.IntegerType())])
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def history_columns(
     df: DataFrame,
     keys: Sequence[str],
@@ -33,9 +57,12 @@ def history_columns(
     ``lagged`` and ``running`` map an output name to an input column. ``latest`` maps an output
     name to the columns of a struct whose first column decides whether the row counts (not NULL).
     ``order`` must be a total order within a key and begin with ``time``; keys must not be NULL.
+    A frame that comes from ``balanced_segments`` brings its segments, and ``grain`` is not used.
     """
     lagged, running, latest = lagged or {}, running or {}, latest or {}
-    marked = df.withColumn(SEGMENT, F.date_trunc(grain, F.col(time)))
+    marked = df
+    if SEGMENT not in df.columns:
+        marked = df.withColumn(SEGMENT, F.date_trunc(grain, F.col(time)))
     at = F.struct(*order)
 
     def packed(columns: Sequence[str]) -> Column:
@@ -75,4 +102,5 @@ def history_columns(
     result = joined.withColumns(out).withColumns(
         {name: F.col("_prev")[column] for name, column in lagged.items()}
     )
-    return result.select(*df.columns, *lagged, *running, *latest)
+    own = [c for c in df.columns if c != SEGMENT]
+    return result.select(*own, *lagged, *running, *latest)
