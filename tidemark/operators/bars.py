@@ -13,18 +13,37 @@ from tidemark.schemas import AGGREGATE_TYPES, FREQUENCIES
 PEAK_HOURS = (7, 22)
 
 
-def ohlcv(price: str, time: str, volume: str | None, tie: Sequence[str] = (),
-          high: str | None = None, low: str | None = None, open_: str | None = None) -> list[Column]:
-    """First, highest, lowest, last price and summed volume of a group, for ``agg``.
+# Fixed value: more than twice the largest 64-bit tie value, so that ties never reach the next time.
+TIE_SPAN = "20000000000000000000"
+
+
+def moment(df: DataFrame, time: str, tie: Sequence[str] = ()) -> Column:
+    """What rows are ordered by: the time, then the tie columns.
+
+    Ordering by a struct makes Spark aggregate by sorting. The usual case, a timestamp and one whole
+    number, is packed into one decimal instead, which keeps the hash aggregation.
+    """
+    if not tie:
+        return F.col(time)
+    kinds = dict(df.dtypes)
+    if len(tie) == 1 and kinds[time] == "timestamp" and kinds[tie[0]] in ("bigint", "int"):
+        micros = F.unix_micros(time).cast("decimal(18,0)")
+        return (micros * F.lit(TIE_SPAN).cast("decimal(20,0)")
+                + F.col(tie[0]).cast("decimal(20,0)")).cast("decimal(38,0)")
+    return F.struct(time, *tie)
+
+
+def ohlcv(price: str, volume: str | None, high: str | None = None, low: str | None = None,
+          open_: str | None = None) -> list[Column]:
+    """First, highest, lowest, last price and summed volume of a group ordered by ``_at``.
 
     All of them combine before the shuffle, so a hot group sends one row per map task.
     """
-    at = F.struct(time, *tie) if tie else F.col(time)
     out = [
-        F.min_by(open_ or price, at).alias("open"),
+        F.min_by(open_ or price, "_at").alias("open"),
         F.max(high or price).alias("high"),
         F.min(low or price).alias("low"),
-        F.max_by(price, at).alias("close"),
+        F.max_by(price, "_at").alias("close"),
     ]
     return out + ([F.sum(volume).alias("volume")] if volume else [])
 
@@ -35,8 +54,9 @@ def bars(ticks: DataFrame, minutes: int, price: str = "last", time: str = "ts",
     if not isinstance(minutes, int) or minutes <= 0:
         raise ValueError("the bar interval is a positive number of minutes")
     return (
-        ticks.groupBy("symbol", F.window(time, f"{minutes} minutes")["start"].alias("bar"))
-        .agg(*ohlcv(price, time, volume, tie))
+        ticks.withColumn("_at", moment(ticks, time, tie))
+        .groupBy("symbol", F.window(time, f"{minutes} minutes")["start"].alias("bar"))
+        .agg(*ohlcv(price, volume))
     )
 
 
@@ -55,9 +75,9 @@ def aggregate_hours(ticks: DataFrame, aggregatetype: int, zone: Column | str = "
     """
     if aggregatetype not in AGGREGATE_TYPES:
         raise ValueError(f"unknown aggregate type: {aggregatetype}")
-    local = ticks.withColumn("_local", F.from_utc_timestamp(time, zone)).withColumn(
-        "day", F.to_date("_local")
-    )
+    local = ticks.withColumns(
+        {"_at": moment(ticks, time, tie), "_local": F.from_utc_timestamp(time, zone)}
+    ).withColumn("day", F.to_date("_local"))
     if aggregatetype:
         peak = is_peak(F.col("_local"), hours)
         if holidays is not None:
@@ -65,7 +85,7 @@ def aggregate_hours(ticks: DataFrame, aggregatetype: int, zone: Column | str = "
             local = local.join(off.distinct(), "day", "left")
             peak = peak & F.col("_off").isNull()
         local = local.where(peak if aggregatetype == 1 else ~peak)
-    return local.groupBy("symbol", "day").agg(*ohlcv(price, time, volume, tie))
+    return local.groupBy("symbol", "day").agg(*ohlcv(price, volume))
 
 
 def period_start(time: Column, frequency: int | str, minutes: int = 60) -> Column:
@@ -85,9 +105,11 @@ def period_start(time: Column, frequency: int | str, minutes: int = 60) -> Colum
 def resample(df: DataFrame, frequency: int | str, price: str = "close",
              time: str = "tradedatetimeutc", volume: str | None = "volume",
              tie: Sequence[str] = (), minutes: int = 60) -> DataFrame:
-    return df.groupBy(
-        "symbol", period_start(F.col(time), frequency, minutes).alias("period")
-    ).agg(*ohlcv(price, time, volume, tie))
+    return (
+        df.withColumn("_at", moment(df, time, tie))
+        .groupBy("symbol", period_start(F.col(time), frequency, minutes).alias("period"))
+        .agg(*ohlcv(price, volume))
+    )
 
 
 def latest_quote(ticks: DataFrame, fields: Sequence[str], time: str = "ts",

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.tenors import like_pattern
+from tidemark.operators.bars import moment
 from tidemark.operators.ingest import first_by_key
 
 UPDATE_TYPES = ["U", "UI"]
@@ -97,16 +98,12 @@ def revisions(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     The first revision of each key comes from an aggregation that combines before the shuffle, and
     is joined back; a key with very many revisions is then a skewed join, which AQE splits.
     """
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+    placed = df.withColumn("_at", moment(df, order[0], order[1:]))
+    first = placed.groupBy(*keys).agg(F.min("_at").alias("_first"))
     same = [F.col("d." + k) == F.col("f." + k) for k in keys]
-    return (
-        df.alias("d").join(first.alias("f"), same)
-        .select(
-            "d.*",
-            F.when(F.struct(*[F.col("d." + c) for c in order]) == F.col("f._first"), "I")
-            .otherwise("U").alias("updatetype"),
-        )
-    )
+    tag = F.when(F.col("_at") == F.col("_first"), "I").otherwise("U").alias("updatetype")
+    return placed.alias("d").join(first.alias("f"), same).select(
+        *[F.col("d." + c) for c in df.columns], tag)
 
 
 def corrections(df: DataFrame, keys: Sequence[str], order: Sequence[str], updatetype: str = "UI",

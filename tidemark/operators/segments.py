@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.bars import moment
 from tidemark.session import shared_dir
 
 SEGMENT = "_segment"
@@ -63,44 +64,46 @@ def history_columns(
     marked = df
     if SEGMENT not in df.columns:
         marked = df.withColumn(SEGMENT, F.date_trunc(grain, F.col(time)))
-    at = F.struct(*order)
+    marked = marked.withColumn("_at", moment(marked, order[0], order[1:]))
 
     def packed(columns: Sequence[str]) -> Column:
         return F.struct(*[F.col(c) for c in columns])
 
+    # One max_by per column, not one over a struct: plain types keep the hash aggregation.
     previous = list(dict.fromkeys(lagged.values()))
-    summary = []
-    if previous:
-        summary.append(F.max_by(packed(previous), at).alias("_end"))
-    for name, column in running.items():
-        summary.append(F.sum(column).alias(f"_sum_{name}"))
+    summary = [F.max_by(c, "_at").alias(f"_end_{c}") for c in previous]
+    summary += [F.sum(column).alias(f"_sum_{name}") for name, column in running.items()]
     for name, columns in latest.items():
-        known = F.col(columns[0]).isNotNull()
-        summary.append(F.max_by(packed(columns), F.when(known, at)).alias(f"_last_{name}"))
+        at_known = F.when(F.col(columns[0]).isNotNull(), F.col("_at"))
+        summary += [F.max_by(c, at_known).alias(f"_last_{name}_{c}") for c in columns]
     ends = marked.groupBy(*keys, SEGMENT).agg(*summary)
 
     by_key = W.partitionBy(*keys).orderBy(SEGMENT)
     before = by_key.rowsBetween(W.unboundedPreceding, -1)
     carried = [F.col(k) for k in [*keys, SEGMENT]]
-    if previous:
-        carried.append(F.lag("_end").over(by_key).alias("_end"))
+    carried += [F.lag(f"_end_{c}").over(by_key).alias(f"_end_{c}") for c in previous]
     carried += [F.sum(f"_sum_{n}").over(before).alias(f"_sum_{n}") for n in running]
-    carried += [F.last(f"_last_{n}", ignorenulls=True).over(before).alias(f"_last_{n}")
-                for n in latest]
+    for name, columns in latest.items():
+        known = F.struct(*[F.col(f"_last_{name}_{c}").alias(c) for c in columns])
+        at_known = F.when(F.col(f"_last_{name}_{columns[0]}").isNotNull(), known)
+        carried.append(F.last(at_known, ignorenulls=True).over(before).alias(f"_last_{name}"))
     joined = marked.join(ends.select(*carried), [*keys, SEGMENT])
 
     inside = W.partitionBy(*keys, SEGMENT).orderBy(*order)
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     out = {}
     if previous:
-        out["_prev"] = F.coalesce(F.lag(packed(previous)).over(inside), F.col("_end"))
+        out["_prev"] = F.lag(packed(previous)).over(inside)
     for name, column in running.items():
-        out[name] = F.coalesce(F.col(f"_sum_{name}"), F.lit(0)) + F.sum(column).over(upto)
+        # Nothing summed yet is NULL, as for a plain running sum.
+        here = F.sum(column).over(upto)
+        out[name] = F.coalesce(F.col(f"_sum_{name}") + here, here, F.col(f"_sum_{name}"))
     for name, columns in latest.items():
         here = F.last(F.when(F.col(columns[0]).isNotNull(), packed(columns)), ignorenulls=True)
         out[name] = F.coalesce(here.over(upto), F.col(f"_last_{name}"))
     result = joined.withColumns(out).withColumns(
-        {name: F.col("_prev")[column] for name, column in lagged.items()}
+        {name: F.when(F.col("_prev").isNull(), F.col(f"_end_{column}"))
+         .otherwise(F.col("_prev")[column]) for name, column in lagged.items()}
     )
     own = [c for c in df.columns if c != SEGMENT]
     return result.select(*own, *lagged, *running, *latest)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.bars import latest_quote, ohlcv
+from tidemark.operators.bars import latest_quote, moment, ohlcv
 
 
 def stream_bars(ticks: DataFrame, minutes: int, delay: str, price: str = "last", time: str = "ts",
@@ -20,9 +20,10 @@ def stream_bars(ticks: DataFrame, minutes: int, delay: str, price: str = "last",
     """
     window = F.window(time, f"{minutes} minutes")
     return (
-        ticks.withWatermark(time, delay)
+        ticks.withColumn("_at", moment(ticks, time, tie))
+        .withWatermark(time, delay)
         .groupBy("symbol", window.alias("window"))
-        .agg(*ohlcv(price, time, volume, tie))
+        .agg(*ohlcv(price, volume))
         .withColumn("bar", F.col("window.start")).drop("window")
     )
 
