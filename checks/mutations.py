@@ -288,3 +288,24 @@ def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "close", F.col("close") + 1)
     mutate.upsert_partitions(spark, path, batch, ["symbol", "tradedatetimeutc"], "trade_month")
     return spark.read.parquet(path)
+
+
+@check("delete_partitions", over("daily", then=f"""
+    SELECT symbol, tradedatetimeutc, {day("date_trunc('month', tradedatetimeutc)")} AS trade_month,
+           close FROM daily
+    WHERE tradedatetimeutc < TIMESTAMP '1998-06-01' OR (currency <> 'USD'
+          AND tradedatetimeutc < TIMESTAMP '2000-01-01')"""))
+def delete_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dollar row since June 1998 and all rows since 2000 are deleted from a stored table;
+    months without any row left disappear."""
+    path = shared_dir(spark, "delete")
+    rows = views.daily(spark, sf_dir).select(
+        "symbol", "tradedatetimeutc", "close", "currency",
+        F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
+    rows.drop("currency").hint("rebalance", "trade_month").write.partitionBy("trade_month").parquet(
+        path)
+    since, last = (dt.datetime(y, m, 1, tzinfo=dt.timezone.utc) for y, m in ((1998, 6), (2000, 1)))
+    t = F.col("tradedatetimeutc")
+    gone = rows.where((t >= F.lit(since)) & ((F.col("currency") == "USD") | (t >= F.lit(last))))
+    mutate.delete_partitions(spark, path, gone, ["symbol", "tradedatetimeutc"], "trade_month")
+    return spark.read.parquet(path)

@@ -45,30 +45,58 @@ def refresh_instruments(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return upsert(stored, new, ["instrument_hash"])
 
 
-def rewrite_partitions(spark: SparkSession, path: str, merged: DataFrame,
-                       partition: str) -> None:
-    """Replace the partitions of a Parquet table that ``merged`` has rows for.
+def _stage(merged: DataFrame, partition: str) -> DataFrame:
+    """The rows written to the shared folder and read back; this also cuts their lineage."""
+    path = shared_dir(merged.sparkSession, "rewrite")
+    merged.write.partitionBy(partition).parquet(path)
+    return merged.sparkSession.read.schema(merged.schema).parquet(path)
 
-    ``merged`` usually reads the same table, so it is first written to the shared folder (which also
-    cuts its lineage), then moved in by dynamic partition overwrite. Untouched partitions stay.
-    """
-    staged = shared_dir(spark, "rewrite")
-    merged.write.partitionBy(partition).parquet(staged)
+
+def _swap_in(staged: DataFrame, path: str, partition: str) -> None:
     (
-        spark.read.schema(merged.schema).parquet(staged)
-        .hint("rebalance", partition)
+        staged.hint("rebalance", partition)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(path)
     )
 
 
+def rewrite_partitions(path: str, merged: DataFrame, partition: str) -> None:
+    """Replace the partitions of a Parquet table that ``merged`` has rows for.
+
+    ``merged`` usually reads the same table, so it is staged before the dynamic partition overwrite.
+    Untouched partitions stay. The staged copy is kept: should the driver be lost while partitions
+    are being exchanged, they can be restored from it.
+    """
+    _swap_in(_stage(merged, partition), path, partition)
+
+
 def upsert_partitions(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str],
                       partition: str, order: Sequence[str | Column] | None = None) -> None:
     """Upsert into a partitioned table, reading and writing only partitions the batch touches."""
     stored = spark.read.parquet(path)
     touched = incoming.select(partition).distinct()
     merged = upsert(stored.join(touched, partition, "left_semi"), incoming, keys, order)
-    rewrite_partitions(spark, path, merged, partition)
+    rewrite_partitions(path, merged, partition)
+
+
+def delete_partitions(spark: SparkSession, path: str, keyed: DataFrame, keys: Sequence[str],
+                      partition: str) -> None:
+    """Delete keyed rows from a partitioned table, rewriting only the partitions they lie in.
+
+    ``keyed`` names the partition of each key. A partition left without rows has nothing to be
+    overwritten with, so its folder is removed; the driver only sees the names of such partitions.
+    """
+    stored = spark.read.parquet(path)
+    touched = keyed.select(partition).distinct()
+    held = stored.join(touched, partition, "left_semi")
+    staged = _stage(without(held, keyed, keys).select(*stored.columns), partition)
+    emptied = held.select(partition).distinct().join(
+        staged.select(partition).distinct(), partition, "left_anti"
+    ).select(F.col(partition).cast("string")).collect()
+    _swap_in(staged, path, partition)
+    for row in emptied:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={row[0]}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 # --- wide price updates --------------------------------------------------------------------------

@@ -19,6 +19,8 @@ def build_session(cores: str | int = "*", app: str = "tidemark") -> SparkSession
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Java does not compile methods above 8000 bytes: let Spark split very wide projections.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

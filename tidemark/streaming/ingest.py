@@ -78,7 +78,7 @@ def corrections_stream(stream: DataFrame, path: str, keys: Sequence[str], order:
         stored = tables.read_or_empty(spark, path, batch.schema)
         touched = batch.select(partition).distinct()
         both = stored.join(touched, partition, "left_semi").select(*batch.columns).unionByName(batch)
-        rewrite_partitions(spark, path, first_by_key(both, keys, newest_first), partition)
+        rewrite_partitions(path, first_by_key(both, keys, newest_first), partition)
 
     return (
         stream.writeStream.foreachBatch(one_batch)
