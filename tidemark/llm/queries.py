@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import jaccard
+from tidemark.llm import counts, jaccard, packed
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,28 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def byte_bpe() -> str:
+    """The vocabulary file of the token queries; it lies at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+BYTE_BPE_IDS = 50_257
+END_ID = 2
+
+
+@query()
+def op2_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = packed.write_blocks(table(spark, sf_dir, "documents"), byte_bpe(), END_ID, BYTE_BPE_IDS)
+    return packed.read_documents(blocks)
+
+
+@query()
+def op3_token_count_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_tokens(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 @query()
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
