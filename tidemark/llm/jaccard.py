@@ -2,7 +2,7 @@
 
 Rows of the matrix are the distinct shingle sets ("classes": documents with the same set are one row),
 columns are shingles. The columns are cut into blocks by the top bits of the shingle hash, and a block
-is packed per map task: class ids, counts and 7-byte hashes.
+is packed per map task: class ids, counts and 6-byte hashes.
 
 1. *Column counts.* A block's task finds the columns that at least two classes share; other columns add
    nothing to any overlap. A column shared within one map task is known to be shared there: its entries
@@ -16,8 +16,12 @@ is packed per map task: class ids, counts and 7-byte hashes.
    cut by the size bound and by what is left of both rows after that column.
 4. *Exact overlap.* The remaining columns of the surviving pairs are counted in full.
 
-Hashes are 64 bits, 56 in the blocks: two different shingles of one pair fall together with a
-probability of about ``size^2 / 2^56``.
+Columns with many members in several components are not expanded into pairs: their rows are multiplied
+in blocks of ``BLOCK_ROWS`` by ``BLOCK_ROWS``, as bit rows, and only links that join two components leave
+the task.
+
+A column is known by the bits of its block and 48 more, 54 at least: two different shingles of one pair
+fall together with a probability of about ``size^2 / 2^54``.
 """
 
 from __future__ import annotations
@@ -34,23 +38,36 @@ from tidemark.llm.common import components, ship_code, written
 from tidemark.llm.hashing import shingle_sets
 
 BLOCK_BYTES = 16 << 20  # text per column block, and per packed map-side piece
+LEAST_BITS = 6
 SIZE_STEP = 1.25
 SEEDS = 3
+LONG_COLUMN = 64  # members from which on a leading column's pairs are taken in numpy blocks
+BLOCK_ROWS = 1024
 PACKED = "block int, docs binary, sizes binary, classes binary, counts binary, hashes binary, shared binary"
 FOUND = "class long, doc long, size int, columns array<long>"
 
 
-def _seven(h: np.ndarray) -> bytes:
-    return np.ascontiguousarray((h >> np.uint64(8)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+def _six(h: np.ndarray, bits: int) -> bytes:
+    """The 48 bits that follow the ``bits`` bits of the block."""
+    low = (h << np.uint64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)
+    return np.ascontiguousarray(low[:, :6]).tobytes()
+
+
+def _wide(packed: bytes, block: int, bits: int) -> np.ndarray:
+    """Column ids of a block: its bits and the packed ones."""
+    out = np.zeros((len(packed) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 6)
+    low = out.reshape(-1).view(">u8").astype(np.uint64) >> np.uint64(bits)
+    return (low | np.uint64(block << (64 - bits))).view(np.int64)
 
 
-def _wide(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // 7, 8), dtype=np.uint8)
-    out[:, :7] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 7)
-    return out.reshape(-1).view("<i8")
+def _owners(classes: bytes, counts: bytes) -> np.ndarray:
+    """The class of every entry; without counts they are listed one by one."""
+    names = np.frombuffer(classes, np.int64)
+    return np.repeat(names, np.frombuffer(counts, np.int32)) if counts else names
 
 
-def _pack(docs: list, sets: list[np.ndarray], blocks: int) -> Iterator[dict]:
+def _pack(docs: list, sets: list[np.ndarray], bits: int) -> Iterator[dict]:
     """One piece of documents as rows of ``PACKED``: a row per column block, and a row that passes by."""
     names = np.array([int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
                       if len(s) else 0 for s in sets], dtype=np.int64)
@@ -64,22 +81,24 @@ def _pack(docs: list, sets: list[np.ndarray], blocks: int) -> Iterator[dict]:
     new = np.concatenate([[True], column[1:] != column[:-1]]) if len(column) else np.zeros(0, bool)
     run = np.cumsum(new) - 1
     many = np.bincount(run)[run] > 1 if len(run) else new
-    block = ((column >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+    blocks = 1 << bits
+    block = (column >> np.uint64(64 - bits)).astype(np.int64)
 
     def entries(pick: np.ndarray) -> dict:
-        """Entries grouped by class; hashes stay sorted within a class."""
+        """Entries of one block grouped by class, or class by class where that is shorter."""
         by = np.argsort(owner[pick], kind="stable")
         who, what = owner[pick][by], column[pick][by]
         present, count = np.unique(who, return_counts=True)
+        if 8 * len(who) <= 12 * len(present):
+            return {"classes": classes[who].tobytes(), "counts": b"", "hashes": _six(what, bits)}
         return {"classes": classes[present].tobytes(), "counts": count.astype(np.int32).tobytes(),
-                "hashes": _seven(what)}
+                "hashes": _six(what, bits)}
 
     empty = {"docs": b"", "sizes": b"", "shared": b""}
-    # What needs no other task passes by, under a key of its own beyond the blocks.
-    salt = blocks + (int(names[0]) if len(names) else 0) % blocks
+    # What needs no other task passes by, in groups of their own beyond the blocks.
     known = np.array([d is not None for d in docs], dtype=bool)
-    yield empty | entries(many) | {
-        "block": salt, "sizes": sizes.astype(np.int32).tobytes(),
+    yield empty | entries(np.zeros(0, np.int64)) | {
+        "block": blocks + int(abs(names[0])) % blocks, "sizes": sizes.astype(np.int32).tobytes(),
         "docs": np.array([0 if d is None else d for d in docs], dtype=np.int64).tobytes()
         + names.tobytes() + known.tobytes()}
     cuts = np.searchsorted(block, np.arange(blocks + 1))
@@ -89,10 +108,12 @@ def _pack(docs: list, sets: list[np.ndarray], blocks: int) -> Iterator[dict]:
             continue
         lone = np.arange(at.start, at.stop)[~many[at]]
         marks = np.arange(at.start, at.stop)[many[at] & new[at]]
-        yield empty | entries(lone) | {"block": b, "shared": _seven(column[marks])}
+        yield empty | entries(lone) | {"block": b, "shared": _six(column[marks], bits)}
+        if many[at].any():
+            yield empty | entries(np.arange(at.start, at.stop)[many[at]]) | {"block": blocks + b}
 
 
-def _incidence(size: int, blocks: int):
+def _incidence(size: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("block", pa.int32())] + [
             (n, pa.binary()) for n in ("docs", "sizes", "classes", "counts", "hashes", "shared")])
@@ -106,7 +127,7 @@ def _incidence(size: int, blocks: int):
                     continue
                 if i > first:
                     sets = list(shingle_sets(texts[first:i], size))
-                    yield pa.RecordBatch.from_pylist(list(_pack(docs[first:i], sets, blocks)), schema=schema)
+                    yield pa.RecordBatch.from_pylist(list(_pack(docs[first:i], sets, bits)), schema=schema)
                 first, held = i, len(texts[i]) if i < len(texts) else 0
     return run
 
@@ -119,7 +140,7 @@ def _arrays(classes: np.ndarray, columns: np.ndarray) -> list[tuple[int, np.ndar
     return [(int(classes[a]), columns[a:b]) for a, b in zip(cut[:-1], cut[1:])]
 
 
-def _column_counts(blocks: int):
+def _column_counts(bits: int):
     def run(table: pa.Table) -> pa.Table:
         out: dict[str, list] = {"class": [], "doc": [], "size": [], "columns": []}
 
@@ -128,9 +149,9 @@ def _column_counts(blocks: int):
                 out[key].append(value)
 
         of = {n: table.column(n).to_pylist() for n in table.column_names}
-        classes = np.concatenate([np.repeat(np.frombuffer(c, np.int64), np.frombuffer(n, np.int32))
-                                  for c, n in zip(of["classes"], of["counts"])])
-        columns = np.concatenate([_wide(h) for h in of["hashes"]])
+        block, blocks = of["block"][0] % (1 << bits), 1 << bits
+        classes = np.concatenate([_owners(c, n) for c, n in zip(of["classes"], of["counts"])])
+        columns = np.concatenate([_wide(h, block, bits) for h in of["hashes"]])
         if of["block"][0] >= blocks:
             for docs, sizes in zip(of["docs"], of["sizes"]):
                 n = len(sizes) // 4
@@ -140,7 +161,7 @@ def _column_counts(blocks: int):
                     add(c, d if k else None, s, None)
             shared = np.ones(len(columns), dtype=bool)
         else:
-            marked = np.unique(np.concatenate([_wide(h) for h in of["shared"]]))
+            marked = np.unique(np.concatenate([_wide(h, block, bits) for h in of["shared"]]))
             order = np.lexsort((classes, columns))
             c, k = columns[order], classes[order]
             same = c[1:] == c[:-1]
@@ -165,9 +186,9 @@ def classes_and_columns(docs: DataFrame, size: int) -> tuple[DataFrame, DataFram
     every class, in ascending order."""
     ship_code(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(16, -(-total // BLOCK_BYTES))
-    packed = docs.mapInArrow(_incidence(size, blocks), PACKED)
-    found = written(packed.groupBy("block").applyInArrow(_column_counts(blocks), FOUND), "incidence")
+    bits = max(LEAST_BITS, (-(-total // BLOCK_BYTES) - 1).bit_length())
+    packed = docs.mapInArrow(_incidence(size, bits), PACKED)
+    found = written(packed.groupBy("block").applyInArrow(_column_counts(bits), FOUND), "incidence")
     members = found.where("size is not null").select("doc", "class", "size")
     columns = (found.where("columns is not null")
                .select("class", F.explode("columns").alias("column"))
@@ -189,6 +210,47 @@ def _overlaps(pairs: DataFrame, rows: DataFrame, share: int) -> DataFrame:
     return both.where(f"overlap * (100 + {share}) >= {share} * (size_a + size_b)").select("a", "b")
 
 
+def _bit_rows(lists: list[np.ndarray]) -> np.ndarray:
+    """One bit row per list, over the values that at least two lists hold."""
+    flat = np.concatenate(lists)
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    _, at, count = np.unique(flat, return_inverse=True, return_counts=True)
+    place = np.cumsum(count > 1) - 1
+    kept = count[at] > 1
+    owner, at = owner[kept], place[at[kept]]
+    out = np.zeros((len(lists), (int((count > 1).sum()) + 63) // 64 * 8 or 8), dtype=np.uint8)
+    np.bitwise_or.at(out, (owner, at // 8), (1 << (at % 8)).astype(np.uint8))
+    return out.view(np.uint64)
+
+
+def _block_product(share: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Links between rows of two blocks of one column that join components; a pair is left to the
+        first leading column that it shares."""
+        name, group, size, place, part = (table.column(n).to_numpy() for n in ("class", "component", "size", "place", "part"))
+        two = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        sets = [np.asarray(x.values) for x in table.column("columns")]
+        whole, earlier = _bit_rows(sets), _bit_rows([s[:p] for s, p in zip(sets, place)])
+        group, a, b = group.copy(), [], []
+        for i in range(len(name)):
+            rest = slice(i + 1, None)
+            able = ((group[rest] != group[i])
+                    & (100 * np.minimum(size[rest], size[i]) >= share * np.maximum(size[rest], size[i])))
+            if two:
+                able &= part[rest] != part[i]
+            at = np.flatnonzero(able) + i + 1
+            at = at[~(earlier[at] & earlier[i]).any(axis=1)]
+            overlap = np.bitwise_count(whole[at] & whole[i]).sum(axis=1, dtype=np.int64)
+            at = at[overlap * (100 + share) >= share * (size[at].astype(np.int64) + int(size[i]))]
+            if len(at):
+                met, first = np.unique(group[at], return_index=True)
+                a += [name[i]] * len(met)
+                b += name[at[first]].tolist()
+                group[np.isin(group, met)] = group[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
 def links(members: DataFrame, columns: DataFrame, share: int) -> DataFrame:
     """``(node, component)`` of the classes that have a partner."""
     sizes = members.where("size > 0").groupBy("class").agg(F.max("size").alias("size"))
@@ -216,16 +278,24 @@ def links(members: DataFrame, columns: DataFrame, share: int) -> DataFrame:
     placed = (leading.join(joined, leading["class"] == joined["node"], "left")
               .withColumn("component", F.coalesce("component", "class")).drop("node"))
     open_columns = (placed.groupBy("column")
-                    .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                    .where("low <> high").select("column"))
-    placed = written(placed.join(open_columns, "column", "left_semi"), "open")
-    x, y = placed.alias("x"), placed.alias("y")
+                    .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
+                    .where("low <> high").select("column", "members"))
+    placed = written(placed.join(open_columns, "column"), "open")
+    short = placed.where(f"members <= {LONG_COLUMN}")
+    x, y = short.alias("x"), short.alias("y")
     least = f"(({share} * (x.size + y.size) + {99 + share}) div {100 + share})"
     across = (x.join(y, F.expr(f"""x.column = y.column and x.class < y.class and x.component <> y.component
                        and 100 * least(x.size, y.size) >= {share} * greatest(x.size, y.size)
                        and least(x.width - x.place, y.width - y.place) >= {least}"""))
               .select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
-    return components(first.unionByName(_overlaps(across, rows, share)))
+    parts = f"cast((members + {BLOCK_ROWS - 1}) div {BLOCK_ROWS} as int)"
+    blocks = (placed.where(f"members > {LONG_COLUMN}").join(rows.select("class", "columns"), "class")
+              .withColumn("part", F.expr(f"cast(pmod(xxhash64(class), {parts}) as int)"))
+              .withColumn("other", F.explode(F.expr(f"sequence(0, {parts} - 1)")))
+              .select("column", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+                      "class", "component", "size", "place", "part", "columns")
+              .groupBy("column", "i", "j").applyInArrow(_block_product(share), "a long, b long"))
+    return components(first.unionByName(_overlaps(across, rows, share)).unionByName(blocks))
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 5,

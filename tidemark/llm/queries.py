@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import counts, jaccard, packed
+from tidemark.llm import counts, jaccard, language, packed, toxicity
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ BYTE_BPE_IDS = 50_257
 END_ID = 2
 
 
+@query()
+def op1_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op2_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = packed.write_blocks(table(spark, sf_dir, "documents"), byte_bpe(), END_ID, BYTE_BPE_IDS)
@@ -45,6 +50,11 @@ def op3_token_count_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
