@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import counts, jaccard, language, packed, toxicity
+from tidemark.llm import counts, decontamination, jaccard, language, mixing, packed, toxicity
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +59,60 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(decontamination.oracle())
+def op8_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: The tree of the mixing query. The table names no domain: four are formed from the source's number.
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = {("d0",): 4, ("d1",): 3, ("d2",): 2, ("d3",): 1,
+               (None, "en"): 5, (None, "de"): 3, (None, "fr"): 2, (None, "es"): 1}
+MIX_EPOCHS = 2
+MIX_SEED = 17
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int")
+    return docs.withColumn("domain", F.concat(F.lit("d"), F.coalesce(number, F.lit(0)) % 4))
+
+
+@query("""
+    WITH rows AS (
+        SELECT doc_id, lang, source, 'd' || coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT), 0) % 4 AS domain,
+               len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\r\f\x0B]+'))::BIGINT AS tokens FROM documents),
+    total AS (SELECT sum(tokens)::HUGEINT // 2 AS budget FROM rows),
+    leaves AS (SELECT domain, lang, source, sum(tokens)::HUGEINT AS tokens, sum(tokens)::HUGEINT * 2 AS room FROM rows GROUP BY ALL),
+    d0 AS (SELECT domain, sum(room)::HUGEINT AS room, CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 ELSE 1 END::HUGEINT AS w,
+                  (SELECT budget FROM total) AS budget FROM leaves GROUP BY 1),
+    d1 AS (SELECT *, budget - (sum(room) OVER o - room) AS lft, sum(w) OVER () - sum(w) OVER o + w AS rest FROM d0
+           WINDOW o AS (ORDER BY room::DOUBLE / w, domain ROWS UNBOUNDED PRECEDING)),
+    d2 AS (SELECT *, room * rest <= lft * w AS f FROM d1),
+    d3 AS (SELECT domain, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER (), 0)) * w
+                  // sum(w) FILTER (NOT f) OVER () END::HUGEINT AS share FROM d2),
+    l0 AS (SELECT domain, lang, sum(room)::HUGEINT AS room, CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 3 WHEN 'fr' THEN 2 ELSE 1 END::HUGEINT AS w,
+                  any_value(share) AS budget FROM leaves JOIN d3 USING (domain) GROUP BY 1, 2),
+    l1 AS (SELECT *, budget - (sum(room) OVER o - room) AS lft, sum(w) OVER p - sum(w) OVER o + w AS rest FROM l0
+           WINDOW p AS (PARTITION BY domain), o AS (PARTITION BY domain ORDER BY room::DOUBLE / w, lang ROWS UNBOUNDED PRECEDING)),
+    l2 AS (SELECT *, room * rest <= lft * w AS f FROM l1),
+    l3 AS (SELECT domain, lang, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER p, 0)) * w
+                  // sum(w) FILTER (NOT f) OVER p END::HUGEINT AS share FROM l2 WINDOW p AS (PARTITION BY domain)),
+    s0 AS (SELECT domain, lang, source, tokens, room, 1::HUGEINT AS w, share AS budget FROM leaves JOIN l3 USING (domain, lang)),
+    s1 AS (SELECT *, budget - (sum(room) OVER o - room) AS lft, sum(w) OVER p - sum(w) OVER o + w AS rest FROM s0
+           WINDOW p AS (PARTITION BY domain, lang), o AS (PARTITION BY domain, lang ORDER BY room::DOUBLE / w, length(source) || ':' || source ROWS UNBOUNDED PRECEDING)),
+    s2 AS (SELECT *, room * rest <= lft * w AS f FROM s1),
+    s3 AS (SELECT domain, lang, source, tokens, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER p, 0)) * w
+                  // sum(w) FILTER (NOT f) OVER p END::HUGEINT AS share FROM s2 WINDOW p AS (PARTITION BY domain, lang)),
+    plan AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN share // tokens ELSE 0 END AS epochs,
+                    CASE WHEN tokens > 0 THEN share % tokens ELSE share END AS remains FROM s3),
+    run AS (SELECT doc_id, domain, lang, source, tokens, epochs, remains,
+                   sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('17:' || epochs || ':' || doc_id)) AS upto
+            FROM rows JOIN plan USING (domain, lang, source))
+    SELECT doc_id, domain, lang, source, tokens AS n_tokens, (epochs + (upto <= remains)::INT)::INT AS copies
+    FROM run WHERE epochs + (upto <= remains)::INT > 0""")
+def op10_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents")).withColumn("n_tokens", mixing.word_count())
+    docs = docs.select("doc_id", *MIX_LEVELS, "n_tokens")
+    return mixing.mix(docs, MIX_LEVELS, MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED, tokens=F.col("n_tokens"))
