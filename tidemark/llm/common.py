@@ -6,6 +6,10 @@ import os
 import tempfile
 import zipfile
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +42,20 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def pieces(column: pa.Array, limit: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a column as bytes, whole and in order, about ``limit`` bytes at a time, each time
+    with the number of the first; a null is an empty text."""
+    raw = column.cast(pa.large_binary())
+    first, held = 0, 0
+    for i, n in enumerate(pc.binary_length(raw).fill_null(0).to_pylist()):
+        if i > first and held + n > limit:
+            yield first, [t or b"" for t in raw.slice(first, i - first).to_pylist()]
+            first, held = i, 0
+        held += n
+    if first < len(raw):
+        yield first, [t or b"" for t in raw.slice(first).to_pylist()]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: the lineage ends there, and an executor that
     is lost later costs nothing but the running tasks."""
@@ -47,6 +65,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as it takes to clash with no column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the quarter of the ids that no learner may see; a null id is never held out."""
     return F.coalesce(

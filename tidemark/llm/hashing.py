@@ -44,7 +44,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return kept[:n]
 
 
-def chunks(texts: list[bytes], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def chunks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts of about ``limit`` bytes together; a longer text is a range of its own."""
     first, size = 0, 0
     for i, text in enumerate(texts):

@@ -34,17 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, ship_code, written
+from tidemark.llm.common import components, free_name, pieces, ship_code, written
 from tidemark.llm.hashing import shingle_sets
 
-BLOCK_BYTES = 16 << 20  # text per column block, and per packed map-side piece
+BLOCK_BYTES = 16 << 20  # text per column block
+PIECE_BYTES = 6 << 20  # text per packed map-side piece
 LEAST_BITS = 6
 SIZE_STEP = 1.25
 SEEDS = 3
 LONG_COLUMN = 64  # members from which on a leading column's pairs are taken in numpy blocks
 BLOCK_ROWS = 1024
 PACKED = "block int, docs binary, sizes binary, classes binary, counts binary, hashes binary, shared binary"
-FOUND = "class long, doc long, size int, columns array<long>"
+FOUND = "class long, doc long, tag long, size int, columns array<long>"
 
 
 def _six(h: np.ndarray, bits: int) -> bytes:
@@ -67,7 +68,7 @@ def _owners(classes: bytes, counts: bytes) -> np.ndarray:
     return np.repeat(names, np.frombuffer(counts, np.int32)) if counts else names
 
 
-def _pack(docs: list, sets: list[np.ndarray], bits: int) -> Iterator[dict]:
+def _pack(docs: list, tags: np.ndarray, sets: list[np.ndarray], bits: int) -> Iterator[dict]:
     """One piece of documents as rows of ``PACKED``: a row per column block, and a row that passes by."""
     names = np.array([int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
                       if len(s) else 0 for s in sets], dtype=np.int64)
@@ -100,7 +101,7 @@ def _pack(docs: list, sets: list[np.ndarray], bits: int) -> Iterator[dict]:
     yield empty | entries(np.zeros(0, np.int64)) | {
         "block": blocks + int(abs(names[0])) % blocks, "sizes": sizes.astype(np.int32).tobytes(),
         "docs": np.array([0 if d is None else d for d in docs], dtype=np.int64).tobytes()
-        + names.tobytes() + known.tobytes()}
+        + names.tobytes() + tags.tobytes() + known.tobytes()}
     cuts = np.searchsorted(block, np.arange(blocks + 1))
     for b in range(blocks):
         at = slice(cuts[b], cuts[b + 1])
@@ -118,17 +119,10 @@ def _incidence(size: int, bits: int):
         schema = pa.schema([("block", pa.int32())] + [
             (n, pa.binary()) for n in ("docs", "sizes", "classes", "counts", "hashes", "shared")])
         for batch in batches:
-            docs = batch.column(0).to_pylist()
-            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            first, held = 0, 0
-            for i in range(len(texts) + 1):
-                if i < len(texts) and (held == 0 or held + len(texts[i]) <= BLOCK_BYTES):
-                    held += len(texts[i])
-                    continue
-                if i > first:
-                    sets = list(shingle_sets(texts[first:i], size))
-                    yield pa.RecordBatch.from_pylist(list(_pack(docs[first:i], sets, bits)), schema=schema)
-                first, held = i, len(texts[i]) if i < len(texts) else 0
+            docs, tags = batch.column(0).to_pylist(), batch.column(2).to_numpy()
+            for first, texts in pieces(batch.column(1), PIECE_BYTES):
+                sets, own = list(shingle_sets(texts, size)), slice(first, first + len(texts))
+                yield pa.RecordBatch.from_pylist(list(_pack(docs[own], tags[own], sets, bits)), schema=schema)
     return run
 
 
@@ -142,10 +136,10 @@ def _arrays(classes: np.ndarray, columns: np.ndarray) -> list[tuple[int, np.ndar
 
 def _column_counts(bits: int):
     def run(table: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"class": [], "doc": [], "size": [], "columns": []}
+        out: dict[str, list] = {"class": [], "doc": [], "tag": [], "size": [], "columns": []}
 
-        def add(name, doc, size, columns) -> None:
-            for key, value in zip(out, (name, doc, size, columns)):
+        def add(*row) -> None:
+            for key, value in zip(out, row):
                 out[key].append(value)
 
         of = {n: table.column(n).to_pylist() for n in table.column_names}
@@ -155,10 +149,10 @@ def _column_counts(bits: int):
         if of["block"][0] >= blocks:
             for docs, sizes in zip(of["docs"], of["sizes"]):
                 n = len(sizes) // 4
-                ids, names = np.frombuffer(docs[:16 * n], np.int64).reshape(2, n)
-                known = np.frombuffer(docs[16 * n:], bool)
-                for d, k, c, s in zip(ids.tolist(), known.tolist(), names.tolist(), np.frombuffer(sizes, np.int32).tolist()):
-                    add(c, d if k else None, s, None)
+                ids, names, tags = np.frombuffer(docs[:24 * n], np.int64).reshape(3, n).tolist()
+                known = np.frombuffer(docs[24 * n:], bool).tolist()
+                for d, k, c, t, s in zip(ids, known, names, tags, np.frombuffer(sizes, np.int32).tolist()):
+                    add(c, d if k else None, t, s, None)
             shared = np.ones(len(columns), dtype=bool)
         else:
             marked = np.unique(np.concatenate([_wide(h, block, bits) for h in of["shared"]]))
@@ -174,22 +168,22 @@ def _column_counts(bits: int):
             shared[order] = differ
             shared |= np.isin(columns, marked)
         for name, held in _arrays(classes[shared], columns[shared]):
-            add(name, None, None, held)
+            add(name, None, None, None, held)
         return pa.table({"class": pa.array(out["class"], pa.int64()), "doc": pa.array(out["doc"], pa.int64()),
-                         "size": pa.array(out["size"], pa.int32()),
+                         "tag": pa.array(out["tag"], pa.int64()), "size": pa.array(out["size"], pa.int32()),
                          "columns": pa.array(out["columns"], pa.list_(pa.int64()))})
     return run
 
 
 def classes_and_columns(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """``(doc, class, size)`` per document, and ``(class, size, columns)`` with the shared columns of
-    every class, in ascending order."""
+    """``(doc, tag, class, size)`` per row of ``docs (doc, text, tag)``, and ``(class, columns)`` with the
+    shared columns of every class, in ascending order."""
     ship_code(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(LEAST_BITS, (-(-total // BLOCK_BYTES) - 1).bit_length())
     packed = docs.mapInArrow(_incidence(size, bits), PACKED)
     found = written(packed.groupBy("block").applyInArrow(_column_counts(bits), FOUND), "incidence")
-    members = found.where("size is not null").select("doc", "class", "size")
+    members = found.where("size is not null").select("doc", "tag", "class", "size")
     columns = (found.where("columns is not null")
                .select("class", F.explode("columns").alias("column"))
                .groupBy("class").agg(F.sort_array(F.collect_set("column")).alias("columns")))
@@ -298,6 +292,16 @@ def links(members: DataFrame, columns: DataFrame, share: int) -> DataFrame:
     return components(first.unionByName(_overlaps(across, rows, share)).unionByName(blocks))
 
 
+def _groups(docs: DataFrame, doc: str, text: str, size: int, share: int) -> DataFrame:
+    """``(doc, tag, size, group)`` per row; the tag tells the texts of one id apart, the group is null for
+    an empty set."""
+    rows = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
+    members, columns = classes_and_columns(rows, size)
+    joined = links(members, columns, share)
+    return members.join(joined, members["class"] == joined["node"], "left").select(
+        "doc", "tag", "size", F.when(F.col("size") > 0, F.coalesce("component", "class")).alias("group"))
+
+
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 5,
                     share: int = 80) -> DataFrame:
     """``(doc, n_shingles, component_id)`` for every row of ``docs``.
@@ -309,12 +313,28 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", si
     like any other, and is the component only where all members have none. Repeated rows are repeated
     in the result. Other columns are ignored.
     """
-    members, columns = classes_and_columns(docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")), size)
-    joined = links(members, columns, share)
-    named = members.join(joined, members["class"] == joined["node"], "left").select(
-        "doc", "size", "class", F.coalesce("component", "class").alias("group"))
-    full = named.where("size > 0")
+    named = _groups(docs, doc, text, size, share)
+    full = named.where("group is not null")
     least = full.groupBy("group").agg(F.min("doc").alias("component_id"))
     return (full.join(least, "group").select(F.col("doc").alias(doc), F.col("size").cast("long").alias("n_shingles"), "component_id")
-            .unionByName(named.where("size = 0").select(
+            .unionByName(named.where("group is null").select(
                 F.col("doc").alias(doc), F.lit(0).cast("long").alias("n_shingles"), F.col("doc").alias("component_id"))))
+
+
+def one_of_each_group(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 5,
+                      share: int = 80) -> DataFrame:
+    """One row of each group of near duplicates, with all columns of ``docs``: that of the smallest id.
+
+    A row without an id stays only where no member of its group has one. Of several rows with the same
+    id and text one stays; which, if their other columns differ, is not defined. Texts without words are
+    groups of their own and stay, but for exact repeats.
+    """
+    named = _groups(docs, doc, text, size, share)
+    first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "tag"))
+    kept = (named.where("group is not null").groupBy("group").agg(first.alias("first"))
+            .select(F.col("first.doc").alias("kept_doc"), F.col("first.tag").alias("kept_tag"))
+            .unionByName(named.where("group is null").select(F.col("doc").alias("kept_doc"), F.col("tag").alias("kept_tag")).distinct()))
+    tag = free_name(docs, "tag")
+    marked = docs.withColumn(tag, F.xxhash64(text))
+    return (marked.join(kept, marked[doc].eqNullSafe(kept["kept_doc"]) & (marked[tag] == kept["kept_tag"]), "left_semi")
+            .dropDuplicates([doc, tag]).select(*docs.columns))
