@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name
+
 #: Tokens that count in a window; three masks of weight 7.
 MASKS = ("11011001011", "10110101101", "11100110011")
 SPAN = len(MASKS[0])
@@ -83,9 +85,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text")
     Texts are told apart by their digest, so that rows without an id are searched too and copies share
     one search.
     """
-    name = "_digest"
-    while name in docs.columns:
-        name = "_" + name
+    name = free_name(docs, "digest")
     marked = docs.withColumn(name, F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
     distinct = docs.select(F.sha2(F.col(text), 256).alias("key"), F.col(text).alias("text"))
     dirty = overlaps(distinct, benchmark, key="key").select(F.col("key").alias(name)).distinct()

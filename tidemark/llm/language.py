@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import held_out, ship_code
+from tidemark.llm.common import free_name, held_out, ship_code
 from tidemark.llm.hashing import U64, mix
 
 FEATURE_BITS = 14
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, rows_per_language: int = 500, languages: int = 64) -> M
     return model
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the calibrated probability of that language.
 
     A null text, one without a letter, or a model without languages gives ``und`` and 0. All columns of
@@ -170,12 +170,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [one(t) for t in batch.column("text").to_pylist()]
-            new = {"lang_pred": pa.array([x[0] for x in found], pa.string()), "score": pa.array([x[1] for x in found], pa.float64())}
+            new = {lang: pa.array([x[0] for x in found], pa.string()), score: pa.array([x[1] for x in found], pa.float64())}
             names = [n for n in batch.schema.names if n not in new]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *new.values()], names=[*names, *new])
 
-    kept = docs.drop("lang_pred", "score")
-    schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    kept = docs.drop(lang, score)
+    schema = StructType([*kept.schema.fields, StructField(lang, StringType()), StructField(score, DoubleType())])
     return kept.mapInArrow(run, schema)
 
 
@@ -183,3 +183,17 @@ def identify(docs: DataFrame) -> DataFrame:
     """Learn from the rows of ``docs`` that are not held out, and predict all of them."""
     model = fit(docs.where(~held_out()).select("doc_id", "text", "lang"))
     return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def identified(docs: DataFrame, least: float = 0.4) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least``, with all their columns.
+
+    Rows without text or letter go, and those of which no language has a clear part. Where no row
+    teaches a language, all are kept: there is nothing to tell them by.
+    """
+    model = fit(docs.where(~held_out()).select("doc_id", "text", "lang"))
+    if not model.languages:
+        return docs
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    found = predict(docs, model, lang, score)
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

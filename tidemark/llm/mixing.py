@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import free_name, written
 
 SLICE_DIGITS = 3  # 4,096 slices of a leaf
 
@@ -87,12 +87,10 @@ def _order(seed: int, epoch: Column, doc: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.col(doc).cast("string")))
 
 
-def cuts(rows: DataFrame, levels: list[str], weights: dict[tuple, int], budget: int | None, max_epochs: int,
+def cuts(rows: DataFrame, levels: list[str], weights: dict[tuple, int], budget: int, max_epochs: int,
          seed: int, doc: str) -> DataFrame:
     """``(leaf, epochs, cut)``: whole epochs of a leaf, and the last place taken of the next one."""
     leaves = rows.groupBy(*levels).agg(F.sum("tokens").alias("tokens"))
-    if budget is None:
-        budget = (rows.agg(F.sum("tokens")).first()[0] or 0) // 2
     plan = written(
         budgets(leaves, levels, weights, budget, max_epochs)
         .withColumn("epochs", F.expr("case when tokens > 0 then cast(share div tokens as int) else 0 end"))
@@ -115,10 +113,11 @@ def cuts(rows: DataFrame, levels: list[str], weights: dict[tuple, int], budget:
 
 
 def mix(docs: DataFrame, levels: list[str], weights: dict[tuple, int], budget: int | None = None,
-        max_epochs: int = 2, seed: int = 0, doc: str = "doc_id", tokens: Column | None = None) -> DataFrame:
+        percent: int = 50, max_epochs: int = 2, seed: int = 0, doc: str = "doc_id",
+        tokens: Column | None = None, copies: str = "copies") -> DataFrame:
     """The chosen rows of ``docs`` with all their columns and ``copies``, how often a row is taken.
 
-    ``budget`` is in tokens, half of all where None. Weights are whole numbers by path, 1 where none is
+    ``budget`` is in tokens, ``percent`` of all where None. Weights are whole numbers by path, 1 where none is
     given; nodes of weight 0 get nothing. Rows of one leaf that share an id are taken or left together; null
     ids are one such id. Null group values are a group of their own. The prefix never exceeds a leaf's
     budget. A column of ``docs`` named ``copies`` is replaced.
@@ -126,9 +125,14 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[tuple, int], budget: i
     names = [f"_g{i}" for i in range(len(levels))]
     rows = written(docs.select(*[F.col(c).cast("string").alias(n) for c, n in zip(levels, names)], F.col(doc).alias("_id"),
                                (word_count() if tokens is None else tokens).alias("tokens")), "sizes")
+    if budget is None:
+        budget = (rows.agg(F.sum("tokens")).first()[0] or 0) * percent // 100
     ends = cuts(rows, names, weights, budget, max_epochs, seed, "_id").select(
-        F.col("leaf").alias("_leaf"), F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut"))
-    kept = [c for c in docs.columns if c != "copies"]
-    more = F.coalesce((_order(seed, F.col("_epochs"), doc) <= F.col("_cut")).cast("int"), F.lit(0))
-    return (docs.withColumn("_leaf", _path(levels)).join(ends, "_leaf")
-            .withColumn("copies", F.col("_epochs") + more).where("copies > 0").select(*kept, "copies"))
+        F.col("leaf").alias("_leaf"), F.col("epochs").alias(free_name(docs, "epochs")), F.col("cut").alias(free_name(docs, "cut")))
+    leaf = free_name(docs, "leaf")
+    ends = ends.withColumnRenamed("_leaf", leaf)
+    kept = [c for c in docs.columns if c.lower() != copies.lower()]
+    epochs, cut = F.col(free_name(docs, "epochs")), F.col(free_name(docs, "cut"))
+    more = F.coalesce((_order(seed, epochs, doc) <= cut).cast("int"), F.lit(0))
+    return (docs.withColumn(leaf, _path(levels)).join(ends, leaf)
+            .withColumn(copies, epochs + more).where(F.col(copies) > 0).select(*kept, copies))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import counts, decontamination, jaccard, language, mixing, packed, toxicity
-from tidemark.llm.common import table
+from tidemark.llm import capfilters, counts, decontamination, jaccard, language, licenses, mixing, packed, substrings, toxicity
+from tidemark.llm.common import free_name, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,11 +51,21 @@ def op3_token_count_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+@query()
+def op4_spherical_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
@@ -66,6 +76,19 @@ def op8_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query(licenses.oracle("""
+    SELECT doc_id, source || '/' || lang || '/' || (doc_id // 100) || '/' || CASE WHEN regexp_matches(split_part(ltrim(text, chr(10)), chr(10), 1), '"""
+                       + licenses.CUE + """') THEN 'LICENSE' ELSE doc_id || '.txt' END AS path, text FROM documents"""))
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: a text lies in a folder of its source, language and hundred of ids, and one
+    whose first line is a notice stands for the licence file of that folder."""
+    first = F.substring_index(F.expr("ltrim('\n', text)"), "\n", 1)
+    name = F.when(first.rlike(licenses.CUE), "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws(
+        "/", "source", "lang", F.expr("cast(doc_id div 100 as string)"), name).alias("path"))
+    return licenses.scan(docs)
+
+
 #: The tree of the mixing query. The table names no domain: four are formed from the source's number.
 MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = {("d0",): 4, ("d1",): 3, ("d2",): 2, ("d3",): 1,
@@ -74,9 +97,11 @@ MIX_EPOCHS = 2
 MIX_SEED = 17
 
 
-def with_domain(docs: DataFrame) -> DataFrame:
+def with_domain(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a domain, and that column's name."""
     number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int")
-    return docs.withColumn("domain", F.concat(F.lit("d"), F.coalesce(number, F.lit(0)) % 4))
+    name = free_name(docs, "domain")
+    return docs.withColumn(name, F.concat(F.lit("d"), F.coalesce(number, F.lit(0)) % 4)), name
 
 
 @query("""
@@ -113,6 +138,6 @@ def with_domain(docs: DataFrame) -> DataFrame:
     SELECT doc_id, domain, lang, source, tokens AS n_tokens, (epochs + (upto <= remains)::INT)::INT AS copies
     FROM run WHERE epochs + (upto <= remains)::INT > 0""")
 def op10_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_domain(table(spark, sf_dir, "documents")).withColumn("n_tokens", mixing.word_count())
-    docs = docs.select("doc_id", *MIX_LEVELS, "n_tokens")
+    docs, domain = with_domain(table(spark, sf_dir, "documents"))
+    docs = docs.select("doc_id", F.col(domain).alias("domain"), "lang", "source", mixing.word_count().alias("n_tokens"))
     return mixing.mix(docs, MIX_LEVELS, MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED, tokens=F.col("n_tokens"))
