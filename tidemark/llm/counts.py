@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import ship_code
+from tidemark.llm.common import pieces, ship_code
 from tidemark.llm.tokens import encoder
 from tidemark.session import shared_dir
 
+PIECE_BYTES = 8 << 20
 CACHE = "tokenizer string, content string, n_tokens long"
 
 
@@ -27,8 +28,10 @@ def _count(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = encoder(path)
         for batch in batches:
-            _, lengths = of.encode([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], names=["content", "n_tokens"])
+            for first, texts in pieces(batch.column(1), PIECE_BYTES):
+                _, lengths = of.encode(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(lengths, pa.int64())],
+                                                 names=["content", "n_tokens"])
     return run
 
 

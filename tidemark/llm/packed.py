@@ -26,12 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship_code, written
+from tidemark.llm.common import pieces, ship_code, written
 from tidemark.llm.tokens import encoder
 
 MAGIC = b"TKB1"
 HEAD = struct.Struct("<4sHIQ")
-BLOCK_CHARS = 1 << 21
+BLOCK_BYTES = 1 << 21  # of text, but whole documents
 BLOCKS = "shard int, block int, start long, n_ids long, doc_ids array<long>, data binary"
 
 
@@ -99,7 +99,7 @@ def _encode(path: str, width: int, end: int):
         of, shard = encoder(path), TaskContext.get().partitionId()
         start, block = 0, 0
 
-        def packed(docs: list, texts: list[str]) -> pa.RecordBatch:
+        def packed(docs: list, texts: list[bytes]) -> pa.RecordBatch:
             nonlocal start, block
             ids, lengths = _append(*of.encode(texts), end)
             row = {"shard": shard, "block": block, "start": start, "n_ids": len(ids), "doc_ids": docs,
@@ -109,17 +109,10 @@ def _encode(path: str, width: int, end: int):
                 ("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()),
                 ("doc_ids", pa.list_(pa.int64())), ("data", pa.binary())]))
 
-        docs, texts, held = [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                docs.append(doc)
-                texts.append(text or "")
-                held += len(texts[-1])
-                if held >= BLOCK_CHARS:
-                    yield packed(docs, texts)
-                    docs, texts, held = [], [], 0
-        if docs:
-            yield packed(docs, texts)
+            docs = batch.column(0).to_pylist()
+            for first, texts in pieces(batch.column(1), BLOCK_BYTES):
+                yield packed(docs[first:first + len(texts)], texts)
     return run
 
 

@@ -16,17 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, ship_code
-from tidemark.llm.hashing import NOT_LETTER, U64, chunks, words
+from tidemark.llm.common import held_out, pieces, ship_code
+from tidemark.llm.hashing import NOT_LETTER, U64, words
 
 WORD_BITS = 22
 
 
-def distinct_words(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """Per whole text its distinct hashed words: runs of letters, A-Z lowered."""
-    raw = [(t or "").encode() for t in texts]
-    for first, last in chunks(raw):
-        hashed, begin = words(raw[first:last], NOT_LETTER)
+def distinct_words(column: pa.Array) -> Iterator[np.ndarray]:
+    """Per whole text its distinct hashed words: runs of letters, A-Z lowered; none for a null."""
+    for _, texts in pieces(column, 1 << 20):
+        hashed, begin = words(texts, NOT_LETTER)
         hashed = (hashed >> U64(64 - WORD_BITS)).astype(np.int32)
         for low, high in zip(begin[:-1], begin[1:]):
             yield np.unique(hashed[low:high])
@@ -87,7 +86,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = list(distinct_words(batch.column(0).to_pylist()))
+        found = list(distinct_words(batch.column(0)))
         yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.int32()))],
                                          names=["toxic", "rank", "words"])
 
@@ -124,7 +123,7 @@ def predict(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = [model.score(w) for w in distinct_words(batch.column(1).to_pylist())]
+            score = [model.score(w) for w in distinct_words(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32())],
                 names=["doc_id", "score", "predicted"])
