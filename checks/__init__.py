@@ -3,6 +3,7 @@
 from checks import (  # noqa: F401
     calendars,
     curves,
+    durability,
     fills,
     history,
     ingest,

@@ -72,10 +72,10 @@ VIEWS: dict[str, str] = {
         FROM events""",
     "curve": """
         SELECT p_type AS curveroot, date_trunc('month', o_orderdate)::DATE AS curvedate,
-               date_trunc('month', l_shipdate)::DATE AS contract,
+               (date_trunc('month', o_orderdate)
+                + to_months(1 + abs(date_diff('month', o_orderdate, l_shipdate))::INT))::DATE AS contract,
                sum(l_extendedprice::DECIMAL(18,2))::DOUBLE / count(*) AS value
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-        WHERE date_diff('month', o_orderdate, l_shipdate) BETWEEN 1 AND 12
         GROUP BY 1, 2, 3""",
     "corrections": """
         SELECT *, tradedatetimeutc + to_hours(line) AS lastupdatetime FROM trades""",

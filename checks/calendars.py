@@ -72,9 +72,10 @@ TENORS = """tenors AS (SELECT * FROM (VALUES ('M01', DATE '1997-04-01', 1), ('M0
 
 
 @check("contract_details", over("calendars", then=f"""{QUOTING}, {TENORS}
-    SELECT c.calendar, t.tenor, {day('t.start')} AS start,
+    SELECT k.calendar, t.tenor, {day('t.start')} AS start,
            {day('(t.start + to_months(t.months))::DATE - 1')} AS end, {day('c.expiry')} AS expiry
-    FROM contracts c JOIN tenors t ON c.start = t.start"""))
+    FROM calendars k CROSS JOIN tenors t
+         LEFT JOIN contracts c ON c.calendar = k.calendar AND c.start = t.start"""))
 def contract_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cal.contract_details(
         _calendars(spark, sf_dir), views.holidays(spark, sf_dir),
@@ -91,16 +92,18 @@ def tenor_expiry_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind="rollover", tenors=["M01", "1998Q03"])
 
 
-@check("prompt_contracts", over("calendars", then=f"""{QUOTING}, c AS (
-        SELECT * FROM contracts WHERE start BETWEEN DATE '1995-01-01' AND DATE '1998-12-01')
+@check("prompt_contracts", over("calendars", then=f"""{QUOTING.replace("1994-12-01", "1990-12-01").replace("1999-03-31", "2003-03-31")}
     SELECT o.o_orderkey, {day('min(c.start)')} AS contract, {day('min(c.expiry)')} AS expiry
-    FROM orders o JOIN c ON o.o_orderpriority = c.calendar AND c.expiry >= o.o_orderdate::DATE
-    WHERE o.o_orderdate::DATE <= (SELECT max(expiry) FROM c c2 WHERE c2.calendar = o.o_orderpriority)
+    FROM orders o LEFT JOIN contracts c ON o.o_orderpriority = c.calendar AND c.expiry >= o.o_orderdate::DATE
+         AND c.start <= o.o_orderdate::DATE + 70
     GROUP BY 1"""))
 def prompt_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every order the contract trading on its day, in the calendar of its priority."""
-    table = cal.contracts(_calendars(spark, sf_dir), views.holidays(spark, sf_dir), START, END)
-    dates = views.table(spark, sf_dir, "orders").select(
+    orders = views.table(spark, sf_dir, "orders")
+    span = orders.agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    table = cal.contracts(_calendars(spark, sf_dir), views.holidays(spark, sf_dir),
+                          span[0], span[1] + dt.timedelta(days=62))
+    dates = orders.select(
         "o_orderkey", F.col("o_orderpriority").alias("calendar"),
         F.to_date("o_orderdate").alias("day"))
     return cal.prompt_contracts(dates, table).select("o_orderkey", "contract", "expiry")

@@ -237,6 +237,26 @@ def tenor_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check("contract_starts", f"""
+    SELECT o_orderkey, {day("date_trunc('month', o_orderdate) + INTERVAL 240 MONTH")} AS start FROM orders""")
+def contract_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract part of a symbol is a month code, whatever the letter: all twelve months."""
+    code = tenors.month_code(F.add_months(F.to_date("o_orderdate"), 240))
+    symbol = F.concat(F.lit("#CH.CAT.S"), "o_custkey", F.lit("/"), code)
+    return views.table(spark, sf_dir, "orders").select(
+        "o_orderkey", tenors.contract_start(symbol).alias("start"))
+
+
+@check("double_texts", """
+    SELECT l_orderkey, l_linenumber, CAST(l_extendedprice::DOUBLE * pow(10::DOUBLE, l_linenumber % 4 * 3) AS VARCHAR) AS text
+    FROM lineitem""")
+def double_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles on both sides of 1e7 keep plain digits in a key."""
+    value = F.col("l_extendedprice").cast("double") * F.pow(F.lit(10.0), F.col("l_linenumber") % 4 * 3)
+    return views.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", keys.double_text(value).alias("text"))
+
+
 @check("tenor_texts", over("curve", then=f"""
     SELECT curveroot, {day('curvedate')} AS curvedate, {day('contract')} AS contract,
            'M' || lpad(date_diff('month', curvedate, contract)::VARCHAR, 2, '0') AS relative,

@@ -286,7 +286,8 @@ def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = dt.datetime(1998, 6, 15, tzinfo=dt.timezone.utc)
     batch = rows.where(F.col("tradedatetimeutc") >= F.lit(cut)).withColumn(
         "close", F.col("close") + 1)
-    mutate.upsert_partitions(spark, path, batch, ["symbol", "tradedatetimeutc"], "trade_month")
+    keys = ["symbol", "tradedatetimeutc"]
+    mutate.upsert_partitions(spark, path, batch, keys, "trade_month", mutate.by_content(batch, keys))
     return spark.read.parquet(path)
 
 

@@ -50,11 +50,17 @@ def _sign(callput: Column) -> Column:
 
 def model_terms(callput: Column, spot: Column, strike: Column, years: Column, vol: Column,
                 rate: Column, carry: Column) -> dict[str, Column]:
-    """First step of the model; ``carry`` is r-q for a dividend yield q, 0 for a futures underlier."""
+    """First step of the model; ``carry`` is r-q for a dividend yield q, 0 for a futures underlier.
+
+    Without time, volatility, price or strike there is nothing to divide by: ``_root`` and ``_d1`` are
+    NULL then.
+    """
+    live = (years > 0) & (vol > 0) & (spot > 0) & (strike > 0)
+    root = F.when(live, vol * F.sqrt(F.abs(years)))
     return {
         "_phi": _sign(callput),
-        "_root": vol * F.sqrt(years),
-        "_d1": (F.log(spot / strike) + (carry + vol * vol / 2) * years) / (vol * F.sqrt(years)),
+        "_root": root,
+        "_d1": F.when(live, (F.log(F.try_divide(spot, strike)) + (carry + vol * vol / 2) * years)) / root,
         "_spot": spot * F.exp((carry - rate) * years),
         "_strike": strike * F.exp(-rate * years),
     }
@@ -72,10 +78,17 @@ def model_probabilities() -> dict[str, Column]:
 
 def model_results(spot: Column, years: Column, vol: Column, rate: Column, carry: Column,
                   day_count: Column, futures: bool = False) -> dict[str, Column]:
-    """Model value and sensitivities; theta is per calendar day, vega and rho per unit change."""
+    """Model value and sensitivities; theta is per calendar day, vega and rho per unit change.
+
+    Where the model has no terms (expired, or no volatility, price or strike) the value is what
+    exercise at the forward price would give, and the sensitivities are NULL.
+    """
     phi, s, k = F.col("_phi"), F.col("_spot"), F.col("_strike")
     n1, n2, pdf = F.col("_n1"), F.col("_n2"), F.col("_pdf")
-    value = phi * (s * n1 - k * n2)
+    live = F.col("_root").isNotNull()
+    value = F.when(live, phi * (s * n1 - k * n2)).otherwise(F.greatest(phi * (s - k), F.lit(0.0)))
+    years = F.when(live, years)
+    spot = F.when(live, spot)
     decay = (-s * pdf * vol / (2 * F.sqrt(years)) - phi * (carry - rate) * s * n1
              - phi * rate * k * n2)
     return {
@@ -100,8 +113,11 @@ def implied_volatility(price: Column, callput: Column, spot: Column, strike: Col
 
     A step that leaves the bracket is replaced by its middle, so the search always ends. It starts
     where the value bends as a function of volatility, from where Newton steps do not overshoot.
-    NULL when the price lies outside the values the bracket can reach.
+    NULL when the price lies outside the values the bracket can reach, when the search is not done
+    after ``steps``, and where time, price or strike leave nothing to search for.
     """
+    live = (years > 0) & (spot > 0) & (strike > 0)
+    years, spot, strike = F.when(live, years), F.when(live, spot), F.when(live, strike)
     row = F.struct(
         price.alias("price"), _sign(callput).alias("phi"), F.sqrt(years).alias("sq"),
         years.alias("t"), (F.log(spot / strike) + carry * years).alias("drift"),
@@ -152,7 +168,8 @@ def implied_volatility(price: Column, callput: Column, spot: Column, strike: Col
         start = F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi"),
                          F.least(F.greatest(bend, F.lit(0.1)), F.lit(high)).alias("x"),
                          F.lit(False).alias("done"))
-        found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["x"])
+        found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step,
+                            lambda acc: F.when(acc["done"], acc["x"]))
         ends = F.transform(F.array(F.lit(low), F.lit(high)), lambda v: at(v, lambda m: m["miss"]))
         return F.when(_let(ends, lambda e: (e[0] <= 0) & (e[1] >= 0)), found)
 

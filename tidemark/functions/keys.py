@@ -42,6 +42,23 @@ def instrument_hash(df: DataFrame) -> Column:
     return _key(core, rest)
 
 
+def double_text(value: Column) -> Column:
+    """A double as the shortest text that reads back: plain from 1e-4 up to 1e16, ``1e-05`` or
+    ``1.5e+16`` beyond."""
+    text = value.cast("string")
+    size = F.abs(value)
+    plain = F.regexp_replace(value.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    digits = F.lpad(F.abs(power).cast("string"), 2, "0")
+    digits = F.when(F.abs(power) > 99, F.abs(power).cast("string")).otherwise(digits)
+    exponent = F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"), digits)
+    return (
+        F.when(~F.contains(text, F.lit("E")), text)
+        .when((size >= 1e-4) & (size < 1e16), plain).otherwise(exponent)
+    )
+
+
 def price_hash(df: DataFrame, spare: bool = True) -> Column:
     """Key over symbol, trade time to the second and price symbol, else over every source column.
 
@@ -52,8 +69,12 @@ def price_hash(df: DataFrame, spare: bool = True) -> Column:
         c: second_text(F.col(c)) if c in schemas.PRICE_TIMES else normalise(F.col(c))
         for c in schemas.PRICE_KEY if c in df.columns
     }
-    rest = {
-        c: second_text(F.col(c)) if c in schemas.PRICE_TIMES else F.col(c).cast("string")
-        for c in df.columns if c in schemas.PRICE_COLUMNS and c not in core
-    }
+    kinds = dict(df.dtypes)
+
+    def text(c: str) -> Column:
+        if c in schemas.PRICE_TIMES:
+            return second_text(F.col(c))
+        return double_text(F.col(c)) if kinds[c] == "double" else F.col(c).cast("string")
+
+    rest = {c: text(c) for c in df.columns if c in schemas.PRICE_COLUMNS and c not in core}
     return _key(core, rest if spare else {})

@@ -114,9 +114,11 @@ def resample(df: DataFrame, frequency: int | str, price: str = "close",
 
 def latest_quote(ticks: DataFrame, fields: Sequence[str], time: str = "ts",
                  tie: Sequence[str] = ()) -> DataFrame:
-    """Newest row per symbol; one candidate per symbol leaves each map task."""
-    row = F.max_by(F.struct(time, *fields), F.struct(time, *tie)).alias("_row")
-    return ticks.groupBy("symbol").agg(row).select("symbol", "_row.*")
+    """Newest row per symbol; one candidate per symbol leaves each map task. Each field is taken by
+    itself, which keeps hash aggregation for plain types."""
+    placed = ticks.withColumn("_at", moment(ticks, time, tie))
+    return placed.groupBy("symbol").agg(
+        *[F.max_by(c, "_at").alias(c) for c in dict.fromkeys([time, *fields])])
 
 
 def midpoint(df: DataFrame) -> Column:

@@ -85,7 +85,8 @@ def calendar_details(calendars: DataFrame, holidays: DataFrame, start: dt.date,
 def contract_details(calendars: DataFrame, holidays: DataFrame, tenors: Sequence[str],
                      start: dt.date, end: dt.date, ondate: dt.date | None = None) -> DataFrame:
     """Start, end and expiry per calendar and tenor; relative tenors are seen from ``ondate``
-    (default: the range's start). The expiry is that of the period's first month."""
+    (default: the range's start). The expiry is that of the period's first month, NULL where that
+    lies outside the range; a tenor that cannot be read has no dates."""
     if not tenors or not all(isinstance(t, str) for t in tenors):
         raise ValueError("tenors is a non-empty list of text")
     as_of = F.lit(ondate or start)
@@ -97,13 +98,14 @@ def contract_details(calendars: DataFrame, holidays: DataFrame, tenors: Sequence
         "end", F.date_sub(F.add_months("start", tn.tenor_months(F.col("tenor"))), 1)
     )
     monthly = contracts(calendars, holidays, start, end).select("calendar", "start", "expiry")
-    return resolved.join(monthly, ["calendar", "start"], "inner").select(
+    return resolved.join(monthly, ["calendar", "start"], "left").select(
         "calendar", "tenor", "start", "end", "expiry"
     )
 
 
 def prompt_contracts(dates: DataFrame, contract_table: DataFrame, day: str = "day") -> DataFrame:
-    """For each (calendar, day) the contract trading on it: the earliest one not yet expired.
+    """For each (calendar, day) the contract trading on it: the earliest one not yet expired; NULL
+    where the table has none. No date is dropped.
 
     Contracts follow each other without gaps, so each is prompt from the day after the previous
     expiry up to its own. That interval is spread over the months it touches, which makes the range
@@ -117,9 +119,8 @@ def prompt_contracts(dates: DataFrame, contract_table: DataFrame, day: str = "da
         F.explode(F.sequence(F.trunc("_from", "month"), F.trunc("expiry", "month"),
                              F.expr("interval 1 month"))),
     ).select("calendar", "_month", "_from", F.col("expiry"), F.col("start").alias("contract"))
-    return (
-        dates.withColumn("_month", F.trunc(day, "month"))
-        .join(spans, ["calendar", "_month"])
-        .where((F.col(day) >= F.col("_from")) & (F.col(day) <= F.col("expiry")))
-        .select(*dates.columns, "contract", "expiry")
-    )
+    asked = dates.withColumn("_month", F.trunc(day, "month")).alias("d")
+    trades = ((F.col("d.calendar") == F.col("s.calendar")) & (F.col("d._month") == F.col("s._month"))
+              & (F.col("d." + day) >= F.col("s._from")) & (F.col("d." + day) <= F.col("s.expiry")))
+    return asked.join(spans.alias("s"), trades, "left").select(
+        *[F.col("d." + c) for c in dates.columns], "s.contract", "s.expiry")

@@ -35,29 +35,34 @@ def daily_last(df: DataFrame, keys: Sequence[str], time: str, value: str,
 
 def fill(daily: DataFrame, keys: Sequence[str], day: str, value: str, method: str,
          calendar: str = "sevendays", enddate: dt.date | None = None) -> DataFrame:
-    """Values on every grid date between a key's first and last observation.
+    """Values on every grid date from a key's first to its last row, whether observed or NULL there.
 
-    ``average`` and ``interpolate`` need a neighbour on both sides, which every date of the grid
-    has. ``projected`` also runs on to ``enddate`` along the line of the last two observations.
+    A date without the neighbour that its method needs is NULL: before the first observation all
+    methods but ``backward``, after the last one all but ``forward`` and ``projected``. Keys that were
+    never observed have no grid. There must be one row per key and day (see ``daily_last``); where a
+    day repeats, the greatest value counts. ``projected`` also runs on to ``enddate`` along the line of the last two observations.
     Observed values on grid dates never change. ``enddate`` bounds how far a sparse key may grow.
     """
     if method not in FILL_METHODS:
         raise ValueError(f"unknown fill method: {method}")
-    seen = daily.where(F.col(value).isNotNull()).select(*keys, day, value)
     if method == "nofill":
         return daily.select(*keys, day, value)
     w = W.partitionBy(*keys).orderBy(day)
-    spans = seen.withColumns(
+    whole = W.partitionBy(*keys)
+    rows = daily.groupBy(*keys, day).agg(F.max(value).alias(value)).withColumns(
+        {"_begin": F.min(day).over(whole), "_end": F.max(day).over(whole)})
+    spans = rows.where(F.col(value).isNotNull()).withColumns({"_first": F.row_number().over(w) == 1}).withColumns(
         {"_day": F.lead(day).over(w), "_value": F.lead(value).over(w)}
         | ({"_pday": F.lag(day).over(w), "_pvalue": F.lag(value).over(w)}
            if method == "projected" else {})
     )
     stop = F.date_sub("_day", 1)
     if method == "projected" and enddate is not None:
-        stop = F.coalesce(stop, F.greatest(F.col(day), F.lit(enddate)))
+        stop = F.coalesce(stop, F.greatest(F.col("_end"), F.lit(enddate)))
     else:
-        stop = F.coalesce(stop, F.col(day))
-    grid = spans.withColumn("_grid", F.explode(F.sequence(F.col(day), stop)))
+        stop = F.coalesce(stop, F.col("_end"))
+    start_at = F.when(F.col("_first"), F.col("_begin")).otherwise(F.col(day))
+    grid = spans.withColumn("_grid", F.explode(F.sequence(start_at, stop)))
     grid = grid.where(on_calendar(F.col("_grid"), calendar))
 
     start = F.col(value)
@@ -73,9 +78,10 @@ def fill(daily: DataFrame, keys: Sequence[str], day: str, value: str, method: st
         slope = (start - F.col("_pvalue")) / F.datediff(day, "_pday")
         beyond = start + F.coalesce(slope, F.lit(0.0)) * after
         filled["projected"] = F.when(F.col("_day").isNull(), beyond).otherwise(line)
+    leading = start if method == "backward" else F.lit(None).cast("double")
     return grid.select(
         *keys, F.col("_grid").alias(day),
-        F.when(after == 0, start).otherwise(filled[method]).alias(value),
+        F.when(after == 0, start).when(after < 0, leading).otherwise(filled[method]).alias(value),
     )
 
 

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.functions.casting import parse_datetime
 from tidemark.functions.tenors import like_pattern
 from tidemark.operators.bars import moment
 from tidemark.operators.ingest import first_by_key
 
 UPDATE_TYPES = ["U", "UI"]
-GROUP_LIMIT = 1000  # Spark's default for applying a rank limit before the shuffle
 
 
 def for_symbols(df: DataFrame, symbols: str | Sequence[str] | DataFrame,
@@ -52,8 +53,8 @@ def symbol_search(instruments: DataFrame, pattern: str) -> DataFrame:
 
 
 def wildcard_search(df: DataFrame, symbol: str, column: str = "symbol") -> DataFrame:
-    """``%`` wildcard search; without a wildcard it is an exact match."""
-    return df.where(F.col(column).like(symbol))
+    """``%`` wildcard search; without a wildcard it is an exact match. Nothing else is special."""
+    return df.where(F.col(column).like(re.sub(r"([\\_])", r"\\\1", symbol)))
 
 
 def between(df: DataFrame, time: str, start: dt.date | None = None,
@@ -96,12 +97,14 @@ def revisions(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     """Tag each revision of a key: ``I`` for the first, ``U`` for later ones.
 
     The first revision of each key comes from an aggregation that combines before the shuffle, and
-    is joined back; a key with very many revisions is then a skewed join, which AQE splits.
+    is joined back; a key with very many revisions is then a skewed join, which AQE splits. NULL key
+    parts compare as equal. A row without a stamp comes after those with one; rows with the same
+    stamp and tie are one revision and get the same tag.
     """
     placed = df.withColumn("_at", moment(df, order[0], order[1:]))
     first = placed.groupBy(*keys).agg(F.min("_at").alias("_first"))
-    same = [F.col("d." + k) == F.col("f." + k) for k in keys]
-    tag = F.when(F.col("_at") == F.col("_first"), "I").otherwise("U").alias("updatetype")
+    same = [F.col("d." + k).eqNullSafe(F.col("f." + k)) for k in keys]
+    tag = F.when(F.col("_at").eqNullSafe(F.col("_first")), "I").otherwise("U").alias("updatetype")
     return placed.alias("d").join(first.alias("f"), same).select(
         *[F.col("d." + c) for c in df.columns], tag)
 
@@ -132,9 +135,8 @@ def records_back(df: DataFrame, keys: Sequence[str], time: str, n: int,
                  tie: Sequence[str] = (), salts: int = 64) -> DataFrame:
     """The n newest rows per key.
 
-    Spark applies a rank limit of up to 1000 before the shuffle as well, so a hot key sends n rows
-    per map task. For larger n a first round keeps the n newest of each of a key's ``salts`` parts,
-    spread over as many tasks; the final round then ranks at most ``n * salts`` rows of a key.
+    A first round keeps the n newest of each of a key's ``salts`` parts, spread over as many tasks;
+    the final round ranks at most ``n * salts`` rows of a key. The same plan serves every n.
     """
     newest = [F.desc(time), *[F.desc(c) for c in tie]]
 
@@ -142,10 +144,8 @@ def records_back(df: DataFrame, keys: Sequence[str], time: str, n: int,
         rank = F.row_number().over(W.partitionBy(*groups).orderBy(*newest))
         return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
-    if n > GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(time, *tie), F.lit(salts))
-        df = limited(df.withColumn("_part", part), [*keys, "_part"]).drop("_part")
-    return limited(df, keys)
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    return limited(limited(df.withColumn("_part", part), [*keys, "_part"]).drop("_part"), keys)
 
 
 def max_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
@@ -169,9 +169,9 @@ def search_by_exchange(instruments: DataFrame, exchange: str, security_type: str
     if security_type is not None:
         keep = keep & (F.col("security_type") == security_type)
     if expires_from is not None:
-        keep = keep & (F.try_to_date(F.col("expiration_date")) >= F.lit(expires_from))
+        keep = keep & (F.to_date(parse_datetime(F.col("expiration_date"))) >= F.lit(expires_from))
     if created_from is not None:
-        keep = keep & (F.try_to_date(F.col("datecreated")) >= F.lit(created_from))
+        keep = keep & (F.to_date(parse_datetime(F.col("datecreated"))) >= F.lit(created_from))
     found = instruments.where(keep)
     return found if n is None else found.orderBy("symbol").limit(n)
 

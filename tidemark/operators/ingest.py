@@ -68,12 +68,17 @@ def unseen_prices(new: DataFrame, stored: DataFrame, batch: DataFrame | None = N
                   key: str = "price_hash", month: str = "trade_month") -> DataFrame:
     """As ``unseen``, reading only those month partitions of the stored table the batch touches.
 
-    A key fixes its month, so the other months cannot hold it. The distinct months of a batch are
-    few by nature; joining them lets dynamic partition pruning skip the rest of the stored files.
-    They are read from ``batch``, the rows before de-duplication, to not repeat that step.
+    A key fixes its month, so the other months cannot hold it. The least and the greatest month of
+    the batch, two scalar subqueries, are filters on the partition column, so that files outside
+    them are not read; the join with the distinct months skips the rows of those in between. They
+    are read from ``batch``, the rows before de-duplication, to not repeat that step.
     """
-    months = (new if batch is None else batch).select(month).distinct()
-    keys = stored.join(months, month, "left_semi").where(F.col(key).isNotNull())
+    rows = new if batch is None else batch
+    low = rows.groupBy().agg(F.min(month)).scalar()
+    high = rows.groupBy().agg(F.max(month)).scalar()
+    months = rows.select(month).distinct()
+    near = stored.where(F.col(month).between(low, high))
+    keys = near.join(months, month, "left_semi").where(F.col(key).isNotNull())
     return new.join(keys.select(month, key), [month, key], "left_anti")
 
 

@@ -25,31 +25,65 @@ def without(stored: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFra
     )
 
 
+def by_content(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """A total order for rows of one key that arrive without any: the greatest values first, column
+    by column, NULL last. Rows that tie in it are equal."""
+    return [F.desc_nulls_last(c) for c in df.columns if c not in keys]
+
+
 def upsert(stored: DataFrame, incoming: DataFrame, keys: Sequence[str],
-           order: Sequence[str | Column] | None = None) -> DataFrame:
+           order: Sequence[str | Column]) -> DataFrame:
     """Stored rows with the incoming ones put in their place; the first per key by ``order`` wins
-    among incoming rows. Only keys travel in the anti-join, not whole incoming rows."""
-    new = first_by_key(incoming, keys, order) if order else incoming
+    among incoming rows, so that a key is stored once. Only keys travel in the anti-join, not whole
+    incoming rows. A ``reason`` among the incoming columns is kept even if the table has had none."""
+    new = first_by_key(incoming, keys, order)
+    if "reason" in new.columns and "reason" not in stored.columns:
+        stored = with_reason(stored, None)
     new = new.select(*[F.col(c) if c in new.columns else F.lit(None).cast(t).alias(c)
                        for c, t in stored.dtypes])
     return without(stored, new, keys).unionByName(new)
 
 
-def refresh_instruments(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+def refresh_instruments(stored: DataFrame, incoming: DataFrame,
+                        order: Sequence[str | Column] | None = None) -> DataFrame:
     """Instrument upsert: known keys keep ``created_at`` and get the newest other values."""
     born = stored.select("instrument_hash", F.col("created_at").alias("_born"))
     new = (
         incoming.join(born, "instrument_hash", "left")
         .withColumn("created_at", F.coalesce("_born", "created_at")).drop("_born")
     )
-    return upsert(stored, new, ["instrument_hash"])
+    keys = ["instrument_hash"]
+    return upsert(stored, new, keys, order or by_content(new, keys))
+
 
+def in_partitions_of(stored: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """Stored rows of the partitions that ``batch`` has rows in, the NULL partition among them.
+
+    The least and the greatest of the batch's partitions, two scalar subqueries, limit the files
+    that are read; the join then picks the partitions themselves.
+    """
+    low = batch.groupBy().agg(F.min(partition)).scalar()
+    high = batch.groupBy().agg(F.max(partition)).scalar()
+    near = stored.where(F.col(partition).between(low, high) | F.col(partition).isNull())
+    touched = batch.select(partition).distinct()
+    return near.alias("l").join(touched.alias("r"), _null_safe(near, touched, [partition]), "left_semi")
 
-def _stage(merged: DataFrame, partition: str) -> DataFrame:
-    """The rows written to the shared folder and read back; this also cuts their lineage."""
+
+def _stage(merged: DataFrame, partition: str) -> tuple[DataFrame, str]:
+    """The rows written to the shared folder and read back, and where they are; this also cuts their
+    lineage."""
     path = shared_dir(merged.sparkSession, "rewrite")
-    merged.write.partitionBy(partition).parquet(path)
-    return merged.sparkSession.read.schema(merged.schema).parquet(path)
+    merged.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+    return merged.sparkSession.read.schema(merged.schema).parquet(path), path
+
+
+def remove_folder(spark: SparkSession, location: str) -> None:
+    """Delete a folder given by its URI or path; it is an error if it is not there."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(location) if "://" in location or location.startswith("file:")
+                                           else location)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True):
+        raise FileNotFoundError(f"no such folder: {location}")
 
 
 def _swap_in(staged: DataFrame, path: str, partition: str) -> None:
@@ -64,18 +98,19 @@ def rewrite_partitions(path: str, merged: DataFrame, partition: str) -> None:
     """Replace the partitions of a Parquet table that ``merged`` has rows for.
 
     ``merged`` usually reads the same table, so it is staged before the dynamic partition overwrite.
-    Untouched partitions stay. The staged copy is kept: should the driver be lost while partitions
-    are being exchanged, they can be restored from it.
+    Untouched partitions stay. The staged copy is removed once the exchange is committed: should the
+    driver be lost before, the partitions can be restored from it.
     """
-    _swap_in(_stage(merged, partition), path, partition)
+    staged, copy = _stage(merged, partition)
+    _swap_in(staged, path, partition)
+    remove_folder(merged.sparkSession, copy)
 
 
 def upsert_partitions(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str],
-                      partition: str, order: Sequence[str | Column] | None = None) -> None:
+                      partition: str, order: Sequence[str | Column]) -> None:
     """Upsert into a partitioned table, reading and writing only partitions the batch touches."""
     stored = spark.read.parquet(path)
-    touched = incoming.select(partition).distinct()
-    merged = upsert(stored.join(touched, partition, "left_semi"), incoming, keys, order)
+    merged = upsert(in_partitions_of(stored, incoming, partition).select(*stored.columns), incoming, keys, order)
     rewrite_partitions(path, merged, partition)
 
 
@@ -84,24 +119,27 @@ def delete_partitions(spark: SparkSession, path: str, keyed: DataFrame, keys: Se
     """Delete keyed rows from a partitioned table, rewriting only the partitions they lie in.
 
     ``keyed`` names the partition of each key. A partition left without rows has nothing to be
-    overwritten with, so its folder is removed; the driver only sees the names of such partitions.
+    overwritten with, so its folder is removed; the driver only sees the folders of such partitions,
+    as the files themselves name them.
     """
     stored = spark.read.parquet(path)
-    touched = keyed.select(partition).distinct()
-    held = stored.join(touched, partition, "left_semi")
-    staged = _stage(without(held, keyed, keys).select(*stored.columns), partition)
-    emptied = held.select(partition).distinct().join(
-        staged.select(partition).distinct(), partition, "left_anti"
-    ).select(F.col(partition).cast("string")).collect()
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+    held = in_partitions_of(stored.withColumn("_folder", folder), keyed, partition)
+    staged, copy = _stage(without(held, keyed, keys).select(*stored.columns), partition)
+    left = staged.select(partition).distinct()
+    places = held.select(partition, "_folder").distinct()
+    emptied = places.alias("l").join(
+        left.alias("r"), _null_safe(places, left, [partition]), "left_anti").select("_folder").collect()
     _swap_in(staged, path, partition)
     for row in emptied:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={row[0]}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove_folder(spark, row[0])
+    remove_folder(spark, copy)
 
 
 # --- wide price updates --------------------------------------------------------------------------
 
-VALUE_FIELDS = ["OPEN", "HIGH", "LOW", "CLOSE", "MID", "LAST", "BID", "ASK", "VOLUME"]
+# Column names of a wide update body.
+VALUE_FIELDS = ["OPEN", "HIGH", "LOW", "CLOSE", "MID", "LAST", "BID", "ASK", "VOLUME", "OPENINTEREST"]
 SERIES_COLUMNS = ["SYMBOL", "DATE", "CURVEDATE", "INDEX", "FREQUENCY", "VERSION", "FOLDER_PATH"]
 
 
@@ -171,7 +209,9 @@ def series_rows(body: DataFrame, frequency: str | None = None,
 
 def update_timeseries(stored: DataFrame, rows: DataFrame,
                       order: Sequence[str | Column] | None = None) -> DataFrame:
-    return upsert(stored, rows, SERIES_KEY, order)
+    """Newer points put in place of stored ones; among repeats of a key the first by ``order`` wins,
+    the greatest value where there is none."""
+    return upsert(stored, rows, SERIES_KEY, order or by_content(rows, SERIES_KEY))
 
 
 def delete_timeseries(stored: DataFrame, items: DataFrame) -> DataFrame:
@@ -191,7 +231,8 @@ def curve_update_rows(body: DataFrame) -> DataFrame:
 
 
 def update_curves(stored: DataFrame, body: DataFrame) -> DataFrame:
-    return upsert(stored, curve_update_rows(body), ["symbol", "onDate", "field", "tenor"])
+    rows, keys = curve_update_rows(body), ["symbol", "onDate", "field", "tenor"]
+    return upsert(stored, rows, keys, by_content(rows, keys))
 
 
 def curve_configuration(body: DataFrame) -> dict[str, DataFrame]:
@@ -219,7 +260,8 @@ def update_metadata(stored: DataFrame, items: DataFrame) -> DataFrame:
     names = [c for c in items.columns if c.lower() != "symbol"]
     key = next(c for c in items.columns if c.lower() == "symbol")
     long = items.withColumnRenamed(key, "symbol").unpivot("symbol", names, "property", "value")
-    return upsert(stored, long.where(F.col("value").isNotNull()), ["symbol", "property"])
+    keys = ["symbol", "property"]
+    return upsert(stored, long.where(F.col("value").isNotNull()), keys, by_content(long, keys))
 
 
 def delete_metadata(stored: DataFrame, items: DataFrame) -> DataFrame:
@@ -244,17 +286,18 @@ def folder_rows(body: DataFrame) -> DataFrame:
 
 
 def update_folder(stored: DataFrame, body: DataFrame) -> DataFrame:
-    return upsert(stored, folder_rows(body).distinct(), ["path", "symbol"])
+    rows, keys = folder_rows(body), ["path", "symbol"]
+    return upsert(stored, rows, keys, by_content(rows, keys))
 
 
 def delete_folder(stored: DataFrame, folders: Sequence[str]) -> DataFrame:
-    """Remove whole subtrees."""
+    """Remove whole subtrees; rows without a path stay."""
     if not folders:
         raise ValueError("name at least one folder")
     gone = F.lit(False)
     for folder in folders:
         gone = gone | (F.col("path") == folder) | F.col("path").startswith(folder + "/")
-    return stored.where(~gone)
+    return stored.where(~F.coalesce(gone, F.lit(False)))
 
 
 def with_reason(df: DataFrame, reason: str | None) -> DataFrame:

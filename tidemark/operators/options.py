@@ -56,11 +56,14 @@ def analytics(
     underlier_price: Sequence[str] = ("underprice",),
     contract_price: Sequence[str] | None = None,
     model: str = "bs",
+    volatility_bounds: tuple[float, float] = (1e-4, 5.0),
+    steps: int = 30,
 ) -> DataFrame:
     """Model value, Greeks and, when a contract price is named, implied volatility per contract.
 
     The carry is 0 for a futures underlier, the rate difference when a foreign rate is given, else
-    the rate less the dividend yield.
+    the rate less the dividend yield. Implied volatility is sought within ``volatility_bounds``; it
+    is NULL where it lies outside or is not found in ``steps``.
     """
     if model != "bs":
         raise ValueError(f"unknown option model: {model}")
@@ -81,7 +84,7 @@ def analytics(
     out = black.model_results(s, t, vol, r, carry, F.lit(float(day_count)), futures)
     if contract_price is not None:
         out["impvol"] = black.implied_volatility(
-            chosen_price(contract_price), side, s, k, t, r, carry
+            chosen_price(contract_price), side, s, k, t, r, carry, *volatility_bounds, steps
         )
     names = [c for c in chain.columns if c not in out]
     return modelled.select(*names, *[c.alias(n) for n, c in out.items()])

@@ -21,7 +21,9 @@ from tidemark import schemas
 from tidemark.functions import keys
 from tidemark.operators import conform, ingest
 from tidemark.session import shared_dir
-from tidemark.sources import sinks, tables
+from tidemark.operators.mutate import remove_folder
+from tidemark.schemas import text_schema
+from tidemark.sources import landing, sinks, tables
 
 AUDIT_TABLE = T.StructType(
     [
@@ -36,6 +38,9 @@ AUDIT_TABLE = T.StructType(
 )
 
 
+LANDED = "_landed"  # the row's own text, kept for the quarantine
+
+
 @dataclass(frozen=True)
 class TableRules:
     """What differs between the two history tables."""
@@ -77,10 +82,12 @@ INSTRUMENTS = TableRules(
 
 
 def keyed(landed: DataFrame, rules: TableRules) -> DataFrame:
-    """Cleaned rows with their key and, when they cannot be stored, the reason."""
-    cleaned = rules.clean(landed)
-    with_key = cleaned.withColumn(rules.key, rules.make_key(cleaned))
-    return with_key.withColumn("reason", rules.reject_reason(with_key))
+    """Cleaned rows with their key and, when they cannot be stored, the reason and the row as landed."""
+    cleaned = rules.clean(landed.withColumn(LANDED, F.struct(*landed.columns)))
+    with_key = cleaned.withColumn(rules.key, rules.make_key(cleaned.drop(LANDED)))
+    marked = with_key.withColumn("reason", rules.reject_reason(with_key.drop(LANDED)))
+    raw = F.to_json(F.col(LANDED), {"ignoreNullFields": "false"})
+    return marked.withColumn(LANDED, F.when(F.col("reason").isNotNull(), raw))
 
 
 def storable(rows: DataFrame, stored: DataFrame, rules: TableRules, order: list[str],
@@ -114,15 +121,14 @@ def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, target
     counts = seen.get
     staged = spark.read.schema(staging.schema).parquet(staged_path)
 
-    good = staged.where(~F.col("rejected")).drop("reason", "rejected")
+    good = staged.where(~F.col("rejected")).drop("reason", "rejected", LANDED)
     stored = tables.read_or_empty(spark, target, rules.schema)
     added = Observation()
     new = storable(good, stored, rules, order or ["arrival"], run_ts)
     sinks.append_parquet(new, target, rules.partition_by, added)
     if counts["failed"]:
         bad = staged.where(F.col("rejected")).withColumn("run_id", F.lit(run_id))
-        bad.select("run_id", "reason", F.to_json(F.struct(*landed.columns)).alias("content")) \
-            .write.mode("append").parquet(quarantine)
+        bad.select("run_id", "reason", F.col(LANDED).alias("content")).write.mode("append").parquet(quarantine)
     inserted = added.get["inserted"]
     totals = {
         "inserted": inserted,
@@ -133,9 +139,39 @@ def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, target
     spark.createDataFrame(
         [(run_id, run_ts, finished, *totals.values(), reason)], AUDIT_TABLE
     ).coalesce(1).write.mode("append").parquet(audit)
+    remove_folder(spark, staged_path)
     return totals
 
 
+def run_landing(spark: SparkSession, path: str | list[str], columns: list[str], rules: TableRules,
+                target: str, quarantine: str, audit: str, run_id: str, run_ts: dt.datetime,
+                key_column: str | None = None, key_pattern: str | None = None,
+                order: list[str] | None = None) -> dict[str, int]:
+    """Landed files to the table in one call.
+
+    Files that hold an error answer are left out before the CSV parse, as one of them would spoil it
+    for all; they and the rows that do not parse go to the quarantine with the run's id. An absent or
+    empty key column is taken from the file's path. Then the rows are ingested; without ``order`` the
+    first duplicate is the one of the smallest file name, then of the smallest content.
+    """
+    files = landing.file_list(spark, path)
+    refused = landing.error_files(spark, files) if files else None
+    bad = {r.source_file for r in refused.collect()} if refused is not None else set()
+    good = [f for f in files if f not in bad]
+    if bad:
+        spark.createDataFrame([(run_id, "error payload", f) for f in sorted(bad)],
+                              "run_id string, reason string, content string").write.mode("append").parquet(quarantine)
+    if not good:
+        rows = spark.createDataFrame([], text_schema([*columns, "source_file"]))
+    else:
+        rows, malformed = landing.split_corrupt(landing.read_landed(spark, good, columns))
+        malformed.select(F.lit(run_id).alias("run_id"), "reason", "content").write.mode("append").parquet(quarantine)
+    if key_column is not None and key_pattern is not None:
+        rows = landing.default_key_column(rows, key_column, key_pattern)
+    return run_ingest(spark, rows, rules, target, quarantine, audit, run_id, run_ts,
+                      order or ["source_file", *[c for c in rows.columns if c != "source_file"]])
+
+
 def already_ran(spark: SparkSession, audit: str, run_id: str) -> bool:
     done = tables.read_or_empty(spark, audit, AUDIT_TABLE).where(F.col("run_id") == run_id)
     return not done.isEmpty()

@@ -31,7 +31,7 @@ def csv_options() -> dict[str, str]:
     }
 
 
-def read_landed(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_landed(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
     """CSV rows as text, plus the file they came from and the raw text of malformed rows."""
     return (
         spark.read.options(**csv_options())
@@ -60,32 +60,40 @@ def is_error_payload(body: Column) -> Column:
                                              F.lit("error"))
 
 
-def error_files(spark: SparkSession, path: str) -> DataFrame:
-    """Landed files whose first 100 characters show an error answer.
+def error_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Landed files whose first line that is not blank begins as JSON, wherever it stands, or whose
+    first 100 characters speak of an error.
 
-    One line holds at least its line break, so the first 100 lines hold those characters. The rank
-    limit is applied per input split before the shuffle; no file is ever read as one value.
+    One line holds at least its line break, so the first 100 lines hold those characters. Lines are
+    numbered by the split they lie in, so the first line of text is a combining minimum over the
+    whole file; no file is ever read as one value.
     """
-    lines = (
-        spark.read.text(path)
-        .select(
-            F.substring("value", 1, ERROR_HEAD).alias("text"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        )
-        .where(F.col("block") == 0)
+    lines = spark.read.text(path).select(
+        F.col("value"), F.col("_metadata.file_path").alias("source_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("line")).alias("place"),
     )
-    rank = F.row_number().over(W.partitionBy("source_file").orderBy("line"))
-    ordered = F.array_sort(F.collect_list(F.struct("line", "text")))
-    return (
-        lines.withColumn("rank", rank)
+    text = F.ltrim(F.translate("value", "\t\r", "  "))
+    json = lines.where(text != "").groupBy("source_file").agg(
+        F.min(F.struct("place", F.substring(text, 1, 1).alias("mark"))).alias("first")
+    ).where(F.col("first.mark") == "{").select("source_file")
+    rank = F.row_number().over(W.partitionBy("source_file").orderBy("place"))
+    ordered = F.array_sort(F.collect_list(F.struct("place", F.substring("value", 1, ERROR_HEAD).alias("text"))))
+    spoken = (
+        lines.where(F.col("place.block") == 0).withColumn("rank", rank)
         .where(F.col("rank") <= ERROR_HEAD)
         .groupBy("source_file")
         .agg(F.concat_ws("\n", F.transform(ordered, lambda s: s["text"])).alias("head"))
-        .where(is_error_payload(F.col("head")))
-        .select("source_file", F.lit("error payload").alias("reason"))
+        .where(is_error_payload(F.col("head"))).select("source_file")
     )
+    return json.unionByName(spoken).distinct().select(
+        "source_file", F.lit("error payload").alias("reason"))
+
+
+def file_list(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The landed files of a folder, as their rows will name them; one name each."""
+    found = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("f"))
+    return sorted(r.f for r in found.distinct().collect())
 
 
 def drop_files(df: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -96,7 +104,7 @@ def drop_files(df: DataFrame, rejected: DataFrame) -> DataFrame:
 def default_key_column(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Fill an absent or empty key column from the landed path (one file per symbol or exchange)."""
     from_path = F.url_decode(F.regexp_extract(F.col("source_file"), pattern, 1))
-    value = F.coalesce(F.col(column), from_path) if column in df.columns else from_path
+    value = F.coalesce(F.nullif(F.col(column), F.lit("")), from_path) if column in df.columns else from_path
     return df.withColumn(column, F.when(value != "", value))
 
 

@@ -67,10 +67,14 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forward curve points: average line price per (part type, order month, ship month)."""
+    """Forward curve points: average line price per (part type, order month, contract month).
+
+    The contract lies one month ahead, and as many more as order and ship month are apart, so that
+    every line is a point.
+    """
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_extendedprice",
-        F.trunc("l_shipdate", "month").alias("contract"),
+        F.trunc("l_shipdate", "month").alias("shipped"),
     )
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
@@ -79,10 +83,10 @@ def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("curveroot")
     )
-    ahead = F.months_between("contract", "curvedate")
+    ahead = 1 + F.abs(F.months_between("shipped", "curvedate")).cast("int")
     return (
         items.join(orders, "l_orderkey")
-        .where(ahead.between(1, 12))
+        .withColumn("contract", F.add_months("curvedate", ahead))
         .join(parts, "l_partkey")
         .groupBy("curveroot", "curvedate", "contract")
         .agg((F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ingest import first_by_key
-from tidemark.operators.mutate import rewrite_partitions
-from tidemark.plans.jobs import TableRules, already_ran, keyed, run_ingest
+from tidemark.operators.mutate import in_partitions_of, rewrite_partitions
+from tidemark.plans.jobs import TableRules, LANDED, already_ran, keyed, run_ingest, run_landing
 from tidemark.sources import tables
 from tidemark.sources.landing import csv_options
 from tidemark.schemas import text_schema
@@ -51,6 +51,34 @@ def ingest_stream(stream: DataFrame, rules: TableRules, name: str, target: str,
     )
 
 
+def landing_stream(spark: SparkSession, path: str, columns: list[str], rules: TableRules, name: str,
+                   target: str, quarantine: str, audit: str, checkpoint: str, run_ts: dt.datetime,
+                   key_column: str | None = None, key_pattern: str | None = None,
+                   order: list[str] | None = None, files_per_trigger: int = 1000) -> StreamingQuery:
+    """Run the landing job on the files of every micro-batch.
+
+    The stream only tells which files are new, at most ``files_per_trigger`` names at a time; they are
+    then read as the batch job reads them, so error answers and malformed rows reach the quarantine.
+    """
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    named = lines.select(F.col("_metadata.file_path").alias("source_file"))
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        run_id = f"{name}-{batch_id}"
+        if not already_ran(session, audit, run_id):
+            files = sorted(r.source_file for r in batch.distinct().collect())
+            run_landing(session, files, columns, rules, target, quarantine, audit, run_id, run_ts,
+                        key_column, key_pattern, order)
+
+    return (
+        named.writeStream.foreachBatch(one_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def distinct_stream(stream: DataFrame, rules: TableRules, event_time: str | None = None,
                     delay: str | None = None) -> DataFrame:
     """Keyed good rows with repeats of a key dropped.
@@ -58,7 +86,7 @@ def distinct_stream(stream: DataFrame, rules: TableRules, event_time: str | None
     Without a watermark the state holds every key ever seen. With one, a key is remembered for the
     delay only: right where repeats arrive within it.
     """
-    good = keyed(stream, rules).where(F.col("reason").isNull()).drop("reason")
+    good = keyed(stream, rules).where(F.col("reason").isNull()).drop("reason", LANDED)
     if event_time and delay:
         return good.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([rules.key])
     return good.dropDuplicates([rules.key])
@@ -76,8 +104,8 @@ def corrections_stream(stream: DataFrame, path: str, keys: Sequence[str], order:
     def one_batch(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         stored = tables.read_or_empty(spark, path, batch.schema)
-        touched = batch.select(partition).distinct()
-        both = stored.join(touched, partition, "left_semi").select(*batch.columns).unionByName(batch)
+        held = in_partitions_of(stored, batch, partition)
+        both = held.select(*batch.columns).unionByName(batch)
         rewrite_partitions(path, first_by_key(both, keys, newest_first), partition)
 
     return (
