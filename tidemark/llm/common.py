@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 FOLDS = 4
 HELD_OUT_FOLD = 2
 
@@ -26,11 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
+def release() -> None:
+    """Give memory that Arrow no longer uses back, before a task's next large step."""
+    pa.default_memory_pool().release_unused()
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Give this package to the Python workers of the session, once, as ``--py-files`` would."""
+    """Give this package to the Python workers of the session, once, as ``--py-files`` would.
+
+    Rows are whole texts: where the session does not say how many go to Python at a time, it is
+    ``BATCH_ROWS`` instead of Spark's 10,000.
+    """
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
+    if not spark.sparkContext.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     archive = os.path.join(tempfile.mkdtemp(prefix="code-"), "tidemark_code.zip")
     with zipfile.ZipFile(archive, "w") as out:
@@ -45,6 +58,7 @@ def ship_code(spark: SparkSession) -> None:
 def pieces(column: pa.Array, limit: int) -> Iterator[tuple[int, list[bytes]]]:
     """The texts of a column as bytes, whole and in order, about ``limit`` bytes at a time, each time
     with the number of the first; a null is an empty text."""
+    release()
     raw = column.cast(pa.large_binary())
     first, held = 0, 0
     for i, n in enumerate(pc.binary_length(raw).fill_null(0).to_pylist()):

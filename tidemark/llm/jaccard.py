@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, free_name, pieces, ship_code, written
+from tidemark.llm.common import components, free_name, pieces, release, ship_code, written
 from tidemark.llm.hashing import shingle_sets
 
 BLOCK_BYTES = 16 << 20  # text per column block
@@ -136,6 +136,7 @@ def _arrays(classes: np.ndarray, columns: np.ndarray) -> list[tuple[int, np.ndar
 
 def _column_counts(bits: int):
     def run(table: pa.Table) -> pa.Table:
+        release()
         out: dict[str, list] = {"class": [], "doc": [], "tag": [], "size": [], "columns": []}
 
         def add(*row) -> None:

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pieces, ship_code, written
+from tidemark.llm.common import pieces, release, ship_code
 from tidemark.llm.hashing import BASE, BYTE_CODE, INVERSE, U64, chunks, mix, powers
 
 WINDOW = 50
@@ -90,7 +90,7 @@ TEXTS = "bucket int, ids binary, tags binary, sizes binary, data binary"
 
 def _texts(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids, tags = (batch.column(i).to_numpy() for i in (0, 2))
             for first, texts in pieces(batch.column(1), PIECE_BYTES):
@@ -186,43 +186,50 @@ def _shared(bits: int, buckets: int):
 STRETCHES = "kind int, bucket int, ids binary, tags binary, firsts binary, sizes binary, data binary"
 
 
-def _rows(kind: int, bucket: np.ndarray, ids, tags, firsts, sizes, data: list[bytes] | None, press) -> list[dict]:
+def _rows(kind: int | None, bucket: np.ndarray, ids: np.ndarray, tags: np.ndarray, firsts: np.ndarray,
+          sizes: np.ndarray, data: list[bytes] | None = None) -> list[dict]:
+    """One row per bucket, its entries in the order given."""
+    order = np.argsort(bucket, kind="stable")
+    cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     out = []
-    for b in np.unique(bucket):
-        at = np.flatnonzero(bucket == b)
-        out.append({"kind": kind, "bucket": int(b), "ids": ids[at].tobytes(), "tags": tags[at].tobytes(),
-                    "firsts": firsts[at].tobytes(), "sizes": sizes[at].tobytes(),
-                    "data": press.compress(b"".join(data[i] for i in at)) if data is not None else b""})
+    for a, b in zip(cut[:-1], cut[1:]):
+        at = order[a:b]
+        row = {"bucket": int(bucket[at[0]]), "ids": ids[at].tobytes(), "tags": tags[at].tobytes(),
+               "firsts": firsts[at].tobytes(), "sizes": sizes[at].tobytes()}
+        if kind is not None:
+            packed = zstandard.ZstdCompressor(level=3).compress(b"".join([data[i] for i in at])) if data is not None else b""
+            row |= {"kind": kind, "data": packed}
+        out.append(row)
     return out
 
 
 def _stretches(bits: int, buckets: int):
     def run(texts: pa.Table, active: pa.Table) -> pa.Table:
         """Stretches of the texts of one bucket whose anchors are shared."""
-        press = zstandard.ZstdCompressor(level=1)
+        release()
+        names = ["kind", "bucket", "ids", "tags", "firsts", "sizes", "data"]
         docs = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.int64) for x in active.column("ids").to_pylist()]])
         marks = np.concatenate([np.zeros(0, U64), *[np.frombuffer(x, U64) for x in active.column("hashes").to_pylist()]])
         known = np.unique(marks * U64(0x9E3779B97F4A7C15) ^ mix(docs.view(U64)))
         rows: list[dict] = []
-        for ids, tags, held in _unpack(texts):
+        packs = list(_unpack(texts)) if len(known) else []
+        if packs:
+            ids, tags = (np.concatenate([p[i] for p in packs]) for i in (0, 1))
+            held = [t for p in packs for t in p[2]]
             text, first, last, hashed = anchors(held)
-            if not len(text) or not len(known):
-                continue
             asked = _short(hashed, bits) * U64(0x9E3779B97F4A7C15) ^ mix(ids[text].view(U64))
             at = np.flatnonzero(known[np.minimum(np.searchsorted(known, asked), len(known) - 1)] == asked)
             # Least id first, so that equal stretches after the first are those of larger or equal ids.
             at = at[np.argsort(ids[text[at]], kind="stable")]
-            content = [held[t][f:l + WINDOW] for t, f, l in zip(text[at].tolist(), first[at].tolist(), last[at].tolist())]
+            text, first, hashed, sizes = text[at], first[at], hashed[at], last[at] - first[at] + 1
+            content = [held[t][f:f + n + WINDOW - 1] for t, f, n in zip(text.tolist(), first.tolist(), sizes.tolist())]
+            doc, tag = ids[text], tags[text]
             seen: dict[bytes, int] = {}
-            sent, done = [], []
-            for i, (c, doc) in enumerate(zip(content, ids[text[at]].tolist())):
-                (done if seen.setdefault(c, doc) < doc else sent).append(i)
-            for kind, chosen in ((0, np.array(sent, dtype=np.int64)), (1, np.array(done, dtype=np.int64))):
-                a = at[chosen]
-                to = (hashed[a] % U64(buckets)).astype(np.int64) if kind == 0 else _spread(ids[text[a]], buckets)
-                sizes = last[a] - first[a] + 1
-                rows += _rows(kind, to, ids[text[a]], tags[text[a]], first[a], sizes, [content[i] for i in chosen] if kind == 0 else None, press)
-        names = ["kind", "bucket", "ids", "tags", "firsts", "sizes", "data"]
+            done = np.array([seen.setdefault(c, d) < d for c, d in zip(content, doc.tolist())], dtype=bool)
+            to = (hashed % U64(buckets)).astype(np.int64)
+            sent = np.flatnonzero(~done)
+            rows = _rows(0, to[sent], doc[sent], tag[sent], first[sent], sizes[sent], [content[i] for i in sent.tolist()])
+            rows += _rows(1, _spread(doc[done], buckets), doc[done], tag[done], first[done], sizes[done])
         return pa.Table.from_pylist(rows, schema=pa.schema(
             [(n, pa.int32() if n in ("kind", "bucket") else pa.binary()) for n in names]))
     return run
@@ -238,52 +245,44 @@ def _shift(r: int, s: int) -> int:
 def sort_suffixes(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``at`` in the order of the suffixes that begin there, to a depth of 56 bytes at least, and the
     eight-byte words at every place."""
-    padded = np.concatenate([text, np.zeros(8 * RANK_WORDS + 16, dtype=np.uint8)])
-    words = np.zeros(len(text) + 8 * RANK_WORDS, dtype=np.uint64)
+    padded = np.concatenate([text, np.zeros(8 * RANK_WORDS + 24, dtype=np.uint8)])
+    words = np.zeros(len(text) + 8 * RANK_WORDS + 8, dtype=np.uint64)
     for k in range(8):
         words = (words << U64(8)) | padded[k:k + len(words)]
-    # Ranks of the cover sample, over all its places.
-    sample = np.flatnonzero(np.isin(np.arange(len(text)) % PERIOD, COVER))
-    keys = [words[sample + 8 * k] for k in range(RANK_WORDS)]
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(sample), dtype=bool)
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
+    # Ranks of the cover sample, as far as a shift leads to it.
+    met = np.zeros(len(text) + PERIOD, dtype=bool)
+    for shift in range(PERIOD):
+        met[at + shift] = True
+    sample = np.flatnonzero(met)
+    sample = sample[np.isin(sample % PERIOD, COVER)]
+    deep = np.stack([words[sample + 8 * k] for k in range(RANK_WORDS)], axis=1).astype(">u8").view(f"S{8 * RANK_WORDS}").ravel()
+    order = np.argsort(deep, kind="stable")
+    deep = deep[order]
     rank = np.zeros(len(text) + 2 * PERIOD, dtype=np.int64)
-    rank[sample[order]] = np.cumsum(new) + 1
-    # Own order of each residue's suffixes, and of the three sampled ones together.
-    first = np.unique(words[at], return_inverse=True)[1].astype(np.int64)
-    classes = []
-    residue = at % PERIOD
-    sampled = np.isin(residue, COVER)
-    if sampled.any():
-        classes.append((COVER, np.flatnonzero(sampled)[np.argsort(rank[at[sampled]], kind="stable")]))
-    for r in set(range(PERIOD)) - set(COVER):
-        mine = np.flatnonzero(residue == r)
-        if len(mine):
-            key = first[mine] << 32 | rank[at[mine] + _shift(r, r)]
-            classes.append(((r,), mine[np.argsort(key, kind="stable")]))
-    # A suffix comes after those of its own class before it and of the other classes that are smaller;
-    # equal ones go by class.
+    rank[sample[order]] = np.cumsum(np.concatenate([[True], deep[1:] != deep[:-1]]))
+    # The suffixes of each residue in their own order. A suffix comes after those before it in its class
+    # and after all smaller ones of the other classes; equal ones go by class.
+    first = np.unique(words[at], return_inverse=True)[1].astype(np.int64) << 32
+    own = []
+    for r in range(PERIOD):
+        mine = np.flatnonzero(at % PERIOD == r)
+        own.append(mine[np.argsort(first[mine] | rank[at[mine] + _shift(r, r)], kind="stable")])
+    key = {(r, d): first[own[r]] | rank[at[own[r]] + d] for r in range(PERIOD) for d in {_shift(r, s) for s in range(PERIOD)}}
     position = np.zeros(len(at), dtype=np.int64)
-    for n, (residues, own) in enumerate(classes):
-        position[own] += np.arange(len(own))
-        for m, (others, theirs) in enumerate(classes):
-            if m == n:
-                continue
-            for r in residues:
-                mine = own[residue[own] == r]
-                for s in others:
-                    yours = theirs[residue[theirs] == s]
-                    d = _shift(r, s)
-                    position[mine] += np.searchsorted(first[yours] << 32 | rank[at[yours] + d],
-                                                      first[mine] << 32 | rank[at[mine] + d], side="left" if n < m else "right")
+    for r in range(PERIOD):
+        place = np.arange(len(own[r]))
+        for s in range(PERIOD):
+            if s != r:
+                d = _shift(r, s)
+                place += np.searchsorted(key[s, d], key[r, d], side="left" if r < s else "right")
+        position[own[r]] = place
     # Suffixes that agree on 56 bytes may get one place twice, but never one outside their group's.
     return at[np.argsort(position, kind="stable")], words
 
 
-def covered_windows(content: list[bytes], least: np.ndarray, window: int = WINDOW) -> Iterator[np.ndarray]:
-    """Per distinct stretch the least id that holds each of its windows; ``least`` is that of the stretch."""
+def lowest_ids(content: list[bytes], least: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """The least id that holds a window, for all windows of all distinct stretches in turn; ``least`` is
+    that of the stretch."""
     lengths = np.array([len(c) for c in content], dtype=np.int64)
     begin = np.cumsum(lengths) - lengths
     text = np.frombuffer(b"".join(content), dtype=np.uint8)
@@ -301,8 +300,7 @@ def covered_windows(content: list[bytes], least: np.ndarray, window: int = WINDO
     lowest = np.repeat(np.minimum.reduceat(least[holder], run), np.diff(np.append(run, len(order))))
     by_place = np.zeros(len(text), dtype=np.int64)
     by_place[order] = lowest
-    for b, n in zip(begin.tolist(), counts.tolist()):
-        yield by_place[b:b + n]
+    return by_place[at]
 
 
 COVERED = "bucket int, ids binary, tags binary, firsts binary, sizes binary"
@@ -310,37 +308,38 @@ COVERED = "bucket int, ids binary, tags binary, firsts binary, sizes binary"
 
 def _sorted_bucket(buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        """Runs of covered windows of one bucket, by bucket of texts."""
-        ids, tags, firsts, content = [], [], [], []
-        for row in table.to_pylist():
-            sizes = np.frombuffer(row["sizes"], np.int64) + WINDOW - 1
-            data, ends = zstandard.ZstdDecompressor().decompress(row["data"]), np.cumsum(sizes)
-            content += [data[e - n:e] for n, e in zip(sizes.tolist(), ends.tolist())]
-            for into, name in ((ids, "ids"), (tags, "tags"), (firsts, "firsts")):
-                into.append(np.frombuffer(row[name], np.int64))
-        ids, tags, firsts = (np.concatenate(x) for x in (ids, tags, firsts))
+        """Runs of covered windows of one bucket, by bucket of texts; those already known pass by."""
+        names = ("bucket", "ids", "tags", "firsts", "sizes")
+        release()
+        if table.column("kind")[0].as_py() == 1:
+            return table.select(names)
+        of: dict[str, list] = {n: [] for n in names[1:]}
         number: dict[bytes, int] = {}
-        which = np.array([number.setdefault(c, len(number)) for c in content], dtype=np.int64)
+        which = []
+        for row in table.to_pylist():
+            for n in of:
+                of[n].append(np.frombuffer(row[n], np.int64))
+            ends = np.cumsum(of["sizes"][-1] + WINDOW - 1)
+            data = zstandard.ZstdDecompressor().decompress(row["data"])
+            which += [number.setdefault(data[a:b], len(number)) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        ids, tags, firsts, sizes = (np.concatenate(of[n]) for n in names[1:])
+        which = np.array(which, dtype=np.int64)
         least = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(least, which, ids)
-        lowest = list(covered_windows(list(number), least))
-        found: list[list[int]] = [[], [], [], []]
-        for i, k in enumerate(which.tolist()):
-            hit = lowest[k] < ids[i]
-            if not hit.any():
-                continue
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-            for low, high in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                for into, value in zip(found, (ids[i], tags[i], firsts[i] + low, high - low)):
-                    into.append(value)
-        ids, tags, firsts, sizes = (np.array(x, dtype=np.int64) for x in found)
-        to, rows = _spread(ids, buckets), []
-        for b in np.unique(to):
-            at = np.flatnonzero(to == b)
-            rows.append({"bucket": int(b), "ids": ids[at].tobytes(), "tags": tags[at].tobytes(),
-                         "firsts": firsts[at].tobytes(), "sizes": sizes[at].tobytes()})
-        return pa.Table.from_pylist(rows, schema=pa.schema(
-            [("bucket", pa.int32())] + [(n, pa.binary()) for n in ("ids", "tags", "firsts", "sizes")]))
+        lowest = lowest_ids(list(number), least)
+        counts = np.zeros(len(number), dtype=np.int64)
+        counts[which] = sizes
+        # All windows of all stretches one after the other, and the runs of covered ones among them.
+        before, at = np.cumsum(sizes) - sizes, np.cumsum(counts) - counts
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        place = np.arange(int(sizes.sum())) - before[owner]
+        hit = lowest[at[which[owner]] + place] < ids[owner]
+        opens = np.flatnonzero(hit & ((place == 0) | ~np.concatenate([[False], hit[:-1]])))
+        closes = np.flatnonzero(hit & ((place == sizes[owner] - 1) | ~np.concatenate([hit[1:], [False]])))
+        found = owner[opens]
+        return pa.Table.from_pylist(
+            _rows(None, _spread(ids[found], buckets), ids[found], tags[found], firsts[found] + place[opens], closes - opens + 1),
+            schema=pa.schema([("bucket", pa.int32())] + [(n, pa.binary()) for n in names[1:]]))
     return run
 
 
@@ -403,9 +402,8 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", wit
     blocks = named.select("doc", "text").mapInArrow(_hashes(bits), HASHES)
     active = blocks.groupBy("block").applyInArrow(_shared(bits, buckets), ACTIVE)
     packs = named.mapInArrow(_texts(buckets), TEXTS)
-    found = written(packs.groupBy("bucket").cogroup(active.groupBy("bucket")).applyInArrow(_stretches(bits, buckets), STRETCHES), "stretches")
-    covered = (found.where("kind = 0").drop("kind").groupBy("bucket").applyInArrow(_sorted_bucket(buckets), COVERED)
-               .unionByName(found.where("kind = 1").drop("kind", "data")))
+    found = packs.groupBy("bucket").cogroup(active.groupBy("bucket")).applyInArrow(_stretches(bits, buckets), STRETCHES)
+    covered = found.groupBy("kind", "bucket").applyInArrow(_sorted_bucket(buckets), COVERED)
     done = packs.groupBy("bucket").cogroup(covered.groupBy("bucket")).applyInArrow(_removed(with_text), RESULT)
     unnamed = rows.where("doc is null").select(
         "doc", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
