@@ -83,7 +83,7 @@ def test_toxicity_of_held_out_rows(spark):
 
 def test_toxicity_awkward(spark, odd, nothing):
     texts = [(i, prose(i + 900, 30) + (" vile" if i % 4 == 0 else "")) for i in range(200)]
-    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(0, 200, 2)] + [(None, 1, 1), (3, None, None)], LABELS)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200) if i % 8 < 4] + [(None, 1, 1), (3, None, None)], LABELS)
     model = toxicity.fit(documents(spark, texts), labels)
     got = toxicity.predict(spark.createDataFrame([(1, "so VILE!"), (2, "so calm"), (3, None), (4, "")], "doc_id long, text string"), model).collect()
     assert [r.predicted for r in sorted(got, key=lambda r: r.doc_id)] == [1, 0, 0, 0]

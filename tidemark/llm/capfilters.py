@@ -21,8 +21,8 @@ from tidemark.llm.common import components, ship_code, written
 
 PARTS = 2
 CODES = 96
-ALPHA = 0.40  # bound of the score, in [-1, 1]
-LEAST = 8
+ALPHA = 0.36  # bound of the score, in [-1, 1]
+LEAST = 16
 SEED = 11
 BLOCK_ROWS = 1024
 
@@ -131,15 +131,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, vec: str = "vec_id"
     label always link. Rows that repeat an id are vectors of their own. Other columns are ignored.
     """
     ship_code(vectors.sparkSession)
-    rows = vectors.select(F.col(vec).alias("vec"), F.col(label).alias("label"), F.col(embedding).cast("array<double>").alias("embedding"))
+    rows = vectors.select(F.col(vec).alias("vec"), F.col(label).alias("label"), F.col(embedding).alias("embedding"))
     sound = F.expr("""vec is not null and label is not null and embedding is not null and size(embedding) > 0
         and forall(embedding, c -> c is not null and not isnan(c) and abs(c) < double('infinity'))
         and exists(embedding, c -> c <> 0)""")
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
     good = rows.where("sound")
     classes = written(good.groupBy("label", "embedding").agg(F.min("vec").alias("class"), F.count("*").alias("copies")), "vectors")
-    kind = dict(classes.dtypes)["label"]
-    passed = classes.mapInArrow(_filters, f"label {kind}, embedding array<double>, class long, copies long, filters array<int>")
+    kinds = dict(classes.dtypes)
+    passed = classes.mapInArrow(
+        _filters, f"label {kinds['label']}, embedding {kinds['embedding']}, class long, copies long, filters array<int>")
     buckets = written(passed.withColumn("filter", F.explode("filters")), "buckets")
     sizes = buckets.groupBy("label", "filter").agg(F.count("*").alias("members")).where("members > 1")
     parts = f"cast((members + {BLOCK_ROWS - 1}) div {BLOCK_ROWS} as int)"

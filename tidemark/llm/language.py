@@ -64,8 +64,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [gram_counts(t) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([a.astype(np.int32) for a, _ in rows], pa.list_(pa.int32())),
-             pa.array([c.astype(np.int32) for _, c in rows], pa.list_(pa.int32())), batch.column(1), batch.column(2)],
+            [pa.array([a.astype(np.int32).tobytes() for a, _ in rows], pa.binary()),
+             pa.array([c.astype(np.int32).tobytes() for _, c in rows], pa.binary()), batch.column(1), batch.column(2)],
             names=["at", "n", "lang", "rank"])
 
 
@@ -138,11 +138,11 @@ def fit(docs: DataFrame, rows_per_language: int = 500, languages: int = 64) -> M
               .where(F.col("n") <= rows_per_language).select("doc_id", F.col("lang").alias("label"), "rank").distinct())
     # Bounded by the two parameters, so it may be broadcast.
     sample = (usable.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("label").alias("lang"), "rank")
-              .mapInArrow(_features, "at array<int>, n array<int>, lang string, rank long").collect())
+              .mapInArrow(_features, "at binary, n binary, lang string, rank long").collect())
     rows, kept = [], []
     for r in sorted(sample, key=lambda r: (r["rank"], r["lang"])):
-        at = np.array(r["at"], dtype=np.int64)
-        row = (at, weigh(at, np.array(r["n"]), idf), names.index(r["lang"]))
+        at = np.frombuffer(r["at"], np.int32)
+        row = (at, weigh(at, np.frombuffer(r["n"], np.int32), idf).astype(np.float32), names.index(r["lang"]))
         (kept if len(rows) + len(kept) and r["rank"] % 5 == 0 else rows).append(row)
     weights, bias = train(rows, len(names)) if names else (np.zeros((FEATURES, 0)), np.zeros(0))
     model = Model(names, idf.astype(np.float32), weights.astype(np.float32), bias, 1.0)

@@ -86,8 +86,8 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = list(distinct_words(batch.column(0)))
-        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.int32()))],
+        found = [w.tobytes() for w in distinct_words(batch.column(0))]
+        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.binary())],
                                          names=["toxic", "rank", "words"])
 
 
@@ -111,9 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: i
                  .orderBy("rank", "doc_id").limit(unlabelled).withColumn("toxic", F.lit(0)))
     # Bounded by the two parameters, so it may be broadcast.
     sample = (texts.join(F.broadcast(sure.unionByName(any_label)), "doc_id").select("text", "toxic", "rank")
-              .mapInArrow(_features, "toxic int, rank long, words array<int>").collect())
-    sample.sort(key=lambda r: (r["rank"], r["words"]))
-    rows = {k: [np.array(r["words"], dtype=np.int32) for r in sample if r["toxic"] == k] for k in (0, 1)}
+              .mapInArrow(_features, "toxic int, rank long, words binary").collect())
+    sample.sort(key=lambda r: (r["rank"], bytes(r["words"])))
+    rows = {k: [np.frombuffer(r["words"], np.int32) for r in sample if r["toxic"] == k] for k in (0, 1)}
     return train(rows[1], rows[0], prior)
 
 
