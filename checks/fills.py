@@ -237,3 +237,31 @@ def conversion_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return convert.with_conversion_spec(views.trades(spark, sf_dir), spec).select(
         "symbol", "ord", "line", "to_currency", "unit_factor")
+
+
+@check("convert_by_spec", over("trades", "rates", then=f"""{PRICED}
+    , wish AS (SELECT 'P' || p_partkey AS symbol, CASE WHEN p_size % 3 = 0 THEN 'EUR' END AS to_currency,
+                      CASE WHEN p_size % 2 = 0 THEN 'USF' ELSE 'ECB' END AS source,
+                      CASE WHEN p_size % 5 = 0 THEN 'BBL' END AS to_unit,
+                      CASE WHEN p_size % 4 = 0 THEN 7.5::DOUBLE END AS unit_factor FROM part)
+    SELECT p.symbol, p.ord, p.line, CASE WHEN w.to_currency IS NULL THEN p.currency ELSE 'EUR' END AS currency,
+           CASE WHEN w.to_unit IS NULL THEN 'MT' ELSE 'BBL' END AS unit,
+           (CASE WHEN w.to_currency IS NULL THEN p.close ELSE p.v * r.rate END)
+           * (CASE WHEN w.to_unit IS NULL THEN 1 ELSE coalesce(w.unit_factor, 7.33::DOUBLE) END) AS close
+    FROM (SELECT p.*, w.source AS wished FROM priced p JOIN wish w USING (symbol)) p JOIN wish w ON w.symbol = p.symbol
+    ASOF LEFT JOIN rates r ON p.wished = r.source AND p.major = r.currency AND p.tradedatetimeutc >= r.ts"""), digits=None)
+def convert_by_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each symbol's own target currency, source, unit and factor, applied."""
+    size = F.col("p_size")
+    spec = views.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("P"), "p_partkey").alias("symbol"),
+        F.when(size % 3 == 0, "EUR").otherwise("").alias("to_currency"),
+        F.when(size % 2 == 0, "USF").otherwise("ECB").alias("currency_source"),
+        F.when(size % 5 == 0, "BBL").otherwise("").alias("to_unit"),
+        F.when(size % 4 == 0, 7.5).otherwise(0.0).alias("unit_factor"),
+    )
+    rates = views.rates(spark, sf_dir).withColumn("to_currency", F.lit("EUR"))
+    units = spec.limit(1).select(F.lit("MT").alias("unit"), F.lit("BBL").alias("to_unit"), F.lit(7.33).alias("factor"))
+    prices = views.trades(spark, sf_dir).withColumn("unit", F.lit("MT"))
+    return convert.convert_by_spec(prices, spec, rates, units, ["close"]).select(
+        "symbol", "ord", "line", "currency", "unit", "close")

@@ -21,7 +21,7 @@ def market(spark: SparkSession, sf_dir: str) -> MarketData:
     return MarketData({
         "prices": views.daily(spark, sf_dir), "ticks": views.ticks(spark, sf_dir),
         "curves": views.curve(spark, sf_dir), "series": views.series(spark, sf_dir),
-        "instruments": views.instruments(spark, sf_dir), "rates": views.rates(spark, sf_dir),
+        "instruments": views.instruments(spark, sf_dir), "rates": views.rates(spark, sf_dir).withColumn("to_currency", F.lit("EUR")),
         "metadata": views.metadata(spark, sf_dir), "folders": views.folders(spark, sf_dir),
         "chain": views.chain(spark, sf_dir), "holidays": holidays,
         "calendars": holidays.select("calendar", F.lit("Expiry").alias("calendartype")).distinct(),
@@ -41,19 +41,35 @@ def request_daily_interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("request_daily_converted", over("daily", "rates", then="""
     , d AS (SELECT *, CASE currency WHEN 'USC' THEN 'USD' WHEN 'GBC' THEN 'GBP' ELSE currency END AS major,
-                CASE WHEN currency IN ('USC', 'GBC') THEN close / 100 ELSE close END AS v
+                CASE WHEN currency IN ('USC', 'GBC') THEN 100 ELSE 1 END AS parts
             FROM daily WHERE tradedatetimeutc >= DATE '1996-01-01'
                          AND tradedatetimeutc < DATE '1998-01-01')
-    SELECT d.symbol, d.tradedatetimeutc, d.v * r.rate AS close, 'EUR' AS currency
+    SELECT d.symbol, d.tradedatetimeutc, (d.close - 1) / d.parts * r.rate AS open,
+           (d.close + 2) / d.parts * r.rate AS high, d.close / d.parts * r.rate AS close, volume, 'EUR' AS currency
     FROM d ASOF LEFT JOIN (SELECT * FROM rates WHERE source = 'USF') r
-         ON d.major = r.currency AND d.tradedatetimeutc >= r.ts"""), digits=None)
+         ON d.major = r.currency AND d.tradedatetimeutc >= r.ts"""))
 def request_daily_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market(spark, sf_dir).get_daily(
-        "P<*>", ["symbol", "tradedatetimeutc", "close", "currency"],
+    """All price columns change with the currency, the volume does not."""
+    prices = views.daily(spark, sf_dir).withColumns({"open": F.col("close") - 1, "high": F.col("close") + 2})
+    return market(spark, sf_dir).with_table("prices", prices).get_daily(
+        "P<*>", ["symbol", "tradedatetimeutc", "open", "high", "close", "volume", "currency"],
         startdate=dt.date(1996, 1, 1), enddate=dt.date(1997, 12, 31), currency="EUR",
         currencysource="USF")
 
 
+@check("request_daily_filled_fields", over("daily", then=f"""{OBS}
+    SELECT symbol, day::TIMESTAMP AS tradedatetimeutc, round({LINE} + 1e-7::DOUBLE, 5) AS close,
+           round({LINE} + 2 + 1e-7::DOUBLE, 5) AS high
+    FROM dense WHERE isodow(day) <= 5"""))
+def request_daily_filled_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the interpolated history, in two price columns."""
+    prices = views.daily(spark, sf_dir).withColumn("high", F.col("close") + 2)
+    out = market(spark, sf_dir).with_table("prices", prices).get_daily(
+        "P<*>", ["symbol", "tradedatetimeutc", "close", "high"], fill="interpolate")
+    return out.select("symbol", F.col("tradedatetimeutc").cast("timestamp").alias("tradedatetimeutc"),
+                      *[F.round(F.col(c) + 1e-7, 5).alias(c) for c in ("close", "high")])
+
+
 @check("request_daily_corrections", over("corrections", then=TAGGED + """
     SELECT symbol, tradedatetimeutc, close, lastupdatetime, updatetype FROM tagged
     WHERE updatetype = 'U'"""))

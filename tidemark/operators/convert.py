@@ -53,6 +53,15 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str
     )
 
 
+def _with_rate(prices: DataFrame, rates: DataFrame, keys: dict[str, str], time: str, grain: str) -> DataFrame:
+    """``prices`` with ``rate``: that of the row's major currency and of the rate columns named by
+    ``keys`` (rate column to price column), in force at its time."""
+    major = prices.withColumn("_ccy", major_currency(F.col("currency")))
+    quoted = rates.select(F.col("currency").alias("_ccy"), *[F.col(r).alias(c) for r, c in keys.items()],
+                          F.col("ts").alias(time), "rate")
+    return as_of_join(major, quoted, ["_ccy", *keys.values()], time, ["rate"], grain).drop("_ccy")
+
+
 def convert_currency(prices: DataFrame, rates: DataFrame, source: str, value: str = "close",
                      time: str = "tradedatetimeutc", grain: str = "day") -> DataFrame:
     """Add ``rate`` and ``converted``: minor units become major, then the rate in force applies.
@@ -60,15 +69,46 @@ def convert_currency(prices: DataFrame, rates: DataFrame, source: str, value: st
     ``rates`` gives, per (currency, source, ts), the value of one major unit in the target
     currency. A price without a rate converts to NULL, never to its own value.
     """
-    major = prices.withColumns(
-        {"_ccy": major_currency(F.col("currency")),
-         "_major": major_value(F.col(value), F.col("currency"))}
-    )
-    quoted = rates.where(F.col("source") == source).select(
-        F.col("currency").alias("_ccy"), F.col("ts").alias(time), "rate"
-    )
-    joined = as_of_join(major, quoted, ["_ccy"], time, ["rate"], grain)
-    return joined.withColumn("converted", F.col("_major") * F.col("rate")).drop("_ccy", "_major")
+    joined = _with_rate(prices, rates.where(F.col("source") == source), {}, time, grain)
+    return joined.withColumn("converted", major_value(F.col(value), F.col("currency")) * F.col("rate"))
+
+
+def convert_prices(prices: DataFrame, rates: DataFrame, source: str, target: str,
+                   values: Sequence[str], time: str = "tradedatetimeutc", grain: str = "day") -> DataFrame:
+    """``prices`` with every column of ``values`` and ``currency`` in the target currency.
+
+    ``rates`` names the target of each rate in ``to_currency``: a row is never called by a currency
+    that its rate does not lead to.
+    """
+    if "to_currency" not in rates.columns:
+        raise ValueError("rates need a to_currency column")
+    led = rates.where((F.col("source") == source) & (F.col("to_currency") == target))
+    joined = _with_rate(prices, led, {}, time, grain)
+    changed = {v: major_value(F.col(v), F.col("currency")) * F.col("rate") for v in values}
+    return joined.withColumns(changed).withColumn("currency", F.lit(target)).select(*prices.columns)
+
+
+def convert_by_spec(prices: DataFrame, spec: DataFrame, rates: DataFrame, factors: DataFrame,
+                    values: Sequence[str], time: str = "tradedatetimeutc", grain: str = "day") -> DataFrame:
+    """Convert every row as its symbol's spec says: currency by ``to_currency`` and
+    ``currency_source``, then unit by ``to_unit`` and ``unit_factor``.
+
+    Rows of symbols without a wish for a currency, or a unit, keep theirs; a wish that no rate or
+    factor meets gives NULL. A ``unit_factor`` wins over ``factors (unit, to_unit, factor)``.
+    """
+    wished = with_conversion_spec(prices, spec)
+    rated = _with_rate(wished, rates, {"source": "currency_source", "to_currency": "to_currency"}, time, grain)
+    asks = F.col("to_currency").isNotNull()
+    rated = rated.withColumns(
+        {v: F.when(asks, major_value(F.col(v), F.col("currency")) * F.col("rate")).otherwise(F.col(v)) for v in values}
+    ).withColumn("currency", F.coalesce("to_currency", "currency"))
+    known = factors.select(F.col("unit").alias("_from"), F.col("to_unit").alias("_to"), "factor")
+    measured = rated.join(known, (F.col("unit") == F.col("_from")) & (F.col("to_unit") == F.col("_to")), "left")
+    times = F.coalesce("unit_factor", "factor")
+    asks = F.col("to_unit").isNotNull()
+    return measured.withColumns(
+        {v: F.when(asks, F.col(v) * times).otherwise(F.col(v)) for v in values}
+    ).withColumn("unit", F.coalesce("to_unit", "unit")).select(*prices.columns)
 
 
 def convert_units(prices: DataFrame, factors: DataFrame, value: str = "close") -> DataFrame:

@@ -85,6 +85,26 @@ def fill(daily: DataFrame, keys: Sequence[str], day: str, value: str, method: st
     )
 
 
+def daily_rows(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[str],
+               tie: Sequence[str] = ()) -> DataFrame:
+    """Last row of each key and day, with the named values."""
+    at = F.struct(time, *tie)
+    return df.groupBy(*keys, F.to_date(time).alias("day")).agg(*[F.max_by(v, at).alias(v) for v in values])
+
+
+def fill_all(daily: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], method: str,
+             calendar: str = "sevendays", enddate: dt.date | None = None) -> DataFrame:
+    """``fill`` for several value columns on one grid: one row per (key, day, column) is filled, and the
+    columns are put together again by a combining aggregation."""
+    if method == "nofill":
+        return daily.select(*keys, day, *values)
+    long = daily.select(*keys, day, *[F.col(v).cast("double").alias(v) for v in values]).unpivot(
+        [*keys, day], list(values), "_field", "_filled")
+    filled = fill(long, [*keys, "_field"], day, "_filled", method, calendar, enddate)
+    return filled.groupBy(*keys, day).agg(
+        *[F.max(F.when(F.col("_field") == v, F.col("_filled"))).alias(v) for v in values])
+
+
 def lead_lag(daily: DataFrame, keys: Sequence[str], day: str, value: str, n: int,
              kind: int | str = "quoteddays", out: str = "shifted") -> DataFrame:
     """Value ``n`` steps earlier (negative: later).

@@ -89,25 +89,23 @@ class MarketData:
             return filters.latest_revision(df, ["symbol", time], order)
         return df
 
-    def _converted(self, df: DataFrame, time: str, value: str, currency: str | None,
+    def _converted(self, df: DataFrame, time: str, currency: str | None,
                    source: str | None, unit: str | None) -> DataFrame:
-        kept = df.columns
+        """Every price column of the rows in the wanted currency and unit."""
+        values = [c for c in schemas.PRICE_VALUES if c in df.columns]
         if currency is not None:
             if currency not in schemas.CURRENCIES:
                 raise ValueError(f"unknown currency: {currency}")
-            rates = self._table("rates")
-            if "to_currency" in rates.columns:
-                rates = rates.where(F.col("to_currency") == currency)
-            df = convert.convert_currency(df, rates, source or "ECB", value, time)
-            df = df.withColumn(value, F.col("converted")).withColumn("currency", F.lit(currency))
-            df = df.select(*kept)
+            if "currency" not in df.columns:
+                raise ValueError("these rows have no currency to convert from")
+            df = convert.convert_prices(df, self._table("rates"), source or "ECB", currency, values, time)
         if unit is not None:
             if unit not in schemas.UNITS:
                 raise ValueError(f"unknown unit: {unit}")
-            df = convert.convert_units(
-                df.withColumn("to_unit", F.lit(unit)), self._table("units"), value)
-            df = df.withColumn(value, F.col("converted")).withColumn("unit", F.lit(unit))
-            df = df.select(*kept)
+            kept = df.columns
+            df = convert.convert_units(df.withColumn("to_unit", F.lit(unit)), self._table("units"), values[0])
+            df = df.withColumns({v: F.col(v) * F.col("factor") for v in values})
+            df = df.withColumn("unit", F.lit(unit)).select(*kept)
         return df
 
     def get_daily(self, symbols: Symbols, fields: Fields = None, daysback: int | None = None,
@@ -126,22 +124,29 @@ class MarketData:
         limits = dict(daysback=daysback, startdate=startdate, enddate=enddate, ondate=ondate,
                       version=version, anchor=anchor)
         if aggregatetype is not None:
+            if settledonly or updatetype is not None or lastupdatetime is not None:
+                raise ValueError("settledonly and corrections do not apply to aggregated hours")
             ticks = self._rows(self._table("ticks"), "ts", symbols, **limits)
+            ticks = self._converted(ticks, "ts", currency, currencysource, lotunits)
             df = bars.aggregate_hours(ticks, aggregatetype, tie=self._tie("ticks"))
             df = df.withColumnRenamed("day", TIME)
+            if currency is not None:
+                df = df.withColumn("currency", F.lit(currency))
         else:
             df = self._rows(self._table("prices"), TIME, symbols, **limits)
             if settledonly:
                 df = filters.settled_only(df)
             df = self._corrected(df, "prices", TIME, updatetype, lastupdatetime)
-        df = self._converted(df, TIME, "close", currency, currencysource, lotunits)
+            df = self._converted(df, TIME, currency, currencysource, lotunits)
+        tie = [c for c in self._tie("prices") if c in df.columns]
         if fill is not None:
-            daily = filling.daily_last(df, ["symbol"], TIME, "close").withColumnRenamed("day", TIME)
-            df = filling.fill(daily, ["symbol"], TIME, "close", fill, fill_calendar, enddate)
+            values = [c for c in (*schemas.PRICE_VALUES, "volume", "openinterest") if c in df.columns]
+            daily = filling.daily_rows(df, ["symbol"], TIME, values, tie).withColumnRenamed("day", TIME)
+            df, tie = filling.fill_all(daily, ["symbol"], TIME, values, fill, fill_calendar, enddate), []
         if recordsback is not None:
-            df = filters.records_back(df, ["symbol"], TIME, recordsback)
+            df = filters.records_back(df, ["symbol"], TIME, recordsback, tie)
         if maxrows is not None:
-            df = filters.max_rows(df, ["symbol", TIME], maxrows)
+            df = filters.max_rows(df, ["symbol", TIME, *tie], maxrows)
         return df if fields is None else conform.select_fields(df, fields)
 
     def get_intraday(self, symbols: Symbols, fields: Fields = None, daysback: int | None = None,
@@ -161,7 +166,7 @@ class MarketData:
                         anchor=anchor)
         if updatetype is not None or lastupdatetime is not None:
             df = self._corrected(df, "ticks", "ts", updatetype, lastupdatetime)
-        df = self._converted(df, "ts", "last", currency, currencysource, lotunits)
+        df = self._converted(df, "ts", currency, currencysource, lotunits)
         zone: Column | str | None = F.col("zone") if timezone == "publisher" else timezone
         if aggregatetype:
             peak = bars.is_peak(df["ts"] if zone is None else F.from_utc_timestamp("ts", zone))
@@ -172,7 +177,8 @@ class MarketData:
         if intradaybarinterval is not None:
             df, time = bars.bars(df, intradaybarinterval, tie=self._tie("ticks")), "bar"
         if recordsback is not None:
-            df = filters.records_back(df, ["symbol"], time, recordsback)
+            tie = [c for c in self._tie("ticks") if c in df.columns]
+            df = filters.records_back(df, ["symbol"], time, recordsback, tie)
         return df if fields is None else conform.select_fields(df, fields)
 
     def get_quote(self, symbols: Symbols, fields: Fields = "QUOTE_ALL") -> DataFrame:
@@ -193,7 +199,7 @@ class MarketData:
                             daysback: int | None = None,
                             anchor: dt.datetime | None = None) -> DataFrame:
         df = self._rows(self._table("ticks"), "ts", symbols, daysback=daysback, anchor=anchor)
-        df = df.orderBy("symbol", "ts")
+        df = df.orderBy("symbol", "ts", *self._tie("ticks"))
         return df if fields is None else conform.select_fields(df, fields)
 
     # --- curves and series -----------------------------------------------------------------------
@@ -202,7 +208,8 @@ class MarketData:
                   securitytype: str | None = None, ondate: dt.date | None = None) -> DataFrame:
         if fields is None:
             raise ValueError("fields are required")
-        found = curves.option_chain(self._table("prices"), optionroot, securitytype, ondate)
+        found = curves.option_chain(self._table("prices"), optionroot, securitytype, ondate,
+                                    tie=self._tie("prices"))
         return conform.select_fields(found, fields)
 
     def _curves(self, symbol: str | Sequence[str], ignoreerrors: bool) -> DataFrame:

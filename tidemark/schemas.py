@@ -41,6 +41,9 @@ PRICE_NUMBERS = [
     "prevlast", "lastopen", "lasthigh", "lastlow", "lastclose", "lastvolume", "bid", "ask",
     "bidsize", "asksize", "strike",
 ]
+# Those of the numbers that are prices, and so change with the currency and the unit.
+PRICE_VALUES = ["open", "high", "low", "close", "last", "midpoint", "mostrecentvalue", "prevlast",
+                "lastopen", "lasthigh", "lastlow", "lastclose", "bid", "ask", "strike"]
 PRICE_KEY = ["symbol", "tradedatetimeutc", "pricesymbol"]
 PRICE_AUDIT = ["created_at", "updated_at", "data_source"]
 PRICE_SENTINELS = ["nan", "None", "NaN", ""]
