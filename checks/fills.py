@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.base import check, day, over
@@ -38,15 +38,27 @@ def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "symbol", F.to_date("tradedatetimeutc").alias("day"), F.col("close").alias("value"))
 
 
+def checksum(value: str, date: str) -> Column:
+    n = F.datediff(date, F.lit(dt.date(1995, 1, 1))).cast("long")
+    return F.sum(F.floor(F.col(value) * 1000 + 0.0137).cast("long") * (n * n % 7919))
+
+
+def checksum_sql(value: str, date: str) -> str:
+    n = f"date_diff('day', DATE '1995-01-01', {date})"
+    return f"sum(floor({value} * 1000 + 0.0137::DOUBLE)::BIGINT * ({n} * {n} % 7919))::BIGINT"
+
+
 def _summary(df: DataFrame) -> DataFrame:
     """Per symbol and year, what a wrong date or value would change.
 
-    The small offset moves sums off the rounding ties that halves of cents often hit.
+    The checksum weighs the thousandths of every single day by a number of that day, in whole numbers:
+    errors of two days do not cancel. The small offsets move values off rounding ties.
     """
     n = F.datediff("day", F.lit(dt.date(1995, 1, 1)))
     return df.groupBy("symbol", F.year("day").alias("year")).agg(
         F.count("*").alias("days"), F.round(F.sum("value") + 1e-5, 3).alias("total"),
         F.round(F.sum(F.col("value") * n) / F.sum(n) + 1e-5, 3).alias("weighted"),
+        checksum("value", "day").alias("checksum"),
         F.min("day").alias("first_day"), F.max("day").alias("last_day"),
     )
 
@@ -57,6 +69,7 @@ def _summary_sql(value: str, keep: str = "true", source: str = "dense") -> str:
         SELECT symbol, day, {value} AS value FROM {source} WHERE {keep})
     SELECT symbol, year(day)::INT AS year, count(*) AS days, round(sum(value) + 1e-5::DOUBLE, 3) AS total,
            round(sum(value * {n}) / sum({n}) + 1e-5::DOUBLE, 3) AS weighted,
+           {checksum_sql('value', 'day')} AS checksum,
            {day('min(day)')} AS first_day, {day('max(day)')} AS last_day
     FROM filled GROUP BY 1, 2""")
 
@@ -98,6 +111,7 @@ def fill_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT symbol, year(day)::INT AS year, count(*) AS days, round(sum(value) + 1e-5::DOUBLE, 3) AS total,
            round(sum(value * date_diff('day', DATE '1995-01-01', day))
                  / sum(date_diff('day', DATE '1995-01-01', day)) + 1e-5::DOUBLE, 3) AS weighted,
+           {checksum_sql('value', 'day')} AS checksum,
            {day('min(day)')} AS first_day, {day('max(day)')} AS last_day
     FROM every GROUP BY 1, 2"""))
 def fill_projected(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.base import check, day, over
-from checks.fills import LINE, OBS
+from checks.fills import LINE, OBS, checksum, checksum_sql
 from checks.history import BAR_SQL, TAGGED
 from tidemark.plans.requests import MarketData
 from tidemark.sources import views
@@ -57,17 +57,18 @@ def request_daily_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
         currencysource="USF")
 
 
-@check("request_daily_filled_fields", over("daily", then=f"""{OBS}
-    SELECT symbol, day::TIMESTAMP AS tradedatetimeutc, round({LINE} + 1e-7::DOUBLE, 5) AS close,
-           round({LINE} + 2 + 1e-7::DOUBLE, 5) AS high
-    FROM dense WHERE isodow(day) <= 5"""))
+@check("request_daily_filled_fields", over("daily", then=f"""{OBS}, filled AS (
+        SELECT symbol, day, {LINE} AS close FROM dense WHERE isodow(day) <= 5)
+    SELECT symbol, count(*) AS days, {checksum_sql('close', 'day')} AS closes,
+           {checksum_sql('(close + 2)', 'day')} AS highs FROM filled GROUP BY 1"""))
 def request_daily_filled_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of the interpolated history, in two price columns."""
+    """The interpolated history in two price columns, every day of it in a checksum."""
     prices = views.daily(spark, sf_dir).withColumn("high", F.col("close") + 2)
     out = market(spark, sf_dir).with_table("prices", prices).get_daily(
         "P<*>", ["symbol", "tradedatetimeutc", "close", "high"], fill="interpolate")
-    return out.select("symbol", F.col("tradedatetimeutc").cast("timestamp").alias("tradedatetimeutc"),
-                      *[F.round(F.col(c) + 1e-7, 5).alias(c) for c in ("close", "high")])
+    return out.groupBy("symbol").agg(
+        F.count("*").alias("days"), checksum("close", "tradedatetimeutc").alias("closes"),
+        checksum("high", "tradedatetimeutc").alias("highs"))
 
 
 @check("request_daily_corrections", over("corrections", then=TAGGED + """

@@ -321,3 +321,65 @@ def test_empty_batch(spark):
     root = shared_dir(spark, "empty")
     df = spark.createDataFrame([], "symbol string, tradedatetimeutc string, close string")
     assert _run(spark, df, root, "r1") == {"inserted": 0, "skipped": 0, "failed": 0}
+
+
+def test_stored_partitions_outside_the_batch_are_not_read(spark, tmp_path):
+    from tidemark.operators import ingest, mutate
+
+    path = str(tmp_path / "stored")
+    stored = spark.range(300).selectExpr("cast(id as string) as price_hash", "add_months(date'2020-01-01', cast(id % 30 as int)) as trade_month")
+    stored.repartition("trade_month").write.partitionBy("trade_month").parquet(path)
+    batch = spark.createDataFrame([("7", dt.date(2020, 8, 1)), ("new", dt.date(2020, 8, 1))], "price_hash string, trade_month date")
+    table = spark.read.parquet(path)
+    for found in (ingest.unseen_prices(batch, table), mutate.in_partitions_of(table, batch, "trade_month")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+        assert any("subquery" in line.split("PartitionFilters")[1].split("PushedFilters")[0].lower() for line in filters), plan
+    assert [r.price_hash for r in ingest.unseen_prices(batch, table).collect()] == ["new"]
+
+
+def test_fill_runs_from_the_first_to_the_last_row(spark):
+    from tidemark.operators.fill import fill
+
+    rows = [("A", dt.date(2024, 1, d), v) for d, v in ((1, None), (2, 1.0), (4, 3.0), (6, None))]
+    df = spark.createDataFrame(rows, "symbol string, day date, value double")
+
+    def values(method: str) -> list:
+        return [r.value for r in fill(df, ["symbol"], "day", "value", method).orderBy("day").collect()]
+
+    assert values("forward") == [None, 1.0, 1.0, 3.0, 3.0, 3.0]
+    assert values("backward") == [1.0, 1.0, 3.0, 3.0, None, None]
+    assert values("interpolate") == [None, 1.0, 2.0, 3.0, None, None]
+
+
+def test_expired_and_flat_options_do_not_stop_the_chain(spark):
+    from tidemark.operators.options import analytics
+
+    day = dt.date(2024, 1, 15)
+    rows = [("live", dt.date(2024, 7, 15), "C", 100.0, 105.0, 0.2, 9.0), ("expired", day, "C", 100.0, 105.0, 0.2, 5.0),
+            ("put", day, "P", 100.0, 105.0, 0.2, 0.0), ("flat", dt.date(2024, 7, 15), "C", 100.0, 105.0, 0.0, 5.0),
+            ("free", dt.date(2024, 7, 15), "C", 0.0, 105.0, 0.2, 105.0)]
+    df = spark.createDataFrame(rows, "symbol string, expiry date, callput string, strike double, underprice double, vol double, price double")
+    got = {r.symbol: r for r in analytics(df, day, contract_price=["price"]).collect()}
+    assert got["expired"].value == 5.0 and got["put"].value == 0.0 and got["expired"].delta is None
+    assert got["flat"].value == 5.0 and got["free"].value == 105.0 and got["expired"].impvol is None
+    assert got["live"].delta > 0.5 and 0.1 < got["live"].impvol < 0.4
+
+
+def test_double_texts_are_the_shortest(spark):
+    from tidemark.functions.keys import double_text
+
+    values = [0.0, 1.0, 1.5, 12345678.0, 123456789.25, 1e15, 1e16, 1.5e16, 2.5e300, 0.001, 0.00025, 1e-4, 1.5e-5, 1e-7, -12345678.5]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(double_text(F.col("v"))).collect()]
+    assert got == [str(v) for v in values]
+
+
+def test_wildcards_and_missing_keys(spark):
+    from tidemark.operators import filters
+
+    names = spark.createDataFrame([("CAT_F",), ("CATXF",), ("CAT\\F",)], "symbol string")
+    assert [r.symbol for r in filters.wildcard_search(names, "CAT_F").collect()] == ["CAT_F"]
+    assert filters.wildcard_search(names, "CAT%").count() == 3
+    rows = spark.createDataFrame([(None, 1, 5), (None, 2, 5), ("k", None, 5)], "key string, stamp int, x int")
+    got = {(r.key, r.stamp): r.updatetype for r in filters.revisions(rows, ["key"], ["stamp"]).collect()}
+    assert got == {(None, 1): "I", (None, 2): "U", ("k", None): "I"}
