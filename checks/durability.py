@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks.base import check, day, over
 from tidemark.operators import mutate
 from tidemark.plans import jobs
+from tidemark.plans.requests import MarketData
 from tidemark.session import shared_dir
 from tidemark.sources import views
 from tidemark.sources.landing import file_list
@@ -126,3 +127,56 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams.landing_stream(spark, path, COLUMNS, jobs.PRICES, "s", at["target"], at["quarantine"], at["audit"],
                            at["checkpoint"], RUN, files_per_trigger=max(1, len(file_list(spark, path)) // 2)).awaitTermination()
     return spark.read.parquet(at["target"]).groupBy(*KEYS).agg(F.count("*").alias("n"))
+
+
+@check("update_data_stored", f"""
+    WITH rows AS (SELECT 'P' || l_partkey AS symbol, date_trunc('month', l_shipdate) AS index, l_returnflag AS version,
+                         l_extendedprice AS close, l_quantity AS oi FROM lineitem),
+    best AS (SELECT symbol, field, index, version, max(value) AS value FROM (
+        SELECT symbol, 'CLOSE' AS field, index, version, close AS value FROM rows
+        UNION ALL SELECT symbol, 'OPENINTEREST', index, version, oi FROM rows) GROUP BY 1, 2, 3, 4)
+    SELECT symbol, field, {day('index')} AS index, version, value, 'load' AS reason FROM best
+    UNION ALL SELECT 'OLD' || p_partkey, 'CLOSE', '2001-01-01', 'A', p_retailprice, NULL FROM part""")
+def update_data_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide update with INDEX, FREQUENCY, VERSION and open interest, put into a stored series."""
+    wide = views.table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P"), "l_partkey").alias("SYMBOL"), F.lit("").alias("DATE"),
+        F.date_format("l_shipdate", "dd-MM-yyyy").alias("INDEX"), F.lit("1M").alias("FREQUENCY"),
+        F.col("l_returnflag").alias("VERSION"), F.col("l_extendedprice").alias("CLOSE"),
+        F.col("l_quantity").alias("OPENINTEREST"))
+    stored = views.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("OLD"), "p_partkey").alias("symbol"), F.lit("CLOSE").alias("field"),
+        F.lit(None).cast("date").alias("ondate"), F.lit(dt.datetime(2001, 1, 1, tzinfo=dt.timezone.utc)).alias("index"),
+        F.lit("A").alias("version"), F.col("p_retailprice").cast("double").alias("value"))
+    series = mutate.update_data({"series": stored}, wide, "load")["series"]
+    return series.select("symbol", "field", F.to_date("index").alias("index"), "version", "value", "reason")
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored curve inputs of all parts, and a configuration body for every second one."""
+    part = views.table(spark, sf_dir, "part")
+    symbol = F.concat(F.lit("P"), "p_partkey").alias("symbol")
+    stored = part.select(symbol, F.col("p_brand").alias("role"), F.lit("old").alias("product"))
+    body = part.where("p_partkey % 2 = 0").select(symbol, F.array(
+        F.struct(F.col("p_brand").alias("role"), F.col("p_type").alias("product")),
+        F.struct(F.lit("extra").alias("role"), F.col("p_type").alias("product"))).alias("inputs"))
+    return stored, body
+
+
+INPUTS_SQL = """
+    SELECT 'P' || p_partkey AS symbol, p_brand AS role, CASE WHEN p_partkey % 2 = 0 THEN p_type ELSE 'old' END AS product FROM part
+    UNION ALL SELECT 'P' || p_partkey, 'extra', p_type FROM part WHERE p_partkey % 2 = 0"""
+
+
+@check("update_curve_configuration", INPUTS_SQL)
+def update_curve_configuration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, body = _inputs(spark, sf_dir)
+    return mutate.update_curve_configuration({"inputs": stored}, body)["inputs"]
+
+
+@check("symbol_inputs", f"SELECT * FROM ({INPUTS_SQL}) WHERE symbol LIKE 'P1%'")
+def symbol_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inputs of built curves, as a request names them."""
+    stored, body = _inputs(spark, sf_dir)
+    data = MarketData({"curve_inputs": stored}, {})
+    return data.with_table("curve_inputs", data.update_curves(body)["inputs"]).get_symbol_information("P1<*>", info="inputs")

@@ -290,8 +290,8 @@ def contract_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events""")
 def json_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.table(spark, sf_dir, "events").select(
-        "event_id", F.from_json("props", "k bigint")["k"].alias("k"),
-        F.get_json_object("props", "$.k").alias("k_text"),
+        "event_id", casting.json_attribute("props", "k", "bigint").alias("k"),
+        casting.json_attribute("props", "k").alias("k_text"),
     )
 
 

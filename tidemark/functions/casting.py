@@ -90,3 +90,10 @@ FIELD_PARSERS = {
     "string": lambda c: c,
     "datetime": parse_datetime,
 }
+
+
+def json_attribute(body: Column | str, path: str, kind: str = "string") -> Column:
+    """An attribute of a JSON body by its path (``build.buildType``); NULL where it is absent, or does not
+    read as ``kind``."""
+    found = F.get_json_object(F.col(body) if isinstance(body, str) else body, f"$.{path}")
+    return found if kind == "string" else found.try_cast(kind)

@@ -143,14 +143,35 @@ VALUE_FIELDS = ["OPEN", "HIGH", "LOW", "CLOSE", "MID", "LAST", "BID", "ASK", "VO
 SERIES_COLUMNS = ["SYMBOL", "DATE", "CURVEDATE", "INDEX", "FREQUENCY", "VERSION", "FOLDER_PATH"]
 
 
+FREQUENCY_UNITS = {"1D": "days", "1W": "weeks", "1M": "months", "1Q": "quarters", "1Y": "years"}
+
+
+def _truncated(index: Column, frequency: Column) -> Column:
+    """The index at the start of its period where the frequency names one."""
+    out = index
+    for name, unit in FREQUENCY_UNITS.items():
+        out = F.when(frequency == name, period_start(index, unit).cast("timestamp")).otherwise(out)
+    return out
+
+
 def update_prices_long(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Price fields of a wide update as (symbol, field, ondate, index, value) rows."""
+    """Price fields of a wide update as (symbol, field, ondate, index, value) rows.
+
+    ``INDEX`` gives the point's time where it is filled, else ``DATE``; a ``FREQUENCY`` moves it to the
+    start of its period; a ``VERSION`` column is carried on as ``version``.
+    """
     fields = [c for c in wide.columns if c in VALUE_FIELDS]
+    index = parse_datetime(F.col("DATE"), DAY_FIRST) if "DATE" in wide.columns else F.lit(None).cast("timestamp")
+    if "INDEX" in wide.columns:
+        index = F.coalesce(parse_datetime(F.col("INDEX"), DAY_FIRST), index)
+    if "FREQUENCY" in wide.columns:
+        index = _truncated(index, F.upper("FREQUENCY"))
+    if "VERSION" in wide.columns:
+        wide, keep = wide.withColumn("version", F.col("VERSION")), [*keep, "version"]
     ondate = F.to_date(parse_datetime(F.col("CURVEDATE"), DAY_FIRST)) \
         if "CURVEDATE" in wide.columns else F.lit(None).cast("date")
     base = wide.select(
-        F.col("SYMBOL").alias("symbol"), ondate.alias("ondate"),
-        parse_datetime(F.col("DATE"), DAY_FIRST).alias("index"),
+        F.col("SYMBOL").alias("symbol"), ondate.alias("ondate"), index.alias("index"),
         *keep, *[F.col(c).cast("double").alias(c) for c in fields],
     )
     return (
@@ -164,6 +185,9 @@ def update_metadata_long(wide: DataFrame) -> DataFrame:
     """Descriptive and ``*``-marked columns of a wide update as (symbol, property, value) rows."""
     skip = {*VALUE_FIELDS, *SERIES_COLUMNS}
     names = {c: c.lstrip("*") for c in wide.columns if c not in skip}
+    if not names:
+        text = F.lit(None).cast("string")
+        return wide.select(F.col("SYMBOL").alias("symbol"), text.alias("property"), text.alias("value")).where("false")
     base = wide.select(
         F.col("SYMBOL").alias("symbol"),
         *[F.col(f"`{c}`").cast("string").alias(n) for c, n in names.items()],
@@ -180,6 +204,18 @@ def update_folders(wide: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def update_data(stored: dict[str, DataFrame], wide: DataFrame, reason: str | None = None) -> dict[str, DataFrame]:
+    """The stored ``series``, ``metadata`` and ``folders`` with a wide update put in; tables that are
+    not given are not touched. Among repeats of a key the greatest content wins."""
+    rows = {"series": with_reason(update_prices_long(wide), reason), "metadata": update_metadata_long(wide)}
+    if "FOLDER_PATH" in wide.columns:
+        rows["folders"] = update_folders(wide)
+    keys = {"series": SERIES_KEY, "metadata": ["symbol", "property"], "folders": ["path", "symbol"]}
+    if "series" in stored and "version" in stored["series"].columns and "version" in rows["series"].columns:
+        keys["series"] = [*SERIES_KEY, "version"]
+    return {n: upsert(stored[n], rows[n], keys[n], by_content(rows[n], keys[n])) for n in rows if n in stored}
+
+
 # --- long series ---------------------------------------------------------------------------------
 
 SERIES_KEY = ["symbol", "field", "ondate", "index"]
@@ -197,14 +233,11 @@ def series_rows(body: DataFrame, frequency: str | None = None,
         F.to_date(parse_datetime(F.nullif(F.col("ONDATE"), F.lit("")))).alias("ondate"),
         index, F.col("VALUE").cast("double").alias("value"), *keep,
     )
-    units = {"1D": "days", "1W": "weeks", "1M": "months", "1Q": "quarters", "1Y": "years"}
     if frequency is None:
         return rows
-    if frequency not in units:
+    if frequency not in FREQUENCY_UNITS:
         raise ValueError(f"unknown frequency: {frequency}")
-    return rows.withColumn(
-        "index", period_start(F.col("index"), units[frequency]).cast("timestamp")
-    )
+    return rows.withColumn("index", _truncated(F.col("index"), F.lit(frequency)))
 
 
 def update_timeseries(stored: DataFrame, rows: DataFrame,
@@ -247,6 +280,19 @@ def curve_configuration(body: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def update_curve_configuration(stored: dict[str, DataFrame], body: DataFrame) -> dict[str, DataFrame]:
+    """The stored configuration tables with those of a body put in: curves by symbol, the others by
+    (symbol, name), where the first column of a part is its name if none is called so."""
+    out = dict(stored)
+    for part, rows in curve_configuration(body).items():
+        if part not in stored:
+            continue
+        rest = [c for c in rows.columns if c != "symbol"]
+        keys = ["symbol"] if part == "curve" else ["symbol", "name" if "name" in rest else rest[0]]
+        out[part] = upsert(stored[part], rows, keys, by_content(rows, keys))
+    return out
+
+
 # --- symbols, metadata, folders ------------------------------------------------------------------
 
 def delete_symbol(stored: DataFrame, symbols: Sequence[str] | DataFrame) -> DataFrame:

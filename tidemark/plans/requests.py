@@ -181,18 +181,21 @@ class MarketData:
             df = filters.records_back(df, ["symbol"], time, recordsback, tie)
         return df if fields is None else conform.select_fields(df, fields)
 
-    def get_quote(self, symbols: Symbols, fields: Fields = "QUOTE_ALL") -> DataFrame:
-        """Newest row per symbol with previous-session, change and running fields."""
+    def get_quote(self, symbols: Symbols, fields: Fields = "QUOTE_ALL", grain: str = "month") -> DataFrame:
+        """Newest row per symbol with previous-session, change and running fields. ``grain`` sizes the
+        segments that histories are cut into: smaller for very dense symbols."""
         if symbols is None or fields is None:
             raise ValueError("symbols and fields are required")
         prices = filters.for_symbols(self._table("prices"), symbols)
         made = {*history.SESSION_FIELDS, "netchange", "percentchange", "mostrecentvalue",
                 "mostrecentvaluedate", "lasttradedirection", "historicvolume"}
         rows = history.session_fields(
-            prices.select(*[c for c in prices.columns if c not in made]), TIME, self._tie("prices"))
+            prices.select(*[c for c in prices.columns if c not in made]), TIME, self._tie("prices"), grain)
         if "midpoint" not in rows.columns:
             rows = rows.withColumn("midpoint", bars.midpoint(rows))
-        rest = [c for c in rows.columns if c not in ("symbol", TIME)]
+        asked = set(schemas.FIELD_PRESETS.get(fields.upper(), ()) if isinstance(fields, str) else
+                    [f[0] if isinstance(f, (list, tuple)) else f for f in fields])
+        rest = [c for c in rows.columns if c not in ("symbol", TIME) and c in {str(a).strip('"') for a in asked}]
         return conform.select_fields(bars.latest_quote(rows, rest, TIME, self._tie("prices")), fields)
 
     def get_historical_tick(self, symbols: Symbols, fields: Fields = None,
@@ -246,8 +249,14 @@ class MarketData:
     def search_curves(self, **wanted: str) -> DataFrame:
         return curves.search_curves(self._table("curve_config"), **wanted)
 
-    def update_curves(self, body: DataFrame) -> DataFrame:
-        """The stored curve points with the body's tenors put in."""
+    def update_curves(self, body: DataFrame) -> DataFrame | dict[str, DataFrame]:
+        """The stored curve points with the body's tenors put in. A body without tenors is a
+        configuration: the tables of its parts then."""
+        if "tenors" not in body.columns:
+            names = {"curve": "curve_config", "inputs": "curve_inputs", "settings": "curve_settings",
+                     "properties": "curve_properties"}
+            held = {part: self.tables[name] for part, name in names.items() if name in self.tables}
+            return mutate.update_curve_configuration(held, body)
         return mutate.update_curves(self._table("curve_points"), body)
 
     def get_curve_timeseries(self, symbol: Symbols, curvedate: dt.date | str,
@@ -267,8 +276,12 @@ class MarketData:
     def delete_timeseries(self, items: DataFrame) -> DataFrame:
         return mutate.delete_timeseries(self._table("series"), items)
 
-    def update_data(self, wide: DataFrame, reason: str | None = None) -> dict[str, DataFrame]:
-        """What a wide update makes of the series, metadata and folder tables."""
+    def update_data(self, wide: DataFrame, reason: str | None = None,
+                    stored: bool = False) -> dict[str, DataFrame]:
+        """The series, metadata and folder rows of a wide update; with ``stored``, these tables as the
+        update leaves them."""
+        if stored:
+            return mutate.update_data(self.tables, wide, reason)
         out = {"series": mutate.with_reason(mutate.update_prices_long(wide), reason),
                "metadata": mutate.update_metadata_long(wide)}
         if "FOLDER_PATH" in wide.columns:
