@@ -27,12 +27,12 @@ STORED = "stored AS (SELECT DISTINCT price_hash FROM good " \
 
 
 def _good(landed: DataFrame) -> DataFrame:
-    return jobs.keyed(landed, jobs.PRICES).where(F.col("reason").isNull()).drop("reason")
+    return jobs.keyed(landed, jobs.PRICES).where(F.col("reason").isNull()).drop("reason", jobs.LANDED)
 
 
-def _stored(landed: DataFrame) -> DataFrame:
-    """What an earlier run stored: the history up to mid 1998."""
-    past = _good(landed).where(F.col("tradedatetimeutc") < F.lit(HISTORY_END))
+def _stored(good: DataFrame) -> DataFrame:
+    """The keys that an earlier run stored: the history up to mid 1998."""
+    past = good.where(F.col("tradedatetimeutc") < F.lit(HISTORY_END))
     return past.select(
         "price_hash", F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
 
@@ -46,8 +46,12 @@ def _stored(landed: DataFrame) -> DataFrame:
 def price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The price job's core on landed CSV: clean, key, check, first per key, drop stored keys; the
     new rows per symbol."""
-    landed = landed_prices(spark, sf_dir)
-    new = jobs.storable(_good(landed), _stored(landed), jobs.PRICES, ["ord", "line"], RUN_TS)
+    root = shared_dir(spark, "price-core")
+    landed = _good(landed_prices(spark, sf_dir))
+    landed.write.parquet(f"{root}/good")  # the landing is parsed once
+    good = spark.read.schema(landed.schema).parquet(f"{root}/good")
+    _stored(good).hint("rebalance", "trade_month").write.partitionBy("trade_month").parquet(f"{root}/stored")
+    new = jobs.storable(good, spark.read.parquet(f"{root}/stored"), jobs.PRICES, ["ord", "line"], RUN_TS)
     return new.groupBy(F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol")).agg(
         F.count("*").alias("new_rows"), F.count("close").alias("priced_rows"),
         F.sum("volume").alias("volume"), F.min("tradedatetimeutc").alias("first_time"),
