@@ -297,6 +297,17 @@ def session_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         "historicvolume", "mostrecentvalue", "mostrecentvaluedate")
 
 
+@check("session_prices", over("daily", then="""
+    SELECT symbol, tradedatetimeutc, lag(close - 1) OVER w AS lastopen, lag(close + 2) OVER w AS lasthigh,
+           lag(close - 3) OVER w AS lastlow
+    FROM daily WINDOW w AS (PARTITION BY symbol ORDER BY tradedatetimeutc)"""), digits=None)
+def session_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The open, high and low of the session before."""
+    close = F.col("close")
+    bars = views.daily(spark, sf_dir).withColumns({"open": close - 1, "high": close + 2, "low": close - 3})
+    return history.session_fields(bars, grain="year").select("symbol", TIME, "lastopen", "lasthigh", "lastlow")
+
+
 @check("tick_session_fields", over("ticks", then="""
     SELECT seq, lag(last) OVER w AS prevlast, sign(last - lag(last) OVER w)::DOUBLE
                AS lasttradedirection, (sum(volume) OVER w)::BIGINT AS historicvolume

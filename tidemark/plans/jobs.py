@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +69,13 @@ PRICES = TableRules(
     audit=conform.with_price_audit,
     unseen=ingest.unseen_prices,
 )
+
+
+def price_rules(data_source: str) -> TableRules:
+    """The rules of the price table for rows of another data source."""
+    return replace(PRICES, audit=lambda df, run_ts: conform.with_price_audit(df, run_ts, data_source))
+
+
 INSTRUMENTS = TableRules(
     key="instrument_hash",
     schema=schemas.INSTRUMENT_TABLE,
