@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import free_name, written
 
 SLICE_DIGITS = 3  # 4,096 slices of a leaf
+#: Rows of a leaf table up to which it is broadcast, so that a leaf with very many rows stays where they
+#: are; beyond, both sides are shuffled and skewed leaves are left to AQE.
+BROADCAST_LEAVES = 200_000
 
 
 def word_count(text: str = "text") -> Column:
@@ -83,6 +86,11 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple, int], bud
         above.select(F.col("node").alias("leaf"), F.col("share").cast("long").alias("share")), "leaf")
 
 
+def _by_leaf(leaves: DataFrame) -> DataFrame:
+    """A written leaf table, broadcast if it is small enough."""
+    return F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+
+
 def _order(seed: int, epoch: Column, doc: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.col(doc).cast("string")))
 
@@ -95,7 +103,7 @@ def cuts(rows: DataFrame, levels: list[str], weights: dict[tuple, int], budget:
         budgets(leaves, levels, weights, budget, max_epochs)
         .withColumn("epochs", F.expr("case when tokens > 0 then cast(share div tokens as int) else 0 end"))
         .withColumn("remains", F.expr("share - epochs * tokens")).select("leaf", "epochs", "remains"), "plan")
-    placed = (rows.withColumn("leaf", _path(levels)).join(plan.where("remains > 0"), "leaf")
+    placed = (rows.withColumn("leaf", _path(levels)).join(_by_leaf(plan.where("remains > 0")), "leaf")
               .withColumn("place", _order(seed, F.col("epochs"), doc))
               .withColumn("slice", F.substring("place", 1, SLICE_DIGITS)).select("leaf", "remains", "place", "slice", "tokens"))
     sums = placed.groupBy("leaf", "remains", "slice").agg(F.sum("tokens").alias("held"), F.max("place").alias("last"))
@@ -127,12 +135,12 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[tuple, int], budget: i
                                (word_count() if tokens is None else tokens).alias("tokens")), "sizes")
     if budget is None:
         budget = (rows.agg(F.sum("tokens")).first()[0] or 0) * percent // 100
-    ends = cuts(rows, names, weights, budget, max_epochs, seed, "_id").select(
+    ends = written(cuts(rows, names, weights, budget, max_epochs, seed, "_id"), "cuts").select(
         F.col("leaf").alias("_leaf"), F.col("epochs").alias(free_name(docs, "epochs")), F.col("cut").alias(free_name(docs, "cut")))
     leaf = free_name(docs, "leaf")
     ends = ends.withColumnRenamed("_leaf", leaf)
     kept = [c for c in docs.columns if c.lower() != copies.lower()]
     epochs, cut = F.col(free_name(docs, "epochs")), F.col(free_name(docs, "cut"))
     more = F.coalesce((_order(seed, epochs, doc) <= cut).cast("int"), F.lit(0))
-    return (docs.withColumn(leaf, _path(levels)).join(ends, leaf)
+    return (docs.withColumn(leaf, _path(levels)).join(_by_leaf(ends), leaf)
             .withColumn(copies, epochs + more).where(F.col(copies) > 0).select(*kept, copies))
