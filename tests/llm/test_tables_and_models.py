@@ -189,6 +189,23 @@ def test_substituted_benchmark_items_are_found(spark, nothing):
     assert decontamination.without_benchmark(nothing, bench).count() == 0
 
 
+def test_more_copied_text_hides_no_item(spark):
+    """Parts of an item around replaced tokens are each enough; so is the whole item."""
+    words = prose(50, 100).split()
+    new = [f"new{i}" for i in range(100)]
+    spread = list(words[:50])
+    for at in (11, 13, 15, 17, 19, 20, 22, 24, 26, 28):
+        spread[at] = new[at]
+    texts = {1: words[:20] + new[20:60], 2: words[:20] + new[20:40] + words[40:60], 3: words[:35] + new[35:65] + words[65:],
+             4: new[:30] + words[:20] + new[20:40] + words[40:60], 5: new[:20] + words[20:26] + new[26:60], 6: spread}
+    docs = documents(spark, [(i, " ".join(t)) for i, t in texts.items()])
+    bench = spark.createDataFrame([(60, " ".join(words[:60])), (100, " ".join(words)), (50, " ".join(words[:50]))], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.start, r.n_tokens, r.n_matched) for r in decontamination.overlaps(docs, bench).collect()}
+    assert found[1, 60] == (0, 20, 20) and found[2, 60] == (0, 20, 40) and found[3, 100] == (0, 35, 70) and found[4, 60] == (30, 20, 40)
+    assert found[6, 50][2] == 40 and all(doc != 5 for doc, _ in found)
+    assert {r.doc_id for r in decontamination.without_benchmark(docs, bench.where("item_id > 50")).collect()} == {5}
+
+
 def test_large_benchmarks_are_not_broadcast(spark, monkeypatch, odd):
     monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", 0)
     bench = spark.createDataFrame([(1, prose(5, 200))], "item_id long, text string")

@@ -3,9 +3,10 @@
 A seed is the hash of some of the tokens in a window of ``SPAN``: a fixed mask says which, so that a
 window still hits when tokens at the ignored places were substituted. Every window of every text and of
 every benchmark item is hashed under every mask and joined. Hits on one diagonal (same shift between text
-and item) are then verified over the whole item: the tokens between the first and the last hit must
-agree in at least ``agree`` percent, and the tokens that agree along the diagonal must be at least
-``matched``, or all of a shorter item.
+and item) are then verified over the whole item: the tokens that agree along the diagonal must be at least
+``MATCHED``, or all of a shorter item, and ``AGREE`` percent must agree in some part from the begin of one
+hit to the end of the same or a later one, or in the whole item. All such parts are tried, so that further
+copied tokens never hide an item.
 
 Tokens are lower-cased and cut at white space and ASCII punctuation. An item shorter than a window has no
 seeds and matches nothing.
@@ -41,12 +42,34 @@ def _windows(rows: DataFrame) -> DataFrame:
     return at.withColumn("seed", F.explode(F.array(*seeds))).drop("tokens")
 
 
+def _best_part() -> str:
+    """``(score, low, size)`` of the part of the item, from the begin of a hit to the end of the same or a
+    later one, with the highest score: ``100 - AGREE`` for a token that agrees, ``-AGREE`` for another.
+
+    One pass over the places: ``begin`` and ``end`` are the scores of the tokens before the window and up
+    to its end, ``least`` the smallest ``begin`` of the hits so far, at ``place``.
+    """
+    worth = lambda at: f"(100 * get(same, {at}) - {AGREE})"
+    lower = "(hits[p] and a.begin < a.least)"
+    least, place = f"if({lower}, a.begin, a.least)", f"if({lower}, p, a.place)"
+    higher = f"(hits[p] and a.end - {least} > a.score)"
+    return f"""aggregate(sequence(0, size(hits) - 1),
+        named_struct('begin', 0, 'end', aggregate(slice(same, 1, {SPAN}), 0, (n, x) -> n + 100 * x - {AGREE}),
+                     'least', {1 << 30}, 'place', 0, 'score', {-1 << 30}, 'low', 0, 'size', 0),
+        (a, p) -> named_struct(
+            'begin', a.begin + {worth("p")}, 'end', a.end + coalesce({worth(f"p + {SPAN}")}, 0), 'least', {least}, 'place', {place},
+            'score', if({higher}, a.end - {least}, a.score), 'low', if({higher}, {place}, a.low),
+            'size', if({higher}, p + {SPAN} - {place}, a.size)),
+        a -> named_struct('score', a.score, 'low', a.low, 'size', a.size))"""
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
              item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``(key, item_id, start, n_tokens, n_matched)``: one row per document and item that it holds.
 
     ``start`` is the token of the text at which the first hit lies, ``n_tokens`` the length from the
-    first hit to the last, ``n_matched`` the agreeing tokens along the diagonal. Of several diagonals
+    first hit to the last, ``n_matched`` the agreeing tokens along the diagonal. Where neither that length
+    nor the whole item agrees, ``start`` and ``n_tokens`` are those of the part that agrees most. Of several diagonals
     the one with most agreeing tokens is given, then the first in the text. Null keys, null or short
     texts and items give no row; rows that repeat a key are searched each, and reported once per key and
     item. Other columns are ignored. Benchmark seeds are broadcast below ``BROADCAST_SEEDS`` rows.
@@ -66,13 +89,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     agree = found.withColumn("same", F.expr("""
         transform(asked, (t, j) -> case when j + shift >= 0 and j + shift < size(words)
                                         then cast(words[j + shift] = t as int) else 0 end)"""))
+    # The windows that hit, from the tokens that agree: those of every mask.
+    hit = " or ".join("(" + " and ".join(f"same[p + {o}] = 1" for o, bit in enumerate(mask) if bit == "1") + ")" for mask in MASKS)
     measured = agree.select(
-        "key", "item_id", (F.col("low") + F.col("shift")).alias("start"),
-        (F.col("high") - F.col("low") + SPAN).alias("n_tokens"),
+        "key", "item_id", "shift", "low", "same", (F.col("high") - F.col("low") + SPAN).alias("size"),
         F.expr("aggregate(same, 0, (n, x) -> n + x)").alias("n_matched"),
         F.expr(f"aggregate(slice(same, low + 1, high - low + {SPAN}), 0, (n, x) -> n + x)").alias("inside"),
-        F.expr(f"least({MATCHED}, size(asked))").alias("needed"))
-    kept = measured.where(f"n_matched >= needed and inside * 100 >= {AGREE} * n_tokens")
+        F.expr(f"least({MATCHED}, size(asked))").alias("needed")).where("n_matched >= needed")
+    whole = measured.withColumn("whole", F.expr(f"inside * 100 >= {AGREE} * size or n_matched * 100 >= {AGREE} * size(same)"))
+    parts = whole.withColumn("hits", F.expr(f"if(whole, array(), transform(sequence(0, size(same) - {SPAN}), p -> {hit}))"))
+    parts = parts.withColumn("part", F.expr(f"if(whole, named_struct('score', 0, 'low', low, 'size', size), {_best_part()})"))
+    kept = parts.where("part.score >= 0").select(
+        "key", "item_id", (F.col("part.low") + F.col("shift")).alias("start"), F.col("part.size").alias("n_tokens"), "n_matched")
     best = kept.groupBy("key", "item_id").agg(F.min(F.struct(
         (-F.col("n_matched")).alias("order"), "start", "n_tokens")).alias("best"))
     return best.select(F.col("key").alias(key), "item_id", F.col("best.start").alias("start"),
@@ -93,7 +121,8 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text")
 
 
 def oracle() -> str:
-    """The same result in SQL, with the masked windows compared in full instead of by hash."""
+    """SQL with the masked windows compared in full instead of by hash. It tries one part of a diagonal only,
+    that from the first hit to the last: the same result where no item is found by another part alone."""
     def windows(source: str, name: str) -> str:
         return " UNION ALL ".join(
             f"SELECT {name}, pos, {m} AS mask, [{', '.join(f'w[pos + {o + 1}]' for o, bit in enumerate(mask) if bit == '1')}] AS seed "
