@@ -206,6 +206,32 @@ def test_more_copied_text_hides_no_item(spark):
     assert {r.doc_id for r in decontamination.without_benchmark(docs, bench.where("item_id > 50")).collect()} == {5}
 
 
+def test_short_items_are_found(spark):
+    """Items of 1 to 14 tokens, with any choice of tokens that may differ, and over the ends of a text."""
+    from itertools import combinations
+
+    items, rows, want = {}, [], set()
+    for n in range(1, 15):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items[n] = " ".join(words)
+        for k in (n // 5, n // 5 + 1):
+            for places in combinations(range(n), k):
+                held = ["new" if i in places else w for i, w in enumerate(words)]
+                rows.append((len(rows), " ".join(["before", *held, "after", "after"])))
+                want |= {(len(rows) - 1, n)} if k == n // 5 else set()
+        for cut in {n // 5, n // 5 + 1}:
+            for held in (words[cut:] + ["after"], ["before"] + words[:n - cut]):
+                rows.append((len(rows), " ".join(held)))
+                want |= {(len(rows) - 1, n)} if cut == n // 5 else set()
+    bench = spark.createDataFrame([*items.items(), (15, ""), (16, None)], "item_id int, text string")
+    got = decontamination.overlaps(documents(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert all(r.start >= 0 and r.n_matched >= r.item_id - r.item_id // 5 and r.n_tokens <= r.item_id for r in got)
+    first = documents(spark, [(1, "the end is the end of the end"), (2, "no match")])
+    assert [tuple(r) for r in decontamination.overlaps(first, spark.createDataFrame([(1, "The end?")], "item_id int, text string")).collect()] == [
+        (1, 1, 0, 2, 2)]
+
+
 def test_large_benchmarks_are_not_broadcast(spark, monkeypatch, odd):
     monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", 0)
     bench = spark.createDataFrame([(1, prose(5, 200))], "item_id long, text string")

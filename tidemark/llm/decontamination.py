@@ -8,12 +8,17 @@ and item) are then verified over the whole item: the tokens that agree along the
 hit to the end of the same or a later one, or in the whole item. All such parts are tried, so that further
 copied tokens never hide an item.
 
-Tokens are lower-cased and cut at white space and ASCII punctuation. An item shorter than a window has no
-seeds and matches nothing.
+An item of fewer than ``SHORT`` tokens must agree in ``AGREE`` percent as a whole, which leaves up to two
+tokens free. It has masks of its own length, made so that one of them ignores any such choice of tokens: no
+text that agrees is missed, also where it begins or ends within the item.
+
+Tokens are lower-cased and cut at white space and ASCII punctuation. An item without tokens matches nothing.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +29,8 @@ MASKS = ("11011001011", "10110101101", "11100110011")
 SPAN = len(MASKS[0])
 MATCHED = 12
 AGREE = 80
+#: The least size of which ``AGREE`` percent are ``MATCHED`` tokens.
+SHORT = -(-MATCHED * 100 // AGREE)
 #: Rows of 40 bytes up to which the benchmark's seeds are broadcast; beyond, both sides are shuffled.
 BROADCAST_SEEDS = 1_000_000
 
@@ -34,11 +41,36 @@ def tokens(text: str) -> Column:
     return F.transform(parts, lambda t: F.xxhash64(t))
 
 
-def _windows(rows: DataFrame) -> DataFrame:
-    """One row per window and mask of ``rows``, which hold ``tokens`` of ``SPAN`` entries at least."""
-    at = rows.withColumn("at", F.explode(F.expr(f"sequence(0, size(tokens) - {SPAN})")))
-    seeds = [F.xxhash64(F.lit(m), *[F.expr(f"tokens[at + {o}]") for o, bit in enumerate(mask) if bit == "1"])
-             for m, mask in enumerate(MASKS)]
+def free(size: int) -> int:
+    """How many tokens of an item of that size may differ."""
+    return size * (100 - AGREE) // 100
+
+
+def short_masks(size: int) -> list[str]:
+    """Masks over a whole item of ``size`` tokens, one of which ignores any ``free(size)`` of them: the
+    places are cut into ``free + 2`` blocks, and every choice of ``free`` blocks is ignored."""
+    n = free(size)
+    blocks = n + 2 if n else 1
+    return ["".join("0" if place * blocks // size in ignored else "1" for place in range(size))
+            for ignored in combinations(range(blocks), n)]
+
+
+def _seeds(masks: list[str], tag: int) -> list[Column]:
+    """The hashes of the window at ``at`` under every mask; tokens beyond the text are skipped, which makes
+    a hash that no item has."""
+    return [F.xxhash64(F.lit(tag + m), *[F.expr(f"get(tokens, at + {o})") for o, bit in enumerate(mask) if bit == "1"])
+            for m, mask in enumerate(masks)]
+
+
+def _windows(rows: DataFrame, long: bool, sizes: list[int]) -> DataFrame:
+    """One row per window and mask of ``rows (tokens, ...)``: windows of ``SPAN`` if ``long``, and those for
+    items of the given short sizes, which may reach beyond either end of the text by ``free`` tokens."""
+    least = min([SPAN] * long + [n - free(n) for n in sizes], default=SPAN)
+    before = max([free(n) for n in sizes], default=0)
+    at = rows.where(f"size(tokens) >= {least}").withColumn("at", F.explode(F.expr(f"sequence(-{before}, size(tokens) - {least})")))
+    seeds = _seeds(list(MASKS), 0) if long else []
+    for n in sizes:
+        seeds += _seeds(short_masks(n), n * 100)
     return at.withColumn("seed", F.explode(F.array(*seeds))).drop("tokens")
 
 
@@ -68,22 +100,32 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     """``(key, item_id, start, n_tokens, n_matched)``: one row per document and item that it holds.
 
     ``start`` is the token of the text at which the first hit lies, ``n_tokens`` the length from the
-    first hit to the last, ``n_matched`` the agreeing tokens along the diagonal. Where neither that length
+    first hit to the last (of a short item: what of it lies in the text), ``n_matched`` the agreeing tokens along the diagonal. Where neither that length
     nor the whole item agrees, ``start`` and ``n_tokens`` are those of the part that agrees most. Of several diagonals
-    the one with most agreeing tokens is given, then the first in the text. Null keys, null or short
-    texts and items give no row; rows that repeat a key are searched each, and reported once per key and
+    the one with most agreeing tokens is given, then the first in the text. Null keys, texts and items
+    without tokens give no row; rows that repeat a key are searched each, and reported once per key and
     item. Other columns are ignored. Benchmark seeds are broadcast below ``BROADCAST_SEEDS`` rows.
     """
     items = (benchmark.where(F.col(item).isNotNull())
-             .select(F.col(item).alias("item_id"), tokens(item_text).alias("tokens")).where(f"size(tokens) >= {SPAN}"))
-    seeds = _windows(items).select("seed", "item_id", F.col("at").alias("place")).distinct()
+             .select(F.col(item).alias("item_id"), tokens(item_text).alias("tokens")).where("size(tokens) > 0"))
+    # At most one row per size below SHORT.
+    sizes = sorted(r["n"] for r in items.where(f"size(tokens) < {SHORT}").select(F.size("tokens").alias("n")).distinct().collect())
+    seeds = (_windows(items.where(f"size(tokens) >= {SHORT}"), True, [])
+             .select("seed", "item_id", F.col("at").alias("place"), F.lit(False).alias("exact")))
+    for n in sizes:
+        own = items.where(f"size(tokens) = {n}").withColumn("at", F.lit(0))
+        seeds = seeds.unionByName(own.select(F.explode(F.array(*_seeds(short_masks(n), n * 100))).alias("seed"), "item_id",
+                                             F.lit(0).alias("place"), F.lit(free(n) == 0).alias("exact")))
+    seeds = seeds.distinct()
     if seeds.count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    words = rows.select("key", tokens("text").alias("tokens")).where(f"size(tokens) >= {SPAN}")
-    hits = (_windows(words).join(seeds, "seed")
-            .groupBy("key", "item_id", (F.col("at") - F.col("place")).alias("shift"))
-            .agg(F.min("place").alias("low"), F.max("place").alias("high")))
+    words = rows.select("key", tokens("text").alias("tokens"))
+    # Items that must agree in every token agree wherever they hit: the first place of a key is enough.
+    shift = F.col("at") - F.col("place")
+    hits = (_windows(words, True, sizes).join(seeds, "seed")
+            .groupBy("key", "item_id", F.when(~F.col("exact"), shift).alias("diagonal"))
+            .agg(F.min(shift).alias("shift"), F.min("place").alias("low"), F.max("place").alias("high")))
     found = (rows.join(hits, "key").select("key", "item_id", "shift", "low", "high", tokens("text").alias("words"))
              .join(items.select("item_id", F.col("tokens").alias("asked")), "item_id"))
     agree = found.withColumn("same", F.expr("""
@@ -91,11 +133,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
                                         then cast(words[j + shift] = t as int) else 0 end)"""))
     # The windows that hit, from the tokens that agree: those of every mask.
     hit = " or ".join("(" + " and ".join(f"same[p + {o}] = 1" for o, bit in enumerate(mask) if bit == "1") + ")" for mask in MASKS)
+    short = f"size(asked) < {SHORT}"
     measured = agree.select(
-        "key", "item_id", "shift", "low", "same", (F.col("high") - F.col("low") + SPAN).alias("size"),
+        "key", "item_id", "shift", "same",
+        F.expr(f"if({short}, greatest(0, -shift), low)").alias("low"),
+        F.expr(f"if({short}, least(size(asked), size(words) - shift) - greatest(0, -shift), high - low + {SPAN})").alias("size"),
         F.expr("aggregate(same, 0, (n, x) -> n + x)").alias("n_matched"),
         F.expr(f"aggregate(slice(same, low + 1, high - low + {SPAN}), 0, (n, x) -> n + x)").alias("inside"),
-        F.expr(f"least({MATCHED}, size(asked))").alias("needed")).where("n_matched >= needed")
+        F.expr(f"if({short}, size(asked) - size(asked) * {100 - AGREE} div 100, {MATCHED})").alias("needed")).where("n_matched >= needed")
     whole = measured.withColumn("whole", F.expr(f"inside * 100 >= {AGREE} * size or n_matched * 100 >= {AGREE} * size(same)"))
     parts = whole.withColumn("hits", F.expr(f"if(whole, array(), transform(sequence(0, size(same) - {SPAN}), p -> {hit}))"))
     parts = parts.withColumn("part", F.expr(f"if(whole, named_struct('score', 0, 'low', low, 'size', size), {_best_part()})"))
@@ -122,7 +167,8 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text")
 
 def oracle() -> str:
     """SQL with the masked windows compared in full instead of by hash. It tries one part of a diagonal only,
-    that from the first hit to the last: the same result where no item is found by another part alone."""
+    that from the first hit to the last, and has no masks for short items: the same result where all items
+    have ``SHORT`` tokens and none is found by another part alone."""
     def windows(source: str, name: str) -> str:
         return " UNION ALL ".join(
             f"SELECT {name}, pos, {m} AS mask, [{', '.join(f'w[pos + {o + 1}]' for o, bit in enumerate(mask) if bit == '1')}] AS seed "
