@@ -63,6 +63,17 @@ def test_languages_awkward(spark, odd, nothing):
     assert none.languages == [] and {r.lang_pred for r in language.predict(odd, none).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    """More languages than 64, one of a single text; the bound on all rows thins out the texts of each."""
+    rows = [(100 * k + i, f"{chr(0x4E00 + k) * 3} {chr(0x4E00 + k)} " * 4, f"l{k:03}") for k in range(80) for i in range(1 if k == 79 else 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for rows_in_all in (32_000, 160, 10):
+        model = language.fit(docs, rows_in_all=rows_in_all)
+        assert model.languages == [f"l{k:03}" for k in range(80)]
+        got = language.predict(docs, model).where("lang_pred = lang").select("lang").distinct().count()
+        assert got == 80
+
+
 def test_temperature_tempers_a_model_that_is_too_sure():
     rng = np.random.default_rng(0)
     labels = rng.integers(0, 2, 400)

@@ -1,8 +1,9 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Learned with follow-the-regularised-leader (per-coordinate steps, L1 and L2 penalties), then calibrated
-with one temperature on rows kept aside. Document frequencies count every learning row; the weights are
-fitted on at most ``rows_per_language`` whole texts of each language, taken by the hash of the id.
+with one temperature on rows kept aside. Document frequencies count every learning row; every language is
+learned, from at most ``rows_per_language`` whole texts, taken by the hash of the id, and from fewer where
+there are so many languages that all together would pass ``rows_in_all``.
 """
 
 from __future__ import annotations
@@ -116,11 +117,11 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(min(np.geomspace(0.05, 5, 80), key=loss)) if len(labels) else 1.0
 
 
-def fit(docs: DataFrame, rows_per_language: int = 500, languages: int = 64) -> Model:
+def fit(docs: DataFrame, rows_per_language: int = 500, rows_in_all: int = 32_000) -> Model:
     """Learn from ``(text, lang, doc_id)`` rows; rows without text, letter, language or id teach nothing.
 
-    At most ``rows_per_language * languages`` rows reach the driver, as features; where there are more
-    languages, the rarest are not learned.
+    At most ``rows_in_all`` rows reach the driver, as features, or one of each language if there are more
+    languages than that; none is left out.
     """
     ship_code(docs.sparkSession)
     usable = docs.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
@@ -131,19 +132,22 @@ def fit(docs: DataFrame, rows_per_language: int = 500, languages: int = 64) -> M
         if feature >= 0:
             df[feature] = n
     idf = np.log((1 + counted.get(-1, 0)) / (1 + df)) + 1
-    names = sorted(r["lang"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect())
+    names = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
+    each = min(rows_per_language, max(1, rows_in_all // max(len(names), 1)))
     rank = F.xxhash64("doc_id")
-    chosen = (usable.select("doc_id", "lang").where(F.col("lang").isin(names)).withColumn("rank", rank)
+    chosen = (usable.select("doc_id", "lang").withColumn("rank", rank)
               .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("rank", "doc_id")))
-              .where(F.col("n") <= rows_per_language).select("doc_id", F.col("lang").alias("label"), "rank").distinct())
-    # Bounded by the two parameters, so it may be broadcast.
+              .where(F.col("n") <= each).select("doc_id", F.col("lang").alias("label"), "rank").distinct())
+    # Bounded by the two parameters or the number of languages, so it may be broadcast.
     sample = (usable.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("label").alias("lang"), "rank")
               .mapInArrow(_features, "at binary, n binary, lang string, rank long").collect())
-    rows, kept = [], []
+    rows, kept, place, learned = [], [], {name: k for k, name in enumerate(names)}, set()
     for r in sorted(sample, key=lambda r: (r["rank"], r["lang"])):
         at = np.frombuffer(r["at"], np.int32)
-        row = (at, weigh(at, np.frombuffer(r["n"], np.int32), idf).astype(np.float32), names.index(r["lang"]))
-        (kept if len(rows) + len(kept) and r["rank"] % 5 == 0 else rows).append(row)
+        row = (at, weigh(at, np.frombuffer(r["n"], np.int32), idf).astype(np.float32), place[r["lang"]])
+        # The first row of a language always teaches it.
+        (kept if row[2] in learned and r["rank"] % 5 == 0 else rows).append(row)
+        learned.add(row[2])
     weights, bias = train(rows, len(names)) if names else (np.zeros((FEATURES, 0)), np.zeros(0))
     model = Model(names, idf.astype(np.float32), weights.astype(np.float32), bias, 1.0)
     if kept:
