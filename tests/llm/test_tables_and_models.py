@@ -104,6 +104,18 @@ def test_toxicity_awkward(spark, odd, nothing):
     assert no_labels.count() == odd.count() and no_labels.agg(F.max("predicted")).first()[0] == 0
 
 
+def test_an_id_of_many_rows_teaches_once(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language, "train", lambda rows, classes, real=language.train: seen.update(lang=len(rows)) or real(rows, classes))
+    monkeypatch.setattr(toxicity, "train", lambda p, u, prior, real=toxicity.train: seen.update(toxic=(len(p), len(u))) or real(p, u, prior))
+    rows = [(i, prose(i, 20)) for i in range(20)] + [(5, prose(1000 + i, 20)) for i in range(200)]
+    docs = spark.createDataFrame([(i, t, "en" if i % 2 else "de") for i, t in rows], "doc_id long, text string, lang string")
+    model = language.fit(docs, rows_per_language=10)
+    assert model.languages == ["de", "en"] and seen["lang"] <= 20 and seen["lang"] >= 8
+    toxicity.fit(docs, spark.createDataFrame([(i, 1, i % 2) for i in range(20)], LABELS))
+    assert seen["toxic"] == (10, 20)
+
+
 def test_negative_risk_is_not_fitted_away():
     """Where the positives are most of the unlabelled rows the corrected risk turns negative; the model
     must still tell the rest apart."""

@@ -121,7 +121,7 @@ def fit(docs: DataFrame, rows_per_language: int = 500, rows_in_all: int = 32_000
     """Learn from ``(text, lang, doc_id)`` rows; rows without text, letter, language or id teach nothing.
 
     At most ``rows_in_all`` rows reach the driver, as features, or one of each language if there are more
-    languages than that; none is left out.
+    languages than that; none is left out. Of the texts that share id and language, the one with the least digest is taken.
     """
     ship_code(docs.sparkSession)
     usable = docs.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
@@ -135,11 +135,12 @@ def fit(docs: DataFrame, rows_per_language: int = 500, rows_in_all: int = 32_000
     names = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
     each = min(rows_per_language, max(1, rows_in_all // max(len(names), 1)))
     rank = F.xxhash64("doc_id")
-    chosen = (usable.select("doc_id", "lang").withColumn("rank", rank)
+    chosen = (usable.select("doc_id", "lang").distinct().withColumn("rank", rank)
               .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("rank", "doc_id")))
-              .where(F.col("n") <= each).select("doc_id", F.col("lang").alias("label"), "rank").distinct())
+              .where(F.col("n") <= each).select("doc_id", "lang", "rank"))
     # Bounded by the two parameters or the number of languages, so it may be broadcast.
-    sample = (usable.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("label").alias("lang"), "rank")
+    sample = (usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+              .groupBy("doc_id", "lang", "rank").agg(F.min_by("text", F.sha2("text", 256)).alias("text")).select("text", "lang", "rank")
               .mapInArrow(_features, "at binary, n binary, lang string, rank long").collect())
     rows, kept, place, learned = [], [], {name: k for k, name in enumerate(names)}, set()
     for r in sorted(sample, key=lambda r: (r["rank"], r["lang"])):

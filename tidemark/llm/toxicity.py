@@ -96,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: i
 
     The prior is the share of ``toxic = 1`` among the labelled rows. At most ``positives`` confirmed and
     ``unlabelled`` other whole texts, by the hash of the id, are fitted; an id with several labels is
-    toxic if one says so. Rows with a null id, text or label teach nothing.
+    toxic if one says so, and of several texts of an id the one with the least digest is taken. Rows with a null id, text or label teach nothing.
     """
     ship_code(docs.sparkSession)
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
@@ -110,7 +110,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: i
     any_label = (texts.select("doc_id").distinct().withColumn("rank", rank)
                  .orderBy("rank", "doc_id").limit(unlabelled).withColumn("toxic", F.lit(0)))
     # Bounded by the two parameters, so it may be broadcast.
-    sample = (texts.join(F.broadcast(sure.unionByName(any_label)), "doc_id").select("text", "toxic", "rank")
+    sample = (texts.join(F.broadcast(sure.unionByName(any_label)), "doc_id")
+              .groupBy("doc_id", "toxic", "rank").agg(F.min_by("text", F.sha2("text", 256)).alias("text")).select("text", "toxic", "rank")
               .mapInArrow(_features, "toxic int, rank long, words binary").collect())
     sample.sort(key=lambda r: (r["rank"], bytes(r["words"])))
     rows = {k: [np.frombuffer(r["words"], np.int32) for r in sample if r["toxic"] == k] for k in (0, 1)}
