@@ -146,6 +146,31 @@ def test_repeats_awkward(spark, odd, nothing):
     assert kept[2] == (b"tail", [[0, 55]]) and kept[1][0] == b"q" * 30 + b"w" * 60
 
 
+def test_no_bucket_takes_all_of_a_common_phrase(spark, monkeypatch):
+    """A phrase in different surroundings: its stretches are dealt by their own bytes, with the same result."""
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+
+    phrase = " a phrase that many documents hold "
+    rows = [(i, hashlib.sha256(b"%d" % i).hexdigest() + phrase + hashlib.sha256(b"-%d" % i).hexdigest()) for i in range(400)]
+    rows += [(1000 + i, rows[i][1][20:-20]) for i in range(30)] + [(5, rows[7][1]), (2000, rows[3][1])]
+    monkeypatch.setattr(substrings, "HOT_DOCS", 8)
+    assert Counter(tuple(r) for r in substrings.remove_repeats(documents(spark, rows)).collect()) == brute_repeats(rows)
+    seen = []
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows]), pa.array([0] * len(rows))], names=["doc", "text", "tag"])
+    bits, buckets = 6, 64
+    blocks = pa.Table.from_batches(list(substrings._hashes(bits)(iter([batch]))))
+    packs = pa.Table.from_batches(list(substrings._texts(buckets)(iter([batch]))))
+    of = lambda t, name, v: t.filter(pa.compute.equal(t.column(name), v))
+    active = pa.concat_tables(substrings._shared(bits, buckets, substrings.HOT_DOCS)(of(blocks, "block", b)) for b in set(blocks.column("block").to_pylist()))
+    for b in set(packs.column("bucket").to_pylist()):
+        seen += substrings._stretches(bits, buckets)(of(packs, "bucket", b), of(active, "bucket", b)).to_pylist()
+    size = Counter()
+    for row in seen:
+        size[row["kind"], row["bucket"]] += sum(np.frombuffer(row["sizes"], np.int64)) if row["kind"] != 1 else 0
+    assert max(size.values()) < 0.05 * sum(size.values()) and any(kind == 2 for kind, _ in size)
+
+
 def test_suffixes_are_sorted_through_the_cover():
     rng = np.random.default_rng(0)
     for alphabet in (b"ab", b"abcd ", "aé ".encode(), b"\x00a\xff"):

@@ -9,7 +9,9 @@ time, and only those that can have a partner at all:
    windows have equal anchors. The hashes, packed by blocks, tell which anchors occur in two documents.
 2. *Buckets.* Neighbouring windows with the same anchor form one stretch of text. Stretches of shared
    anchors go to the bucket of their anchor's hash; equal stretches within one map-side piece go once, with
-   the least id, and the other documents that hold them are already decided.
+   the least id, and the other documents that hold them are already decided. Stretches whose anchor more
+   than ``HOT_DOCS`` documents hold are cut into their single windows, which go to a bucket by a hash of
+   their own bytes: equal windows still meet, and no bucket takes all that surrounds a common phrase.
 3. *Suffix sort.* A bucket's distinct stretches are sorted by their first eight bytes; ties, however long,
    by the ranks of a difference-cover sample (residues 0, 1, 3 modulo 7), which are computed before: for
    any two suffixes some shift below 7 takes both to sampled places. Memory is that of one bucket.
@@ -17,12 +19,13 @@ time, and only those that can have a partner at all:
    is larger is covered.
 
 Texts travel as compressed packs, keyed by a bucket of their id. No text is taken by prefix, and no bucket
-is cut: a frequent stretch reaches its bucket once per piece.
+is cut short: a frequent stretch reaches its bucket once per piece.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +42,8 @@ GRAM = 20
 PIECE_BYTES = 6 << 20
 BLOCK_BYTES = 12 << 20  # text per block of anchors, per bucket of texts, and per bucket of stretches
 LEAST_BITS = 6
+HOT_DOCS = 1 << 15  # documents with an anchor from which its windows go by their own bytes
+HOT_BUCKETS = 16  # buckets of such windows per bucket of stretches: a window alone is up to 16 times its share of one
 PERIOD, COVER = 7, (0, 1, 3)
 RANK_WORDS = 7  # 56 bytes, more than the window
 
@@ -148,7 +153,7 @@ def _hashes(bits: int):
     return run
 
 
-ACTIVE = "bucket int, ids binary, hashes binary"
+ACTIVE = "bucket int, ids binary, hashes binary, hot binary"
 
 
 def _short(hashed: np.ndarray, bits: int) -> np.ndarray:
@@ -156,9 +161,10 @@ def _short(hashed: np.ndarray, bits: int) -> np.ndarray:
     return hashed >> U64(64 - bits - 40)
 
 
-def _shared(bits: int, buckets: int):
+def _shared(bits: int, buckets: int, hot_docs: int):
     def run(table: pa.Table) -> pa.Table:
-        """The entries of one block whose hash occurs in two documents, by bucket of texts."""
+        """The entries of one block whose hash occurs in two documents, by bucket of texts, and which of the
+        hashes more than ``hot_docs`` hold."""
         block = table.column("block")[0].as_py()
         of = {n: table.column(n).to_pylist() for n in ("ids", "counts", "hashes")}
         doc = np.concatenate([np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32)) for i, c in zip(of["ids"], of["counts"])])
@@ -168,21 +174,25 @@ def _shared(bits: int, buckets: int):
         order = np.argsort(hashed, kind="stable")
         doc, hashed = doc[order], hashed[order]
         begin = np.flatnonzero(np.concatenate([[True], hashed[1:] != hashed[:-1]]))
-        many = np.repeat(np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin), np.diff(np.append(begin, len(doc))))
+        held = np.diff(np.append(begin, len(doc)))
+        many = np.repeat(np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin), held)
+        hot = np.repeat(held > hot_docs, held)[many]
         doc, hashed = doc[many], hashed[many]
         to = _spread(doc, buckets)
         order = np.argsort(to, kind="stable")
-        to, doc, hashed = to[order], doc[order], hashed[order]
+        to, doc, hashed, hot = to[order], doc[order], hashed[order], hot[order]
         cut = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else np.zeros(1, int)
         return pa.table({"bucket": pa.array([int(to[a]) for a in cut[:-1]], pa.int32()),
                          "ids": pa.array([doc[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
-                         "hashes": pa.array([hashed[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())})
+                         "hashes": pa.array([hashed[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
+                         "hot": pa.array([np.unique(hashed[a:b][hot[a:b]]).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())})
     return run
 
 
 # --- stretches, by bucket of their anchor -------------------------------------------------------------
 
 #: kind 0: stretches for a suffix bucket. kind 1: windows already known to be covered, by bucket of texts.
+#: kind 2: single windows of hot anchors, by their own bytes.
 STRETCHES = "kind int, bucket int, ids binary, tags binary, firsts binary, sizes binary, data binary"
 
 
@@ -203,6 +213,21 @@ def _rows(kind: int | None, bucket: np.ndarray, ids: np.ndarray, tags: np.ndarra
     return out
 
 
+def _hot_windows(buckets: int, which: np.ndarray, content: list[bytes], doc: np.ndarray, tag: np.ndarray,
+                 first: np.ndarray, sizes: np.ndarray) -> list[dict]:
+    """The windows of the stretches ``which``, least id first, each by its own bytes; those that a smaller id
+    of these stretches holds are decided."""
+    owner = np.repeat(which, sizes[which])
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[which]) - sizes[which], sizes[which])
+    windows = [content[i][a:a + WINDOW] for i, a in zip(owner.tolist(), at.tolist())]
+    seen: dict[bytes, int] = {}
+    done = np.array([seen.setdefault(w, d) < d for w, d in zip(windows, doc[owner].tolist())], dtype=bool)
+    to = np.array([zlib.crc32(w) for w in windows], dtype=np.int64) % (buckets * HOT_BUCKETS)
+    one, place, sent = np.ones(len(owner), np.int64), first[owner] + at, np.flatnonzero(~done)
+    return (_rows(2, to[sent], doc[owner][sent], tag[owner][sent], place[sent], one[sent], [windows[i] for i in sent.tolist()])
+            + _rows(1, _spread(doc[owner][done], buckets), doc[owner][done], tag[owner][done], place[done], one[done]))
+
+
 def _stretches(bits: int, buckets: int):
     def run(texts: pa.Table, active: pa.Table) -> pa.Table:
         """Stretches of the texts of one bucket whose anchors are shared."""
@@ -228,8 +253,13 @@ def _stretches(bits: int, buckets: int):
             done = np.array([seen.setdefault(c, d) < d for c, d in zip(content, doc.tolist())], dtype=bool)
             to = (hashed % U64(buckets)).astype(np.int64)
             sent = np.flatnonzero(~done)
-            rows = _rows(0, to[sent], doc[sent], tag[sent], first[sent], sizes[sent], [content[i] for i in sent.tolist()])
-            rows += _rows(1, _spread(doc[done], buckets), doc[done], tag[done], first[done], sizes[done])
+            rows = _rows(1, _spread(doc[done], buckets), doc[done], tag[done], first[done], sizes[done])
+            hot = np.unique(np.concatenate([np.zeros(0, U64), *[np.frombuffer(x, U64) for x in active.column("hot").to_pylist()]]))
+            cut = np.isin(_short(hashed[sent], bits), hot)
+            if cut.any():
+                rows += _hot_windows(buckets, sent[cut], content, doc, tag, first, sizes)
+                sent = sent[~cut]
+            rows += _rows(0, to[sent], doc[sent], tag[sent], first[sent], sizes[sent], [content[i] for i in sent.tolist()])
         return pa.Table.from_pylist(rows, schema=pa.schema(
             [(n, pa.int32() if n in ("kind", "bucket") else pa.binary()) for n in names]))
     return run
@@ -311,7 +341,8 @@ def _sorted_bucket(buckets: int):
         """Runs of covered windows of one bucket, by bucket of texts; those already known pass by."""
         names = ("bucket", "ids", "tags", "firsts", "sizes")
         release()
-        if table.column("kind")[0].as_py() == 1:
+        kind = table.column("kind")[0].as_py()
+        if kind == 1:
             return table.select(names)
         of: dict[str, list] = {n: [] for n in names[1:]}
         number: dict[bytes, int] = {}
@@ -326,7 +357,7 @@ def _sorted_bucket(buckets: int):
         which = np.array(which, dtype=np.int64)
         least = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(least, which, ids)
-        lowest = lowest_ids(list(number), least)
+        lowest = least if kind == 2 else lowest_ids(list(number), least)
         counts = np.zeros(len(number), dtype=np.int64)
         counts[which] = sizes
         # All windows of all stretches one after the other, and the runs of covered ones among them.
@@ -400,7 +431,7 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", wit
     bits = max(LEAST_BITS, (-(-total // BLOCK_BYTES) - 1).bit_length())
     buckets = 1 << bits
     blocks = named.select("doc", "text").mapInArrow(_hashes(bits), HASHES)
-    active = blocks.groupBy("block").applyInArrow(_shared(bits, buckets), ACTIVE)
+    active = blocks.groupBy("block").applyInArrow(_shared(bits, buckets, HOT_DOCS), ACTIVE)
     packs = named.mapInArrow(_texts(buckets), TEXTS)
     found = packs.groupBy("bucket").cogroup(active.groupBy("bucket")).applyInArrow(_stretches(bits, buckets), STRETCHES)
     covered = found.groupBy("kind", "bucket").applyInArrow(_sorted_bucket(buckets), COVERED)
