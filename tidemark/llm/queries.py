@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import capfilters, counts, decontamination, jaccard, language, licenses, mixing, packed, substrings, toxicity
+from tidemark.llm import capfilters, counts, decontamination, jaccard, language, licenses, merkle, mixing, packed, substrings, toxicity
 from tidemark.llm.common import free_name, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,17 @@ def op10_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, domain = with_domain(table(spark, sf_dir, "documents"))
     docs = docs.select("doc_id", F.col(domain).alias("domain"), "lang", "source", mixing.word_count().alias("n_tokens"))
     return mixing.mix(docs, MIX_LEVELS, MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED, tokens=F.col("n_tokens"))
+
+
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query(merkle.ORACLE)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 3 divides the checksum of the id, the candidate leaf is that of a text with its A-Z lowered."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    docs = docs.withColumn("changed", F.when(hit, lowered).otherwise(F.col("text")))
+    built = merkle.manifest(docs, "doc_id", "lang", LEAF_FIELDS, merkle.leaf([*LEAF_FIELDS[:-1], "changed"]))
+    return merkle.proofs(built).withColumnRenamed("key", "doc_id")
