@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import capfilters, counts, decontamination, jaccard, language, licenses, merkle, mixing, packed, substrings, toxicity
+from tidemark.llm import capfilters, counts, decontamination, jaccard, language, licenses, merkle, mixing, packed, sharding, substrings, toxicity
 from tidemark.llm.common import free_name, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,3 +155,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("changed", F.when(hit, lowered).otherwise(F.col("text")))
     built = merkle.manifest(docs, "doc_id", "lang", LEAF_FIELDS, merkle.leaf([*LEAF_FIELDS[:-1], "changed"]))
     return merkle.proofs(built).withColumnRenamed("key", "doc_id")
+
+
+SHARDS = 8
+
+
+@query()
+def op12_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+    stored = sharding.shards(table(spark, sf_dir, "documents"), SHARDS, size, F.col("text"), "doc_id")
+    text = F.coalesce("row.text", F.lit(""))
+    rows = stored.select("row.doc_id", F.col("_size").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                         F.lit("bytes").alias("law"), "_shard", "_run", "_at")
+    return sharding.slots(stored, rows).select(
+        "doc_id", "size", "text_crc32", "law", F.col("_shard").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
