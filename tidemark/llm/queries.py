@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import capfilters, counts, decontamination, jaccard, language, licenses, merkle, mixing, packed, sharding, substrings, toxicity
+from tidemark.llm import capfilters, counts, decontamination, jaccard, language, licenses, merkle, mixing, negatives, packed, sharding, substrings, toxicity
 from tidemark.llm.common import free_name, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,26 @@ def op12_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("bytes").alias("law"), "_shard", "_run", "_at")
     return sharding.slots(stored, rows).select(
         "doc_id", "size", "text_crc32", "law", F.col("_shard").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("""
+    WITH good AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+        FROM good a JOIN good b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)::INT AS rank,
+           n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+    QUALIFY rank <= 10""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 7 divides the id, the label is first moved on by one of ten."""
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, F.col("vec") % 100 == 0)
