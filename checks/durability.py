@@ -14,18 +14,21 @@ from tidemark.plans.requests import MarketData
 from tidemark.session import shared_dir
 from tidemark.sources import views
 from tidemark.sources.landing import file_list
+from tidemark.sources.store import Store
 from tidemark.streaming import ingest as streams
 
 RUN = dt.datetime(2024, 6, 3, tzinfo=dt.timezone.utc)
 KEYS = ["symbol", "tradedatetimeutc"]
 
 
-def _stored(spark: SparkSession, sf_dir: str, partition) -> tuple[DataFrame, str]:
+def _stored(spark: SparkSession, sf_dir: str, partition) -> tuple[DataFrame, Store]:
     """Daily prices stored by a text partition; the rows and where they are."""
-    path = shared_dir(spark, "durable")
+    store = Store(shared_dir(spark, "durable"))
     rows = views.daily(spark, sf_dir).select(*KEYS, "close", partition.alias("part"))
-    rows.hint("rebalance", "part").write.partitionBy("part").parquet(path)
-    return rows, path
+    first = store.begin(spark)
+    first.append("prices", rows, "part")
+    first.commit()
+    return rows, store
 
 
 @check("upsert_null_partition", over("daily", then="""
@@ -35,10 +38,10 @@ def _stored(spark: SparkSession, sf_dir: str, partition) -> tuple[DataFrame, str
 def upsert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch for some keys of the NULL partition leaves that partition's other rows stored."""
     part = F.when(F.col("currency") != "EUR", F.col("currency"))
-    rows, path = _stored(spark, sf_dir, part)
+    rows, store = _stored(spark, sf_dir, part)
     batch = rows.where("part is null and length(symbol) % 2 = 0").withColumn("close", F.col("close") + 1)
-    mutate.upsert_partitions(spark, path, batch, KEYS, "part", mutate.by_content(batch, KEYS))
-    return spark.read.parquet(path)
+    mutate.upsert_partitions(store, "prices", batch, KEYS, mutate.by_content(batch, KEYS))
+    return store.read(spark, "prices")
 
 
 @check("upsert_repeated_keys", over("trades", then="""
@@ -55,10 +58,10 @@ def upsert_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE currency <> 'JPY' AND NOT (currency = 'USD' AND length(symbol) % 2 = 0)"""))
 def delete_escaped_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partition values that storage escapes: one partition is emptied, one loses some rows."""
-    rows, path = _stored(spark, sf_dir, F.concat(F.lit("x:"), "currency", F.lit("/1")))
+    rows, store = _stored(spark, sf_dir, F.concat(F.lit("x:"), "currency", F.lit("/1")))
     gone = rows.where("part = 'x:JPY/1' or (part = 'x:USD/1' and length(symbol) % 2 = 0)")
-    mutate.delete_partitions(spark, path, gone, KEYS, "part")
-    return spark.read.parquet(path)
+    mutate.delete_partitions(store, "prices", gone, KEYS)
+    return store.read(spark, "prices")
 
 
 def _landing(spark: SparkSession, sf_dir: str) -> str:
@@ -90,21 +93,21 @@ QUARANTINE_SQL = f"""WITH {LANDED_SQL}
         UNION ALL SELECT 'error payload', '') GROUP BY 1, 2"""
 
 
-def _quarantined(spark: SparkSession, path: str) -> DataFrame:
+def _quarantined(rows: DataFrame) -> DataFrame:
     """File names differ from run to run, and rejected rows are shown by the text that was at fault."""
     content = (F.when(F.col("reason") == "error payload", "")
                .when(F.col("reason") == "trade time missing", F.get_json_object("content", "$.tradedatetimeutc"))
                .otherwise(F.col("content")))
-    return spark.read.parquet(path).groupBy("reason", content.alias("content")).agg(F.count("*").alias("n"))
+    return rows.groupBy("reason", content.alias("content")).agg(F.count("*").alias("n"))
 
 
 @check("quarantine_content", QUARANTINE_SQL)
 def quarantine_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing with an error file, malformed rows and times that cannot be read, in one call: what is
     set aside holds the text as it landed."""
-    at = {n: shared_dir(spark, n) for n in ("target", "quarantine", "audit")}
-    jobs.run_landing(spark, _landing(spark, sf_dir), COLUMNS, jobs.PRICES, *at.values(), "run", RUN)
-    return _quarantined(spark, at["quarantine"])
+    store = Store(shared_dir(spark, "store"))
+    jobs.run_landing(spark, _landing(spark, sf_dir), COLUMNS, jobs.PRICES, store, "run", RUN)
+    return _quarantined(store.read(spark, "quarantine"))
 
 
 STORED_SQL = f"""WITH {LANDED_SQL}
@@ -114,19 +117,19 @@ STORED_SQL = f"""WITH {LANDED_SQL}
 
 @check("landing_job", STORED_SQL)
 def landing_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = {n: shared_dir(spark, n) for n in ("target", "quarantine", "audit")}
-    jobs.run_landing(spark, _landing(spark, sf_dir), COLUMNS, jobs.PRICES, *at.values(), "run", RUN)
-    return spark.read.parquet(at["target"]).groupBy(*KEYS).agg(F.count("*").alias("n"))
+    store = Store(shared_dir(spark, "store"))
+    jobs.run_landing(spark, _landing(spark, sf_dir), COLUMNS, jobs.PRICES, store, "run", RUN)
+    return store.read(spark, "prices").groupBy(*KEYS).agg(F.count("*").alias("n"))
 
 
 @check("landing_stream", STORED_SQL)
 def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same landing as a stream of several micro-batches, one file each."""
     path = _landing(spark, sf_dir)
-    at = {n: shared_dir(spark, n) for n in ("target", "quarantine", "audit", "checkpoint")}
-    streams.landing_stream(spark, path, COLUMNS, jobs.PRICES, "s", at["target"], at["quarantine"], at["audit"],
-                           at["checkpoint"], RUN, files_per_trigger=max(1, len(file_list(spark, path)) // 2)).awaitTermination()
-    return spark.read.parquet(at["target"]).groupBy(*KEYS).agg(F.count("*").alias("n"))
+    store = Store(shared_dir(spark, "store"))
+    streams.landing_stream(spark, path, COLUMNS, jobs.PRICES, "s", store, shared_dir(spark, "checkpoint"), RUN,
+                           files_per_trigger=max(1, len(file_list(spark, path)) // 2)).awaitTermination()
+    return store.read(spark, "prices").groupBy(*KEYS).agg(F.count("*").alias("n"))
 
 
 @check("update_data_stored", f"""
@@ -180,3 +183,31 @@ def symbol_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, body = _inputs(spark, sf_dir)
     data = MarketData({"curve_inputs": stored}, {})
     return data.with_table("curve_inputs", data.update_curves(body)["inputs"]).get_symbol_information("P1<*>", info="inputs")
+
+
+@check("table_versions", over("daily", then="""
+    SELECT v.version, currency, count(*) AS n, sum(CASE WHEN v.version >= 2 AND currency = 'EUR' THEN close + 1 ELSE close END) AS total
+    FROM daily, (VALUES (1), (2), (3)) AS v(version) WHERE NOT (v.version = 3 AND currency = 'JPY') GROUP BY 1, 2"""))
+def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a table held before an upsert, between that and a delete, and after both."""
+    rows, store = _stored(spark, sf_dir, F.col("currency"))
+    changed = rows.where("part = 'EUR'").withColumn("close", F.col("close") + 1)
+    mutate.upsert_partitions(store, "prices", changed, KEYS, mutate.by_content(changed, KEYS))
+    mutate.delete_partitions(store, "prices", rows.where("part = 'JPY'"), KEYS)
+    held = [store.read(spark, "prices", version=v).withColumn("version", F.lit(v)) for v in (1, 2, 3)]
+    return (held[0].unionByName(held[1]).unionByName(held[2]).groupBy("version", F.col("part").alias("currency"))
+            .agg(F.count("*").alias("n"), F.sum("close").alias("total")))
+
+
+@check("replayed_landing", f"""
+    WITH {LANDED_SQL}
+    SELECT (SELECT count(*) FROM (SELECT DISTINCT symbol, t FROM landed WHERE NOT malformed AND l_linenumber <> 7)) AS stored,
+           (SELECT count(*) FROM landed WHERE malformed OR l_linenumber = 7) + 1 AS set_aside, 1::BIGINT AS runs""")
+def replayed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is started three times, once committed and twice again: its rows, its quarantine and its
+    totals are there once."""
+    store, path = Store(shared_dir(spark, "store")), _landing(spark, sf_dir)
+    for _ in range(3):
+        jobs.run_landing(spark, path, COLUMNS, jobs.PRICES, store, "run", RUN)
+    n = {t: store.read(spark, t).agg(F.count("*")).scalar() for t in ("prices", "quarantine", "audit")}
+    return spark.range(1).select(n["prices"].alias("stored"), n["quarantine"].alias("set_aside"), n["audit"].alias("runs"))

@@ -15,6 +15,7 @@ from tidemark.operators import conform, ingest
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
 from tidemark.sources import views
+from tidemark.sources.store import Store, partition_names
 
 RUN_TS = dt.datetime(2024, 6, 3, 12, 0, tzinfo=dt.timezone.utc)
 HISTORY_END = dt.datetime(1998, 7, 1, tzinfo=dt.timezone.utc)
@@ -50,8 +51,12 @@ def price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = _good(landed_prices(spark, sf_dir))
     landed.write.parquet(f"{root}/good")  # the landing is parsed once
     good = spark.read.schema(landed.schema).parquet(f"{root}/good")
-    _stored(good).hint("rebalance", "trade_month").write.partitionBy("trade_month").parquet(f"{root}/stored")
-    new = jobs.storable(good, spark.read.parquet(f"{root}/stored"), jobs.PRICES, ["ord", "line"], RUN_TS)
+    store = Store(root)
+    earlier = store.begin(spark)
+    earlier.append("prices", _stored(good), "trade_month")
+    earlier.commit()
+    touched = partition_names(jobs.with_partition(good, jobs.PRICES), "trade_month")
+    new = jobs.storable(good, store.read(spark, "prices", only=touched), jobs.PRICES, ["ord", "line"], RUN_TS)
     return new.groupBy(F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol")).agg(
         F.count("*").alias("new_rows"), F.count("close").alias("priced_rows"),
         F.sum("volume").alias("volume"), F.min("tradedatetimeutc").alias("first_time"),
@@ -68,14 +73,13 @@ def price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
          (VALUES (1), (2)) AS r(run)""")
 def price_job_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole price job, written to a table, run twice: the second run must insert nothing."""
-    root = shared_dir(spark, "price-job")
+    store = Store(shared_dir(spark, "price-job"))
     for run in (1, 2):
         jobs.run_ingest(
-            spark, raw_prices(spark, sf_dir), jobs.PRICES, f"{root}/prices", f"{root}/bad",
-            f"{root}/audit", f"run-{run}", RUN_TS, ["ord", "line"],
+            spark, raw_prices(spark, sf_dir), jobs.PRICES, store, f"run-{run}", RUN_TS, ["ord", "line"],
         )
-    stored = spark.read.parquet(f"{root}/prices").agg(F.count("*").alias("stored")).scalar()
-    return spark.read.parquet(f"{root}/audit").select(
+    stored = store.read(spark, "prices").agg(F.count("*").alias("stored")).scalar()
+    return store.read(spark, "audit").select(
         F.substring("run_id", 5, 1).cast("int").alias("run"), "inserted", "skipped", "failed",
         stored.alias("stored"),
     )
@@ -87,13 +91,12 @@ def price_job_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM instruments GROUP BY 1"""))
 def instrument_job_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole instrument job, run twice over all parts; the stored table per exchange."""
-    root = shared_dir(spark, "instrument-job")
+    store = Store(shared_dir(spark, "instrument-job"))
     for run in (1, 2):
         jobs.run_ingest(
-            spark, views.instruments(spark, sf_dir), jobs.INSTRUMENTS, f"{root}/instruments",
-            f"{root}/bad", f"{root}/audit", f"run-{run}", RUN_TS, ["seq"],
+            spark, views.instruments(spark, sf_dir), jobs.INSTRUMENTS, store, f"run-{run}", RUN_TS, ["seq"],
         )
-    stored = spark.read.schema(schemas.INSTRUMENT_TABLE).parquet(f"{root}/instruments")
+    stored = store.read(spark, "instruments", schemas.INSTRUMENT_TABLE)
     return stored.groupBy("exchange_code").agg(
         F.count("*").alias("instruments"),
         F.count_distinct("security_type").alias("types"),

@@ -11,6 +11,7 @@ from checks.base import check, day, over
 from tidemark.functions import keys
 from tidemark.operators import conform, mutate
 from tidemark.session import shared_dir
+from tidemark.sources.store import Store
 from tidemark.sources import views
 
 MIDYEAR = dt.date(1998, 1, 1)
@@ -278,17 +279,19 @@ def load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
            AS close FROM daily"""))
 def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A partitioned table rewritten only in the months the batch touches."""
-    path = shared_dir(spark, "upsert")
+    store = Store(shared_dir(spark, "upsert"))
     rows = views.daily(spark, sf_dir).select(
         "symbol", "tradedatetimeutc", "close",
         F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
-    rows.hint("rebalance", "trade_month").write.partitionBy("trade_month").parquet(path)
+    first = store.begin(spark)
+    first.append("prices", rows, "trade_month")
+    first.commit()
     cut = dt.datetime(1998, 6, 15, tzinfo=dt.timezone.utc)
     batch = rows.where(F.col("tradedatetimeutc") >= F.lit(cut)).withColumn(
         "close", F.col("close") + 1)
     keys = ["symbol", "tradedatetimeutc"]
-    mutate.upsert_partitions(spark, path, batch, keys, "trade_month", mutate.by_content(batch, keys))
-    return spark.read.parquet(path)
+    mutate.upsert_partitions(store, "prices", batch, keys, mutate.by_content(batch, keys))
+    return store.read(spark, "prices")
 
 
 @check("delete_partitions", over("daily", then=f"""
@@ -299,14 +302,15 @@ def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delete_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dollar row since June 1998 and all rows since 2000 are deleted from a stored table;
     months without any row left disappear."""
-    path = shared_dir(spark, "delete")
+    store = Store(shared_dir(spark, "delete"))
     rows = views.daily(spark, sf_dir).select(
         "symbol", "tradedatetimeutc", "close", "currency",
         F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
-    rows.drop("currency").hint("rebalance", "trade_month").write.partitionBy("trade_month").parquet(
-        path)
+    first = store.begin(spark)
+    first.append("prices", rows.drop("currency"), "trade_month")
+    first.commit()
     since, last = (dt.datetime(y, m, 1, tzinfo=dt.timezone.utc) for y, m in ((1998, 6), (2000, 1)))
     t = F.col("tradedatetimeutc")
     gone = rows.where((t >= F.lit(since)) & ((F.col("currency") == "USD") | (t >= F.lit(last))))
-    mutate.delete_partitions(spark, path, gone, ["symbol", "tradedatetimeutc"], "trade_month")
-    return spark.read.parquet(path)
+    mutate.delete_partitions(store, "prices", gone, ["symbol", "tradedatetimeutc"])
+    return store.read(spark, "prices")

@@ -12,6 +12,7 @@ from checks.raw import CLEAN_SQL, RAW_COLUMNS, raw_prices
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
 from tidemark.sources import sinks, views
+from tidemark.sources.store import Store
 from tidemark.streaming import aggregates, ingest
 
 
@@ -30,10 +31,7 @@ def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_ingest(spark: SparkSession, root: str, landing: str, name: str) -> None:
     stream = ingest.landed_stream(spark, landing, RAW_COLUMNS)
-    ingest.ingest_stream(
-        stream.drop("source_file"), jobs.PRICES, name, f"{root}/prices", f"{root}/bad",
-        f"{root}/audit", f"{root}/checkpoint-{name}", RUN_TS,
-    ).awaitTermination()
+    ingest.ingest_stream(stream, jobs.PRICES, name, Store(root), f"{root}/checkpoint-{name}", RUN_TS).awaitTermination()
 
 
 @check("stream_price_ingest", f"""
@@ -45,7 +43,7 @@ def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream-ingest")
     sinks.write_csv(raw_prices(spark, sf_dir), f"{root}/landing")
     _run_ingest(spark, root, f"{root}/landing", "prices")
-    return spark.read.parquet(f"{root}/prices").groupBy(
+    return Store(root).read(spark, "prices").groupBy(
         F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol")).agg(
         F.count("*").alias("stored"))
 
@@ -62,8 +60,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_csv(raw_prices(spark, sf_dir), f"{root}/landing")
     for name in ("first", "replay"):
         _run_ingest(spark, root, f"{root}/landing", name)
-    audit = spark.read.parquet(f"{root}/audit")
-    return audit.groupBy(F.substring_index("run_id", "-", 1).alias("run")).agg(
+    return Store(root).read(spark, "audit").groupBy(F.substring_index("run_id", "-", 1).alias("run")).agg(
         *[F.sum(c).alias(c) for c in ("inserted", "skipped", "failed")])
 
 
@@ -79,6 +76,19 @@ def stream_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").groupBy("symbol").agg(F.count("*").alias("keys"))
 
 
+@check("stream_distinct_stored", over("trades", then="""
+    SELECT symbol, count(DISTINCT tradedatetimeutc) AS keys FROM trades GROUP BY 1"""))
+def stream_distinct_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same keys without any state in the stream: landed in four files, two of them twice."""
+    root = shared_dir(spark, "stream-stored")
+    trades = views.trades(spark, sf_dir).select("symbol", "tradedatetimeutc", "close", (F.col("ord") % 4).alias("part"))
+    for k in (0, 1, 2, 3, 1, 2):
+        trades.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(trades.drop("part").schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+    ingest.distinct_to_store(stream, jobs.PRICES, Store(root), f"{root}/checkpoint").awaitTermination()
+    return Store(root).read(spark, "prices").groupBy("symbol").agg(F.count("*").alias("keys"))
+
+
 @check("stream_bars_closed", over("ticks", then=f"""
     SELECT symbol, time_bucket(INTERVAL 60 MINUTE, ts) AS bar, {BAR_SQL} FROM ticks GROUP BY 1, 2
     HAVING bar + INTERVAL 60 MINUTE <= (SELECT max(ts) FROM ticks) - INTERVAL 1 HOUR"""))
@@ -108,11 +118,11 @@ def stream_latest_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream-quotes")
     ticks = _tick_stream(spark, sf_dir)
     aggregates.stream_quotes(
-        ticks, ["last", "user_id"], f"{root}/out", f"{root}/checkpoint", "ts", ["seq"]
+        ticks, ["last", "user_id"], Store(root), f"{root}/checkpoint", "ts", ["seq"]
     ).awaitTermination()
     schema = ticks.select("symbol", "ts", "last", "user_id", "seq").schema
     return aggregates.current_quotes(
-        spark, f"{root}/out", schema, ["last", "user_id"], "ts", ["seq"])
+        spark, Store(root), schema, ["last", "user_id"], "ts", ["seq"])
 
 
 @check("stream_corrections", over("corrections", then=f"""
@@ -129,7 +139,7 @@ def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed.write.parquet(f"{root}/landing")
     stream = spark.readStream.schema(landed.schema).parquet(f"{root}/landing")
     ingest.corrections_stream(
-        stream, f"{root}/prices", ["symbol", "tradedatetimeutc"], ["lastupdatetime", "ord"],
+        stream, Store(root), "prices", ["symbol", "tradedatetimeutc"], ["lastupdatetime", "ord"],
         "trade_month", f"{root}/checkpoint",
     ).awaitTermination()
-    return spark.read.schema(landed.schema).parquet(f"{root}/prices")
+    return Store(root).read(spark, "prices")

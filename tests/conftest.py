@@ -10,10 +10,13 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidemark.session import build_session
 
     session = build_session("8", "tidemark-tests")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.stop()
+        session = build_session("8", "tidemark-tests", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

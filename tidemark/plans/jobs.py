@@ -4,13 +4,16 @@ One run reads the landing once: cleaning, keys and checks are one projection, wr
 table split by whether a row is storable. The staging table fixes the arrival order used by the
 de-duplication, feeds both outputs without a second parse, and cuts the lineage: a lost executor
 costs its tasks, not the landing scan. The good part is reduced to one row per key, anti-joined with
-the stored keys, and appended. Running the same batch again inserts nothing.
+the stored keys of the same partitions, and appended.
+
+A run's rows, what it set aside and its totals become visible by one commit of the store: a run that dies
+anywhere leaves nothing behind, and running the same batch again changes nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -23,7 +26,8 @@ from tidemark.operators import conform, ingest
 from tidemark.session import shared_dir
 from tidemark.operators.mutate import remove_folder
 from tidemark.schemas import text_schema
-from tidemark.sources import landing, sinks, tables
+from tidemark.sources import landing
+from tidemark.sources.store import Store, partition_names
 
 AUDIT_TABLE = T.StructType(
     [
@@ -45,14 +49,14 @@ LANDED = "_landed"  # the row's own text, kept for the quarantine
 class TableRules:
     """What differs between the two history tables."""
 
+    table: str
     key: str
     schema: T.StructType
-    partition_by: list[str]
+    partition: str | None
     clean: Callable[[DataFrame], DataFrame]
     make_key: Callable[[DataFrame], Column]
     reject_reason: Callable[[DataFrame], Column]
     audit: Callable[[DataFrame, dt.datetime], DataFrame]
-    unseen: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 
 
 def _with_month(schema: T.StructType) -> T.StructType:
@@ -60,14 +64,14 @@ def _with_month(schema: T.StructType) -> T.StructType:
 
 
 PRICES = TableRules(
+    table="prices",
     key="price_hash",
     schema=_with_month(schemas.PRICE_TABLE),
-    partition_by=["trade_month"],
+    partition="trade_month",
     clean=conform.clean_prices,
     make_key=lambda df: keys.price_hash(df, spare=False),
     reject_reason=ingest.price_reject_reason,
     audit=conform.with_price_audit,
-    unseen=ingest.unseen_prices,
 )
 
 
@@ -77,14 +81,14 @@ def price_rules(data_source: str) -> TableRules:
 
 
 INSTRUMENTS = TableRules(
+    table="instruments",
     key="instrument_hash",
     schema=schemas.INSTRUMENT_TABLE,
-    partition_by=[],
+    partition=None,
     clean=conform.clean_instruments,
     make_key=keys.instrument_hash,
     reject_reason=ingest.instrument_reject_reason,
     audit=conform.with_instrument_audit,
-    unseen=lambda new, stored, batch: ingest.unseen(new, stored, "instrument_hash"),
 )
 
 
@@ -97,24 +101,39 @@ def keyed(landed: DataFrame, rules: TableRules) -> DataFrame:
     return marked.withColumn(LANDED, F.when(F.col("reason").isNotNull(), raw))
 
 
+def with_partition(rows: DataFrame, rules: TableRules) -> DataFrame:
+    """Keyed rows with the column their table is partitioned by, if it is."""
+    if rules.partition == "trade_month":
+        return rows.withColumn("trade_month", F.to_date(F.date_trunc("month", "tradedatetimeutc")))
+    return rows
+
+
 def storable(rows: DataFrame, stored: DataFrame, rules: TableRules, order: list[str],
              run_ts: dt.datetime) -> DataFrame:
     """From keyed good rows to the rows to append: first per key, unseen, audited, conformed."""
-    if "trade_month" in rules.partition_by:
-        rows = rows.withColumn("trade_month", F.to_date(F.date_trunc("month", "tradedatetimeutc")))
+    rows = with_partition(rows, rules)
     once = ingest.first_by_key(rows, [rules.key], order)
-    new = rules.unseen(once, stored, rows)
+    new = ingest.unseen(once, stored, rules.key, rules.partition)
     return conform.conform(rules.audit(new, run_ts), rules.schema)
 
 
-def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, target: str,
-               quarantine: str, audit: str, run_id: str, run_ts: dt.datetime,
-               order: list[str] | None = None, reason: str | None = None) -> dict[str, int]:
+QUARANTINE, AUDIT = "quarantine", "audit"
+
+
+def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, store: Store, run_id: str,
+               run_ts: dt.datetime, order: list[str] | None = None, reason: str | None = None,
+               refused: Sequence[DataFrame] = ()) -> dict[str, int]:
     """One batch run; returns the totals it also records in the audit table.
 
     ``order`` names the columns that say which duplicate arrived first; without it the position in
-    the landing is used, fixed when the staging table is written.
+    the landing is used, fixed when the staging table is written. ``refused``, (reason, content) rows that
+    never became landed rows, go to the quarantine with the others. A run id that was committed before is
+    not run again: its recorded totals are returned.
     """
+    change = store.begin(spark, run_id)
+    before = change.read(AUDIT, AUDIT_TABLE).where(F.col("run_id") == run_id).first()
+    if before is not None:
+        return {n: before[n] for n in ("inserted", "skipped", "failed")}
     staged_path = shared_dir(spark, "staged")
     seen = Observation()
     staging = (
@@ -129,13 +148,14 @@ def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, target
     staged = spark.read.schema(staging.schema).parquet(staged_path)
 
     good = staged.where(~F.col("rejected")).drop("reason", "rejected", LANDED)
-    stored = tables.read_or_empty(spark, target, rules.schema)
+    touched = partition_names(with_partition(good, rules), rules.partition) if rules.partition else [""]
+    change.hold(rules.table, touched)
     added = Observation()
-    new = storable(good, stored, rules, order or ["arrival"], run_ts)
-    sinks.append_parquet(new, target, rules.partition_by, added)
-    if counts["failed"]:
-        bad = staged.where(F.col("rejected")).withColumn("run_id", F.lit(run_id))
-        bad.select("run_id", "reason", F.col(LANDED).alias("content")).write.mode("append").parquet(quarantine)
+    new = storable(good, change.read(rules.table, rules.schema, touched), rules, order or ["arrival"], run_ts)
+    change.append(rules.table, new, rules.partition, added)
+    bad = [staged.where(F.col("rejected")).select("reason", F.col(LANDED).alias("content"))] if counts["failed"] else []
+    for rows in [*bad, *refused]:
+        change.append(QUARANTINE, rows.select(F.lit(run_id).alias("run_id"), "reason", "content"))
     inserted = added.get["inserted"]
     totals = {
         "inserted": inserted,
@@ -143,17 +163,16 @@ def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, target
         "failed": counts["failed"],
     }
     finished = dt.datetime.now(dt.timezone.utc)
-    spark.createDataFrame(
-        [(run_id, run_ts, finished, *totals.values(), reason)], AUDIT_TABLE
-    ).coalesce(1).write.mode("append").parquet(audit)
+    change.append(AUDIT, spark.createDataFrame(
+        [(run_id, run_ts, finished, *totals.values(), reason)], AUDIT_TABLE).coalesce(1))
+    change.commit()
     remove_folder(spark, staged_path)
     return totals
 
 
 def run_landing(spark: SparkSession, path: str | list[str], columns: list[str], rules: TableRules,
-                target: str, quarantine: str, audit: str, run_id: str, run_ts: dt.datetime,
-                key_column: str | None = None, key_pattern: str | None = None,
-                order: list[str] | None = None) -> dict[str, int]:
+                store: Store, run_id: str, run_ts: dt.datetime, key_column: str | None = None,
+                key_pattern: str | None = None, order: list[str] | None = None) -> dict[str, int]:
     """Landed files to the table in one call.
 
     Files that hold an error answer are left out before the CSV parse, as one of them would spoil it
@@ -162,23 +181,22 @@ def run_landing(spark: SparkSession, path: str | list[str], columns: list[str],
     first duplicate is the one of the smallest file name, then of the smallest content.
     """
     files = landing.file_list(spark, path)
-    refused = landing.error_files(spark, files) if files else None
-    bad = {r.source_file for r in refused.collect()} if refused is not None else set()
+    errors = landing.error_files(spark, files) if files else None
+    bad = {r.source_file for r in errors.collect()} if errors is not None else set()
     good = [f for f in files if f not in bad]
+    refused = []
     if bad:
-        spark.createDataFrame([(run_id, "error payload", f) for f in sorted(bad)],
-                              "run_id string, reason string, content string").write.mode("append").parquet(quarantine)
+        refused.append(spark.createDataFrame([("error payload", f) for f in sorted(bad)], "reason string, content string"))
     if not good:
         rows = spark.createDataFrame([], text_schema([*columns, "source_file"]))
     else:
         rows, malformed = landing.split_corrupt(landing.read_landed(spark, good, columns))
-        malformed.select(F.lit(run_id).alias("run_id"), "reason", "content").write.mode("append").parquet(quarantine)
+        refused.append(malformed.select("reason", "content"))
     if key_column is not None and key_pattern is not None:
         rows = landing.default_key_column(rows, key_column, key_pattern)
-    return run_ingest(spark, rows, rules, target, quarantine, audit, run_id, run_ts,
-                      order or ["source_file", *[c for c in rows.columns if c != "source_file"]])
+    return run_ingest(spark, rows, rules, store, run_id, run_ts,
+                      order or ["source_file", *[c for c in rows.columns if c != "source_file"]], refused=refused)
 
 
-def already_ran(spark: SparkSession, audit: str, run_id: str) -> bool:
-    done = tables.read_or_empty(spark, audit, AUDIT_TABLE).where(F.col("run_id") == run_id)
-    return not done.isEmpty()
+def already_ran(spark: SparkSession, store: Store, run_id: str) -> bool:
+    return not store.read(spark, AUDIT, AUDIT_TABLE).where(F.col("run_id") == run_id).isEmpty()

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(cores: str | int = "*", app: str = "tidemark") -> SparkSession:
-    """A local session for tests and benches; a cluster brings its own."""
+def build_session(cores: str | int = "*", app: str = "tidemark", checkpoint_dir: str | None = None) -> SparkSession:
+    """A local session for tests and benches; a cluster brings its own. ``checkpoint_dir`` is for machines
+    whose Spark defaults name none."""
     partitions = os.cpu_count() if cores == "*" else int(cores)
+    builder = SparkSession.builder
+    if checkpoint_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
@@ -37,13 +40,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the folder all executors can reach.
 
-    ``spark.checkpoint.dir`` names that folder. Only a local session, where one machine is the
-    whole cluster, may fall back to its temporary folder.
+    ``spark.checkpoint.dir`` names that folder; it is set when the session is made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("start the session with spark.checkpoint.dir set to a folder every executor can reach")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

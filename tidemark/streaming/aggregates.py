@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.bars import latest_quote, moment, ohlcv
+from tidemark.sources.store import Store
 
 
 def stream_bars(ticks: DataFrame, minutes: int, delay: str, price: str = "last", time: str = "ts",
@@ -46,16 +47,32 @@ def keep_complete(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def stream_quotes(ticks: DataFrame, fields: Sequence[str], path: str, checkpoint: str,
+QUOTES, QUOTE_LOG = "quotes", "quote_log"
+
+
+def stream_quotes(ticks: DataFrame, fields: Sequence[str], store: Store, checkpoint: str,
                   time: str = "ts", tie: Sequence[str] = ()) -> StreamingQuery:
-    """Newest row per symbol as a change log: each trigger appends the symbols that changed.
+    """Newest row per symbol, as a snapshot and a log of the symbols that changed since.
 
-    The log is read back with ``current_quotes``. Appending a batch twice does no harm.
+    Each trigger appends its changed symbols to the log. Once the log holds as many rows as the snapshot,
+    both are merged into the next snapshot and the log starts anew, in the same version: a read scans at most
+    twice the symbols and one trigger's, and a symbol is rewritten once for each row that was logged. A batch
+    that runs again adds rows that tie with their own copies.
     """
     quotes = latest_quote(ticks, [*fields, *tie], time, tie)
 
     def one_batch(batch: DataFrame, _: int) -> None:
-        batch.write.mode("append").parquet(path)
+        change = store.begin(batch.sparkSession)
+        old, log = (change.read(t, batch.schema) for t in (QUOTES, QUOTE_LOG))
+        batch.persist()
+        if log.count() + batch.count() >= old.count():
+            both = old.unionByName(log).unionByName(batch)
+            change.replace(QUOTES, latest_quote(both, [*fields, *tie], time, tie), None, [""])
+            change.replace(QUOTE_LOG, batch.limit(0), None, [""])
+        else:
+            change.append(QUOTE_LOG, batch)
+        change.commit()
+        batch.unpersist()
 
     return (
         quotes.writeStream.outputMode("update").foreachBatch(one_batch)
@@ -63,6 +80,9 @@ def stream_quotes(ticks: DataFrame, fields: Sequence[str], path: str, checkpoint
     )
 
 
-def current_quotes(spark: SparkSession, path: str, schema: T.StructType, fields: Sequence[str],
+def current_quotes(spark: SparkSession, store: Store, schema: T.StructType, fields: Sequence[str],
                    time: str = "ts", tie: Sequence[str] = ()) -> DataFrame:
-    return latest_quote(spark.read.schema(schema).parquet(path), fields, time, tie)
+    state = store.state(spark)
+    shape = T.StructType([schema[c] for c in dict.fromkeys(["symbol", time, *fields, *tie])])
+    both = [store.read_state(spark, state, t, shape) for t in (QUOTES, QUOTE_LOG)]
+    return latest_quote(both[0].unionByName(both[1]), fields, time, tie)
