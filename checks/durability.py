@@ -186,7 +186,7 @@ def symbol_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("table_versions", over("daily", then="""
-    SELECT v.version, currency, count(*) AS n, sum(CASE WHEN v.version >= 2 AND currency = 'EUR' THEN close + 1 ELSE close END) AS total
+    SELECT v.version, currency, count(*) AS n, sum((CASE WHEN v.version >= 2 AND currency = 'EUR' THEN close + 1 ELSE close END)::DECIMAL(18,2))::DOUBLE AS total
     FROM daily, (VALUES (1), (2), (3)) AS v(version) WHERE NOT (v.version = 3 AND currency = 'JPY') GROUP BY 1, 2"""))
 def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a table held before an upsert, between that and a delete, and after both."""
@@ -196,7 +196,7 @@ def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     mutate.delete_partitions(store, "prices", rows.where("part = 'JPY'"), KEYS)
     held = [store.read(spark, "prices", version=v).withColumn("version", F.lit(v)) for v in (1, 2, 3)]
     return (held[0].unionByName(held[1]).unionByName(held[2]).groupBy("version", F.col("part").alias("currency"))
-            .agg(F.count("*").alias("n"), F.sum("close").alias("total")))
+            .agg(F.count("*").alias("n"), F.sum(F.col("close").cast("decimal(18,2)")).cast("double").alias("total")))
 
 
 @check("replayed_landing", f"""
