@@ -174,6 +174,63 @@ def test_cap_filters_find_all_links(spark, monkeypatch, block_rows):
     assert capfilters.near_duplicates(df.where("false")).count() == 0
 
 
+def test_an_id_with_several_vectors(spark):
+    """Its rows are vectors of their own: links stay within a label, and groups do not meet through the id."""
+    rng = np.random.default_rng(8)
+    a, b, c = (rng.standard_normal(16) for _ in range(3))
+    near = lambda v: (v + rng.standard_normal(16) * 0.01).astype("f4").tolist()
+    for rows in ([(5, near(a), 0), (5, near(b), 0), (5, near(a), 1), (7, near(a), 0), (8, near(a), 0), (9, near(b), 0)],
+                 [(5, near(a), 0), (5, near(a), 1), (6, near(a), 1)],
+                 [(5, near(a), 0), (5, near(a), 0), (4, near(c), 0), (6, near(c), 0), (3, near(b), None)]):
+        got = capfilters.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+        assert Counter(tuple(r) for r in got) == brute_vectors(rows)
+
+
+@pytest.mark.parametrize("dims", [2, 4, 16, 64, 257])
+def test_cap_filter_recall_at_the_bound_itself(dims):
+    """Pairs at cosine 0.98 share a filter, whatever the dimension and the number of vectors."""
+    rng = np.random.default_rng(dims)
+    x = rng.standard_normal((200, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = rng.standard_normal((200, dims))
+    off -= (off * x).sum(axis=1, keepdims=True) * x
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    y = 0.98 * x + np.sqrt(1 - 0.98 ** 2) * off
+    for vectors in (100, 100_000, 20_000_000):
+        code = capfilters.codebook(dims, vectors)
+        one, two = capfilters.decode(x, code), capfilters.decode(y, code)
+        assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(one, two)]) >= 0.97
+        if dims >= 16:
+            assert capfilters.LEAST <= np.mean([len(f) for f in one]) <= 3 * capfilters.PASSED
+
+
+def test_decoding_finds_all_filters_above_the_bound():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((20, 30))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for parts in (1, 2, 3):
+        books = [b / np.linalg.norm(b, axis=0) / np.sqrt(parts) for b in (rng.standard_normal((30 // parts, 7)) for _ in range(parts))]
+        code = capfilters.Code(np.eye(30), books, 0.2)
+        every = np.stack(np.meshgrid(*[np.arange(7)] * parts, indexing="ij"), axis=-1).reshape(-1, parts)
+        for row, got in zip(x, capfilters.decode(x, code, least=3)):
+            scores = sum((row.reshape(parts, -1)[k] @ books[k])[every[:, k]] for k in range(parts))
+            over = np.flatnonzero(scores >= 0.2)
+            want = over if len(over) >= 3 else np.sort(np.argsort(-scores)[:3])
+            assert got.tolist() == want.tolist()
+
+
+def test_buckets_stay_small(spark):
+    """Ten times the vectors: buckets of the same size."""
+    rng = np.random.default_rng(9)
+    sizes = []
+    for n in (4_000, 40_000):
+        x = rng.standard_normal((n, 32))
+        filters = np.concatenate(capfilters.decode(x / np.linalg.norm(x, axis=1, keepdims=True), capfilters.codebook(32, n)))
+        counts = np.unique(filters, return_counts=True)[1]
+        sizes.append((counts.astype(float) ** 2).sum() / counts.sum())
+    assert sizes[1] < 1.5 * sizes[0]
+
+
 def test_cap_filter_recall_on_the_table(spark):
     """Links of every hundredth vector, against brute force over all rows."""
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
