@@ -334,6 +334,50 @@ def test_licences_are_inherited_from_the_nearest_folder(spark):
     assert licenses.scan(df.where("false")).count() == 0
 
 
+BSD3 = licenses._BSD + licenses._BSD_NAMES + licenses._BSD_END
+GPL3_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+LICENCE_UNITS = [
+    ("a.py", "# SPDX-License-Identifier: MIT\nimport os", "MIT"),
+    ("b.c", "// SPDX-License-Identifier: Apache-2.0 OR MIT\n// Copyright. All rights reserved.\nint x;", "Apache-2.0 OR MIT"),
+    ("c.py", GPL3_HEADER + "\n\nimport os\n", "GPL-3.0"),
+    ("d.py", GPL3_HEADER.replace("version 3", "version 2"), "GPL-2.0"),
+    ("e/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2\n", "GPL-2.0"),
+    ("f/COPYING", "GNU GENERAL PUBLIC LICENSE\n\nVersion 3, 29 June 2007\n\n" + prose(60, 900), "GPL-3.0"),
+    ("g/COPYING.LESSER", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n", "LGPL-3.0"),
+    ("h/LICENSE", "Copyright (c) 2021, The Authors\n\n" + BSD3.replace(". ", ".\n"), "BSD-3-Clause"),
+    ("i/LICENSE.txt", "Copyright (c) 2021, The Authors\n\n" + BSD3.replace(licenses._BSD_NAMES, "").replace(". ", ".\n"), "BSD-2-Clause"),
+    ("j/LICENSE", "MIT License\n\nCopyright (c) 2021 Someone\n\n" + max((t for n, t in licenses.TEMPLATES if n == "MIT"), key=len), "MIT"),
+    ("k.go", "/*\n * " + max((t for n, t in licenses.TEMPLATES if n == "Apache-2.0"), key=len).replace(". ", ".\n * ") + "\n */\npackage k", "Apache-2.0"),
+    ("l.js", "// A module that draws boxes\n// and lines.\nlet x = 1", None),
+    ("m/LICENSE", prose(61, 200), None),
+]
+
+
+def test_headers_and_licence_files(spark):
+    rows = [(i, path, text) for i, (path, text, _) in enumerate(LICENCE_UNITS)]
+    rows += [(100, "h/src/deep/x.py", "x = 1"), (101, "e/x.py", ""), (102, "e/long.txt", prose(62, 30_000))]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.origin) for r in licenses.scan(df).collect()}
+    assert [got[i] for i in range(len(LICENCE_UNITS))] == [(n, "own" if n else "none") for *_, n in LICENCE_UNITS]
+    assert got[100] == ("BSD-3-Clause", "inherited") and got[101] == got[102] == ("GPL-2.0", "inherited")
+
+
+def test_licence_units_equal_sql(spark):
+    """The same files, and a score that two licences share, in SQL."""
+    import duckdb
+
+    rows = [(i, path, text) for i, (path, text, _) in enumerate(LICENCE_UNITS)]
+    rows += [(50, "t/x.py", "# Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0."), (51, "t/y.py", None), (52, "t/z.py", " \n\n"), (53, "t/w.py", "#\r\n# The MIT License\r\nx")]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    frame = df.toPandas()  # noqa: F841
+    want = duckdb.sql(licenses.oracle("SELECT * FROM frame")).fetchall()
+    key = lambda r: (r[0], r[1], None if r[2] is None else round(r[2], 4), r[3], r[4])
+    assert Counter(key(tuple(r)) for r in licenses.scan(df).collect()) == Counter(key(r) for r in want)
+
+
 # --- mixing -------------------------------------------------------------------------------------------
 
 def test_shortages_go_to_siblings_first(spark):
