@@ -63,6 +63,53 @@ def test_languages_awkward(spark, odd, nothing):
     assert none.languages == [] and {r.lang_pred for r in language.predict(odd, none).collect()} == {"und"}
 
 
+def test_only_letters_count(spark):
+    model = language.fit(spark.createDataFrame([(1, "der die das", "de"), (2, "the of and", "en")], "doc_id long, text string, lang string"))
+    rows = spark.createDataFrame([("½ ²",), ("Ⅷ",), ("١٢٣",), ("_ _",), ("ª",), ("語",)], "text string")
+    got = {r.text: r.lang_pred for r in language.predict(rows, model).collect()}
+    assert [got[t] for t in ("½ ²", "Ⅷ", "١٢٣", "_ _")] == ["und"] * 4 and "und" not in (got["ª"], got["語"])
+
+
+def test_sparse_learner_equals_a_plain_one():
+    """Every weight by the per-coordinate rule, cell by cell, in the same order of rows."""
+    rng = np.random.default_rng(2)
+    rows = [(np.sort(rng.choice(40, 6, replace=False)), rng.random(6).astype(np.float32), int(rng.integers(0, 3))) for _ in range(25)]
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.1
+    met = {(int(f), y) for at, _, y in rows for f in at} | {("bias", k) for k in range(3)}
+    z, n = dict.fromkeys(met, 0.0), dict.fromkeys(met, 0.0)
+
+    def weight(c):
+        return 0.0 if abs(z[c]) <= l1 else -(z[c] - np.sign(z[c]) * l1) / ((beta + np.sqrt(n[c])) / alpha + l2)
+
+    order = np.random.default_rng(0)
+    for _ in range(4):
+        for i in order.permutation(len(rows)):
+            at, value, label = rows[i]
+            x = {int(f): float(v) for f, v in zip(at, value)} | {"bias": 1.0}
+            w = {c: weight(c) for c in met if c[0] in x}
+            e = np.exp([sum(x[f] * w[f, k] for f, k in w if k == c) for c in range(3)])
+            e = e / e.sum() - np.eye(3)[label]
+            for c in w:
+                g = x[c[0]] * e[c[1]]
+                z[c] += g - (np.sqrt(n[c] + g * g) - np.sqrt(n[c])) / alpha * w[c]
+                n[c] += g * g
+    begin, classes, weights, bias = language.train(rows, 3)
+    got = {(f, int(k)): float(w) for f in range(40) for k, w in zip(classes[begin[f]:begin[f + 1]], weights[begin[f]:begin[f + 1]])}
+    assert got.keys() == {c for c in met if c[0] != "bias" and weight(c)}
+    assert np.allclose([got[c] for c in got], [weight(c) for c in got], atol=1e-6)
+    assert np.allclose(bias, [weight(("bias", k)) for k in range(3)])
+
+
+def test_a_language_of_one_hot_id(spark):
+    """Nearly all rows of a language share an id: its other ids are still found, and so is the id."""
+    docs = spark.range(20_000).selectExpr(
+        "if(id % 20 = 0, id, 7) as doc_id", "concat('der die und ', id % 5) as text", "'de' as lang").unionByName(
+        spark.range(600).selectExpr("id as doc_id", "concat('the and of ', id % 5) as text", "'en' as lang"))
+    model = language.fit(docs, rows_per_language=30)
+    assert model.languages == ["de", "en"]
+    assert language.predict(spark.createDataFrame([("und der",), ("of the",)], "text string"), model).select("lang_pred").collect() == [("de",), ("en",)]
+
+
 def test_every_language_is_learned(spark):
     """More languages than 64, one of a single text; the bound on all rows thins out the texts of each."""
     rows = [(100 * k + i, f"{chr(0x4E00 + k) * 3} {chr(0x4E00 + k)} " * 4, f"l{k:03}") for k in range(80) for i in range(1 if k == 79 else 4)]

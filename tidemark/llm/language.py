@@ -3,17 +3,18 @@
 Learned with follow-the-regularised-leader (per-coordinate steps, L1 and L2 penalties), then calibrated
 with one temperature on rows kept aside. Document frequencies count every learning row; every language is
 learned, from at most ``rows_per_language`` whole texts, taken by the hash of the id, and from fewer where
-there are so many languages that all together would pass ``rows_in_all``.
+there are so many languages that all together would pass ``rows_in_all``. State and weights are sparse: there
+is a weight for each feature and language that met in a learning row, and for no other.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -24,8 +25,11 @@ from tidemark.llm.hashing import U64, mix
 FEATURE_BITS = 14
 FEATURES = 1 << FEATURE_BITS
 ORDERS = (1, 2, 3)
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
+MOST_LANGUAGES = 32_000  # an error beyond: a name each reaches the driver
+SAMPLE_BYTES = 1 << 28  # of features that reach the driver, beyond a first row of each language
+MOST_WEIGHTS = 1 << 24  # an error beyond; 6 bytes each go to every task
 _FACTORS = mix(np.arange(7, 7 + max(ORDERS), dtype=U64)) | U64(1)
 
 
@@ -66,20 +70,33 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [gram_counts(t) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([a.astype(np.int32).tobytes() for a, _ in rows], pa.binary()),
-             pa.array([c.astype(np.int32).tobytes() for _, c in rows], pa.binary()), batch.column(1), batch.column(2)],
-            names=["at", "n", "lang", "rank"])
+             pa.array([c.astype(np.int32).tobytes() for _, c in rows], pa.binary()), batch.column(1), batch.column(2),
+             batch.column(3).cast(pa.string())],
+            names=["at", "n", "lang", "rank", "doc_id"])
 
 
 @dataclass
 class Model:
+    """``classes`` and ``weights`` of feature f lie at ``begin[f]`` to ``begin[f + 1]``."""
+
     languages: list[str]
     idf: np.ndarray
-    weights: np.ndarray  # features x languages
+    begin: np.ndarray
+    classes: np.ndarray
+    weights: np.ndarray
     bias: np.ndarray
     temperature: float
 
     def logits(self, at: np.ndarray, value: np.ndarray) -> np.ndarray:
-        return value @ self.weights[at] + self.bias
+        cells, x = spread(self.begin, at, value)
+        return np.bincount(self.classes[cells], x * self.weights[cells], minlength=len(self.bias)) + self.bias
+
+
+def spread(begin: np.ndarray, at: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all weights of the features ``at``, and each one's feature value."""
+    counts = begin[at + 1] - begin[at]
+    total = np.cumsum(counts)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(begin[at] - total + counts, counts), np.repeat(value, counts)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -88,9 +105,15 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = 4, alpha: float = 0.5,
-          beta: float = 1.0, l1: float = 0.02, l2: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
-    """FTRL-proximal over sparse rows ``(features, values, class)``; the last row of the state is the bias."""
-    z, n = np.zeros((FEATURES + 1, classes)), np.zeros((FEATURES + 1, classes))
+          beta: float = 1.0, l1: float = 0.02, l2: float = 0.1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """FTRL-proximal over sparse rows ``(features, values, class)``: ``(begin, classes, weights, bias)`` of the
+    weights that are not 0."""
+    met = [np.unique(np.concatenate([at.astype(np.int64) * classes + label for at, _, label in rows[i:i + 256]])) for i in range(0, len(rows), 256)]
+    cells = np.unique(np.concatenate(met)) if met else np.zeros(0, dtype=np.int64)
+    if len(cells) > MOST_WEIGHTS:
+        raise ValueError(f"{len(cells)} weights for {classes} languages; at most {MOST_WEIGHTS} are learned")
+    begin, owner = np.searchsorted(cells, np.arange(FEATURES + 1) * classes), (cells % classes).astype(np.int32)
+    z, n = np.zeros(len(cells) + classes), np.zeros(len(cells) + classes)  # the bias at the end
 
     def weights(zs: np.ndarray, ns: np.ndarray) -> np.ndarray:
         return np.where(np.abs(zs) <= l1, 0.0, -(zs - np.sign(zs) * l1) / ((beta + np.sqrt(ns)) / alpha + l2))
@@ -99,15 +122,18 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs:
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
             at, value, label = rows[i]
-            at, value = np.append(at, FEATURES), np.append(value, 1.0)
-            w = weights(z[at], n[at])
-            error = softmax(value @ w)
+            place, x = spread(begin, at, value.astype(np.float64))
+            kind = np.concatenate([owner[place], np.arange(classes)])
+            place, x = np.concatenate([place, len(cells) + np.arange(classes)]), np.concatenate([x, np.ones(classes)])
+            w = weights(z[place], n[place])
+            error = softmax(np.bincount(kind, x * w, minlength=classes))
             error[label] -= 1
-            g = value[:, None] * error
-            z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha * w
-            n[at] += g * g
+            g = x * error[kind]
+            z[place] += g - (np.sqrt(n[place] + g * g) - np.sqrt(n[place])) / alpha * w
+            n[place] += g * g
     w = weights(z, n)
-    return w[:-1], w[-1]
+    own = np.flatnonzero(w[:len(cells)])
+    return np.searchsorted(cells[own], np.arange(FEATURES + 1) * classes), owner[own], w[own].astype(np.float32), w[len(cells):]
 
 
 def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -118,10 +144,14 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, rows_per_language: int = 500, rows_in_all: int = 32_000) -> Model:
-    """Learn from ``(text, lang, doc_id)`` rows; rows without text, letter, language or id teach nothing.
-
-    At most ``rows_in_all`` rows reach the driver, as features, or one of each language if there are more
-    languages than that; none is left out. Of the texts that share id and language, the one with the least digest is taken.
+    """Learn from ``(text, lang, doc_id)`` rows; rows without text, letter, language or id teach nothing. An
+    empty table gives a model without languages; rows that repeat teach once.
+
+    At most ``rows_in_all`` rows reach the driver, as features of whole texts of any length, or one of each
+    language if there are more languages than that; none is left out. Within ``SAMPLE_BYTES``, shared evenly
+    by the languages, later rows of a language go first. Of the texts that share id and language, the one with
+    the least digest is taken. Rows are chosen by the hash of their id: those below a bound that lets about
+    twice as many ids of a language pass as it needs, so that no task sees more of a language, whatever its size.
     """
     ship_code(docs.sparkSession)
     usable = docs.where(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
@@ -132,16 +162,25 @@ def fit(docs: DataFrame, rows_per_language: int = 500, rows_in_all: int = 32_000
         if feature >= 0:
             df[feature] = n
     idf = np.log((1 + counted.get(-1, 0)) / (1 + df)) + 1
-    names = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
+    ids = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")).limit(MOST_LANGUAGES + 1).collect()
+    if len(ids) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    names = sorted(r["lang"] for r in ids)
     each = min(rows_per_language, max(1, rows_in_all // max(len(names), 1)))
+    passing = [(r["lang"], (1 << 63) - 1 if r["ids"] <= 2 * each + 50 else int((2 * each + 50) / r["ids"] * (1 << 64)) - (1 << 63)) for r in ids]
+    bounds = docs.sparkSession.createDataFrame(passing, "lang string, highest long")  # MOST_LANGUAGES rows at most
     rank = F.xxhash64("doc_id")
-    chosen = (usable.select("doc_id", "lang").distinct().withColumn("rank", rank)
+    chosen = (usable.select("doc_id", "lang").withColumn("rank", rank).join(F.broadcast(bounds), "lang").where("rank <= highest")
+              .select("doc_id", "lang", "rank").distinct()
               .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("rank", "doc_id")))
               .where(F.col("n") <= each).select("doc_id", "lang", "rank"))
     # Bounded by the two parameters or the number of languages, so it may be broadcast.
+    upto = Window.partitionBy("lang").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     sample = (usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
-              .groupBy("doc_id", "lang", "rank").agg(F.min_by("text", F.sha2("text", 256)).alias("text")).select("text", "lang", "rank")
-              .mapInArrow(_features, "at binary, n binary, lang string, rank long").collect())
+              .groupBy("doc_id", "lang", "rank").agg(F.min_by("text", F.sha2("text", 256)).alias("text")).select("text", "lang", "rank", "doc_id")
+              .mapInArrow(_features, "at binary, n binary, lang string, rank long, doc_id string")
+              .withColumn("before", F.coalesce(F.sum(F.octet_length("at") + F.octet_length("n")).over(upto), F.lit(0)))
+              .where(F.col("before") < SAMPLE_BYTES // max(len(names), 1)).drop("before", "doc_id").collect())
     rows, kept, place, learned = [], [], {name: k for k, name in enumerate(names)}, set()
     for r in sorted(sample, key=lambda r: (r["rank"], r["lang"])):
         at = np.frombuffer(r["at"], np.int32)
@@ -149,8 +188,9 @@ def fit(docs: DataFrame, rows_per_language: int = 500, rows_in_all: int = 32_000
         # The first row of a language always teaches it.
         (kept if row[2] in learned and r["rank"] % 5 == 0 else rows).append(row)
         learned.add(row[2])
-    weights, bias = train(rows, len(names)) if names else (np.zeros((FEATURES, 0)), np.zeros(0))
-    model = Model(names, idf.astype(np.float32), weights.astype(np.float32), bias, 1.0)
+    if not names:
+        return Model([], idf.astype(np.float32), np.zeros(FEATURES + 1, dtype=np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0), 1.0)
+    model = Model(names, idf.astype(np.float32), *train(rows, len(names)), 1.0)
     if kept:
         model.temperature = temperature(np.array([model.logits(a, v) for a, v, _ in kept]), np.array([y for *_, y in kept]))
     return model
@@ -185,7 +225,9 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """Learn from the rows of ``docs`` that are not held out, and predict all of them."""
+    """Learn from the rows of ``docs`` that are not held out, and predict all of them, rows that repeat each by
+    itself. Null texts, and texts without a letter, are ``und``; texts of any length are read whole; an empty
+    table gives no rows; other columns are ignored, whatever they are called."""
     model = fit(docs.where(~held_out()).select("doc_id", "text", "lang"))
     return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
