@@ -296,6 +296,53 @@ def test_cap_filter_recall_on_the_table(spark):
 
 # --- decontamination ----------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("size", [15, 16, 17, 19, 20, 22, 24, 25, 30])
+def test_masks_hit_items_with_a_fifth_replaced(size):
+    """Of all choices of a fifth of the tokens (or 3,000 of them), in how many a window is left whole."""
+    from itertools import combinations, islice
+
+    rng = np.random.default_rng(size)
+    n = size * (100 - decontamination.AGREE) // 100
+    every = list(islice(combinations(range(size), n), 60_000))
+    if len(every) > 3_000:
+        every = [rng.choice(size, n, replace=False) for _ in range(3_000)]
+    gone = np.zeros((len(every), size), dtype=bool)
+    for row, places in zip(gone, every):
+        row[list(places)] = True
+    hit = np.zeros(len(every), dtype=bool)
+    for mask in decontamination.MASKS:
+        places = [i for i, bit in enumerate(mask) if bit == "1"]
+        for at in range(size - decontamination.SPAN + 1):
+            hit |= ~gone[:, [at + p for p in places]].any(axis=1)
+    assert hit.mean() >= {15: 0.96, 16: 0.99}.get(size, 0.998)
+
+
+def test_decontamination_equals_sql_on_parts_and_short_items(spark, monkeypatch):
+    """Items of 1 to 40 tokens, whole, cut, in two parts, with a fifth replaced; with and without the broadcast of keys."""
+    import duckdb
+
+    rng, items, texts = np.random.default_rng(12), [], []
+    for i, size in enumerate([1, 2, 4, 5, 9, 11, 12, 14, 15, 15, 18, 24, 30, 40, 40]):
+        words = [f"q{i}w{k}" for k in range(size)]
+        items.append((i, " ".join(words)))
+        for k in range(8):
+            changed = list(words)
+            for at in rng.choice(size, min(size, (size * 20 // 100) + k % 3 - 1 if k else 0) if size >= 5 else 0, replace=False):
+                changed[at] = f"x{k}"
+            if k == 6 and size >= 30:
+                changed[12:-12] = ["z"] * (size - 24)
+            if k == 7:
+                changed = changed[: size * 4 // 5]
+            texts.append((len(texts), f"{prose(i, k * 3)} {' '.join(changed)} {prose(i + k, 5)}"))
+    texts += [(900, None), (901, ""), (None, items[0][1]), (902, items[2][1])]
+    docs, benchmark = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    d, b = docs.toPandas(), benchmark.toPandas()  # noqa: F841
+    want = duckdb.sql(decontamination.oracle("d", "b")).fetchall()
+    assert Counter(tuple(r) for r in decontamination.overlaps(docs, benchmark).collect()) == Counter(want) and len(want) > 60
+    monkeypatch.setattr(decontamination, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", 0)
+    assert Counter(tuple(r) for r in decontamination.overlaps(docs, benchmark).collect()) == Counter(want)
+
 def test_substituted_benchmark_items_are_found(spark, nothing):
     item = prose(40, 30)
     words = item.split()
