@@ -195,6 +195,31 @@ def as_of_join_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("seq", "quote", "quote_ts")
 
 
+@check("as_of_merge_dense", over("ticks", then="""
+    , q AS (SELECT symbol, ts + to_seconds(s) AS ts, max(last + s) AS quote FROM ticks, range(20) AS r(s) GROUP BY 1, 2),
+    t AS (SELECT CASE WHEN user_id % 3 = 0 THEN 'view' ELSE symbol END AS symbol, ts + INTERVAL 7 SECOND AS ts, seq FROM ticks)
+    SELECT t.seq, q.quote FROM t ASOF LEFT JOIN q ON t.symbol = q.symbol AND t.ts >= q.ts"""))
+def as_of_merge_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes of every second after a tick against ticks of which a third share a symbol."""
+    ticks = views.ticks(spark, sf_dir)
+    quotes = ticks.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(19)))).groupBy(
+        "symbol", (F.col("ts") + F.make_dt_interval(secs=F.col("s"))).alias("ts")).agg(F.max(F.col("last") + F.col("s")).alias("quote"))
+    asked = ticks.select(F.when(F.col("user_id") % 3 == 0, "view").otherwise(F.col("symbol")).alias("symbol"),
+                         (F.col("ts") + F.expr("interval 7 seconds")).alias("ts"), "seq")
+    return convert.as_of_merge(asked, quotes, ["symbol"], "ts", ["quote"]).select("seq", "quote")
+
+
+@check("convert_currency_merged", over("trades", "rates", then=f"""{PRICED}
+    SELECT p.symbol, p.ord, p.line, r.rate, p.v * r.rate AS converted
+    FROM priced p ASOF LEFT JOIN (SELECT * FROM rates WHERE source = 'ECB') r
+         ON p.major = r.currency AND p.tradedatetimeutc >= r.ts"""), digits=None)
+def convert_currency_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversion of every trade with both sides merged in time order."""
+    return convert.convert_currency(
+        views.trades(spark, sf_dir), views.rates(spark, sf_dir), "ECB", grain=None
+    ).select("symbol", "ord", "line", "rate", "converted")
+
+
 FACTORS = [("BBL", "GAL", 42.0), ("MT", "BBL", 7.33), ("MMB", "THM", 10.0), ("KWH", "MWH", 0.001)]
 FACTOR_SQL = "(VALUES " + ", ".join(
     f"('{a}', '{b}', {f}::DOUBLE)" for a, b, f in FACTORS) + ") f(unit, to_unit, factor)"

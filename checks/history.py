@@ -253,6 +253,15 @@ def result_page(spark: SparkSession, sf_dir: str) -> DataFrame:
         "symbol", "description")
 
 
+@check("result_page_deep", """
+    SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice, l_orderkey, l_linenumber
+    LIMIT 20000 OFFSET 20000""")
+def result_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page in the middle of a large table, found by the counts of the order's ranges."""
+    rows = views.table(spark, sf_dir, "lineitem")
+    return filters.page(rows, ["l_extendedprice", "l_orderkey", "l_linenumber"], 2, 20_000).select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
 @check("result_page_after_key", over("instruments", then="""
     SELECT symbol, description FROM instruments WHERE symbol > 'P15' ORDER BY symbol LIMIT 30"""))
 def result_page_after_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,6 +306,19 @@ def session_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         "historicvolume", "mostrecentvalue", "mostrecentvaluedate")
 
 
+@check("session_fields_nulls", over("trades", then="""
+    , n AS (SELECT CASE WHEN length(symbol) = 3 THEN NULL ELSE symbol END AS symbol, CASE WHEN ord % 5 = 0 THEN NULL ELSE tradedatetimeutc END AS t,
+                   ord * 10 + line AS seq, close, volume FROM trades)
+    SELECT symbol, t AS tradedatetimeutc, seq, lag(close) OVER w AS lastclose, sum(volume) OVER w AS historicvolume
+    FROM n WINDOW w AS (PARTITION BY symbol ORDER BY t NULLS LAST, seq, close, volume)"""), digits=None)
+def session_fields_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a symbol are one history, rows without a time come last: every row is there."""
+    rows = views.trades(spark, sf_dir).select(
+        F.when(F.length("symbol") != 3, F.col("symbol")).alias("symbol"), F.when(F.col("ord") % 5 != 0, F.col(TIME)).alias(TIME),
+        (F.col("ord") * 10 + F.col("line")).alias("seq"), "close", "volume")
+    return history.session_fields(rows, tie=["seq", "close", "volume"], grain="year").select("symbol", TIME, "seq", "lastclose", "historicvolume")
+
+
 @check("session_prices", over("daily", then="""
     SELECT symbol, tradedatetimeutc, lag(close - 1) OVER w AS lastopen, lag(close + 2) OVER w AS lasthigh,
            lag(close - 3) OVER w AS lastlow

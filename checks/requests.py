@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.base import check, day, over
-from checks.fills import LINE, OBS, checksum, checksum_sql
+from checks.fills import LINE, OBS, checksum, checksum_sql, factors
 from checks.history import BAR_SQL, TAGGED
-from tidemark.plans.requests import MarketData
+from tidemark.plans.requests import ConvertedSymbol, MarketData
 from tidemark.sources import views
 
 ANCHOR = dt.datetime(2024, 1, 25, tzinfo=dt.timezone.utc)
@@ -134,3 +134,64 @@ def request_option_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.with_table("chain", priced).get_option_analytics(
         ["symbol", "underlier", "expiry", "strike", "impvol"], valued, interestrate=0.02,
         contractpriceselection=["settle"])
+
+
+@check("request_converted_symbols", over("daily", "rates", then="""
+    , d AS (SELECT *, CASE currency WHEN 'USC' THEN 'USD' WHEN 'GBC' THEN 'GBP' ELSE currency END AS major,
+                   CASE WHEN currency IN ('USC', 'GBC') THEN 100 ELSE 1 END AS parts, row_number() OVER (ORDER BY symbol) AS r FROM daily
+            WHERE symbol IN ('P1', 'P2', 'P3', 'P4'))
+    SELECT symbol, tradedatetimeutc, CASE symbol WHEN 'P2' THEN close / parts * r.rate WHEN 'P3' THEN close / parts * r.rate * 42
+                                                 WHEN 'P4' THEN close * 2.5::DOUBLE ELSE close END AS close,
+           CASE WHEN symbol IN ('P2', 'P3') THEN 'EUR' ELSE d.currency END AS currency,
+           CASE symbol WHEN 'P3' THEN 'GAL' WHEN 'P4' THEN 'MT' ELSE 'BBL' END AS unit
+    FROM d ASOF LEFT JOIN (SELECT * FROM rates WHERE source = 'USF') r ON d.major = r.currency AND d.tradedatetimeutc >= r.ts"""))
+def request_converted_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and converted symbols in one request: a currency, a currency and a unit, a unit by a factor of its own."""
+    data = market(spark, sf_dir).with_table("units", factors(spark)).with_table(
+        "prices", views.daily(spark, sf_dir).withColumn("unit", F.lit("BBL")))
+    return data.get_daily(
+        ["P1", ConvertedSymbol("P2", "EUR", "USF"), ConvertedSymbol("P3", "EUR", "USF", "GAL"), ConvertedSymbol("P4", unit="MT", unit_factor=2.5)],
+        ["symbol", "tradedatetimeutc", "close", "currency", "unit"])
+
+
+@check("request_intraday_converted", over("ticks", then="""
+    , t AS (SELECT * FROM ticks WHERE symbol IN ('view', 'click'))
+    SELECT symbol, time_bucket(INTERVAL 60 MINUTE, ts) AS bar, max(CASE WHEN symbol = 'view' THEN last * 7.33::DOUBLE ELSE last END) AS high
+    FROM t GROUP BY 1, 2"""))
+def request_intraday_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of a symbol in another unit beside one that stays as it is."""
+    data = market(spark, sf_dir).with_table("units", factors(spark)).with_table(
+        "ticks", views.ticks(spark, sf_dir).withColumn("unit", F.lit("MT")))
+    return data.get_intraday([ConvertedSymbol("view", unit="BBL"), "click"], intradaybarinterval=60).select("symbol", "bar", "high")
+
+
+@check("request_daily_peak_local", over("ticks", then="""
+    , l AS (SELECT *, (ts::TIMESTAMP AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS local FROM ticks)
+    SELECT symbol, local::DATE::TIMESTAMP AS tradedatetimeutc, max(last) AS high, min(last) AS low, sum(volume)::BIGINT AS volume FROM l
+    WHERE isodow(local) <= 5 AND hour(local) BETWEEN 7 AND 22 AND local::DATE NOT IN (DATE '2024-01-03', DATE '2024-01-10') GROUP BY 1, 2"""))
+def request_daily_peak_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars over the peak hours of New York days, without two holidays."""
+    days = spark.createDataFrame([("NY", dt.date(2024, 1, 3)), ("NY", dt.date(2024, 1, 10)), ("X", dt.date(2024, 1, 4))], "calendar string, holiday date")
+    out = market(spark, sf_dir).with_table("holidays", days).get_daily("<*>", aggregatetype=1, timezone="America/New_York", holidays="NY")
+    return out.select("symbol", F.col("tradedatetimeutc").cast("timestamp").alias("tradedatetimeutc"), "high", "low", "volume")
+
+
+@check("request_fetch_plan", over("daily", "instruments", then="""
+    , plan AS (SELECT symbol, CASE WHEN length(symbol) % 2 = 0 THEN 2 ELSE 5 END AS depth FROM (SELECT DISTINCT symbol FROM instruments) WHERE symbol NOT LIKE '%7')
+    SELECT d.symbol, d.tradedatetimeutc, d.close FROM daily d JOIN plan USING (symbol)
+    QUALIFY row_number() OVER (PARTITION BY d.symbol ORDER BY d.tradedatetimeutc DESC, d.ord DESC) <= any_value(depth) OVER (PARTITION BY d.symbol)"""))
+def request_fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many newest records per symbol as a plan has for it, in one request; symbols without a depth give none."""
+    listed = views.instruments(spark, sf_dir).select("symbol").distinct().where(~F.col("symbol").endswith("7"))
+    plan = listed.withColumn("recordsback", F.when(F.length("symbol") % 2 == 0, 2).otherwise(5))
+    return market(spark, sf_dir).get_daily("P<*>", ["symbol", "tradedatetimeutc", "close"], recordsback=plan)
+
+
+@check("request_settled_revision", over("corrections", then="""
+    SELECT symbol, tradedatetimeutc, close FROM (
+        SELECT *, line % 2 = 0 AS ok FROM corrections
+        QUALIFY row_number() OVER (PARTITION BY symbol, tradedatetimeutc ORDER BY lastupdatetime DESC, ord DESC) = 1) WHERE ok"""))
+def request_settled_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settled rows only: where the newest revision is not settled, no older one stands in for it."""
+    revised = views.corrections(spark, sf_dir).withColumn("settledate", F.when(F.col("line") % 2 == 0, F.col("tradedatetimeutc")))
+    return market(spark, sf_dir).with_table("prices", revised).get_daily("P<*>", ["symbol", "tradedatetimeutc", "close"], settledonly=True)

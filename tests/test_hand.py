@@ -369,3 +369,68 @@ def test_wildcards_and_missing_keys(spark):
     rows = spark.createDataFrame([(None, 1, 5), (None, 2, 5), ("k", None, 5)], "key string, stamp int, x int")
     got = {(r.key, r.stamp): r.updatetype for r in filters.revisions(rows, ["key"], ["stamp"]).collect()}
     assert got == {(None, 1): "I", (None, 2): "U", ("k", None): "I"}
+
+
+def test_every_row_has_session_fields(spark):
+    """NULL symbols and NULL times, in segments by calendar and by size; a NULL time comes last."""
+    from tidemark.operators import history
+    from tidemark.operators.segments import balanced_segments
+
+    t = [dt.datetime(2024, m, 1, tzinfo=dt.timezone.utc) for m in (1, 2, 3)]
+    rows = [("A", t[0], 1, 1.0), ("A", None, 2, 4.0), ("A", t[2], 3, 2.0), (None, t[1], 4, 7.0), (None, None, 5, 9.0), ("B", None, 6, 5.0), ("A", None, 7, 8.0)]
+    df = spark.createDataFrame(rows, "symbol string, tradedatetimeutc timestamp, seq long, close double")
+    want = {1: None, 3: 1.0, 2: 2.0, 7: 4.0, 4: None, 5: 7.0, 6: None}
+    for given in (df, balanced_segments(df, ["symbol"], ["tradedatetimeutc", "seq"], 4)):
+        got = history.session_fields(given, tie=["seq"]).collect()
+        assert {r.seq: r.lastclose for r in got} == want and len(got) == len(rows)
+        assert {r.seq: r.tradedatetimeutc is None for r in got} == {s: x is None for _, x, s, _ in rows}
+
+
+def test_as_of_merge_keeps_every_left_row(spark):
+    """Ties of time, one moment with most rows, missing keys and times, keys on one side only."""
+    from tidemark.operators.convert import as_of_merge
+
+    t = [dt.datetime(2024, 1, 1, h, tzinfo=dt.timezone.utc) for h in range(6)]
+    right = spark.createDataFrame([("A", t[1], 1.0), ("A", t[3], 3.0), ("B", t[2], 2.0), (None, t[0], 9.0), ("A", None, 8.0)], "k string, ts timestamp, v double")
+    rows = [("A", t[0], 0), ("A", t[1], 1), ("A", t[2], 2), ("A", None, 3), ("B", t[1], 4), ("B", t[5], 5), (None, t[5], 6), ("C", t[5], 7)]
+    rows += [("A", t[4], 100 + i) for i in range(500)]
+    got = {r.id: r.v for r in as_of_merge(spark.createDataFrame(rows, "k string, ts timestamp, id int"), right, ["k"], "ts", ["v"]).collect()}
+    want = {0: None, 1: 1.0, 2: 1.0, 3: None, 4: None, 5: 2.0, 6: None, 7: None} | {100 + i: 3.0 for i in range(500)}
+    assert got == want
+
+
+def test_pages_by_counted_ranges(spark, monkeypatch):
+    monkeypatch.setattr(filters, "HEAD_ROWS", 5)
+    rows = [(None if i % 11 == 0 else i * 7 % 50, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for number, size in ((1, 3), (1, 120), (2, 40), (3, 100), (4, 100), (5, 70), (300, 1), (301, 1)):
+        got = filters.page(df, ["a", "b"], number, size).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(order[(number - 1) * size:number * size], key=repr)
+    assert filters.max_rows(df, ["a", "b"], 200).count() == 200
+
+
+def test_converted_symbols_are_checked(spark):
+    from tidemark.plans.requests import ConvertedSymbol, MarketData
+
+    data = MarketData({"prices": spark.createDataFrame([("A", RUN_TS, 1.0)], "symbol string, tradedatetimeutc timestamp, close double")})
+    for wrong in (lambda: ConvertedSymbol("A<*>"), lambda: ConvertedSymbol("A", "XXX"), lambda: ConvertedSymbol("A", unit="XXX"),
+                  lambda: data.get_daily(["A", ConvertedSymbol("A", "EUR")]), lambda: data.get_daily(ConvertedSymbol("A", "EUR"), currency="USD"),
+                  lambda: data.get_daily(ConvertedSymbol("A", "EUR"))):
+        with pytest.raises(ValueError):
+            wrong()
+    assert data.get_daily([ConvertedSymbol("A")]).first().close == 1.0
+
+
+def test_an_expired_option_is_not_discounted(spark):
+    terms = black.model_terms(F.lit("C"), F.lit(100.0), F.lit(90.0), F.lit(-1.0), F.lit(0.2), F.lit(0.5), F.lit(0.5))
+    row = spark.range(1).select(*[c.alias(n) for n, c in terms.items()]).first()
+    assert row["_strike"] == 90.0 and row["_spot"] == 100.0 and row["_root"] is None
+
+
+def test_pages_keep_to_their_ranges(spark):
+    """The rows of a page in the middle come from a filter on the order's columns, which reaches the scan."""
+    path = shared_dir(spark, "pages")
+    spark.range(40_000).selectExpr("id as a", "id % 7 as b").write.parquet(path)
+    got = filters.page(spark.read.parquet(path), ["a"], 3, 6_000)
+    assert sorted(r.a for r in got.collect()) == list(range(12_000, 18_000))

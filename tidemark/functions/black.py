@@ -56,6 +56,7 @@ def model_terms(callput: Column, spot: Column, strike: Column, years: Column, vo
     NULL then.
     """
     live = (years > 0) & (vol > 0) & (spot > 0) & (strike > 0)
+    years = F.when(years < 0, 0.0).otherwise(years)  # what has expired is not discounted
     root = F.when(live, vol * F.sqrt(F.abs(years)))
     return {
         "_phi": _sign(callput),

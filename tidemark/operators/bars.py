@@ -65,6 +65,17 @@ def is_peak(local: Column, hours: tuple[int, int] = PEAK_HOURS) -> Column:
     return (F.weekday(local) < 5) & F.hour(local).between(*hours)
 
 
+def in_hours(ticks: DataFrame, local: Column, aggregatetype: int, holidays: DataFrame | None = None,
+             hours: tuple[int, int] = PEAK_HOURS) -> DataFrame:
+    """Ticks of peak (1) or off-peak (2) hours of their local time; a holiday has no peak hours."""
+    peak, kept = is_peak(local, hours), ticks.columns
+    if holidays is not None:
+        off = holidays.select(F.to_date("holiday").alias("_day"), F.lit(True).alias("_off")).distinct()
+        ticks = ticks.withColumn("_day", F.to_date(local)).join(off, "_day", "left")
+        peak = peak & F.col("_off").isNull()
+    return ticks.where(peak if aggregatetype == 1 else ~peak).select(*kept)
+
+
 def aggregate_hours(ticks: DataFrame, aggregatetype: int, zone: Column | str = "UTC",
                     holidays: DataFrame | None = None, hours: tuple[int, int] = PEAK_HOURS,
                     price: str = "last", time: str = "ts", volume: str | None = "volume",
@@ -79,12 +90,7 @@ def aggregate_hours(ticks: DataFrame, aggregatetype: int, zone: Column | str = "
         {"_at": moment(ticks, time, tie), "_local": F.from_utc_timestamp(time, zone)}
     ).withColumn("day", F.to_date("_local"))
     if aggregatetype:
-        peak = is_peak(F.col("_local"), hours)
-        if holidays is not None:
-            off = holidays.select(F.col("holiday").alias("day"), F.lit(True).alias("_off"))
-            local = local.join(off.distinct(), "day", "left")
-            peak = peak & F.col("_off").isNull()
-        local = local.where(peak if aggregatetype == 1 else ~peak)
+        local = in_hours(local, F.col("_local"), aggregatetype, holidays, hours)
     return local.groupBy("symbol", "day").agg(*ohlcv(price, volume))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import major_currency, major_value
+from tidemark.session import shared_dir
 
 
 def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str,
@@ -53,28 +54,63 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str
     )
 
 
-def _with_rate(prices: DataFrame, rates: DataFrame, keys: dict[str, str], time: str, grain: str) -> DataFrame:
+def as_of_merge(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, values: Sequence[str]) -> DataFrame:
+    """What ``as_of_join`` gives, for right sides with very many rows to a key and segment.
+
+    Both sides are cut at common points: one exchange by sampled ranges of (key, time), and rows of one key and
+    time are spread further, so that no run is large, however hot a key or a moment is. Inside a run the last
+    right row is carried down by one sorted pass; what a run inherits is the last right row of the key's runs
+    before it, one row for each key and run. No row ever meets more than one right row. Left rows with a NULL
+    key or time keep NULLs; right rows with one are not used.
+    """
+    names = [f"_key_{i}" for i in range(len(keys))]
+    known = right.where(" and ".join(f"`{c}` is not null" for c in [*keys, time]))
+    payload = known.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(time).alias("_time"),
+                           F.struct(*values).alias("_payload"))
+    rows = left.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(time).alias("_time"),
+                       F.struct(*left.columns).alias("_row"))
+    both = (payload.withColumn("_side", F.lit(0)).unionByName(rows.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+            .withColumn("_copy", F.monotonically_increasing_id()))
+    path = shared_dir(left.sparkSession, "merge")
+    ranged = both.repartitionByRange(*names, "_time", "_side", "_copy").withColumn("_run", F.spark_partition_id()).drop("_copy")
+    ranged.write.parquet(path)
+    stored = left.sparkSession.read.schema(ranged.schema).parquet(path)
+    ends = stored.where("_side = 0").groupBy(*names, "_run").agg(F.max_by("_payload", "_time").alias("_end"))
+    # A run without right rows inherits too; it holds one row of a key here.
+    runs = stored.select(*names, "_run").distinct().join(ends, [*names, "_run"], "left")
+    before = W.partitionBy(*names).orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
+    carried = runs.select(*names, "_run", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    inside = W.partitionBy(*names, "_run").orderBy("_time", "_side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    held = (stored.join(carried, [*names, "_run"], "left").withColumn("_here", F.last("_payload", ignorenulls=True).over(inside))
+            .where("_side = 1").withColumn("_found", F.when(F.col("_time").isNotNull(), F.coalesce("_here", "_carried"))))
+    return held.select("_row.*", *[F.col("_found")[v].alias(v) for v in values])
+
+
+def _with_rate(prices: DataFrame, rates: DataFrame, keys: dict[str, str], time: str, grain: str | None) -> DataFrame:
     """``prices`` with ``rate``: that of the row's major currency and of the rate columns named by
-    ``keys`` (rate column to price column), in force at its time."""
+    ``keys`` (rate column to price column), in force at its time. ``grain`` None merges both in time order."""
     major = prices.withColumn("_ccy", major_currency(F.col("currency")))
     quoted = rates.select(F.col("currency").alias("_ccy"), *[F.col(r).alias(c) for r, c in keys.items()],
                           F.col("ts").alias(time), "rate")
+    if grain is None:
+        return as_of_merge(major, quoted, ["_ccy", *keys.values()], time, ["rate"]).drop("_ccy")
     return as_of_join(major, quoted, ["_ccy", *keys.values()], time, ["rate"], grain).drop("_ccy")
 
 
 def convert_currency(prices: DataFrame, rates: DataFrame, source: str, value: str = "close",
-                     time: str = "tradedatetimeutc", grain: str = "day") -> DataFrame:
+                     time: str = "tradedatetimeutc", grain: str | None = "day") -> DataFrame:
     """Add ``rate`` and ``converted``: minor units become major, then the rate in force applies.
 
     ``rates`` gives, per (currency, source, ts), the value of one major unit in the target
-    currency. A price without a rate converts to NULL, never to its own value.
+    currency. A price without a rate converts to NULL, never to its own value. ``grain`` is the segment in which
+    prices and rates meet; None for rates so dense that a segment holds very many.
     """
     joined = _with_rate(prices, rates.where(F.col("source") == source), {}, time, grain)
     return joined.withColumn("converted", major_value(F.col(value), F.col("currency")) * F.col("rate"))
 
 
 def convert_prices(prices: DataFrame, rates: DataFrame, source: str, target: str,
-                   values: Sequence[str], time: str = "tradedatetimeutc", grain: str = "day") -> DataFrame:
+                   values: Sequence[str], time: str = "tradedatetimeutc", grain: str | None = "day") -> DataFrame:
     """``prices`` with every column of ``values`` and ``currency`` in the target currency.
 
     ``rates`` names the target of each rate in ``to_currency``: a row is never called by a currency
@@ -89,7 +125,7 @@ def convert_prices(prices: DataFrame, rates: DataFrame, source: str, target: str
 
 
 def convert_by_spec(prices: DataFrame, spec: DataFrame, rates: DataFrame, factors: DataFrame,
-                    values: Sequence[str], time: str = "tradedatetimeutc", grain: str = "day") -> DataFrame:
+                    values: Sequence[str], time: str = "tradedatetimeutc", grain: str | None = "day") -> DataFrame:
     """Convert every row as its symbol's spec says: currency by ``to_currency`` and
     ``currency_source``, then unit by ``to_unit`` and ``unit_factor``.
 

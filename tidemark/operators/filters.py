@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.casting import parse_datetime
 from tidemark.functions.tenors import like_pattern
@@ -144,17 +146,65 @@ def records_back(df: DataFrame, keys: Sequence[str], time: str, n: int,
         rank = F.row_number().over(W.partitionBy(*groups).orderBy(*newest))
         return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    part = F.monotonically_increasing_id() % salts  # any part will do, and this one costs nothing
     return limited(limited(df.withColumn("_part", part), [*keys, "_part"]).drop("_part"), keys)
 
 
+def records_back_by_plan(df: DataFrame, plan: DataFrame, time: str, tie: Sequence[str] = (),
+                         key: str = "symbol", depth: str = "recordsback") -> DataFrame:
+    """The newest rows per key, as many as the plan has for it; keys that are not in the plan give none.
+
+    The greatest depth of the plan, one number, bounds what a task keeps of a key.
+    """
+    wanted = plan.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_wanted")).agg(F.max(depth).alias("_depth"))
+    most = wanted.agg(F.max("_depth")).first()[0] or 0
+    near = records_back(df.join(wanted, F.col(key) == F.col("_wanted")).drop("_wanted"), [key], time, most, tie)
+    rank = F.row_number().over(W.partitionBy(key).orderBy(F.desc(time), *[F.desc(c) for c in tie]))
+    return near.withColumn("_rank", rank).where("_rank <= _depth").drop("_rank", "_depth")
+
+
+#: Rows up to which a sorted head is taken directly, in one task at the end.
+HEAD_ROWS = 10_000
+
+
 def max_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+    return df.orderBy(*order).limit(n) if n <= HEAD_ROWS else page(df, order, 1, n)
 
 
 def page(df: DataFrame, order: Sequence[str], number: int, size: int) -> DataFrame:
-    """Page by position (first page is 1); each task keeps at most ``number * size`` rows."""
-    return df.orderBy(*order).offset((number - 1) * size).limit(size)
+    """Page by position (first page is 1); the rows come in any order.
+
+    The order's columns alone are cut into ranges and counted; the counts, one row a range, tell which ranges
+    the page reaches into. Of the rows themselves, those of ranges that lie wholly inside the page are
+    filtered out, and only the first and the last range are sorted. Pages that end within ``HEAD_ROWS`` are
+    taken directly.
+    """
+    first, last = (number - 1) * size, number * size
+    if last <= HEAD_ROWS:
+        return df.orderBy(*order).offset(first).limit(size)
+    place = F.struct(*order)
+    counted = (df.select(*order).repartitionByRange(*order).groupBy(F.spark_partition_id().alias("run"))
+               .agg(F.count("*").alias("n"), F.min(place).alias("low"), F.max(place).alias("high")))
+    parts, before = [], 0
+    for run in sorted(counted.collect(), key=lambda r: r["run"]):
+        low, high = max(first - before, 0), min(last - before, run["n"])
+        if low < high:
+            parts.append((run, low, high))
+        before += run["n"]
+    kinds = df.select(place.alias("p")).schema["p"].dataType
+
+    def between(a: Row, b: Row) -> DataFrame:
+        ends = df.sparkSession.createDataFrame([(a["low"], b["high"])], T.StructType(
+            [T.StructField("low", kinds), T.StructField("high", kinds)]))
+        low, high = (ends.select(c).scalar() for c in ("low", "high"))
+        return df.where((place >= low) & (place <= high))
+
+    whole = [run for run, low, high in parts if (low, high) == (0, run["n"])]
+    pieces = [between(whole[0], whole[-1])] if whole else []
+    for run, low, high in parts:
+        if (low, high) != (0, run["n"]):
+            pieces.append(between(run, run).orderBy(*order).offset(low).limit(high - low))
+    return reduce(DataFrame.unionByName, pieces) if pieces else df.limit(0)
 
 
 def page_after(df: DataFrame, key: str, last: object, size: int) -> DataFrame:

@@ -34,8 +34,9 @@ def balanced_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     every later reading of them agree and cuts their lineage.
     """
     path = shared_dir(df.sparkSession, "segments")
+    late = [F.col(c).asc_nulls_last() for c in order]
     (
-        df.repartitionByRange(partitions, *keys, *order)
+        df.repartitionByRange(partitions, *keys, *late)
         .withColumn(SEGMENT, F.spark_partition_id())
         .write.parquet(path)
     )
@@ -57,13 +58,19 @@ def history_columns(
 
     ``lagged`` and ``running`` map an output name to an input column. ``latest`` maps an output
     name to the columns of a struct whose first column decides whether the row counts (not NULL).
-    ``order`` must be a total order within a key and begin with ``time``; keys must not be NULL.
-    A frame that comes from ``balanced_segments`` brings its segments, and ``grain`` is not used.
+    ``order`` must be a total order within a key and begin with ``time``. Every row stays: those of a NULL key
+    are one history of their own, and rows of a NULL time come after all others of their key. A frame that comes from ``balanced_segments`` brings its segments, and ``grain`` is not used.
     """
     lagged, running, latest = lagged or {}, running or {}, latest or {}
-    marked = df
+    kinds = dict(df.dtypes)
+    # Joins and windows share plain key columns that are never NULL, and with them one exchange.
+    hidden = {f"_key_{i}": F.coalesce(F.concat(F.lit("="), k), F.lit("")) if kinds[k] == "string" else F.struct(k) for i, k in enumerate(keys)}
+    own, keys = [c for c in df.columns if c != SEGMENT], list(hidden)
+    last = F.lit("9999-12-31").cast(kinds[time])
+    marked = df.withColumns(hidden | {"_time": F.coalesce(F.col(time), last)})
+    order = ["_time", *order[1:]]
     if SEGMENT not in df.columns:
-        marked = df.withColumn(SEGMENT, F.date_trunc(grain, F.col(time)))
+        marked = marked.withColumn(SEGMENT, F.date_trunc(grain, "_time"))
     marked = marked.withColumn("_at", moment(marked, order[0], order[1:]))
 
     def packed(columns: Sequence[str]) -> Column:
@@ -105,5 +112,4 @@ def history_columns(
         {name: F.when(F.col("_prev").isNull(), F.col(f"_end_{column}"))
          .otherwise(F.col("_prev")[column]) for name, column in lagged.items()}
     )
-    own = [c for c in df.columns if c != SEGMENT]
     return result.select(*own, *lagged, *running, *latest)

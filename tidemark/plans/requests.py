@@ -29,11 +29,43 @@ from tidemark.operators import (
 )
 from tidemark.operators import fill as filling
 
-Symbols = str | Sequence[str] | DataFrame
+@dataclass(frozen=True)
+class ConvertedSymbol:
+    """A symbol whose prices are asked for in another currency, another unit, or both. Empty text and a factor
+    of 0 count as unset; without a source the rates are those of the ECB."""
+
+    symbol: str
+    currency: str | None = None
+    currency_source: str | None = None
+    unit: str | None = None
+    unit_factor: float | None = None
+
+    def __post_init__(self) -> None:
+        if not self.symbol or "<*>" in self.symbol:
+            raise ValueError("a converted symbol is one name")
+        if self.currency and self.currency not in schemas.CURRENCIES:
+            raise ValueError(f"unknown currency: {self.currency}")
+        if self.unit and self.unit not in schemas.UNITS:
+            raise ValueError(f"unknown unit: {self.unit}")
+
+
+Symbols = str | ConvertedSymbol | Sequence[str | ConvertedSymbol] | DataFrame
 Fields = str | Sequence[conform.Field] | None
 TIME = "tradedatetimeutc"
 
 
+def _split(symbols: Symbols) -> tuple[str | list[str] | DataFrame, list[ConvertedSymbol]]:
+    """The names of a request's symbols, and those that are asked for converted."""
+    if isinstance(symbols, DataFrame) or symbols is None:
+        return symbols, []
+    listed = [symbols] if isinstance(symbols, (str, ConvertedSymbol)) else list(symbols)
+    specs = [s for s in listed if isinstance(s, ConvertedSymbol)]
+    names = [s.symbol if isinstance(s, ConvertedSymbol) else s for s in listed]
+    if len({s.symbol for s in specs}) < len(specs) or any(names.count(s.symbol) > 1 for s in specs):
+        raise ValueError("a converted symbol is requested once")
+    return (symbols if isinstance(symbols, str) else names), specs
+
+
 @dataclass
 class MarketData:
     """Named tables; a request needs only those it reads.
@@ -64,7 +96,7 @@ class MarketData:
 
     def _rows(self, df: DataFrame, time: str, symbols: Symbols, *, daysback=None, startdate=None,
               enddate=None, ondate=None, version=None, anchor=None) -> DataFrame:
-        df = filters.for_symbols(df, symbols)
+        df = filters.for_symbols(df, _split(symbols)[0])
         if version is not None:
             df = filters.of_version(df, version)
         if startdate is not None or enddate is not None:
@@ -108,15 +140,49 @@ class MarketData:
             df = df.withColumn("unit", F.lit(unit)).select(*kept)
         return df
 
+    def _as_wished(self, df: DataFrame, time: str, symbols: Symbols, currency: str | None,
+                   source: str | None, unit: str | None) -> DataFrame:
+        """Every price column as the request wishes, or as the request's symbols do."""
+        specs = _split(symbols)[1]
+        if not specs:
+            return self._converted(df, time, currency, source, unit)
+        if currency is not None or unit is not None:
+            raise ValueError("name the currency and the unit for the request or for its symbols, not both")
+        spark, kept = df.sparkSession, df.columns
+        spec = spark.createDataFrame(
+            [(s.symbol, s.currency or "", s.currency_source or "ECB", s.unit or "", float(s.unit_factor or 0)) for s in specs],
+            "symbol string, to_currency string, currency_source string, to_unit string, unit_factor double")
+        for column, wished in (("currency", any(s.currency for s in specs)), ("unit", any(s.unit for s in specs))):
+            if column not in df.columns:
+                if wished:
+                    raise ValueError(f"these rows have no {column} to convert from")
+                df = df.withColumn(column, F.lit(None).cast("string"))
+        rates = self._table("rates") if any(s.currency for s in specs) else spark.createDataFrame(
+            [], "currency string, source string, to_currency string, ts timestamp, rate double")
+        if "to_currency" not in rates.columns:
+            raise ValueError("rates need a to_currency column")
+        factors = self._table("units") if any(s.unit and not s.unit_factor for s in specs) else spark.createDataFrame(
+            [], "unit string, to_unit string, factor double")
+        values = [c for c in schemas.PRICE_VALUES if c in df.columns]
+        return convert.convert_by_spec(df, spec, rates, factors, values, time).select(*kept)
+
+    def _holidays(self, calendar: str | None) -> DataFrame | None:
+        return None if calendar is None else self._table("holidays").where(F.col("calendar") == calendar)
+
     def get_daily(self, symbols: Symbols, fields: Fields = None, daysback: int | None = None,
                   fill: str | None = None, maxrows: int | None = None,
-                  recordsback: int | None = None, settledonly: bool = False,
+                  recordsback: int | DataFrame | None = None, settledonly: bool = False,
                   startdate: dt.date | None = None, enddate: dt.date | None = None,
                   aggregatetype: int | None = None, currency: str | None = None,
                   currencysource: str | None = None, lotunits: str | None = None,
                   ondate: dt.date | None = None, version: str | None = None,
                   updatetype: str | None = None, lastupdatetime: dt.datetime | None = None,
-                  fill_calendar: str = "business", anchor: dt.datetime | None = None) -> DataFrame:
+                  fill_calendar: str = "business", anchor: dt.datetime | None = None,
+                  timezone: str | None = None, holidays: str | None = None) -> DataFrame:
+        """``recordsback`` may be a fetch plan, with a depth for each symbol. ``timezone`` (``publisher``: each
+        row's ``zone``) and ``holidays``, a calendar's name, say what the local day and its peak hours are for an
+        ``aggregatetype``. ``settledonly`` looks at the revision that counts: an unsettled one hides those
+        before it."""
         if fill is not None and fill not in schemas.FILL_METHODS:
             raise ValueError(f"unknown fill method: {fill}")
         if aggregatetype is not None and aggregatetype not in schemas.AGGREGATE_TYPES:
@@ -127,23 +193,26 @@ class MarketData:
             if settledonly or updatetype is not None or lastupdatetime is not None:
                 raise ValueError("settledonly and corrections do not apply to aggregated hours")
             ticks = self._rows(self._table("ticks"), "ts", symbols, **limits)
-            ticks = self._converted(ticks, "ts", currency, currencysource, lotunits)
-            df = bars.aggregate_hours(ticks, aggregatetype, tie=self._tie("ticks"))
+            ticks = self._as_wished(ticks, "ts", symbols, currency, currencysource, lotunits)
+            zone = F.col("zone") if timezone == "publisher" else timezone or "UTC"
+            df = bars.aggregate_hours(ticks, aggregatetype, zone, self._holidays(holidays), tie=self._tie("ticks"))
             df = df.withColumnRenamed("day", TIME)
             if currency is not None:
                 df = df.withColumn("currency", F.lit(currency))
         else:
             df = self._rows(self._table("prices"), TIME, symbols, **limits)
+            df = self._corrected(df, "prices", TIME, updatetype, lastupdatetime)
             if settledonly:
                 df = filters.settled_only(df)
-            df = self._corrected(df, "prices", TIME, updatetype, lastupdatetime)
-            df = self._converted(df, TIME, currency, currencysource, lotunits)
+            df = self._as_wished(df, TIME, symbols, currency, currencysource, lotunits)
         tie = [c for c in self._tie("prices") if c in df.columns]
         if fill is not None:
             values = [c for c in (*schemas.PRICE_VALUES, "volume", "openinterest") if c in df.columns]
             daily = filling.daily_rows(df, ["symbol"], TIME, values, tie).withColumnRenamed("day", TIME)
             df, tie = filling.fill_all(daily, ["symbol"], TIME, values, fill, fill_calendar, enddate), []
-        if recordsback is not None:
+        if isinstance(recordsback, DataFrame):
+            df = filters.records_back_by_plan(df, recordsback, TIME, tie)
+        elif recordsback is not None:
             df = filters.records_back(df, ["symbol"], TIME, recordsback, tie)
         if maxrows is not None:
             df = filters.max_rows(df, ["symbol", TIME, *tie], maxrows)
@@ -157,8 +226,9 @@ class MarketData:
                      timezone: str | None = None, ondate: dt.date | None = None,
                      version: str | None = None, updatetype: str | None = None,
                      lastupdatetime: dt.datetime | None = None,
-                     anchor: dt.datetime | None = None) -> DataFrame:
-        """``timezone='publisher'`` takes each row's zone from its ``zone`` column."""
+                     anchor: dt.datetime | None = None, holidays: str | None = None) -> DataFrame:
+        """``timezone='publisher'`` takes each row's zone from its ``zone`` column. ``holidays`` names the
+        calendar whose days, in that zone, have no peak hours."""
         if aggregatetype is not None and aggregatetype not in schemas.AGGREGATE_TYPES:
             raise ValueError(f"unknown aggregate type: {aggregatetype}")
         df = self._rows(self._table("ticks"), "ts", symbols, daysback=daysback,
@@ -166,11 +236,10 @@ class MarketData:
                         anchor=anchor)
         if updatetype is not None or lastupdatetime is not None:
             df = self._corrected(df, "ticks", "ts", updatetype, lastupdatetime)
-        df = self._converted(df, "ts", currency, currencysource, lotunits)
+        df = self._as_wished(df, "ts", symbols, currency, currencysource, lotunits)
         zone: Column | str | None = F.col("zone") if timezone == "publisher" else timezone
         if aggregatetype:
-            peak = bars.is_peak(df["ts"] if zone is None else F.from_utc_timestamp("ts", zone))
-            df = df.where(peak if aggregatetype == 1 else ~peak)
+            df = bars.in_hours(df, df["ts"] if zone is None else F.from_utc_timestamp("ts", zone), aggregatetype, self._holidays(holidays))
         if zone is not None:
             df = df.withColumn("ts", F.from_utc_timestamp("ts", zone))
         time = "ts"
