@@ -483,6 +483,14 @@ def test_shortages_go_to_siblings_first(spark):
     assert short == {"1:a/1:x": 100, "1:b/1:x": 850, "1:b/1:y": 50}
 
 
+@pytest.mark.parametrize("budget", [0, 1, 20, 29, 30, 31])
+def test_no_part_of_a_budget_is_lost(spark, budget):
+    leaves = spark.createDataFrame([("a", "x", 10), ("a", "y", 10), ("b", "x", 10)], "d string, l string, tokens long")
+    for levels in (["d", "l"], ["l", "d"]):
+        shares = [r.share for r in mixing.budgets(leaves, levels, {("a",): 3}, budget, 1).collect()]
+        assert sum(shares) == min(budget, 30) and all(0 <= s <= 10 for s in shares)
+
+
 def test_mix_keeps_budgets_and_epochs(spark, odd, nothing):
     rows = [(i, prose(i, 1 + i % 9)) for i in range(300)]
     docs = documents(spark, rows)

@@ -53,7 +53,8 @@ def _share(nodes: DataFrame) -> DataFrame:
     """``nodes (parent, node, weight, room, budget of the parent)`` with each node's ``share``.
 
     Children are taken by room per weight: as long as a child's room is below its part of what is left,
-    it is filled; the rest share what then remains.
+    it is filled; the rest share what then remains. Parts of a token go to the next child in the same order,
+    so that the shares sum to the budget wherever the children can hold it.
     """
     order = Window.partitionBy("parent").orderBy(F.col("room").cast("double") / F.col("weight").cast("double"), "node")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -64,9 +65,10 @@ def _share(nodes: DataFrame) -> DataFrame:
             .withColumn("rest", F.sum("weight").over(whole) - F.sum("weight").over(so_far) + F.col("weight"))
             .withColumn("full", F.expr("room * rest <= left * weight"))
             .withColumn("taken", F.coalesce(F.sum(F.when(F.col("full"), F.col("room"))).over(whole), zero))
-            .withColumn("open", F.sum(F.when(~F.col("full"), F.col("weight"))).over(whole)))
-    return live.select("node", F.expr(
-        "cast(case when full then room else (budget - taken) * weight div open end as decimal(38,0))").alias("share"))
+            .withColumn("open", F.sum(F.when(~F.col("full"), F.col("weight"))).over(whole))
+            .withColumn("upto", F.sum(F.when(~F.col("full"), F.col("weight"))).over(so_far)))
+    return live.select("node", F.expr("""cast(case when full then room else (budget - taken) * upto div open
+                                              - (budget - taken) * (upto - weight) div open end as decimal(38,0))""").alias("share"))
 
 
 def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple, int], budget: int, max_epochs: int) -> DataFrame:
@@ -128,7 +130,8 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[tuple, int], budget: i
     ``budget`` is in tokens, ``percent`` of all where None. Weights are whole numbers by path, 1 where none is
     given; nodes of weight 0 get nothing. Rows of one leaf that share an id are taken or left together; null
     ids are one such id. Null group values are a group of their own. The prefix never exceeds a leaf's
-    budget. A column of ``docs`` named ``copies`` is replaced.
+    budget: less than the tokens of the next row in its order are left over in each leaf, and stay unspent. An
+    empty table gives no rows; texts of any length are counted whole. A column of ``docs`` named ``copies`` is replaced.
     """
     names = [f"_g{i}" for i in range(len(levels))]
     rows = written(docs.select(*[F.col(c).cast("string").alias(n) for c, n in zip(levels, names)], F.col(doc).alias("_id"),

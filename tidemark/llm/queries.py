@@ -115,21 +115,24 @@ def with_domain(docs: DataFrame) -> tuple[DataFrame, str]:
     d1 AS (SELECT *, budget - (sum(room) OVER o - room) AS lft, sum(w) OVER () - sum(w) OVER o + w AS rest FROM d0
            WINDOW o AS (ORDER BY room::DOUBLE / w, domain ROWS UNBOUNDED PRECEDING)),
     d2 AS (SELECT *, room * rest <= lft * w AS f FROM d1),
-    d3 AS (SELECT domain, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER (), 0)) * w
-                  // sum(w) FILTER (NOT f) OVER () END::HUGEINT AS share FROM d2),
+    d3 AS (SELECT domain, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER (), 0)) * (sum(w) FILTER (NOT f) OVER o) // sum(w) FILTER (NOT f) OVER ()
+                  - (budget - coalesce(sum(room) FILTER (f) OVER (), 0)) * (sum(w) FILTER (NOT f) OVER o - w) // sum(w) FILTER (NOT f) OVER () END::HUGEINT AS share
+           FROM d2 WINDOW o AS (ORDER BY room::DOUBLE / w, domain ROWS UNBOUNDED PRECEDING)),
     l0 AS (SELECT domain, lang, sum(room)::HUGEINT AS room, CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 3 WHEN 'fr' THEN 2 ELSE 1 END::HUGEINT AS w,
                   any_value(share) AS budget FROM leaves JOIN d3 USING (domain) GROUP BY 1, 2),
     l1 AS (SELECT *, budget - (sum(room) OVER o - room) AS lft, sum(w) OVER p - sum(w) OVER o + w AS rest FROM l0
            WINDOW p AS (PARTITION BY domain), o AS (PARTITION BY domain ORDER BY room::DOUBLE / w, lang ROWS UNBOUNDED PRECEDING)),
     l2 AS (SELECT *, room * rest <= lft * w AS f FROM l1),
-    l3 AS (SELECT domain, lang, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER p, 0)) * w
-                  // sum(w) FILTER (NOT f) OVER p END::HUGEINT AS share FROM l2 WINDOW p AS (PARTITION BY domain)),
+    l3 AS (SELECT domain, lang, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER p, 0)) * (sum(w) FILTER (NOT f) OVER o) // sum(w) FILTER (NOT f) OVER p
+                  - (budget - coalesce(sum(room) FILTER (f) OVER p, 0)) * (sum(w) FILTER (NOT f) OVER o - w) // sum(w) FILTER (NOT f) OVER p END::HUGEINT AS share
+           FROM l2 WINDOW p AS (PARTITION BY domain), o AS (PARTITION BY domain ORDER BY room::DOUBLE / w, lang ROWS UNBOUNDED PRECEDING)),
     s0 AS (SELECT domain, lang, source, tokens, room, 1::HUGEINT AS w, share AS budget FROM leaves JOIN l3 USING (domain, lang)),
     s1 AS (SELECT *, budget - (sum(room) OVER o - room) AS lft, sum(w) OVER p - sum(w) OVER o + w AS rest FROM s0
            WINDOW p AS (PARTITION BY domain, lang), o AS (PARTITION BY domain, lang ORDER BY room::DOUBLE / w, length(source) || ':' || source ROWS UNBOUNDED PRECEDING)),
     s2 AS (SELECT *, room * rest <= lft * w AS f FROM s1),
-    s3 AS (SELECT domain, lang, source, tokens, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER p, 0)) * w
-                  // sum(w) FILTER (NOT f) OVER p END::HUGEINT AS share FROM s2 WINDOW p AS (PARTITION BY domain, lang)),
+    s3 AS (SELECT domain, lang, source, tokens, CASE WHEN f THEN room ELSE (budget - coalesce(sum(room) FILTER (f) OVER p, 0)) * (sum(w) FILTER (NOT f) OVER o) // sum(w) FILTER (NOT f) OVER p
+                  - (budget - coalesce(sum(room) FILTER (f) OVER p, 0)) * (sum(w) FILTER (NOT f) OVER o - w) // sum(w) FILTER (NOT f) OVER p END::HUGEINT AS share
+           FROM s2 WINDOW p AS (PARTITION BY domain, lang), o AS (PARTITION BY domain, lang ORDER BY room::DOUBLE / w, length(source) || ':' || source ROWS UNBOUNDED PRECEDING)),
     plan AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN share // tokens ELSE 0 END AS epochs,
                     CASE WHEN tokens > 0 THEN share % tokens ELSE share END AS remains FROM s3),
     run AS (SELECT doc_id, domain, lang, source, tokens, epochs, remains,
