@@ -434,3 +434,15 @@ def test_pages_keep_to_their_ranges(spark):
     spark.range(40_000).selectExpr("id as a", "id % 7 as b").write.parquet(path)
     got = filters.page(spark.read.parquet(path), ["a"], 3, 6_000)
     assert sorted(r.a for r in got.collect()) == list(range(12_000, 18_000))
+
+
+def test_files_with_another_header_or_an_error_spoil_nothing(spark):
+    path = shared_dir(spark, "mixed")
+    files = ["symbol,close\nA,1\n\n\"B, x\",2\n   \nC,3,4\n", "close,symbol\n9,Z\n", "\n{\"error\": 1}\n", "\"symbol\", \"close\"\r\nD,5\r\n", "symbol,close\n", ""]
+    for f in files:
+        spark.createDataFrame([(f,)], "value string").coalesce(1).write.mode("append").text(path)
+    refused = landing.refused_files(spark, path, ["symbol", "close"])
+    assert sorted(values(refused, "reason")) == ["error payload", "unexpected header"]
+    rows, malformed = landing.landed_rows(spark, path, ["symbol", "close"], refused)
+    assert sorted((r.symbol, r.close) for r in rows.collect()) == [("A", "1"), ("B, x", "2"), ("D", "5")]
+    assert values(malformed, "content") == ["C,3,4"]

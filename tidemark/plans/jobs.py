@@ -25,7 +25,6 @@ from tidemark.functions import keys
 from tidemark.operators import conform, ingest
 from tidemark.session import shared_dir
 from tidemark.operators.mutate import remove_folder
-from tidemark.schemas import text_schema
 from tidemark.sources import landing
 from tidemark.sources.store import Store, partition_names
 
@@ -175,27 +174,18 @@ def run_landing(spark: SparkSession, path: str | list[str], columns: list[str],
                 key_pattern: str | None = None, order: list[str] | None = None) -> dict[str, int]:
     """Landed files to the table in one call.
 
-    Files that hold an error answer are left out before the CSV parse, as one of them would spoil it
-    for all; they and the rows that do not parse go to the quarantine with the run's id. An absent or
+    Files that hold an error answer, or have another header, are left out as a whole; they and the rows that
+    do not parse go to the quarantine with the run's id. The driver sees no list of files. An absent or
     empty key column is taken from the file's path. Then the rows are ingested; without ``order`` the
     first duplicate is the one of the smallest file name, then of the smallest content.
     """
-    files = landing.file_list(spark, path)
-    errors = landing.error_files(spark, files) if files else None
-    bad = {r.source_file for r in errors.collect()} if errors is not None else set()
-    good = [f for f in files if f not in bad]
-    refused = []
-    if bad:
-        refused.append(spark.createDataFrame([("error payload", f) for f in sorted(bad)], "reason string, content string"))
-    if not good:
-        rows = spark.createDataFrame([], text_schema([*columns, "source_file"]))
-    else:
-        rows, malformed = landing.split_corrupt(landing.read_landed(spark, good, columns))
-        refused.append(malformed.select("reason", "content"))
+    refused = landing.refused_files(spark, path, columns)
+    rows, malformed = landing.landed_rows(spark, path, columns, refused)
+    aside = [refused.select("reason", F.col("source_file").alias("content")), malformed.select("reason", "content")]
     if key_column is not None and key_pattern is not None:
         rows = landing.default_key_column(rows, key_column, key_pattern)
     return run_ingest(spark, rows, rules, store, run_id, run_ts,
-                      order or ["source_file", *[c for c in rows.columns if c != "source_file"]], refused=refused)
+                      order or ["source_file", *[c for c in rows.columns if c != "source_file"]], refused=aside)
 
 
 def already_ran(spark: SparkSession, store: Store, run_id: str) -> bool:

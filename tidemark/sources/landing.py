@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.casting import FIELD_PARSERS
 from tidemark.schemas import text_schema
+from tidemark.session import shared_dir
 
 CORRUPT = "_corrupt"
 ERROR_HEAD = 100
@@ -96,6 +97,41 @@ def file_list(spark: SparkSession, path: str | list[str]) -> list[str]:
     return sorted(r.f for r in found.distinct().collect())
 
 
+def refused_files(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+    """``(source_file, reason)`` of the landed files that are left out as a whole: error answers, and files
+    whose first line with text does not name the columns. Stored in the shared folder: what is refused is
+    usually little, and its size is known to the planner then.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
+        F.substring("value", 1, 10_000).alias("head"), F.col("_metadata.file_path").alias("source_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("place"))
+    first = lines.groupBy("source_file").agg(F.min_by("head", "place").alias("head"))
+    other = first.where(~_is_header(F.col("head"), columns)).select("source_file", F.lit("unexpected header").alias("reason"))
+    errors = error_files(spark, path)
+    found = errors.unionByName(other).groupBy("source_file").agg(F.min("reason").alias("reason"))
+    target = shared_dir(spark, "refused")
+    found.write.parquet(target)
+    return spark.read.schema(found.schema).parquet(target)
+
+
+def _is_header(line: Column, columns: Sequence[str]) -> Column:
+    return F.lower(F.regexp_replace(line, "[\" \t\r\ufeff]", "")) == ",".join(columns).lower().replace(" ", "")
+
+
+def landed_rows(spark: SparkSession, path: str | list[str], columns: Sequence[str],
+                refused: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that parsed, rows that did not) of the landed files that were not refused.
+
+    Files are read as lines, each parsed by itself, so that no list of files is ever made and a file that is
+    no table spoils nothing. A line equal to the header is not a row.
+    """
+    lines = spark.read.text(path).withColumn("source_file", F.col("_metadata.file_path"))
+    kept = drop_files(lines.where(F.trim("value") != ""), refused).where(~_is_header(F.col("value"), columns))
+    shape = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
+    parsed = kept.select(F.from_csv("value", F.lit(shape), csv_options()).alias("row"), "source_file").select("row.*", "source_file")
+    return split_corrupt(parsed)
+
+
 def drop_files(df: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of files that were not rejected as a whole."""
     return df.join(rejected.select("source_file"), "source_file", "left_anti")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.bars import latest_quote, moment, ohlcv
-from tidemark.sources.store import Store
+from tidemark.operators.bars import bars, latest_quote, moment, ohlcv
+from tidemark.operators.ingest import first_by_key
+from tidemark.sources.store import Store, partition_names
 
 
 def stream_bars(ticks: DataFrame, minutes: int, delay: str, price: str = "last", time: str = "ts",
@@ -47,6 +48,39 @@ def keep_complete(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
+TICKS, BARS = "ticks", "bars"
+
+
+def stream_corrected_bars(ticks: DataFrame, store: Store, checkpoint: str, minutes: int, order: Sequence[str],
+                          price: str = "last", time: str = "ts", volume: str = "volume", tie: Sequence[str] = ()) -> StreamingQuery:
+    """Bars that follow corrections however late they come: those of a closed bar replace it.
+
+    A row is a revision of its symbol, time and ``tie``; the newest by ``order`` counts, whatever order revisions
+    come in. Both tables of the store, the revisions that count and the bars, are cut by the day of the bar. A
+    micro-batch rewrites the days it has rows in, ticks and bars in one version, and no other; the stream keeps
+    no state. Rows without a time belong to no bar and are dropped.
+    """
+    if not isinstance(minutes, int) or minutes <= 0:
+        raise ValueError("the bar interval is a positive number of minutes")
+    span, newest = minutes * 60, [F.desc(c) for c in order]
+
+    def one_batch(batch: DataFrame, _: int) -> None:
+        start = F.timestamp_seconds(F.expr(f"(unix_seconds({time}) - pmod(unix_seconds({time}), {span}))"))
+        rows = batch.where(F.col(time).isNotNull()).withColumn("day", F.to_date(start))
+        change = store.begin(batch.sparkSession)
+        names = partition_names(rows, "day")
+        both = change.read(TICKS, rows.schema, names).unionByName(rows)
+        kept = change.replace(TICKS, first_by_key(both, ["symbol", time, *tie], newest), "day", names)
+        made = bars(kept, minutes, price, time, volume, tie).withColumn("day", F.to_date("bar"))
+        change.replace(BARS, made, "day", names)
+        change.commit()
+
+    return (
+        ticks.writeStream.foreachBatch(one_batch)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 QUOTES, QUOTE_LOG = "quotes", "quote_log"
 
 
