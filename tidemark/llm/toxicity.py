@@ -13,13 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, pieces, ship_code
 from tidemark.llm.hashing import NOT_LETTER, U64, words
 
 WORD_BITS = 22
+SAMPLE_BYTES = 1 << 27  # of hashed words that reach the driver, for each of the two sets, beyond a first text
 
 
 def distinct_words(column: pa.Array) -> Iterator[np.ndarray]:
@@ -91,18 +92,22 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["toxic", "rank", "words"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: int = 6000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: int = 6000, prior: float | None = None) -> Model:
     """Learn from ``docs (doc_id, text)`` and ``labels (doc_id, toxic)``.
 
-    The prior is the share of ``toxic = 1`` among the labelled rows. At most ``positives`` confirmed and
+    ``prior`` is the share of toxic texts among those of unknown label; where it is not given, the share of
+    ``toxic = 1`` among the labelled rows stands for it. At most ``positives`` confirmed and
     ``unlabelled`` other whole texts, by the hash of the id, are fitted; an id with several labels is
-    toxic if one says so, and of several texts of an id the one with the least digest is taken. Rows with a null id, text or label teach nothing.
+    toxic if one says so, and of several texts of an id the one with the least digest is taken; within ``SAMPLE_BYTES`` later ones go
+    first. Rows with a null id, text or label teach nothing, rows that repeat teach once; without a confirmed
+    text all scores are near 0.
     """
     ship_code(docs.sparkSession)
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     known = (labels.where("doc_id is not null and toxic is not null")
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    prior = known.agg(F.avg("toxic")).first()[0] or 0.0
+    if prior is None:
+        prior = known.agg(F.avg("toxic")).first()[0] or 0.0
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     rank = F.xxhash64("doc_id")
     sure = (texts.select("doc_id").join(known.where("toxic = 1").select("doc_id"), "doc_id").distinct()
@@ -110,16 +115,20 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: i
     any_label = (texts.select("doc_id").distinct().withColumn("rank", rank)
                  .orderBy("rank", "doc_id").limit(unlabelled).withColumn("toxic", F.lit(0)))
     # Bounded by the two parameters, so it may be broadcast.
+    before = Window.partitionBy("toxic").orderBy("rank", "words").rowsBetween(Window.unboundedPreceding, -1)
     sample = (texts.join(F.broadcast(sure.unionByName(any_label)), "doc_id")
               .groupBy("doc_id", "toxic", "rank").agg(F.min_by("text", F.sha2("text", 256)).alias("text")).select("text", "toxic", "rank")
-              .mapInArrow(_features, "toxic int, rank long, words binary").collect())
+              .mapInArrow(_features, "toxic int, rank long, words binary")
+              .withColumn("before", F.coalesce(F.sum(F.octet_length("words")).over(before), F.lit(0)))
+              .where(F.col("before") < SAMPLE_BYTES).drop("before").collect())
     sample.sort(key=lambda r: (r["rank"], bytes(r["words"])))
     rows = {k: [np.frombuffer(r["words"], np.int32) for r in sample if r["toxic"] == k] for k in (0, 1)}
     return train(rows[1], rows[0], prior)
 
 
 def predict(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """``(doc_id, score, predicted)`` per row; the score reads the text alone, a null one as empty."""
+    """``(doc_id, score, predicted)`` per row, rows that repeat each by itself; the score reads the whole text
+    alone, of any length, a null one as empty. An empty table gives no rows; other columns are ignored."""
     ship_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
