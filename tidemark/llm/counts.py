@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from importlib import metadata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,13 +16,14 @@ from tidemark.llm.tokens import encoder
 from tidemark.session import shared_dir
 
 PIECE_BYTES = 8 << 20
-CACHE = "tokenizer string, content string, n_tokens long"
+CACHE = "content string, n_tokens long, tokenizer string"  # partitioned by the last
 
 
 def tokenizer_version(path: str) -> str:
-    """Digest of the vocabulary file: another file is another version."""
+    """Digest of the vocabulary file and the library that reads it: another of either is another version."""
+    library = "sentencepiece" if path.endswith(".model") else "tokenizers"
     with open(path, "rb") as file:
-        return hashlib.sha256(file.read()).hexdigest()
+        return hashlib.sha256(f"{library} {metadata.version(library)}\n".encode() + file.read()).hexdigest()
 
 
 def _count(path: str):
@@ -40,8 +42,8 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None, limit: in
     """``(doc_id, n_bytes, n_tokens, over_limit, content)`` per row of ``docs``.
 
     Content is normalised only as far as the tokenizer cannot tell: a null text counts as an empty one.
-    Its SHA-256 digest and that of the vocabulary file are the key of the cache, a Parquet table at
-    ``cache`` in storage that all executors reach (a new one in the shared folder where none is named).
+    Its SHA-256 digest and that of the tokenizer's version are the key of the cache, a Parquet table at
+    ``cache``, a folder for each version, in storage that all executors reach (a new one in the shared folder where none is named).
     Digests that the cache lacks are encoded once each, however many rows hold them, and appended; the
     rows then take their counts from the cache. Copies are dropped map-side before the one shuffle of
     texts. Null ids, repeated rows and empty tables need nothing special; other columns are ignored.
@@ -52,7 +54,7 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None, limit: in
     place = cache or shared_dir(spark, "token-counts")
     schema = StructType.fromDDL(CACHE)
     empty = spark.createDataFrame([], schema)
-    empty.write.mode("append").parquet(place)  # the table exists from here on
+    empty.write.mode("append").partitionBy("tokenizer").parquet(place)  # the table exists from here on
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc).alias(doc), body.alias("text"), F.sha2(body, 256).alias("content"))
 
@@ -62,7 +64,7 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None, limit: in
     missing = (rows.groupBy("content").agg(F.first("text").alias("text"))
                .join(known().select("content"), "content", "left_anti").select("content", "text"))
     (missing.mapInArrow(_count(path), "content string, n_tokens long")
-     .select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(place))
+     .select("content", "n_tokens", F.lit(version).alias("tokenizer")).write.mode("append").partitionBy("tokenizer").parquet(place))
     # A writer that ran at the same time may have added the same digest.
     stored = known().groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     return rows.select(doc, F.octet_length("text").cast("long").alias("n_bytes"), "content").join(
