@@ -11,7 +11,7 @@ time, and only those that can have a partner at all:
    anchors go to the bucket of their anchor's hash; equal stretches within one map-side piece go once, with
    the least id, and the other documents that hold them are already decided. Stretches whose anchor more
    than ``HOT_DOCS`` documents hold are cut into their single windows, which go to a bucket by a hash of
-   their own bytes: equal windows still meet, and no bucket takes all that surrounds a common phrase.
+   their own bytes and are sorted there: equal windows still meet, and no bucket takes all that surrounds a common phrase.
 3. *Suffix sort.* A bucket's distinct stretches are sorted by their first eight bytes; ties, however long,
    by the ranks of a difference-cover sample (residues 0, 1, 3 modulo 7), which are computed before: for
    any two suffixes some shift below 7 takes both to sampled places. Memory is that of one bucket.
@@ -357,7 +357,7 @@ def _sorted_bucket(buckets: int):
         which = np.array(which, dtype=np.int64)
         least = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(least, which, ids)
-        lowest = least if kind == 2 else lowest_ids(list(number), least)
+        lowest = lowest_ids(list(number), least)
         counts = np.zeros(len(number), dtype=np.int64)
         counts[which] = sizes
         # All windows of all stretches one after the other, and the runs of covered ones among them.
