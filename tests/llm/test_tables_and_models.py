@@ -129,6 +129,56 @@ def test_temperature_tempers_a_model_that_is_too_sure():
     assert language.temperature(logits, labels) > 4.9
 
 
+def test_positive_unlabelled_learner_equals_a_plain_one():
+    """The corrected risk and its steps with dense rows, text by text."""
+    rng = np.random.default_rng(5)
+    positive = [np.unique(rng.choice(30, 8)).astype(np.int32) for _ in range(20)]
+    unlabelled = [np.unique(np.append(rng.choice(40, 9), [])).astype(np.int32) for _ in range(50)]
+    prior, rate, l1 = 0.2, 0.05, 2e-4
+    rows = [*positive, *unlabelled]
+    names = [w for w in range(40) if sum(w in r for r in rows) >= 3]
+    x = np.array([[float(w in r) for w in names] for r in rows])
+    p, u, w, b = len(positive), len(unlabelled), np.zeros(len(names)), np.log(prior / (1 - prior))
+    m, v, climbed = np.zeros(len(names) + 1), np.zeros(len(names) + 1), 0
+    for step in range(1, 401):
+        f = x @ w + b
+        s = 1 / (1 + np.exp(-f))
+        grad = lambda rows_, slope: np.append(x[rows_].T @ slope, slope.sum())
+        pos, unl = slice(0, p), slice(p, p + u)
+        plus = prior * grad(pos, (s[pos] - 1) / p)  # of R_P(+)
+        minus = grad(unl, s[unl] / u) - prior * grad(pos, s[pos] / p)  # of R_U(-) - prior R_P(-)
+        risk = np.log1p(np.exp(f[unl])).mean() - prior * np.log1p(np.exp(f[pos])).mean()
+        climbed += risk < 0
+        g = plus + minus if risk >= 0 else -minus
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        size = rate / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        move = size * m / (1 - 0.9 ** step)
+        w, b = w - move[:-1], b - move[-1]
+        w = np.sign(w) * np.maximum(np.abs(w) - size[:-1] * l1, 0)
+    model = toxicity.train(positive, unlabelled, prior)
+    assert climbed and model.words.tolist() == [n for n, value in zip(names, w) if value]
+    assert np.allclose(model.weights, w[w != 0], atol=1e-8) and np.isclose(model.bias, b)
+    assert np.allclose([model.score(r) for r in rows], 1 / (1 + np.exp(-(x @ w + b))), atol=1e-8)
+
+
+def test_toxicity_at_the_threshold(spark):
+    """Of the held-out labelled rows of the larger table: precision and recall of ``predicted``."""
+    sf_dir = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where("toxic is not null")
+    held = QUERIES["op1_toxicity_pu"](spark, sf_dir).where("held_out").join(labels, "doc_id")
+    n = held.agg(F.sum("toxic").alias("toxic"), F.sum("predicted").alias("called"), F.sum(F.col("toxic") * F.col("predicted")).alias("both")).first()
+    assert n.toxic > 20 and n.both >= 0.8 * n.toxic and n.both >= 0.9 * n.called
+
+
+def test_the_prior_can_be_given(spark):
+    docs = spark.createDataFrame([(k, "bad worse words" if k % 4 == 0 else "good kind words") for k in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(0, 80, 4)], "doc_id long, toxic int")
+    for prior in (None, 0.25):
+        got = {r.doc_id % 4 == 0: r.score for r in toxicity.predict(docs, toxicity.fit(docs, labels, prior=prior)).collect()}
+        assert got[True] > got[False]
+    assert got[True] > 0.3 > got[False]
+
+
 def test_toxicity_of_held_out_rows(spark):
     got = QUERIES["op1_toxicity_pu"](spark, DATA)
     labels = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", "toxic")

@@ -118,10 +118,11 @@ LEAST = 0.6
 
 
 def _features(text: str) -> Column:
-    """Words, and pairs of neighbouring words."""
+    """Words, and pairs of neighbouring words, by 64-bit digests."""
     words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD), F.lit(0))
-    return F.concat(words, F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-                                       lambda w, i: F.concat(F.get(words, i), F.lit(" "), w)))
+    pairs = F.greatest(F.size(words) - 1, F.lit(0))
+    both = F.concat(words, F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b)))
+    return F.transform(both, lambda w: F.xxhash64(w))
 
 
 def units(files: DataFrame) -> DataFrame:
@@ -148,14 +149,15 @@ def matches(spark: SparkSession, rows: DataFrame, templates: list[tuple[str, str
     ``rows (key, unit)`` may repeat; word frequencies count every repetition. Empty tables have no matches; a
     unit of any length is compared whole.
     """
-    counted = written(rows.where("unit is not null").groupBy("key").agg(F.count("*").alias("times"), F.first("unit").alias("unit")), "units")
+    counted = written(rows.where("unit is not null").groupBy("key").agg(F.count("*").alias("times"), F.first("unit").alias("unit"))
+                      .withColumn("number", F.monotonically_increasing_id()), "units")
     total = F.lit(float(counted.agg(F.sum("times")).first()[0] or 0))
-    held = counted.select("key", "times", F.explode(_features("unit")).alias("word"))
-    tf = held.groupBy("key", "word").agg(F.count("*").alias("tf"), F.first("times").alias("times"))
+    held = counted.select("number", "times", F.explode(_features("unit")).alias("word"))
+    tf = written(held.groupBy("number", "word").agg(F.count("*").alias("tf"), F.first("times").alias("times")), "features")
     df = tf.groupBy("word").agg(F.sum("times").alias("df"))
     idf = df.select("word", (F.log((total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    weights = written(tf.join(idf, "word").select("key", "word", (F.col("tf") * F.col("idf")).alias("w")), "weights")
-    sizes = weights.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
+    weights = tf.join(idf, "word").select("number", "word", (F.col("tf") * F.col("idf")).alias("w"))
+    sizes = weights.groupBy("number").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
     listed = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(templates)], "template int, license string, notice string")
     unseen = F.log(total + 1) + 1  # the weight of a template's word that no unit holds
     asked = (listed.select("template", "license", F.explode(_features("notice")).alias("word"))
@@ -163,12 +165,12 @@ def matches(spark: SparkSession, rows: DataFrame, templates: list[tuple[str, str
              .join(idf, "word", "left")
              .select("template", "license", "word", (F.col("tf") * F.coalesce("idf", unseen)).alias("v")))
     lengths = asked.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
-    dots = (weights.join(asked, "word").groupBy("key", "template", "license").agg(F.sum(F.col("w") * F.col("v")).alias("dot")))
-    scored = (dots.join(sizes, "key").join(lengths, "template")
-              .select("key", "license", F.round(F.col("dot") / (F.col("size") * F.col("length")), 6).alias("score"))
+    dots = (weights.join(asked, "word").groupBy("number", "template", "license").agg(F.sum(F.col("w") * F.col("v")).alias("dot")))
+    scored = (dots.join(sizes, "number").join(lengths, "template")
+              .select("number", "license", F.round(F.col("dot") / (F.col("size") * F.col("length")), 6).alias("score"))
               .where(F.col("score") >= LEAST))
     best = F.min(F.struct((-F.col("score")).alias("order"), F.col("license").alias("license"))).alias("best")
-    return scored.groupBy("key").agg(best).select("key", F.col("best.license").alias("license"), (-F.col("best.order")).alias("score"))
+    return scored.groupBy("number").agg(best).join(counted.select("number", "key"), "number").select("key", F.col("best.license").alias("license"), (-F.col("best.order")).alias("score"))
 
 
 def _folders(folder: str) -> Column:
