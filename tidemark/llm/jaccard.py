@@ -10,7 +10,8 @@ is packed per map task: class ids, counts and 6-byte hashes.
 2. *Row bound.* A pair at similarity s has an overlap of at least s times the larger set, so a class
    with fewer shared columns than ``ceil(s * size)`` has no partner and is dropped.
 3. *Product over the leading columns.* Two classes that reach the bound share a column among the first
-   ``shared - ceil(s * size) + 1`` of either (columns in hash order). First every class meets one
+   ``shared - ceil(s * size) + 1`` of either, frequent columns last, so that a passage that many classes
+   hold leads none that has other columns. First every class meets one
    centre per column, size class and seed, which is linear in the entries; the links found give
    components. Then all pairs that lie in different components and share a leading column are taken,
    cut by the size bound and by what is left of both rows after that column.
@@ -42,6 +43,9 @@ PIECE_BYTES = 6 << 20  # text per packed map-side piece
 LEAST_BITS = 6
 SIZE_STEP = 1.25
 SEEDS = 3
+FREQUENT = 64  # entries from which on a column's frequency counts for its place
+#: Frequent columns, of 16 bytes, up to which they are broadcast; beyond, both sides are shuffled.
+BROADCAST_COLUMNS = 500_000
 LONG_COLUMN = 64  # members from which on a leading column's pairs are taken in numpy blocks
 BLOCK_ROWS = 1024
 PACKED = "block int, docs binary, sizes binary, classes binary, counts binary, hashes binary, shared binary"
@@ -103,10 +107,8 @@ def _pack(docs: list, tags: np.ndarray, sets: list[np.ndarray], bits: int) -> It
         "docs": np.array([0 if d is None else d for d in docs], dtype=np.int64).tobytes()
         + names.tobytes() + tags.tobytes() + known.tobytes()}
     cuts = np.searchsorted(block, np.arange(blocks + 1))
-    for b in range(blocks):
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
         at = slice(cuts[b], cuts[b + 1])
-        if at.start == at.stop:
-            continue
         lone = np.arange(at.start, at.stop)[~many[at]]
         marks = np.arange(at.start, at.stop)[many[at] & new[at]]
         yield empty | entries(lone) | {"block": b, "shared": _six(column[marks], bits)}
@@ -178,16 +180,20 @@ def _column_counts(bits: int):
 
 def classes_and_columns(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     """``(doc, tag, class, size)`` per row of ``docs (doc, text, tag)``, and ``(class, columns)`` with the
-    shared columns of every class, in ascending order."""
+    shared columns of every class: rare ones by number, then the frequent ones by frequency."""
     ship_code(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(LEAST_BITS, (-(-total // BLOCK_BYTES) - 1).bit_length())
     packed = docs.mapInArrow(_incidence(size, bits), PACKED)
     found = written(packed.groupBy("block").applyInArrow(_column_counts(bits), FOUND), "incidence")
     members = found.where("size is not null").select("doc", "tag", "class", "size")
-    columns = (found.where("columns is not null")
-               .select("class", F.explode("columns").alias("column"))
-               .groupBy("class").agg(F.sort_array(F.collect_set("column")).alias("columns")))
+    entries = found.where("columns is not null").select("class", F.explode("columns").alias("column"))
+    # Counted per map task first; the few columns that stay are those that many tasks or classes hold.
+    frequent = written(entries.groupBy("column").agg(F.count("*").alias("often")).where(f"often >= {FREQUENT}"), "frequent")
+    known = F.broadcast(frequent) if frequent.count() <= BROADCAST_COLUMNS else frequent
+    placed = F.struct(F.coalesce("often", F.lit(0)).alias("often"), "column")
+    columns = (entries.join(known, "column", "left").groupBy("class")
+               .agg(F.sort_array(F.collect_set(placed)).getField("column").alias("columns")))
     return members, columns
 
 
