@@ -123,11 +123,24 @@ def _unpack(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, list[byte
 
 # --- which anchors two documents share ----------------------------------------------------------------
 
-HASHES = "block int, ids binary, counts binary, hashes binary"
+#: Blocks from ``1 << bits`` on are buckets of texts: what needs no block's task passes by in them.
+HASHES = "block int, ids binary, counts binary, hashes binary, marks binary, marked binary"
 
 
-def _hashes(bits: int):
-    """Anchor hashes by block, per document."""
+def _five(hashed: np.ndarray, bits: int) -> bytes:
+    """The 40 bits that follow the ``bits`` bits of the block."""
+    return np.ascontiguousarray((hashed << U64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def _wide(packed: list[bytes], block: int) -> np.ndarray:
+    wide = np.zeros((sum(map(len, packed)) // 5, 8), dtype=np.uint8)
+    wide[:, 3:] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 5)
+    return wide.reshape(-1).view(">u8").astype(np.uint64) | U64(block << 40)
+
+
+def _hashes(bits: int, buckets: int):
+    """Anchor hashes by block, per document. One that two documents of a piece hold is known to be shared:
+    its entries pass by, and the block's task gets one mark with their number instead."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -138,18 +151,28 @@ def _hashes(bits: int):
                 doc, hashed = own[text][order], hashed[order]
                 fresh = np.concatenate([[True], (hashed[1:] != hashed[:-1]) | (doc[1:] != doc[:-1])]) if len(doc) else np.zeros(0, bool)
                 doc, hashed = doc[fresh], hashed[fresh]
-                block = (hashed >> U64(64 - bits)).astype(np.int64)
-                cuts = np.searchsorted(block, np.arange((1 << bits) + 1))
+                begin = np.flatnonzero(np.concatenate([[True], hashed[1:] != hashed[:-1]])) if len(hashed) else np.zeros(0, np.int64)
+                held = np.diff(np.append(begin, len(hashed)))
+                many = np.repeat(held > 1, held)
+                marks, marked = hashed[begin[held > 1]], held[held > 1].astype(np.int32)
                 rows = []
-                for b in np.flatnonzero(np.diff(cuts)):
+                to = _spread(doc[many], buckets)
+                order = np.argsort(to, kind="stable")
+                to, known, short = to[order], doc[many][order], _short(hashed[many], bits)[order]
+                cut = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
+                for a, b in zip(cut[:-1], cut[1:]):
+                    rows.append({"block": (1 << bits) + int(to[a]), "ids": known[a:b].tobytes(), "hashes": short[a:b].tobytes()})
+                doc, hashed = doc[~many], hashed[~many]
+                numbers = np.arange((1 << bits) + 1, dtype=np.int64)
+                cuts, ends = (np.searchsorted((h >> U64(64 - bits)).astype(np.int64), numbers) for h in (hashed, marks))
+                for b in np.flatnonzero(np.diff(cuts) | np.diff(ends)):
                     d, h = doc[cuts[b]:cuts[b + 1]], hashed[cuts[b]:cuts[b + 1]]
                     by = np.argsort(d, kind="stable")
                     who, count = np.unique(d, return_counts=True)
-                    low = (h[by] << U64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                    rows.append({"block": int(b), "ids": who.tobytes(), "counts": count.astype(np.int32).tobytes(),
-                                 "hashes": np.ascontiguousarray(low).tobytes()})
+                    rows.append({"block": int(b), "ids": who.tobytes(), "counts": count.astype(np.int32).tobytes(), "hashes": _five(h[by], bits),
+                                 "marks": _five(marks[ends[b]:ends[b + 1]], bits), "marked": marked[ends[b]:ends[b + 1]].tobytes()})
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-                    [("block", pa.int32())] + [(n, pa.binary()) for n in ("ids", "counts", "hashes")]))
+                    [("block", pa.int32())] + [(n, pa.binary()) for n in ("ids", "counts", "hashes", "marks", "marked")]))
     return run
 
 
@@ -163,29 +186,41 @@ def _short(hashed: np.ndarray, bits: int) -> np.ndarray:
 
 def _shared(bits: int, buckets: int, hot_docs: int):
     def run(table: pa.Table) -> pa.Table:
-        """The entries of one block whose hash occurs in two documents, by bucket of texts, and which of the
-        hashes more than ``hot_docs`` hold."""
+        """The entries of one block whose hash occurs in two documents, by bucket of texts, and for every
+        bucket which hashes more than ``hot_docs`` hold. Of what was known to be shared only the marks are here."""
         block = table.column("block")[0].as_py()
-        of = {n: table.column(n).to_pylist() for n in ("ids", "counts", "hashes")}
+        of = {n: table.column(n).to_pylist() for n in ("ids", "counts", "hashes", "marks", "marked")}
+        if block >= 1 << bits:
+            return pa.table({"bucket": pa.array([block - (1 << bits)] * table.num_rows, pa.int32()), "ids": pa.array(of["ids"], pa.binary()),
+                             "hashes": pa.array(of["hashes"], pa.binary()), "hot": pa.array([b""] * table.num_rows, pa.binary())})
         doc = np.concatenate([np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32)) for i, c in zip(of["ids"], of["counts"])])
-        wide = np.zeros((len(doc), 8), dtype=np.uint8)
-        wide[:, 3:] = np.frombuffer(b"".join(of["hashes"]), np.uint8).reshape(-1, 5)
-        hashed = wide.reshape(-1).view(">u8").astype(np.uint64) | U64(block << 40)
+        hashed, marks = _wide(of["hashes"], block), _wide(of["marks"], block)
         order = np.argsort(hashed, kind="stable")
         doc, hashed = doc[order], hashed[order]
-        begin = np.flatnonzero(np.concatenate([[True], hashed[1:] != hashed[:-1]]))
+        names, of_mark = np.unique(marks, return_inverse=True)
+        known = np.bincount(of_mark, np.frombuffer(b"".join(of["marked"]), np.int32), len(names)).astype(np.int64)
+        begin = np.flatnonzero(np.concatenate([[True], hashed[1:] != hashed[:-1]])) if len(doc) else np.zeros(0, np.int64)
         held = np.diff(np.append(begin, len(doc)))
-        many = np.repeat(np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin), held)
-        hot = np.repeat(held > hot_docs, held)[many]
+        shared = np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin) if len(doc) else np.zeros(0, bool)
+        every, at = np.unique(np.concatenate([names, hashed[begin]]), return_inverse=True)
+        total = np.bincount(at, np.concatenate([known, held]), len(every))
+        hot = every[total > hot_docs].tobytes()
+        many = np.repeat(shared | np.isin(hashed[begin], names), held)
         doc, hashed = doc[many], hashed[many]
         to = _spread(doc, buckets)
         order = np.argsort(to, kind="stable")
-        to, doc, hashed, hot = to[order], doc[order], hashed[order], hot[order]
+        to, doc, hashed = to[order], doc[order], hashed[order]
+        if hot:  # texts that hold it can be in any bucket
+            ends = np.searchsorted(to, np.arange(buckets + 1))
+            return pa.table({"bucket": pa.array(np.arange(buckets), pa.int32()),
+                             "ids": pa.array([doc[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+                             "hashes": pa.array([hashed[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+                             "hot": pa.array([hot] * buckets, pa.binary())})
         cut = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else np.zeros(1, int)
         return pa.table({"bucket": pa.array([int(to[a]) for a in cut[:-1]], pa.int32()),
                          "ids": pa.array([doc[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
                          "hashes": pa.array([hashed[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
-                         "hot": pa.array([np.unique(hashed[a:b][hot[a:b]]).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())})
+                         "hot": pa.array([b""] * (len(cut) - 1), pa.binary())})
     return run
 
 
@@ -430,7 +465,7 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", wit
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = max(LEAST_BITS, (-(-total // BLOCK_BYTES) - 1).bit_length())
     buckets = 1 << bits
-    blocks = named.select("doc", "text").mapInArrow(_hashes(bits), HASHES)
+    blocks = named.select("doc", "text").mapInArrow(_hashes(bits, buckets), HASHES)
     active = blocks.groupBy("block").applyInArrow(_shared(bits, buckets, HOT_DOCS), ACTIVE)
     packs = named.mapInArrow(_texts(buckets), TEXTS)
     found = packs.groupBy("bucket").cogroup(active.groupBy("bucket")).applyInArrow(_stretches(bits, buckets), STRETCHES)
