@@ -48,7 +48,7 @@ def fill(daily: DataFrame, keys: Sequence[str], day: str, value: str, method: st
     if method == "nofill":
         return daily.select(*keys, day, value)
     w = W.partitionBy(*keys).orderBy(day)
-    whole = W.partitionBy(*keys)
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # in the order of w: one sort serves both
     rows = daily.groupBy(*keys, day).agg(F.max(value).alias(value)).withColumns(
         {"_begin": F.min(day).over(whole), "_end": F.max(day).over(whole)})
     spans = rows.where(F.col(value).isNotNull()).withColumns({"_first": F.row_number().over(w) == 1}).withColumns(
