@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import components, ship_code, written
 
 PASSED = 20  # filters that a random vector passes
-BUCKET = 96  # unrelated vectors in a bucket, all labels together
+BUCKET = 512  # unrelated vectors in a bucket, all labels together
 MOST_CODES = 1024  # directions of a part, before there is one part more
 WIDE = 0.85  # no bound is above it: close vectors share wide caps in few dimensions, too
 LEAST = 16
