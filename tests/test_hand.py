@@ -446,3 +446,21 @@ def test_files_with_another_header_or_an_error_spoil_nothing(spark):
     rows, malformed = landing.landed_rows(spark, path, ["symbol", "close"], refused)
     assert sorted((r.symbol, r.close) for r in rows.collect()) == [("A", "1"), ("B, x", "2"), ("D", "5")]
     assert values(malformed, "content") == ["C,3,4"]
+
+
+@pytest.mark.parametrize("method", ["forward", "backward", "average", "interpolate"])
+def test_columns_filled_together_equal_each_alone(spark, method):
+    import random
+
+    from tidemark.operators.fill import fill, fill_all
+
+    rng, start = random.Random(7), dt.date(2024, 1, 1)
+    rows = [(s, start + dt.timedelta(days=d), *[rng.choice([None, None, float(rng.randint(1, 9))]) for _ in range(2)], None)
+            for s in ("A", "B", "C") for d in rng.sample(range(60), 14)]
+    rows += [("D", start, None, None, None), ("D", start + dt.timedelta(days=3), None, None, None), ("A", start, 1.0, None, None)]
+    df = spark.createDataFrame(rows, "symbol string, day date, x double, y double, z double")
+    for calendar in ("sevendays", "business"):
+        got = {(r.symbol, r.day): (r.x, r.y, r.z) for r in fill_all(df, ["symbol"], "day", ["x", "y", "z"], method, calendar).collect()}
+        alone = {v: {(r.symbol, r.day): r[v] for r in fill(df, ["symbol"], "day", v, method, calendar).collect()} for v in ("x", "y", "z")}
+        assert set(got) == set().union(*alone.values()) and not any(s == "D" for s, _ in got)
+        assert got == {k: tuple(alone[v].get(k) for v in ("x", "y", "z")) for k in got}

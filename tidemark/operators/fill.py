@@ -94,10 +94,17 @@ def daily_rows(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[s
 
 def fill_all(daily: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], method: str,
              calendar: str = "sevendays", enddate: dt.date | None = None) -> DataFrame:
-    """``fill`` for several value columns on one grid: one row per (key, day, column) is filled, and the
-    columns are put together again by a combining aggregation."""
+    """``fill`` for several value columns on one grid.
+
+    The rows of a key are sorted once up and once down; each carries, for every column, the last observation
+    up to it and the next one after it, and is expanded up to the next row. Only ``projected``, which looks two
+    observations back, fills one row per (key, day, column) and puts the columns together again."""
     if method == "nofill":
         return daily.select(*keys, day, *values)
+    if method not in FILL_METHODS:
+        raise ValueError(f"unknown fill method: {method}")
+    if method != "projected":
+        return _fill_together(daily, keys, day, values, method, calendar)
     long = daily.select(*keys, day, *[F.col(v).cast("double").alias(v) for v in values]).unpivot(
         [*keys, day], list(values), "_field", "_filled")
     filled = fill(long, [*keys, "_field"], day, "_filled", method, calendar, enddate)
@@ -105,6 +112,28 @@ def fill_all(daily: DataFrame, keys: Sequence[str], day: str, values: Sequence[s
         *[F.max(F.when(F.col("_field") == v, F.col("_filled"))).alias(v) for v in values])
 
 
+def _fill_together(daily: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], method: str,
+                   calendar: str) -> DataFrame:
+    up, down = W.partitionBy(*keys).orderBy(day), W.partitionBy(*keys).orderBy(F.desc(day))
+    rows = daily.groupBy(*keys, day).agg(*[F.max(F.col(v).cast("double")).alias(v) for v in values])
+    seen = {v: F.when(F.col(v).isNotNull(), F.struct(F.col(day).alias("day"), F.col(v).alias("value"))) for v in values}
+    upto, after = up.rowsBetween(W.unboundedPreceding, W.currentRow), down.rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumns({"_day": F.lead(day).over(up)} | {f"_at_{v}": F.last(s, ignorenulls=True).over(upto) for v, s in seen.items()})
+    rows = rows.withColumns({f"_to_{v}": F.last(s, ignorenulls=True).over(after) for v, s in seen.items()})
+    rows = rows.where(F.coalesce(*[F.col(f"_{side}_{v}.day") for v in values for side in ("at", "to")]).isNotNull())
+    stop = F.coalesce(F.date_sub("_day", 1), F.col(day))
+    grid = rows.withColumn("_grid", F.explode(F.sequence(day, stop))).where(on_calendar(F.col("_grid"), calendar))
+
+    def filled(v: str) -> Column:
+        start, end = F.col(f"_at_{v}.value"), F.col(f"_to_{v}.value")
+        since = F.datediff("_grid", F.col(f"_at_{v}.day"))
+        line = start + (end - start) * since / F.datediff(F.col(f"_to_{v}.day"), F.col(f"_at_{v}.day"))
+        between = {"forward": start, "backward": end, "average": (start + end) / 2, "interpolate": line}[method]
+        return F.when(since == 0, start).otherwise(between)
+
+    return grid.select(*keys, F.col("_grid").alias(day), *[filled(v).alias(v) for v in values])
+
+
 def lead_lag(daily: DataFrame, keys: Sequence[str], day: str, value: str, n: int,
              kind: int | str = "quoteddays", out: str = "shifted") -> DataFrame:
     """Value ``n`` steps earlier (negative: later).
