@@ -262,7 +262,7 @@ def convert_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("conversion_spec", over("trades", "rates", then=f"""{PRICED}
-    SELECT p.symbol, p.ord, p.line, CASE WHEN s.p_size % 3 = 0 THEN 'EUR' END AS to_currency,
+    SELECT p.symbol, p.ord, p.line, CASE WHEN s.p_size % 3 = 0 THEN 'EUR' END AS to_currency, 'ECB' AS currency_source, 'BBL' AS to_unit,
            CASE WHEN s.p_size % 4 = 0 THEN 7.5::DOUBLE END AS unit_factor
     FROM priced p JOIN part s ON p.symbol = 'P' || s.p_partkey"""))
 def conversion_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +275,7 @@ def conversion_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size % 4 == 0, 7.5).otherwise(0.0).alias("unit_factor"),
     )
     return convert.with_conversion_spec(views.trades(spark, sf_dir), spec).select(
-        "symbol", "ord", "line", "to_currency", "unit_factor")
+        "symbol", "ord", "line", "to_currency", "currency_source", "to_unit", "unit_factor")
 
 
 @check("convert_by_spec", over("trades", "rates", then=f"""{PRICED}

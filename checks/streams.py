@@ -30,22 +30,22 @@ def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_ingest(spark: SparkSession, root: str, landing: str, name: str) -> None:
-    stream = ingest.landed_stream(spark, landing, RAW_COLUMNS)
+    stream = ingest.landed_stream(spark, landing, RAW_COLUMNS, files_per_trigger=2)
     ingest.ingest_stream(stream, jobs.PRICES, name, Store(root), f"{root}/checkpoint-{name}", RUN_TS).awaitTermination()
 
 
 @check("stream_price_ingest", f"""
     WITH clean AS ({CLEAN_SQL}), {GOOD}
-    SELECT upper(trim(symbol, ' ' || chr(9))) AS symbol, count(DISTINCT price_hash) AS stored
-    FROM good GROUP BY 1""")
+    SELECT upper(trim(symbol, ' ' || chr(9))) AS symbol, count(DISTINCT price_hash) AS stored,
+           min(tradedatetimeutc) AS first_time, max(tradedatetimeutc) AS last_time FROM good GROUP BY 1""")
 def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items landed as CSV files and streamed into the table; stored rows per symbol."""
     root = shared_dir(spark, "stream-ingest")
-    sinks.write_csv(raw_prices(spark, sf_dir), f"{root}/landing")
+    sinks.write_csv(raw_prices(spark, sf_dir).repartition(4), f"{root}/landing")
     _run_ingest(spark, root, f"{root}/landing", "prices")
     return Store(root).read(spark, "prices").groupBy(
         F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol")).agg(
-        F.count("*").alias("stored"))
+        F.count("*").alias("stored"), F.min("tradedatetimeutc").alias("first_time"), F.max("tradedatetimeutc").alias("last_time"))
 
 
 @check("stream_replay", f"""
@@ -134,7 +134,8 @@ def stream_bars_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, seq DESC) = 1"""))
 def stream_latest_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "stream-quotes")
-    ticks = _tick_stream(spark, sf_dir)
+    views.ticks(spark, sf_dir).repartition(5).write.parquet(f"{root}/ticks")
+    ticks = spark.readStream.schema(spark.read.parquet(f"{root}/ticks").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/ticks")
     aggregates.stream_quotes(
         ticks, ["last", "user_id"], Store(root), f"{root}/checkpoint", "ts", ["seq"]
     ).awaitTermination()
@@ -154,8 +155,8 @@ def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = views.corrections(spark, sf_dir).select(
         "symbol", "tradedatetimeutc", "lastupdatetime", "close", "ord",
         F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
-    landed.write.parquet(f"{root}/landing")
-    stream = spark.readStream.schema(landed.schema).parquet(f"{root}/landing")
+    landed.repartition(4).write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
     ingest.corrections_stream(
         stream, Store(root), "prices", ["symbol", "tradedatetimeutc"], ["lastupdatetime", "ord"],
         "trade_month", f"{root}/checkpoint",
