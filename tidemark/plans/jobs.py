@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,7 @@ class TableRules:
     key: str
     schema: T.StructType
     partition: str | None
+    time: str | None  # the time that a key fixes, to the second
     clean: Callable[[DataFrame], DataFrame]
     make_key: Callable[[DataFrame], Column]
     reject_reason: Callable[[DataFrame], Column]
@@ -67,6 +69,7 @@ PRICES = TableRules(
     key="price_hash",
     schema=_with_month(schemas.PRICE_TABLE),
     partition="trade_month",
+    time="tradedatetimeutc",
     clean=conform.clean_prices,
     make_key=lambda df: keys.price_hash(df, spare=False),
     reject_reason=ingest.price_reject_reason,
@@ -84,6 +87,7 @@ INSTRUMENTS = TableRules(
     key="instrument_hash",
     schema=schemas.INSTRUMENT_TABLE,
     partition=None,
+    time=None,
     clean=conform.clean_instruments,
     make_key=keys.instrument_hash,
     reject_reason=ingest.instrument_reject_reason,
@@ -107,6 +111,21 @@ def with_partition(rows: DataFrame, rules: TableRules) -> DataFrame:
     return rows
 
 
+def near_in_time(stored: DataFrame, rows: DataFrame, rules: TableRules) -> DataFrame:
+    """Stored rows that can hold a key of ``rows``: those within the times of each partition's rows.
+
+    One row a partition reaches the driver, and the ranges become a filter on the time alone, which the
+    Parquet scan meets with the statistics of files and row groups: of a month that was stored day by day, a
+    day's rows read that day's files.
+    """
+    if rules.time is None or rules.partition is None:
+        return stored
+    spans = rows.groupBy(rules.partition).agg(F.min(rules.time).alias("low"), F.max(rules.time).alias("high")).collect()
+    second = dt.timedelta(seconds=1)
+    ranges = [F.col(rules.time).between(F.lit(r.low - second), F.lit(r.high + second)) for r in spans if r.low is not None]
+    return stored.where(reduce(lambda a, b: a | b, ranges)) if ranges else stored
+
+
 def storable(rows: DataFrame, stored: DataFrame, rules: TableRules, order: list[str],
              run_ts: dt.datetime) -> DataFrame:
     """From keyed good rows to the rows to append: first per key, unseen, audited, conformed."""
@@ -150,7 +169,8 @@ def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, store:
     touched = partition_names(with_partition(good, rules), rules.partition) if rules.partition else [""]
     change.hold(rules.table, touched)
     added = Observation()
-    new = storable(good, change.read(rules.table, rules.schema, touched), rules, order or ["arrival"], run_ts)
+    stored = near_in_time(change.read(rules.table, rules.schema, touched), with_partition(good, rules), rules)
+    new = storable(good, stored, rules, order or ["arrival"], run_ts)
     change.append(rules.table, new, rules.partition, added)
     bad = [staged.where(F.col("rejected")).select("reason", F.col(LANDED).alias("content"))] if counts["failed"] else []
     for rows in [*bad, *refused]:
