@@ -75,6 +75,13 @@ def test_rounds_refine_until_the_tolerance_is_met(spark):
     assert len(found) == 5 and all(abs(r.b - even) <= 2 * sharding.TOLERANCE * even for r in found)
 
 
+def test_rows_of_one_whole_key_end_the_search(spark):
+    keys = spark.range(3000).selectExpr("if(id < 2500, 7, id) as grp", "1L as doc", "0L as draw", "1L as size")
+    cuts = sharding.splitters(keys, 4)
+    found = keys.select(sharding.shard_of(cuts, "grp", "doc", "draw").alias("s")).groupBy("s").count().collect()
+    assert sum(r["count"] for r in found) == 3000 and len(cuts) == 3
+
+
 def test_awkward_rows(spark, odd, nothing):
     got = slotted(stored(odd.withColumn("_size", F.lit("x")).withColumn("row", F.lit(1)).withColumn("_run", F.lit(2)), 4))
     check(got, 4, [(r.doc_id, r.text) for r in odd.collect()])

@@ -98,7 +98,7 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, loose:
 
     A group stays whole where one of its ends is within ``loose`` of a shard's share of the target. Where no
     key is near enough, because a single row lies across the target, the nearer side of it is taken. The
-    driver sees at most ``3 * more * shards`` sums and ``more * shards`` keys a round.
+    same goes for rows of one whole key. The driver sees at most ``3 * more * shards`` sums and ``more * shards`` keys a round.
     """
     known: dict[bytes, int] = {}
     rows_in: dict[bytes, int] = {}
@@ -128,7 +128,8 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, loose:
             nearest = min(order, key=lambda p: (off(p), p))
             at = bisect_right(sizes, k * total // shards) - 1
             low, high = order[at], order[at + 1] if at + 1 < len(order) else HIGHEST
-            if off(whole) <= tolerance or rows_in[low] <= 1 or off(nearest) <= tolerance:
+            # An interval that no probe could narrow holds rows of one key.
+            if off(whole) <= tolerance or rows_in[low] <= 1 or off(nearest) <= tolerance or (low, high) in spans:
                 chosen[k] = whole if off(whole) <= max(loose, off(nearest)) else nearest
             else:
                 again.add((low, high))
