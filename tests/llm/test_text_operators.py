@@ -159,7 +159,12 @@ def test_no_bucket_takes_all_of_a_common_phrase(spark, monkeypatch):
     seen = []
     batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows]), pa.array([0] * len(rows))], names=["doc", "text", "tag"])
     bits, buckets = 6, 64
-    blocks = pa.Table.from_batches(list(substrings._hashes(bits)(iter([batch]))))
+    blocks = pa.Table.from_batches(list(substrings._hashes(bits, buckets)(iter([batch]))))
+    # What the piece knows to be shared passes the blocks by; they get a mark with the number of documents.
+    inside = [r for r in blocks.to_pylist() if r["block"] < 1 << bits]
+    marked = [np.frombuffer(r["marked"], np.int32) for r in inside]
+    assert all((m > 1).all() for m in marked) and sum(m.sum() for m in marked) > 400
+    assert all(np.frombuffer(r["counts"], np.int32).sum() * 5 == len(r["hashes"]) for r in inside)
     packs = pa.Table.from_batches(list(substrings._texts(buckets)(iter([batch]))))
     of = lambda t, name, v: t.filter(pa.compute.equal(t.column(name), v))
     active = pa.concat_tables(substrings._shared(bits, buckets, substrings.HOT_DOCS)(of(blocks, "block", b)) for b in set(blocks.column("block").to_pylist()))
