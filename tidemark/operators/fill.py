@@ -93,18 +93,21 @@ def daily_rows(df: DataFrame, keys: Sequence[str], time: str, values: Sequence[s
 
 
 def fill_all(daily: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], method: str,
-             calendar: str = "sevendays", enddate: dt.date | None = None) -> DataFrame:
+             calendar: str = "sevendays", enddate: dt.date | None = None, newest: int | None = None) -> DataFrame:
     """``fill`` for several value columns on one grid.
 
     The rows of a key are sorted once up and once down; each carries, for every column, the last observation
     up to it and the next one after it, and is expanded up to the next row. Only ``projected``, which looks two
-    observations back, fills one row per (key, day, column) and puts the columns together again."""
+    observations back, fills one row per (key, day, column) and puts the columns together again.
+
+    A caller that only wants a key's ``newest`` rows says how many: the grid then begins late, early enough to
+    hold as many days of the calendar, with the same values. Other days may come with them."""
     if method == "nofill":
         return daily.select(*keys, day, *values)
     if method not in FILL_METHODS:
         raise ValueError(f"unknown fill method: {method}")
     if method != "projected":
-        return _fill_together(daily, keys, day, values, method, calendar)
+        return _fill_together(daily, keys, day, values, method, calendar, newest)
     long = daily.select(*keys, day, *[F.col(v).cast("double").alias(v) for v in values]).unpivot(
         [*keys, day], list(values), "_field", "_filled")
     filled = fill(long, [*keys, "_field"], day, "_filled", method, calendar, enddate)
@@ -113,7 +116,7 @@ def fill_all(daily: DataFrame, keys: Sequence[str], day: str, values: Sequence[s
 
 
 def _fill_together(daily: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], method: str,
-                   calendar: str) -> DataFrame:
+                   calendar: str, newest: int | None = None) -> DataFrame:
     up, down = W.partitionBy(*keys).orderBy(day), W.partitionBy(*keys).orderBy(F.desc(day))
     rows = daily.groupBy(*keys, day).agg(*[F.max(F.col(v).cast("double")).alias(v) for v in values])
     seen = {v: F.when(F.col(v).isNotNull(), F.struct(F.col(day).alias("day"), F.col(v).alias("value"))) for v in values}
@@ -122,7 +125,13 @@ def _fill_together(daily: DataFrame, keys: Sequence[str], day: str, values: Sequ
     rows = rows.withColumns({f"_to_{v}": F.last(s, ignorenulls=True).over(after) for v, s in seen.items()})
     rows = rows.where(F.coalesce(*[F.col(f"_{side}_{v}.day") for v in values for side in ("at", "to")]).isNotNull())
     stop = F.coalesce(F.date_sub("_day", 1), F.col(day))
-    grid = rows.withColumn("_grid", F.explode(F.sequence(day, stop))).where(on_calendar(F.col("_grid"), calendar))
+    start = F.col(day)
+    if newest is not None:
+        # Every seven days hold five of each calendar at least, and the last row's day may be off it.
+        late = F.date_sub(F.max(day).over(up.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), 7 * (max(newest, 0) // 5 + 1))
+        rows = rows.withColumn("_late", late).where(F.col(day).isNotNull() & (stop >= F.col("_late")))
+        start = F.greatest(start, F.col("_late"))
+    grid = rows.withColumn("_grid", F.explode(F.sequence(start, stop))).where(on_calendar(F.col("_grid"), calendar))
 
     def filled(v: str) -> Column:
         start, end = F.col(f"_at_{v}.value"), F.col(f"_to_{v}.value")

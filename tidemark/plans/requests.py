@@ -209,7 +209,8 @@ class MarketData:
         if fill is not None:
             values = [c for c in (*schemas.PRICE_VALUES, "volume", "openinterest") if c in df.columns]
             daily = filling.daily_rows(df, ["symbol"], TIME, values, tie).withColumnRenamed("day", TIME)
-            df, tie = filling.fill_all(daily, ["symbol"], TIME, values, fill, fill_calendar, enddate), []
+            df, tie = filling.fill_all(daily, ["symbol"], TIME, values, fill, fill_calendar, enddate,
+                                       recordsback if isinstance(recordsback, int) else None), []
         if isinstance(recordsback, DataFrame):
             df = filters.records_back_by_plan(df, recordsback, TIME, tie)
         elif recordsback is not None:
