@@ -111,28 +111,44 @@ def with_partition(rows: DataFrame, rules: TableRules) -> DataFrame:
     return rows
 
 
+MOST_RANGES = 8
+
+
 def near_in_time(stored: DataFrame, rows: DataFrame, rules: TableRules) -> DataFrame:
     """Stored rows that can hold a key of ``rows``: those within the times of each partition's rows.
 
     One row a partition reaches the driver, and the ranges become a filter on the time alone, which the
     Parquet scan meets with the statistics of files and row groups: of a month that was stored day by day, a
-    day's rows read that day's files.
+    day's rows read that day's files. At most ``MOST_RANGES`` reach the scan, which tests every row by them:
+    beyond, the nearest ones are joined.
     """
     if rules.time is None or rules.partition is None:
         return stored
     spans = rows.groupBy(rules.partition).agg(F.min(rules.time).alias("low"), F.max(rules.time).alias("high")).collect()
     second = dt.timedelta(seconds=1)
-    ranges = [F.col(rules.time).between(F.lit(r.low - second), F.lit(r.high + second)) for r in spans if r.low is not None]
+    known = sorted((r.low - second, r.high + second) for r in spans if r.low is not None)
+    gaps = sorted(range(1, len(known)), key=lambda i: known[i][0] - known[i - 1][1], reverse=True)
+    starts = sorted([0, *gaps[:MOST_RANGES - 1]]) if known else []
+    ends = [*starts[1:], len(known)]
+    ranges = [F.col(rules.time).between(F.lit(known[a][0]), F.lit(max(high for _, high in known[a:b]))) for a, b in zip(starts, ends)]
     return stored.where(reduce(lambda a, b: a | b, ranges)) if ranges else stored
 
 
 def storable(rows: DataFrame, stored: DataFrame, rules: TableRules, order: list[str],
              run_ts: dt.datetime) -> DataFrame:
     """From keyed good rows to the rows to append: first per key, unseen, audited, conformed."""
-    rows = with_partition(rows, rules)
-    once = ingest.first_by_key(rows, [rules.key], order)
-    new = ingest.unseen(once, stored, rules.key, rules.partition)
-    return conform.conform(rules.audit(new, run_ts), rules.schema)
+    return as_stored(new_rows(rows, stored, rules, order), rules, run_ts)
+
+
+def new_rows(rows: DataFrame, stored: DataFrame, rules: TableRules, order: list[str]) -> DataFrame:
+    """First per key, unseen: the columns that the table keeps, without those that ``as_stored`` makes."""
+    new = with_partition(ingest.first_unseen(rows, stored, rules.key, order), rules)
+    return new.select(*[c for c in new.columns if c in rules.schema.names and c != rules.key])
+
+
+def as_stored(rows: DataFrame, rules: TableRules, run_ts: dt.datetime) -> DataFrame:
+    """New rows with their key, audited and conformed; the key is made again, which is less than to move it."""
+    return conform.conform(rules.audit(rows.withColumn(rules.key, rules.make_key(rows)), run_ts), rules.schema)
 
 
 QUARANTINE, AUDIT = "quarantine", "audit"
@@ -161,17 +177,20 @@ def run_ingest(spark: SparkSession, landed: DataFrame, rules: TableRules, store:
         .observe(seen, F.count("*").alias("rows"),
                  F.count(F.when(F.col("reason").isNotNull(), 1)).alias("failed"))
     )
-    staging.write.partitionBy("rejected").parquet(staged_path)
+    # The key, which nothing can press, is not stored: it is made again from what it was made of.
+    staging = staging.drop(rules.key)
+    staging.write.option("compression", "zstd").partitionBy("rejected").parquet(staged_path)
     counts = seen.get
     staged = spark.read.schema(staging.schema).parquet(staged_path)
 
     good = staged.where(~F.col("rejected")).drop("reason", "rejected", LANDED)
+    good = good.withColumn(rules.key, rules.make_key(good.drop("arrival")))
     touched = partition_names(with_partition(good, rules), rules.partition) if rules.partition else [""]
     change.hold(rules.table, touched)
     added = Observation()
     stored = near_in_time(change.read(rules.table, rules.schema, touched), with_partition(good, rules), rules)
-    new = storable(good, stored, rules, order or ["arrival"], run_ts)
-    change.append(rules.table, new, rules.partition, added)
+    new = new_rows(good, stored, rules, order or ["arrival"])
+    change.append(rules.table, new, rules.partition, added, lambda rows: as_stored(rows, rules, run_ts))
     bad = [staged.where(F.col("rejected")).select("reason", F.col(LANDED).alias("content"))] if counts["failed"] else []
     for rows in [*bad, *refused]:
         change.append(QUARANTINE, rows.select(F.lit(run_id).alias("run_id"), "reason", "content"))

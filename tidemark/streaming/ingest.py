@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.ingest import first_by_key, unseen
+from tidemark.operators.ingest import first_by_key, first_unseen
 from tidemark.plans.jobs import LANDED, TableRules, keyed, run_ingest, run_landing, with_partition
 from tidemark.sources.landing import CORRUPT, csv_options, split_corrupt
 from tidemark.schemas import text_schema
@@ -107,9 +107,9 @@ def distinct_to_store(stream: DataFrame, rules: TableRules, store: Store, checkp
         change = store.begin(batch.sparkSession)
         names = partition_names(rows, rules.partition) if rules.partition else [""]
         change.hold(rules.table, names)
-        once = first_by_key(rows, [rules.key], list(order or [c for c in rows.columns if c != rules.key]))
-        stored = change.read(rules.table, once.schema, names)
-        change.append(rules.table, unseen(once, stored, rules.key, rules.partition).select(*once.columns), rules.partition)
+        stored = change.read(rules.table, rows.schema, names)
+        new = first_unseen(rows, stored, rules.key, list(order or [c for c in rows.columns if c != rules.key]))
+        change.append(rules.table, new, rules.partition)
         change.commit()
 
     return _each(good, checkpoint, one_batch)
