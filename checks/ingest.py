@@ -49,11 +49,16 @@ def price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     new rows per symbol."""
     root = shared_dir(spark, "price-core")
     landed = _good(landed_prices(spark, sf_dir))
-    landed.write.parquet(f"{root}/good")  # the landing is parsed once
+    # The landing is parsed once; the keys, which nothing can press, are made again.
+    landed = landed.drop("price_hash")
+    landed.write.option("compression", "zstd").parquet(f"{root}/good")
     good = spark.read.schema(landed.schema).parquet(f"{root}/good")
+    good = good.withColumn("price_hash", price_hash(good, spare=False))
     store = Store(root)
     earlier = store.begin(spark)
-    earlier.append("prices", _stored(good), "trade_month")
+    past = jobs.with_partition(good.drop("price_hash"), jobs.PRICES).select("symbol", "tradedatetimeutc", "trade_month")
+    earlier.append("prices", past.where(F.col("tradedatetimeutc") < F.lit(HISTORY_END)), "trade_month",
+                   finish=lambda rows: _stored(rows.withColumn("price_hash", price_hash(rows, spare=False))))
     earlier.commit()
     touched = partition_names(jobs.with_partition(good, jobs.PRICES), "trade_month")
     new = jobs.storable(good, store.read(spark, "prices", only=touched), jobs.PRICES, ["ord", "line"], RUN_TS)
