@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.casting import FIELD_PARSERS
@@ -61,28 +60,48 @@ def is_error_payload(body: Column) -> Column:
                                              F.lit("error"))
 
 
-def error_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Landed files whose first line that is not blank begins as JSON, wherever it stands, or whose
-    first 100 characters speak of an error.
+def _heads(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines that tell what a landed file is, stored in the shared folder: of each split the first with text,
+    with and without the blanks that JSON allows, and of each file the first hundred.
 
-    One line holds at least its line break, so the first 100 lines hold those characters. Lines are
-    numbered by the split they lie in, so the first line of text is a combining minimum over the
-    whole file; no file is ever read as one value.
+    Lines are numbered by the split they lie in, one after the other. A combining minimum of those numbers finds
+    the wanted ones, one row a split; no line is sorted, and no file is ever read as one value.
     """
     lines = spark.read.text(path).select(
         F.col("value"), F.col("_metadata.file_path").alias("source_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("line")).alias("place"),
-    )
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     text = F.ltrim(F.translate("value", "\t\r", "  "))
-    json = lines.where(text != "").groupBy("source_file").agg(
-        F.min(F.struct("place", F.substring(text, 1, 1).alias("mark"))).alias("first")
+    found = lines.groupBy("source_file", "block").agg(
+        F.min("line").alias("start"), F.min(F.when(text != "", F.col("line"))).alias("marked"),
+        F.min(F.when(F.trim("value") != "", F.col("line"))).alias("named"))
+    splits, heads = shared_dir(spark, "splits"), shared_dir(spark, "heads")
+    found.write.parquet(splits)
+    near = lines.join(spark.read.schema(found.schema).parquet(splits), ["source_file", "block"])
+    early = (F.col("block") == 0) & (F.col("line") < F.col("start") + ERROR_HEAD)
+    wanted = near.select(
+        "source_file", F.struct("block", "line").alias("place"), F.substring("value", 1, 10_000).alias("head"),
+        F.substring(text, 1, 1).alias("mark"), early.alias("early"), F.col("line").eqNullSafe(F.col("marked")).alias("marked"),
+        F.col("line").eqNullSafe(F.col("named")).alias("named")).where("early or marked or named")
+    wanted.write.parquet(heads)
+    return spark.read.schema(wanted.schema).parquet(heads)
+
+
+def error_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Landed files whose first line that is not blank begins as JSON, wherever it stands, or whose
+    first 100 characters speak of an error.
+
+    One line holds at least its line break, so the first 100 lines hold those characters.
+    """
+    return _errors(_heads(spark, path))
+
+
+def _errors(heads: DataFrame) -> DataFrame:
+    json = heads.where("marked").groupBy("source_file").agg(
+        F.min(F.struct("place", "mark")).alias("first")
     ).where(F.col("first.mark") == "{").select("source_file")
-    rank = F.row_number().over(W.partitionBy("source_file").orderBy("place"))
-    ordered = F.array_sort(F.collect_list(F.struct("place", F.substring("value", 1, ERROR_HEAD).alias("text"))))
+    ordered = F.array_sort(F.collect_list(F.struct("place", F.substring("head", 1, ERROR_HEAD).alias("text"))))
     spoken = (
-        lines.where(F.col("place.block") == 0).withColumn("rank", rank)
-        .where(F.col("rank") <= ERROR_HEAD)
+        heads.where("early")
         .groupBy("source_file")
         .agg(F.concat_ws("\n", F.transform(ordered, lambda s: s["text"])).alias("head"))
         .where(is_error_payload(F.col("head"))).select("source_file")
@@ -102,12 +121,10 @@ def refused_files(spark: SparkSession, path: str | list[str], columns: Sequence[
     whose first line with text does not name the columns. Stored in the shared folder: what is refused is
     usually little, and its size is known to the planner then.
     """
-    lines = spark.read.text(path).where(F.trim("value") != "").select(
-        F.substring("value", 1, 10_000).alias("head"), F.col("_metadata.file_path").alias("source_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("place"))
-    first = lines.groupBy("source_file").agg(F.min_by("head", "place").alias("head"))
+    heads = _heads(spark, path)
+    first = heads.where("named").groupBy("source_file").agg(F.min_by("head", "place").alias("head"))
     other = first.where(~_is_header(F.col("head"), columns)).select("source_file", F.lit("unexpected header").alias("reason"))
-    errors = error_files(spark, path)
+    errors = _errors(heads)
     found = errors.unionByName(other).groupBy("source_file").agg(F.min("reason").alias("reason"))
     target = shared_dir(spark, "refused")
     found.write.parquet(target)
