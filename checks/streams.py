@@ -29,8 +29,18 @@ def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("volume"), F.col("event_id").alias("seq"), "user_id")
 
 
-def _run_ingest(spark: SparkSession, root: str, landing: str, name: str) -> None:
-    stream = ingest.landed_stream(spark, landing, RAW_COLUMNS, files_per_trigger=2)
+def _files(rows: DataFrame, batches: int) -> int:
+    """How many files of one task's size a micro-batch has, where the rows are landed for so many."""
+    return -(-rows.rdd.getNumPartitions() // batches)
+
+
+def _at_least(rows: DataFrame, files: int) -> DataFrame:
+    """The rows as they are read, where that makes as many files; a larger table is not moved to be landed."""
+    return rows if rows.rdd.getNumPartitions() >= files else rows.repartition(files)
+
+
+def _run_ingest(spark: SparkSession, root: str, landing: str, name: str, files: int) -> None:
+    stream = ingest.landed_stream(spark, landing, RAW_COLUMNS, files_per_trigger=files)
     ingest.ingest_stream(stream, jobs.PRICES, name, Store(root), f"{root}/checkpoint-{name}", RUN_TS).awaitTermination()
 
 
@@ -41,8 +51,10 @@ def _run_ingest(spark: SparkSession, root: str, landing: str, name: str) -> None
 def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items landed as CSV files and streamed into the table; stored rows per symbol."""
     root = shared_dir(spark, "stream-ingest")
-    sinks.write_csv(raw_prices(spark, sf_dir).repartition(4), f"{root}/landing")
-    _run_ingest(spark, root, f"{root}/landing", "prices")
+    raw = raw_prices(spark, sf_dir)
+    files = max(2, _files(raw, 2))
+    sinks.write_csv(_at_least(raw, 4), f"{root}/landing")
+    _run_ingest(spark, root, f"{root}/landing", "prices", files)
     return Store(root).read(spark, "prices").groupBy(
         F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol")).agg(
         F.count("*").alias("stored"), F.min("tradedatetimeutc").alias("first_time"), F.max("tradedatetimeutc").alias("last_time"))
@@ -57,9 +69,10 @@ def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same landing streamed again from an empty checkpoint: nothing is inserted twice."""
     root = shared_dir(spark, "stream-replay")
-    sinks.write_csv(raw_prices(spark, sf_dir), f"{root}/landing")
+    raw = raw_prices(spark, sf_dir)
+    sinks.write_csv(raw, f"{root}/landing")
     for name in ("first", "replay"):
-        _run_ingest(spark, root, f"{root}/landing", name)
+        _run_ingest(spark, root, f"{root}/landing", name, max(2, _files(raw, 2)))
     return Store(root).read(spark, "audit").groupBy(F.substring_index("run_id", "-", 1).alias("run")).agg(
         *[F.sum(c).alias(c) for c in ("inserted", "skipped", "failed")])
 
@@ -82,9 +95,10 @@ def stream_distinct_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same keys without any state in the stream: landed in four files, two of them twice."""
     root = shared_dir(spark, "stream-stored")
     trades = views.trades(spark, sf_dir).select("symbol", "tradedatetimeutc", "close", (F.col("ord") % 4).alias("part"))
+    files = _files(trades, 4)  # of a part: one, until the table is larger
     for k in (0, 1, 2, 3, 1, 2):
-        trades.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    stream = spark.readStream.schema(trades.drop("part").schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+        trades.where(F.col("part") == k).drop("part").coalesce(files).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(trades.drop("part").schema).option("maxFilesPerTrigger", 2 * files).parquet(f"{root}/landing")
     ingest.distinct_to_store(stream, jobs.PRICES, Store(root), f"{root}/checkpoint").awaitTermination()
     return Store(root).read(spark, "prices").groupBy("symbol").agg(F.count("*").alias("keys"))
 
@@ -98,11 +112,12 @@ def stream_corrected_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks, then corrections of every second one, long after their bars were made: the newest first."""
     root = shared_dir(spark, "stream-corrected")
     ticks = views.ticks(spark, sf_dir).select("symbol", "ts", "seq", "volume", "last")
+    files = _files(ticks, 1)
     for k in (2, 0, 1):
         part = ticks.where((F.lit(k) == 0) | (F.col("seq") % 4 == k)).withColumns(
             {"last": F.col("last") + k * (F.col("seq") % 7), "revision": F.lit(k)})
-        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    stream = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+        part.coalesce(files).write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/landing")
     aggregates.stream_corrected_bars(stream, Store(root), f"{root}/checkpoint", 60, ["revision"], tie=["seq"]).awaitTermination()
     return Store(root).read(spark, "bars").drop("day")
 
@@ -155,8 +170,9 @@ def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = views.corrections(spark, sf_dir).select(
         "symbol", "tradedatetimeutc", "lastupdatetime", "close", "ord",
         F.to_date(F.date_trunc("month", "tradedatetimeutc")).alias("trade_month"))
-    landed.repartition(4).write.parquet(f"{root}/landing")
-    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+    files = _files(landed, 4)
+    _at_least(landed, 4).write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/landing")
     ingest.corrections_stream(
         stream, Store(root), "prices", ["symbol", "tradedatetimeutc"], ["lastupdatetime", "ord"],
         "trade_month", f"{root}/checkpoint",
