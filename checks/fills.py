@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from checks.base import check, day, over
@@ -195,6 +196,29 @@ def as_of_join_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("seq", "quote", "quote_ts")
 
 
+def quotes_of_seconds(ticks: DataFrame) -> DataFrame:
+    """``last + s`` for each of the 20 seconds ``s`` from a tick on, the highest where several meet.
+
+    The ticks move, to the one or two minutes their seconds lie in, and become quotes there. Only ticks of one
+    symbol and fraction of a second can meet: each gives the quotes up to the next of them, and knows those before it.
+    """
+    second, at, s = F.col("second"), F.col("at"), F.coalesce(F.col("at") - F.col("second"), F.lit(19))
+    highest = ticks.groupBy("symbol", "ts").agg(F.max("last").alias("last")).select(
+        "symbol", "last", F.unix_seconds("ts").alias("second"), F.pmod(F.unix_micros("ts"), F.lit(1000000)).alias("micro"))
+    near = highest.withColumn("minute", F.explode(F.array_distinct(F.array(_minute(second), _minute(second + 19)))))
+    alike = W.partitionBy("minute", "micro", "symbol").orderBy("second")
+    spread = near.select("*", F.least(second + 19, F.lead("second").over(alike) - 1).alias("until"),
+                         F.collect_list(F.struct("second", "last")).over(alike.rangeBetween(-19, 0)).alias("met")
+                         ).withColumn("at", F.explode_outer(F.sequence("second", "until"))).where(F.col("minute").eqNullSafe(_minute(at)))
+    best = F.array_max(F.transform(F.filter("met", lambda x: at - x["second"] <= 19), lambda x: x["last"] + (at - x["second"])))
+    return spread.select("symbol", F.timestamp_micros(at * 1000000 + F.col("micro")).alias("ts"),
+                         F.when(F.size("met") == 1, F.col("last") + s).otherwise(best).alias("quote"))
+
+
+def _minute(second: Column) -> Column:
+    return F.floor(second / 60)
+
+
 @check("as_of_merge_dense", over("ticks", then="""
     , q AS (SELECT symbol, ts + to_seconds(s) AS ts, max(last + s) AS quote FROM ticks, range(20) AS r(s) GROUP BY 1, 2),
     t AS (SELECT CASE WHEN user_id % 3 = 0 THEN 'view' ELSE symbol END AS symbol, ts + INTERVAL 7 SECOND AS ts, seq FROM ticks)
@@ -202,8 +226,7 @@ def as_of_join_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def as_of_merge_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes of every second after a tick against ticks of which a third share a symbol."""
     ticks = views.ticks(spark, sf_dir)
-    quotes = ticks.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(19)))).groupBy(
-        "symbol", (F.col("ts") + F.make_dt_interval(secs=F.col("s"))).alias("ts")).agg(F.max(F.col("last") + F.col("s")).alias("quote"))
+    quotes = quotes_of_seconds(ticks)
     asked = ticks.select(F.when(F.col("user_id") % 3 == 0, "view").otherwise(F.col("symbol")).alias("symbol"),
                          (F.col("ts") + F.expr("interval 7 seconds")).alias("ts"), "seq")
     return convert.as_of_merge(asked, quotes, ["symbol"], "ts", ["quote"]).select("seq", "quote")

@@ -7,7 +7,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import fill, ingest
+from checks import fills
+from tidemark.operators import convert, fill, ingest
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
 from tidemark.sources import landing
@@ -102,3 +103,35 @@ def test_keys_are_not_staged_and_do_not_travel(spark, monkeypatch):
     want = jobs.keyed(landed, jobs.PRICES).where("reason is null").select("price_hash").distinct()
     assert rows(store.read(spark, "prices").select("price_hash")) == rows(want)
     assert re.fullmatch("[0-9a-f]{64}", store.read(spark, "prices").first().price_hash)
+
+
+def test_a_dense_right_side_is_not_carried_to_the_cuts(spark, monkeypatch):
+    """Of a right row every 10 ms only those are cut and merged that a left row asks for, and one for ten seconds."""
+    kept = []
+    monkeypatch.setattr(convert, "shared_dir", lambda spark, label: kept.append((label, shared_dir(spark, label))) or kept[-1][1])
+    start = dt.datetime(1969, 12, 31, 23, 59, 30, tzinfo=UTC)
+    at = lambda seconds: start + dt.timedelta(seconds=seconds)
+    key = F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit(None)), (F.col("id") % 3 + 1).cast("int"))
+    right = spark.range(6000).select(key.alias("k"), F.timestamp_micros(F.lit(-30000000) + F.col("id") * 10000).alias("ts"), F.col("id").alias("v"))
+    asked = [("A", -1.0), ("A", 0.0), ("A", 0.029), ("A", 0.03), ("B", 29.995), ("B", 30.01), ("B", 31.7), ("A", 59.0), ("A", 90.0), ("B", 4000.0), ("C", 5.0)]
+    rows_ = [(k, at(s), i) for i, (k, s) in enumerate(asked)] + [(None, at(5), 20), ("A", None, 21), (None, None, 22)]
+    rows_ += [("B", at(45), 100 + i) for i in range(700)]
+    left = spark.createDataFrame(rows_, "k string, ts timestamp, n int")
+    got = {r.n: r.v for r in convert.as_of_merge(left, right, ["k"], "ts", ["v"]).collect()}
+    known = {"A": [(at(i / 100), i) for i in range(0, 6000, 3)], "B": [(at(i / 100), i) for i in range(1, 6000, 3)]}
+    want = {n: max((v for x, v in known.get(k, []) if t is not None and x <= t), default=None) for k, t, n in rows_}
+    assert got == want
+    merged = spark.read.parquet(next(path for label, path in kept if label == "merge"))
+    assert merged.where("_side = 1").count() == len(rows_) and merged.where("_side = 0").count() <= len(asked) + 1 + 2 * 7
+
+
+def test_quotes_of_seconds_are_made_where_their_ticks_moved(spark):
+    micros = [0, 1, 19, 20, 5_000_000, 5_000_001, 19_000_000, 24_000_000, 25_000_000, 41_000_000, 59_000_000, 59_500_000, 60_000_000, 61_500_000, 78_000_000,
+              -1, -500_000, -1_500_000, -59_000_000, -60_000_000, -61_000_000, 0, 5_000_000, 86_400_000_000]
+    data = [(k, m, None if i % 11 == 3 else float("nan") if i % 13 == 5 else 0.1 * (i * 7 % 23), i) for k in ("A", "B", None) for i, m in enumerate([*micros, None, None])]
+    ticks = spark.createDataFrame(data, "symbol string, m long, last double, seq int").withColumn("ts", F.timestamp_micros("m")).drop("m")
+    plain = ticks.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(19)))).groupBy(
+        "symbol", (F.col("ts") + F.make_dt_interval(secs=F.col("s"))).alias("ts")).agg(F.max(F.col("last") + F.col("s")).alias("quote"))
+    assert list(map(repr, rows(fills.quotes_of_seconds(ticks)))) == list(map(repr, rows(plain)))
+    moved = plan(fills.quotes_of_seconds(ticks))
+    assert "sequence(" in moved and moved.rindex("Exchange hashpartitioning") > moved.index("sequence(")

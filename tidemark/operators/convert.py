@@ -54,10 +54,30 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str
     )
 
 
+def _asked_for(right: DataFrame, left: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The right rows that some left row can be in force with, and the last of each key and ten seconds.
+
+    Among the rows of its key and ten seconds, a right row that the next right row follows with no left row
+    between is in force for none. Left rows count once for each key and time, so that ten seconds hold no
+    more rows than they have moments, on either side. The rows are written to the shared folder: later steps read
+    them several times.
+    """
+    asked = left.select(*names, "_time").where(" and ".join(f"{c} is not null" for c in [*names, "_time"])).distinct()
+    marks = (right.withColumn("_side", F.lit(0)).unionByName(asked.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+             .withColumn("_block", F.expr("unix_seconds(cast(_time as timestamp)) div 10")))
+    following = W.partitionBy("_block", *names).orderBy("_time", "_side")
+    needed = marks.withColumn("_next", F.lead("_side", 1, 1).over(following)).where("_side = 0 and _next = 1").select(right.columns)
+    path = shared_dir(left.sparkSession, "asked")
+    needed.write.parquet(path)
+    return left.sparkSession.read.schema(needed.schema).parquet(path)
+
+
 def as_of_merge(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, values: Sequence[str]) -> DataFrame:
     """What ``as_of_join`` gives, for right sides with very many rows to a key and segment.
 
-    Both sides are cut at common points: one exchange by sampled ranges of (key, time), and rows of one key and
+    Right rows that no left row can ask for are dropped first, by one sorted pass over the times of each key and
+    ten seconds; of a right side far denser than the left one, about as many rows stay as there are left rows.
+    Both sides are then cut at common points: one exchange by sampled ranges of (key, time), and rows of one key and
     time are spread further, so that no run is large, however hot a key or a moment is. Inside a run the last
     right row is carried down by one sorted pass; what a run inherits is the last right row of the key's runs
     before it, one row for each key and run. No row ever meets more than one right row. Left rows with a NULL
@@ -69,6 +89,7 @@ def as_of_merge(left: DataFrame, right: DataFrame, keys: Sequence[str], time: st
                            F.struct(*values).alias("_payload"))
     rows = left.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(time).alias("_time"),
                        F.struct(*left.columns).alias("_row"))
+    payload = _asked_for(payload, rows, names)
     both = (payload.withColumn("_side", F.lit(0)).unionByName(rows.withColumn("_side", F.lit(1)), allowMissingColumns=True)
             .withColumn("_copy", F.monotonically_increasing_id()))
     path = shared_dir(left.sparkSession, "merge")
